@@ -22,11 +22,11 @@ def tiebreak_of(raw: DataFrame, key_columns: Sequence[str], lead: Sequence[Colum
     With a source ordinal (CSV ingest) the last row read wins. Without one the
     order is undefined at the source, so we fix it: optional ``lead`` columns,
     then every non-key raw column, then the raw key columns, all compared
-    descending with NULL lowest.
+    descending with NULL lowest. Helper columns (leading ``_``) are skipped.
     """
     if ORDINAL in raw.columns:
         return F.struct(*lead, F.col(ORDINAL))
-    others = [c for c in raw.columns if c not in key_columns]
+    others = [c for c in raw.columns if c not in key_columns and not c.startswith("_")]
     return F.struct(*lead, *[F.col(c) for c in [*others, *key_columns]])
 
 

@@ -2,8 +2,10 @@
 
 Each follows the same order: clean every column, drop rows missing a
 required key, then keep the last row per key (orders excepted: they keep
-duplicates until the upsert). Cleaning happens before the key filter and the
-dedupe, so raw keys that differ only by surrounding whitespace collapse.
+duplicates until the upsert). ``lead`` columns, when given, decide "last"
+before the raw columns do (backlog mode leads with the batch number).
+Cleaning happens before the key filter and the dedupe, so raw keys that
+differ only by surrounding whitespace collapse.
 """
 
 from __future__ import annotations
@@ -51,14 +53,14 @@ def latest_order_rows(orders: DataFrame) -> DataFrame:
     return dedupe_keep_last(orders, ["order_id"])
 
 
-def clean_customers(raw: DataFrame, batch_id: Column | int | None = None) -> DataFrame:
+def clean_customers(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
     df = raw.select(*_with_batch([
         clean_text("customer_id").alias("customer_id"),
         clean_text("customer_unique_id").alias("customer_unique_id"),
         to_integer("customer_zip_code_prefix", what="customer_zip_code_prefix").alias("customer_zip_code_prefix"),
         clean_text("customer_city", lower=True).alias("customer_city"),
         clean_text("customer_state", upper=True).alias("customer_state"),
-    ], batch_id), tiebreak_of(raw, ["customer_id"]).alias(TIEBREAK))
+    ], batch_id), tiebreak_of(raw, ["customer_id"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["customer_id"])
 
 
@@ -73,7 +75,7 @@ def products_with_translation(products: DataFrame, translations: DataFrame) -> D
 
 
 def clean_products(products: DataFrame, translations: DataFrame,
-                   batch_id: Column | int | None = None) -> DataFrame:
+                   batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
     raw = products_with_translation(products, translations)
     ints = [
         ("product_name_lenght", "product_name_length"),
@@ -89,21 +91,21 @@ def clean_products(products: DataFrame, translations: DataFrame,
         clean_text("product_category_name", lower=True).alias("product_category_name"),
         clean_text("product_category_name_english", lower=True).alias("product_category_name_english"),
         *[to_integer(src, what=dst).alias(dst) for src, dst in ints],
-    ], batch_id), tiebreak_of(raw, ["product_id"]).alias(TIEBREAK))
+    ], batch_id), tiebreak_of(raw, ["product_id"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["product_id"])
 
 
-def clean_sellers(raw: DataFrame, batch_id: Column | int | None = None) -> DataFrame:
+def clean_sellers(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
     df = raw.select(*_with_batch([
         clean_text("seller_id").alias("seller_id"),
         to_integer("seller_zip_code_prefix", what="seller_zip_code_prefix").alias("seller_zip_code_prefix"),
         clean_text("seller_city", lower=True).alias("seller_city"),
         clean_text("seller_state", upper=True).alias("seller_state"),
-    ], batch_id), tiebreak_of(raw, ["seller_id"]).alias(TIEBREAK))
+    ], batch_id), tiebreak_of(raw, ["seller_id"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["seller_id"])
 
 
-def clean_items(raw: DataFrame, batch_id: Column | int | None = None) -> DataFrame:
+def clean_items(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
     """Prices stay DECIMAL(18,6) here; they are rounded only when stored."""
     df = raw.select(*_with_batch([
         clean_text("order_id").alias("order_id"),
@@ -113,22 +115,22 @@ def clean_items(raw: DataFrame, batch_id: Column | int | None = None) -> DataFra
         to_datetime("shipping_limit_date").alias("shipping_limit_at"),
         to_number("price").alias("price"),
         to_number("freight_value").alias("freight_value"),
-    ], batch_id), tiebreak_of(raw, ["order_id", "order_item_id"]).alias(TIEBREAK))
+    ], batch_id), tiebreak_of(raw, ["order_id", "order_item_id"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["order_id", "order_item_id"])
 
 
-def clean_payments(raw: DataFrame, batch_id: Column | int | None = None) -> DataFrame:
+def clean_payments(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
     df = raw.select(*_with_batch([
         clean_text("order_id").alias("order_id"),
         to_integer("payment_sequential", what="payment_sequential").alias("payment_sequential"),
         clean_text("payment_type", lower=True).alias("payment_type"),
         to_integer("payment_installments", what="payment_installments").alias("payment_installments"),
         to_number("payment_value").alias("payment_value"),
-    ], batch_id), tiebreak_of(raw, ["order_id", "payment_sequential"]).alias(TIEBREAK))
+    ], batch_id), tiebreak_of(raw, ["order_id", "payment_sequential"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["order_id", "payment_sequential"])
 
 
-def clean_reviews(raw: DataFrame, batch_id: Column | int | None = None) -> DataFrame:
+def clean_reviews(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
     df = raw.select(*_with_batch([
         clean_text("review_id").alias("review_id"),
         clean_text("order_id").alias("order_id"),
@@ -137,5 +139,5 @@ def clean_reviews(raw: DataFrame, batch_id: Column | int | None = None) -> DataF
         clean_text("review_comment_message").alias("review_comment_message"),
         to_datetime("review_creation_date").alias("review_creation_at"),
         to_datetime("review_answer_timestamp").alias("review_answer_at"),
-    ], batch_id), tiebreak_of(raw, ["review_id", "order_id"]).alias(TIEBREAK))
+    ], batch_id), tiebreak_of(raw, ["review_id", "order_id"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["review_id", "order_id"])
