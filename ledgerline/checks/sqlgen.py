@@ -72,12 +72,15 @@ def tiebreak(raw_cols: list[str], keys: list[str], lead: list[str] = (), prefix:
     return desc([*lead, *[prefix + c for c in [*others, *keys]]])
 
 
-def cleaned_select(entity: str, src: str = "src", batch: str | None = None) -> str:
-    """SELECT list + FROM + key filter + keep-last QUALIFY for one entity over ``src``.
+def cleaned_select(entity: str, src: str = "src", batch: str | None = None, per_batch: bool = False) -> str:
+    """SELECT list + FROM + key filter + keep-last for one entity over ``src``.
 
     ``src`` has the raw columns (for products: the products-translations join).
+    ``per_batch``: ``src`` carries ``_batch`` and the keep-last runs per batch.
     """
     b = f", CAST({batch} AS BIGINT) AS source_batch_id" if batch else ""
+    if per_batch:
+        b += ", _batch"
     if entity == "customers":
         keys = ["customer_id"]
         cols = [f"{clean_text('customer_id')} AS customer_id",
@@ -133,11 +136,12 @@ def cleaned_select(entity: str, src: str = "src", batch: str | None = None) -> s
         raise KeyError(entity)
     # Clean in an inner query, then filter keys and keep the last row per cleaned key.
     inner_cols = ", ".join(cols)
-    raw_keep = ", ".join(f"{c} AS _r_{c}" for c in _raw_cols(entity))
+    raw_keep = ", ".join(f"{c} AS _r_{c}" for c in _raw_cols(entity)) + (", _batch" if per_batch else "")
+    part = (["_batch"] if per_batch else []) + keys
     key_filter = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     order_r = ", ".join(f"_r_{part}" for part in order.split(", "))
     return (f"SELECT * EXCLUDE (_rn) FROM (SELECT {', '.join(_out_cols(entity))}{b}, row_number() OVER "
-            f"(PARTITION BY {', '.join(keys)} ORDER BY {order_r}) AS _rn FROM "
+            f"(PARTITION BY {', '.join(part)} ORDER BY {order_r}) AS _rn FROM "
             f"(SELECT {inner_cols}, {raw_keep} FROM {src}) c WHERE {key_filter}) d WHERE _rn = 1")
 
 
@@ -154,12 +158,19 @@ def _out_cols(entity: str) -> list[str]:
     return s.fieldNames()
 
 
-def cleaned_orders(src: str = "raw_orders", batch: str | None = None) -> str:
-    """Cleaned orders over ``src`` with duplicates kept, plus ``_rn_latest`` (1 = latest row)."""
+def cleaned_orders(src: str = "raw_orders", batch: str | None = None, per_batch: bool = False) -> str:
+    """Cleaned orders over ``src`` with duplicates kept, plus ``_rn_latest`` (1 = latest row).
+
+    ``per_batch``: ``src`` carries ``_batch``; "latest" means latest batch first.
+    """
     b = f", CAST({batch} AS BIGINT) AS source_batch_id" if batch else ""
     order = tiebreak(RAW_COLUMNS["raw_orders"], ["order_id"], lead=["_purchased", "order_id"])
     order_r = ", ".join(part if part.startswith("_purchased") else f"_r_{part}" for part in order.split(", "))
     raw_keep = ", ".join(f"{c} AS _r_{c}" for c in RAW_COLUMNS["raw_orders"])
+    if per_batch:
+        b += ", _batch"
+        order_r = "_batch DESC, " + order_r
+        raw_keep += ", _batch"
     return f"""SELECT order_id, customer_id, order_status, purchased_at, approved_at, delivered_carrier_at,
        delivered_customer_at, estimated_delivery_at{b},
        row_number() OVER (PARTITION BY order_id ORDER BY {order_r}) AS _rn_latest

@@ -1,7 +1,9 @@
 """Every registered query: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Each reads the shared test tables (through the raw binding) or data Spark
-derives from them, so its work grows with the scale factor.
+derives from them, so its work grows with the scale factor. Stateful queries
+run the pipeline into a fresh store under the shared checkpoint folder and
+return what it published (audit timestamps left out).
 """
 
 from __future__ import annotations
@@ -9,9 +11,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.binding import bind_raw
-from . import build
+from .. import schemas
+from ..functions import (clean_text, days_between, nan_to_null, parse_bool, to_datetime, to_integer,
+                         to_number)
+from ..operators import batch_bounds, dedupe_keep_last, distinct_keys, insert_absent, semi_by, upsert
+from ..operators.closure import batch_closure
+from ..operators.keys import tiebreak_of
+from ..session import checkpoint_root, scratch_path
+from ..sources import ingest
+from ..sources.binding import bind_raw, load_base
+from ..sources.tables import param_query, read_table
+from ..streaming import state
+from ..streaming.backlog import BATCH, assign_batches, run_backlog
+from ..streaming.batches import DEFAULT_BATCH_SIZE, bounds_of, keyset_batch
+from ..streaming.pipeline import CLUSTER_KEYS, full_refresh, run_pipeline
+from ..streaming.publish import Warehouse
+from . import build, entities as E, facts, operational, serving
+from .store import cast_to, constraint_report, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +42,555 @@ def register(name: str):
     return deco
 
 
+def _no_audit(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in ("loaded_at", "updated_at", "started_at", "finished_at") if c in df.columns])
+
+
+def _backlog_store(spark: SparkSession, sf_dir: str, batch_size: int = DEFAULT_BATCH_SIZE,
+                   max_batches: int = 0) -> tuple[Warehouse, dict[str, DataFrame]]:
+    raw = bind_raw(spark, sf_dir)
+    store = Warehouse(spark, scratch_path(spark, "warehouse"))
+    run_backlog(spark, raw, store, batch_size=batch_size, max_batches=max_batches)
+    return store, raw
+
+
+# ---------------------------------------------------------------- sources
+@register("csv_ingest")
+def csv_ingest(spark, sf_dir):
+    """Raw tables written as CSV files, scanned back as one table per file stem."""
+    directory = scratch_path(spark, "csv")
+    ingest.write_csv_tables(bind_raw(spark, sf_dir), directory)
+    return ingest.load_csv_directory(spark, directory)["raw_orders"].drop("_ordinal")
+
+
+@register("na_tokens")
+def na_tokens(spark, sf_dir):
+    """Missing-value tokens and blank cells become NULL on ingest."""
+    directory = scratch_path(spark, "csv")
+    raw = bind_raw(spark, sf_dir)
+    ingest.write_csv_tables({"raw_order_items": raw["raw_order_items"], "raw_reviews": raw["raw_reviews"]}, directory)
+    return ingest.load_csv_directory(spark, directory)["raw_reviews"].drop("_ordinal")
+
+
+@register("table_profile")
+def table_profile(spark, sf_dir):
+    """Rows, column count and names of every ingested table."""
+    directory = scratch_path(spark, "csv")
+    ingest.write_csv_tables(bind_raw(spark, sf_dir), directory)
+    return ingest.table_profile(ingest.load_csv_directory(spark, directory))
+
+
+@register("raw_all_text")
+def raw_all_text(spark, sf_dir):
+    """K2/K3: land a table as all-text bronze (blank -> NULL) and read it back."""
+    root = scratch_path(spark, "bronze")
+    paths = ingest.write_bronze({"raw_products": bind_raw(spark, sf_dir)["raw_products"]}, root)
+    return spark.read.parquet(paths["raw_products"])
+
+
+@register("raw_load_counts")
+def raw_load_counts(spark, sf_dir):
+    """K4: load every table to bronze, report rows per table."""
+    root = scratch_path(spark, "bronze")
+    paths = ingest.write_bronze(bind_raw(spark, sf_dir), root)
+    return operational.layer_counts({n: spark.read.parquet(p) for n, p in paths.items()}).withColumnRenamed(
+        "layer_table", "table_name")
+
+
+@register("scan_projected")
+def scan_projected(spark, sf_dir):
+    """S3: table scan with a column list (pruned to two columns at the Parquet reader)."""
+    return read_table(spark, f"{sf_dir}/customer.parquet", ["c_custkey", "c_mktsegment"])
+
+
+@register("param_query")
+def param_query_q(spark, sf_dir):
+    """A parameterised query; values are bound, not spliced into the text."""
+    return param_query(
+        spark,
+        "SELECT order_id, customer_id, order_purchase_timestamp FROM {raw} "
+        "WHERE CAST(order_purchase_timestamp AS TIMESTAMP_NTZ) >= CAST(:since AS TIMESTAMP_NTZ) "
+        "AND customer_id IS NOT NULL",
+        {"since": "1999-01-01 00:00:00"}, raw=bind_raw(spark, sf_dir)["raw_orders"])
+
+
+@register("keyset_batch")
+def keyset_batch_q(spark, sf_dir):
+    """The first batch after the default watermark (top-N by (ts, id))."""
+    return keyset_batch(bind_raw(spark, sf_dir)["raw_orders"], "1900-01-01 00:00:00", "", DEFAULT_BATCH_SIZE)
+
+
+@register("batch_closure")
+def batch_closure_q(spark, sf_dir):
+    """Rows of each related table reachable from the first batch (broadcast semi joins)."""
+    raw = bind_raw(spark, sf_dir)
+    batch = keyset_batch(raw["raw_orders"], "1900-01-01 00:00:00", "", DEFAULT_BATCH_SIZE)
+    c = batch_closure(raw, batch, bounded=True)
+    return operational.layer_counts({
+        "customers": c.customers, "items": c.items, "payments": c.payments, "reviews": c.reviews,
+        "products": c.products, "translations": c.translations, "sellers": c.sellers,
+    }).withColumnRenamed("layer_table", "table_name")
+
+
+# ---------------------------------------------------------------- semi joins over all eligible orders
+def _semi(spark, sf_dir, which: str) -> DataFrame:
+    raw = bind_raw(spark, sf_dir)
+    orders = build.eligible_orders(raw["raw_orders"])
+    items = semi_by(raw["raw_order_items"], orders, "order_id")
+    products = semi_by(raw["raw_products"], items, "product_id")
+    return {
+        "customers": lambda: semi_by(raw["raw_customers"], orders, "customer_id"),
+        "items": lambda: items,
+        "payments": lambda: semi_by(raw["raw_payments"], orders, "order_id"),
+        "reviews": lambda: semi_by(raw["raw_reviews"], orders, "order_id"),
+        "products": lambda: products,
+        "sellers": lambda: semi_by(raw["raw_sellers"], items, "seller_id"),
+        "translations": lambda: semi_by(raw["raw_translations"], products, "product_category_name"),
+    }[which]()
+
+
+for _which in ("customers", "items", "payments", "reviews", "products", "sellers", "translations"):
+    register(f"semi_{_which}")(lambda spark, sf_dir, _w=_which: _semi(spark, sf_dir, _w))
+
+
+# ---------------------------------------------------------------- projections / filters
+@register("required_keys")
+def required_keys(spark, sf_dir):
+    """Cleaned items with both keys present (duplicates kept)."""
+    raw = bind_raw(spark, sf_dir)["raw_order_items"]
+    df = raw.select(clean_text("order_id").alias("order_id"), to_integer("order_item_id").alias("order_item_id"),
+                    clean_text("product_id").alias("product_id"), to_number("price").alias("price"))
+    return df.na.drop("any", subset=["order_id", "order_item_id"])
+
+
+@register("distinct_keys")
+def distinct_keys_q(spark, sf_dir):
+    """P10: distinct non-null product ids named by items."""
+    return distinct_keys(bind_raw(spark, sf_dir)["raw_order_items"], "product_id")
+
+
+@register("nan_to_null")
+def nan_to_null_q(spark, sf_dir):
+    """NaN in a floating column leaves as NULL."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    x = F.when(F.col("l_linenumber") == 7, F.lit(float("nan"))).otherwise(F.col("l_discount"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", nan_to_null(x).alias("discount"))
+
+
+# ---------------------------------------------------------------- joins
+@register("join_translation")
+def join_translation(spark, sf_dir):
+    """Products left-joined to category translations on raw category text."""
+    raw = bind_raw(spark, sf_dir)
+    return E.products_with_translation(raw["raw_products"], raw["raw_translations"]).select(
+        "product_id", "product_category_name", "product_category_name_english")
+
+
+@register("join_items_products")
+def join_items_products(spark, sf_dir):
+    """Items with their product category; NULL product ids match NULL."""
+    raw = bind_raw(spark, sf_dir)
+    return serving.items_with_categories(raw["raw_order_items"], raw["raw_products"]).select(
+        "order_id", "order_item_id", "product_id", "product_category_name")
+
+
+@register("join_orders_customers")
+def join_orders_customers(spark, sf_dir):
+    """Orders with the customer's state; NULL customer ids match NULL."""
+    raw = bind_raw(spark, sf_dir)
+    return serving.orders_with_customers(raw["raw_orders"], raw["raw_customers"]).select(
+        "order_id", "customer_id", "customer_state")
+
+
+# ---------------------------------------------------------------- aggregates
+def _clean(spark, sf_dir) -> build.CleanBatch:
+    return build.full_clean(bind_raw(spark, sf_dir))
+
+
+@register("agg_items")
+def agg_items(spark, sf_dir):
+    """A1: per order item count, distinct products, unrounded sums (0 for all-NULL)."""
+    a = facts.item_aggregates(_clean(spark, sf_dir).items)
+    return a.select("order_id", F.col("order_item_count").cast("long").alias("order_item_count"),
+                    F.col("distinct_product_count").cast("long").alias("distinct_product_count"),
+                    F.col("total_item_value").cast("decimal(28,6)").alias("total_item_value"),
+                    F.col("total_freight_value").cast("decimal(28,6)").alias("total_freight_value"))
+
+
+@register("agg_payments")
+def agg_payments(spark, sf_dir):
+    """A2: payment sum per order."""
+    a = facts.payment_aggregates(_clean(spark, sf_dir).payments)
+    return a.select("order_id", F.col("total_payment_value").cast("decimal(28,6)").alias("total_payment_value"))
+
+
+@register("agg_reviews")
+def agg_reviews(spark, sf_dir):
+    """A3: mean score and non-null score count per order."""
+    a = facts.review_aggregates(_clean(spark, sf_dir).reviews)
+    return a.select("order_id", "avg_review_score", F.col("review_count").cast("long").alias("review_count"))
+
+
+@register("agg_items_categories")
+def agg_items_categories(spark, sf_dir):
+    """A4: serving-table item measures per raw order id, with the category list."""
+    raw = bind_raw(spark, sf_dir)
+    a = serving.serving_item_aggregates(raw["raw_order_items"], raw["raw_products"])
+    return a.select("order_id", F.col("items_count").cast("long").alias("items_count"),
+                    F.col("total_items_value").cast("decimal(28,6)").alias("total_items_value"),
+                    F.col("total_freight_value").cast("decimal(28,6)").alias("total_freight_value"),
+                    "product_categories")
+
+
+@register("agg_sorted_distinct_text")
+def agg_sorted_distinct_text(spark, sf_dir):
+    """Sorted distinct non-null categories per order joined by ', ' (NULL if none)."""
+    raw = bind_raw(spark, sf_dir)
+    joined = serving.items_with_categories(raw["raw_order_items"], raw["raw_products"])
+    return (joined.where(F.col("order_id").isNotNull()).groupBy("order_id")
+            .agg(serving.sorted_distinct_text("product_category_name").alias("product_categories")))
+
+
+@register("agg_payments_raw")
+def agg_payments_raw(spark, sf_dir):
+    """Serving-table payment sum per raw order id."""
+    a = serving.serving_payment_sums(bind_raw(spark, sf_dir)["raw_payments"])
+    return a.select("order_id", F.col("total_payment_value").cast("decimal(28,6)").alias("total_payment_value"))
+
+
+@register("agg_reviews_raw")
+def agg_reviews_raw(spark, sf_dir):
+    """Serving-table mean review score per raw order id."""
+    a = serving.serving_review_means(bind_raw(spark, sf_dir)["raw_reviews"])
+    return a.select("order_id", F.col("avg_review_score").cast("double").alias("avg_review_score"))
+
+
+@register("dedupe_keep_last")
+def dedupe_keep_last_q(spark, sf_dir):
+    """One raw item row per raw (order_id, order_item_id), the greatest by the other columns."""
+    raw = bind_raw(spark, sf_dir)["raw_order_items"]
+    keys = ["order_id", "order_item_id"]
+    df = raw.withColumn("_tiebreak", tiebreak_of(raw, keys)).na.drop("any", subset=keys)
+    return dedupe_keep_last(df, keys)
+
+
+@register("batch_bounds")
+def batch_bounds_q(spark, sf_dir):
+    """First and last (ts, id) and size of every batch of the backlog, without sorting."""
+    assigned = assign_batches(bind_raw(spark, sf_dir)["raw_orders"], DEFAULT_BATCH_SIZE)
+    key = F.struct(F.col("_ts").alias("ts"), F.col("order_id").isNull().alias("id_null"),
+                   F.col("order_id").alias("id"))
+    b = (assigned.withColumn("_ts", F.col("order_purchase_timestamp").cast("timestamp_ntz"))
+         .groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")))
+    return b.select(F.col(BATCH).alias("batch_id"), F.col("n").cast("int").alias("batch_size"),
+                    F.col("lo.ts").alias("source_min_purchase_ts"), F.col("hi.ts").alias("source_max_purchase_ts"),
+                    F.col("lo.id").alias("source_min_order_id"), F.col("hi.id").alias("source_max_order_id"))
+
+
+@register("fact_orders_no_children")
+def fact_orders_no_children(spark, sf_dir):
+    """Fact rows of orders lacking items, payments or reviews (typed empty aggregates)."""
+    f = build.full_fact_orders(bind_raw(spark, sf_dir))
+    return f.where((F.col("order_item_count") == 0) | F.col("total_payment_value").isNull()
+                   | F.col("avg_review_score").isNull())
+
+
+# ---------------------------------------------------------------- scalar functions
+@register("fn_clean_text")
+def fn_clean_text(spark, sf_dir):
+    """Unicode strip, blank -> NULL, case folding, over order status and customer text."""
+    raw = bind_raw(spark, sf_dir)["raw_orders"]
+    return raw.select("order_id", clean_text("order_status").alias("status_clean"),
+                      clean_text("order_status", upper=True).alias("status_upper"),
+                      clean_text("order_status", lower=True).alias("status_lower"))
+
+
+@register("fn_to_datetime")
+def fn_to_datetime(spark, sf_dir):
+    """lenient timestamp parse (fixed layout, else NULL)."""
+    raw = bind_raw(spark, sf_dir)["raw_orders"]
+    return raw.select("order_id", to_datetime("order_approved_at").alias("approved_at"),
+                      to_datetime("order_delivered_customer_date").alias("delivered_customer_at"))
+
+
+@register("fn_to_number")
+def fn_to_number(spark, sf_dir):
+    """lenient decimal parse (bad -> NULL)."""
+    raw = bind_raw(spark, sf_dir)["raw_order_items"]
+    return raw.select("order_id", "order_item_id", to_number("price").alias("price"),
+                      to_number("freight_value").alias("freight_value"))
+
+
+@register("fn_to_integer")
+def fn_to_integer(spark, sf_dir):
+    """lenient integer parse ('40.0' -> 40; fractional would raise)."""
+    raw = bind_raw(spark, sf_dir)["raw_products"]
+    return raw.select("product_id", to_integer("product_description_lenght").alias("description_length"),
+                      to_integer("product_weight_g").alias("weight_g"))
+
+
+@register("fn_delivery_days")
+def fn_delivery_days(spark, sf_dir):
+    """fractional days between purchase and delivery."""
+    o = _clean(spark, sf_dir).orders
+    return o.select("order_id", days_between("delivered_customer_at", "purchased_at").alias("delivery_days"))
+
+
+@register("fn_parse_bool")
+def fn_parse_bool(spark, sf_dir):
+    """truthy words; the words are derived per order from its key."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    word = F.element_at(F.array(*[F.lit(w) for w in (" yes", "NO ", "y", "n", "1", "0", "True", "false")]),
+                        (F.col("o_orderkey") % 8 + 1).cast("int"))
+    return o.select("o_orderkey", word.alias("word"), parse_bool(word).alias("flag"))
+
+
+# ---------------------------------------------------------------- entities and facts (whole backlog as one batch)
+@register("clean_orders")
+def clean_orders_q(spark, sf_dir):
+    """Cleaned orders, duplicates kept."""
+    return _clean(spark, sf_dir).orders.drop("_tiebreak")
+
+
+def _entity(name: str, schema):
+    def q(spark, sf_dir):
+        return typed(getattr(_clean(spark, sf_dir), name), schema)
+    return q
+
+
+register("clean_customers")(_entity("customers", schemas.CUSTOMERS))
+register("clean_products")(_entity("products", schemas.PRODUCTS))
+register("clean_sellers")(_entity("sellers", schemas.SELLERS))
+register("clean_reviews")(_entity("reviews", schemas.REVIEWS))
+
+
+@register("clean_payments")
+def clean_payments_q(spark, sf_dir):
+    """Cleaned payments, money still unrounded DECIMAL(18,6)."""
+    return _clean(spark, sf_dir).payments
+
+
+@register("clean_items")
+def clean_items_q(spark, sf_dir):
+    """E5: cleaned items, money still unrounded DECIMAL(18,6)."""
+    return _clean(spark, sf_dir).items
+
+
 @register("fact_orders")
-def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact_orders(spark, sf_dir):
+    """E8 (flagship): order-grain fact over the whole backlog."""
     return build.full_fact_orders(bind_raw(spark, sf_dir))
+
+
+@register("fact_order_items")
+def fact_order_items(spark, sf_dir):
+    """Cleaned items typed as stored (money rounded HALF_UP to 2 dp)."""
+    return typed(_clean(spark, sf_dir).items, schemas.ORDER_ITEMS)
+
+
+@register("typed_store")
+def typed_store(spark, sf_dir):
+    """K8/F8: payments cast to the stored types."""
+    return cast_to(_clean(spark, sf_dir).payments, schemas.PAYMENTS)
+
+
+@register("orders_serving")
+def orders_serving(spark, sf_dir):
+    """The denormalised orders table."""
+    return serving.build_orders_serving(bind_raw(spark, sf_dir))
+
+
+@register("constraint_report")
+def constraint_report_q(spark, sf_dir):
+    """NOT NULL and key violations of the serving table (must be empty to publish)."""
+    df = serving.build_orders_serving(bind_raw(spark, sf_dir))
+    return constraint_report(df, "orders", schemas.ORDERS_SERVING, ["order_id"])
+
+
+# ---------------------------------------------------------------- incremental state
+@register("batch_assignment")
+def batch_assignment(spark, sf_dir):
+    """Batch of every eligible raw order = ceil(rank by (ts, id) / 5000), ranked without one big task."""
+    a = assign_batches(bind_raw(spark, sf_dir)["raw_orders"], DEFAULT_BATCH_SIZE)
+    return a.select("order_id", "order_purchase_timestamp", F.col(BATCH).alias("batch_id"))
+
+
+def _final(table: str):
+    def q(spark, sf_dir):
+        store, _ = _backlog_store(spark, sf_dir)
+        return _no_audit(store.read(table))
+    return q
+
+
+for _t in ("dim_customer", "dim_product", "dim_seller"):
+    register(_t)(_final(_t))
+
+
+@register("staging_counts")
+def staging_counts(spark, sf_dir):
+    """Rows per staging table after loading the backlog."""
+    store, _ = _backlog_store(spark, sf_dir)
+    return operational.layer_counts({t: store.read(t) for t in schemas.WAREHOUSE_TABLES if t.startswith("stg_")})
+
+
+@register("incremental_final_state")
+def incremental_final_state(spark, sf_dir):
+    """The batch loop over the whole backlog (5000 per batch); the final order fact."""
+    raw = bind_raw(spark, sf_dir)
+    store = Warehouse(spark, scratch_path(spark, "warehouse"))
+    run_pipeline(spark, raw, store, batch_size=DEFAULT_BATCH_SIZE)
+    return _no_audit(store.read("fact_orders"))
+
+
+@register("process_batch")
+def process_batch_q(spark, sf_dir):
+    """One batch through the loop; the staged orders it published."""
+    raw = bind_raw(spark, sf_dir)
+    store = Warehouse(spark, scratch_path(spark, "warehouse"))
+    run_pipeline(spark, raw, store, batch_size=DEFAULT_BATCH_SIZE, max_batches=1)
+    return _no_audit(store.read("stg_order_items"))
+
+
+@register("watermark_lookup")
+def watermark_lookup(spark, sf_dir):
+    """The pipeline's watermark after two batches."""
+    store, _ = _backlog_store(spark, sf_dir, max_batches=2)
+    return state.watermark_row(store.read("etl_watermarks"))
+
+
+@register("watermark_advance")
+def watermark_advance(spark, sf_dir):
+    """B2: watermark row after the whole backlog."""
+    store, _ = _backlog_store(spark, sf_dir)
+    return _no_audit(store.read("etl_watermarks"))
+
+
+@register("batch_log_start")
+def batch_log_start(spark, sf_dir):
+    """The 'running' row opened for the first batch."""
+    raw = bind_raw(spark, sf_dir)
+    store = Warehouse(spark, scratch_path(spark, "warehouse"))
+    batch = keyset_batch(raw["raw_orders"], "1900-01-01 00:00:00", "", DEFAULT_BATCH_SIZE)
+    log = store.read("etl_batch_log")
+    store.publish({"etl_batch_log": state.log_started(spark, log, state.next_batch_id(log), bounds_of(batch))})
+    return _no_audit(store.read("etl_batch_log"))
+
+
+@register("batch_log_finish")
+def batch_log_finish(spark, sf_dir):
+    """Completed log rows with their four counters."""
+    store, _ = _backlog_store(spark, sf_dir)
+    return _no_audit(store.read("etl_batch_log"))
+
+
+@register("log_listing")
+def log_listing(spark, sf_dir):
+    """V1/L3: batch log listing in batch order."""
+    store, _ = _backlog_store(spark, sf_dir)
+    return operational.log_listing(store.read("etl_batch_log"))
+
+
+@register("log_latest")
+def log_latest(spark, sf_dir):
+    """V2/L4: the ten newest batches."""
+    store, _ = _backlog_store(spark, sf_dir)
+    return operational.log_latest(store.read("etl_batch_log"))
+
+
+@register("layer_counts")
+def layer_counts(spark, sf_dir):
+    """V3/V5/A10: raw, staging and fact row counts after the load."""
+    store, raw = _backlog_store(spark, sf_dir)
+    return operational.layer_counts({
+        "raw_orders": raw["raw_orders"], "raw_order_items": raw["raw_order_items"],
+        "stg_orders": store.read("stg_orders"), "fact_orders": store.read("fact_orders"),
+        "fact_order_items": store.read("fact_order_items"),
+    })
+
+
+@register("preview")
+def preview(spark, sf_dir):
+    """Five fact rows in order-id order."""
+    return operational.preview(build.full_fact_orders(bind_raw(spark, sf_dir)), ["order_id"])
+
+
+@register("full_refresh")
+def full_refresh_q(spark, sf_dir):
+    """After a load and a refresh: tables empty, watermark gone, log kept."""
+    store, _ = _backlog_store(spark, sf_dir)
+    full_refresh(store)
+    counts = {t: store.read(t) for t in [*schemas.WAREHOUSE_TABLES, "etl_watermarks", "etl_batch_log"]}
+    return operational.layer_counts(counts)
+
+
+@register("upsert_update")
+def upsert_update(spark, sf_dir):
+    """Customers of batch 1 upserted with customers of batch 2 (batch 2 wins on shared keys)."""
+    target, new = _two_batches_customers(spark, sf_dir)
+    stored = target.withColumn("loaded_at", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
+    out = upsert(stored, new, ["customer_id"], audit="loaded_at")
+    return out.drop("loaded_at")
+
+
+@register("upsert_ignore")
+def upsert_ignore(spark, sf_dir):
+    """K7: insert-if-absent of batch 2 customers into batch 1 customers."""
+    target, new = _two_batches_customers(spark, sf_dir)
+    return insert_absent(target, new, ["customer_id"])
+
+
+def _two_batches_customers(spark, sf_dir):
+    raw = bind_raw(spark, sf_dir)
+    assigned = assign_batches(raw["raw_orders"], DEFAULT_BATCH_SIZE)
+    out = []
+    for b in (1, 2):
+        orders = assigned.where(F.col(BATCH) == b)
+        cust = semi_by(raw["raw_customers"], orders, "customer_id")
+        out.append(typed(E.clean_customers(cust, b), schemas.CUSTOMERS))
+    return out[0], out[1]
+
+
+@register("clustered_write")
+def clustered_write(spark, sf_dir):
+    """Fact written range-partitioned and sorted on (purchased_at, order_id), read back."""
+    path = scratch_path(spark, "clustered")
+    f = build.full_fact_orders(bind_raw(spark, sf_dir))
+    keys = CLUSTER_KEYS["fact_orders"]
+    f.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("late_rows_report")
+def late_rows_report(spark, sf_dir):
+    """Orders arriving after the load with old timestamps stay out (reported, not loaded)."""
+    raw = bind_raw(spark, sf_dir)
+    late = F.col("order_id").cast("long") % 7 == 0
+    early = dict(raw)
+    early["raw_orders"] = raw["raw_orders"].where(~late)
+    store = Warehouse(spark, scratch_path(spark, "warehouse"))
+    run_backlog(spark, early, store)
+    ts, oid = state.get_watermark(store.read("etl_watermarks"))
+    # The late rows have now "arrived": the full raw table is the source again.
+    arrived = build.full_clean(raw).orders.drop("_tiebreak")
+    return operational.late_rows(arrived, store.read("stg_orders"), ts, oid)
+
+
+@register("replay_idempotent")
+def replay_idempotent(spark, sf_dir):
+    """A batch fails before publishing and is redone with a new batch id; data equals a clean run."""
+    raw = bind_raw(spark, sf_dir)
+    store = Warehouse(spark, scratch_path(spark, "warehouse"))
+    run_pipeline(spark, raw, store, batch_size=DEFAULT_BATCH_SIZE, max_batches=1)
+    bad = dict(raw)
+    bad["raw_order_items"] = raw["raw_order_items"].withColumn(
+        "order_item_id", F.concat(F.col("order_item_id"), F.lit("5")))  # '1.05' -> fractional -> error
+    try:
+        run_pipeline(spark, bad, store, batch_size=DEFAULT_BATCH_SIZE, max_batches=1)
+    except Exception:
+        pass
+    run_pipeline(spark, raw, store, batch_size=DEFAULT_BATCH_SIZE)
+    log = store.read("etl_batch_log").select("batch_id", "status", "batch_size")
+    facts_ = _no_audit(store.read("fact_orders")).groupBy("source_batch_id").agg(
+        F.count(F.lit(1)).alias("fact_rows"))
+    return log.join(facts_, log.batch_id == facts_.source_batch_id, "left").select(
+        "batch_id", "status", "batch_size", F.coalesce("fact_rows", F.lit(0)).alias("fact_rows"))

@@ -185,9 +185,10 @@ def final_watermark(assigned: DataFrame) -> DataFrame:
 
 
 def run_backlog(spark: SparkSession, raw: dict[str, DataFrame], store, batch_size: int = 5000,
-                refresh: bool = False, pipeline: str = state.PIPELINE_NAME) -> int:
+                refresh: bool = False, max_batches: int = 0, pipeline: str = state.PIPELINE_NAME) -> int:
     """Load everything after the watermark in one publish. Returns the number of batches.
 
+    ``max_batches`` limits the load to that many batches (0 = all; negative = one).
     Falls back to the loop when a duplicate (ts, id) run straddles a batch edge.
     """
     from .pipeline import full_refresh, run_pipeline, validate_batch_size
@@ -200,9 +201,12 @@ def run_backlog(spark: SparkSession, raw: dict[str, DataFrame], store, batch_siz
     wm_ts, wm_id = state.get_watermark(store.read("etl_watermarks"), pipeline)
     first_id = state.next_batch_id(store.read("etl_batch_log"))
     ts_text = wm_ts.strftime("%Y-%m-%d %H:%M:%S.%f") if isinstance(wm_ts, dt.datetime) else str(wm_ts)
-    assigned = assign_batches(raw["raw_orders"], batch_size, ts_text, wm_id, first_id).checkpoint()
+    assigned = assign_batches(raw["raw_orders"], batch_size, ts_text, wm_id, first_id)
+    if max_batches:
+        assigned = assigned.where(F.col(BATCH) < F.lit(first_id + max(max_batches, 1)))
+    assigned = assigned.checkpoint()
     if straddling_runs(assigned).limit(1).count():
-        return run_pipeline(spark, raw, store, batch_size=batch_size, pipeline=pipeline)
+        return run_pipeline(spark, raw, store, batch_size=batch_size, max_batches=max_batches, pipeline=pipeline)
     n_batches = assigned.select(F.countDistinct(BATCH)).first()[0]
     if not n_batches:
         return 0
