@@ -8,17 +8,24 @@ from pyspark.sql import functions as F
 # The characters stripped from both ends of a text value. This is
 # Python's `str.isspace()` set -- Unicode White_Space plus the four ASCII
 # information separators 0x1C-0x1F. A zero-width space (U+200B) is not in it.
-WHITESPACE_CLASS = (
-    r"[\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WHITESPACE_CODEPOINTS = (
+    0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+    0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A,
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
-EDGE_WHITESPACE = rf"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
+WHITESPACE = "".join(chr(c) for c in WHITESPACE_CODEPOINTS)
+# The same set as a regex character class (used by the SQL oracle).
+WHITESPACE_CLASS = "[" + "".join(f"\\x{{{c:X}}}" for c in WHITESPACE_CODEPOINTS) + "]"
 
 
 def strip_unicode(col: Column | str) -> Column:
-    """Remove leading and trailing Unicode whitespace (``trim`` only strips spaces)."""
+    """Remove leading and trailing Unicode whitespace.
+
+    ``btrim`` with an explicit character set compares whole code points and
+    needs no regex; plain ``trim`` would only strip spaces.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c.cast("string"), EDGE_WHITESPACE, "")
+    return F.btrim(c.cast("string"), F.lit(WHITESPACE))
 
 
 def clean_text(col: Column | str, *, upper: bool = False, lower: bool = False) -> Column:

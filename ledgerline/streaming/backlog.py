@@ -25,6 +25,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +82,7 @@ class BacklogState:
     tables: dict[str, DataFrame]   # final new rows per warehouse table (typed, with source_batch_id)
     log_rows: DataFrame            # one completed log row per batch
     watermark: DataFrame           # (last ts, last id) of the final batch
+    persisted: list[DataFrame]     # release after publishing
 
 
 def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogState:
@@ -92,9 +94,12 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogStat
     orders_all = E.clean_orders(assigned, batch_col, keep_tiebreak=True)
     orders_final = dedupe_keep_last(
         orders_all.withColumn(TIEBREAK, F.struct(F.col("source_batch_id"), F.col(TIEBREAK))), ["order_id"])
+    # Shared by several outputs: keep them for the publish (lineage starts at the
+    # checkpointed assignment, so a lost block is recomputed deterministically).
+    orders_final = orders_final.persist(StorageLevel.MEMORY_AND_DISK)
 
     # Staging children: reached through raw order ids, last touching batch wins.
-    items_t = _tagged(raw["raw_order_items"], order_maxb, "order_id")
+    items_t = _tagged(raw["raw_order_items"], order_maxb, "order_id").persist(StorageLevel.MEMORY_AND_DISK)
     items_final = _last_touch(E.clean_items, items_t)
     pay_final = _last_touch(E.clean_payments, _tagged(raw["raw_payments"], order_maxb, "order_id"))
     rev_final = _last_touch(E.clean_reviews, _tagged(raw["raw_reviews"], order_maxb, "order_id"))
@@ -119,7 +124,7 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogStat
 
     fact = _fact_with_batch(orders_final, fetched, raw)
 
-    items_typed = typed(items_final, schemas.ORDER_ITEMS)
+    items_typed = typed(items_final, schemas.ORDER_ITEMS).persist(StorageLevel.MEMORY_AND_DISK)
     tables = {
         "stg_orders": typed(orders_final, schemas.STG_ORDERS),
         "stg_customers": typed(cust_final, schemas.CUSTOMERS),
@@ -134,7 +139,8 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogStat
         "fact_order_items": items_typed,
         "fact_orders": fact,
     }
-    return BacklogState(tables, batch_log_rows(assigned, orders_all, raw), final_watermark(assigned))
+    return BacklogState(tables, batch_log_rows(assigned, orders_all, raw), final_watermark(assigned),
+                        [orders_final, items_t, items_typed])
 
 
 def _fact_with_batch(orders_final: DataFrame, fetched, raw: dict[str, DataFrame]) -> DataFrame:
@@ -223,4 +229,6 @@ def run_backlog(spark: SparkSession, raw: dict[str, DataFrame], store, batch_siz
     changes["etl_batch_log"] = store.read("etl_batch_log").unionByName(result.log_rows)
     from .pipeline import CLUSTER_KEYS
     store.publish(changes, sort_by=CLUSTER_KEYS)
+    for df in result.persisted:
+        df.unpersist()
     return int(n_batches)

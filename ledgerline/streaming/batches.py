@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,7 @@ def bounds_of(batch: DataFrame) -> DataFrame:
 class BatchResult:
     changes: dict[str, DataFrame]
     metrics: tuple[int, int, int, int]
+    persisted: list[DataFrame]
 
 
 def batch_outputs(clean: CleanBatch, batch_id: int | Column) -> dict[str, DataFrame]:
@@ -74,14 +76,15 @@ def process_batch(raw: dict[str, DataFrame], batch_orders: DataFrame, batch_id:
                   read_target) -> BatchResult:
     """Closure -> clean -> fact -> upsert plans for every warehouse table.
 
-    ``batch_orders`` is materialised and holds at most the batch maximum, so
-    the semi-joins broadcast it. The cleaned batch frames are checkpointed:
-    each feeds several outputs and the counters, and a checkpoint keeps
-    a lost executor from replaying the closure.
+    ``batch_orders`` is checkpointed and holds at most the batch maximum, so
+    the semi-joins broadcast it. The cleaned batch frames feed several outputs
+    and the counters, so they are persisted (memory, spilling to disk); their
+    lineage starts at the checkpointed batch, so a lost block is recomputed
+    deterministically. Call :func:`release` after publishing.
     """
     closure = batch_closure(raw, batch_orders, bounded=True)
     clean = clean_batch(batch_orders, closure, batch_id)
-    clean = CleanBatch(**{k: v.checkpoint() for k, v in clean.__dict__.items()})
+    clean = CleanBatch(**{k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in clean.__dict__.items()})
     n_orders = clean.orders.count()
     n_items = clean.items.count()
     changes = {}
@@ -89,4 +92,9 @@ def process_batch(raw: dict[str, DataFrame], batch_orders: DataFrame, batch_id:
         _, keys = schemas.WAREHOUSE_TABLES[table]
         changes[table] = upsert(read_target(table), new, keys, audit=schemas.audit_column(table))
     # Metrics as the source logs them: input rows, duplicates included.
-    return BatchResult(changes, (n_orders, n_items, n_orders, n_items))
+    return BatchResult(changes, (n_orders, n_items, n_orders, n_items), list(clean.__dict__.values()))
+
+
+def release(result: "BatchResult") -> None:
+    for df in result.persisted:
+        df.unpersist()

@@ -16,6 +16,8 @@ source system's one concurrent run).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,9 +33,10 @@ MANIFEST_SCHEMA = T.StructType([
 class Warehouse:
     """Tables of the warehouse, resolved through the newest manifest."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, write_parallelism: int = 4):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.write_parallelism = write_parallelism
         self._pointers: dict[str, str] | None = None
         self._version: int | None = None
 
@@ -81,7 +84,9 @@ class Warehouse:
         """
         pointers = self.pointers
         version = self.version + 1
-        for table, df in changes.items():
+
+        def write(item: tuple[str, DataFrame | None]) -> tuple[str, str]:
+            table, df = item
             schema = self.schema_of(table)
             if df is None:
                 df = self.spark.createDataFrame([], schema)
@@ -93,7 +98,13 @@ class Warehouse:
                 out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
             path = f"{self.root}/{table}/v={version:08d}"
             out.write.mode("errorifexists").parquet(path)
-            pointers[table] = path
+            return table, path
+
+        # Independent tables are written by concurrent Spark jobs; the manifest
+        # swap below happens only after every write has succeeded.
+        with ThreadPoolExecutor(max_workers=max(1, self.write_parallelism)) as pool:
+            for table, path in pool.map(write, changes.items()):
+                pointers[table] = path
         manifest = self.spark.createDataFrame(sorted(pointers.items()), MANIFEST_SCHEMA)
         manifest.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/_manifest/version={version}")
         self._pointers, self._version = pointers, version
