@@ -412,7 +412,8 @@ WHERE (a.purchased_at < wm.ts OR (a.purchased_at = wm.ts AND a.order_id <= wm.id
   FROM (SELECT _batch, COUNT(*) AS n FROM assigned GROUP BY _batch) b
   LEFT JOIN (SELECT _batch, COUNT(*) AS n FROM ob WHERE _rn_latest = 1 GROUP BY _batch) f ON f._batch = b._batch
   UNION ALL
-  SELECT 2, 'failed', (SELECT COUNT(*) FROM assigned WHERE _batch = 2), 0) x""")
+  SELECT 2, 'failed', (SELECT COUNT(*) FROM assigned WHERE _batch = 2), 0
+  WHERE EXISTS (SELECT 1 FROM assigned WHERE _batch = 2)) x""")
     return o
 
 
