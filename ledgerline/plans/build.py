@@ -45,15 +45,28 @@ class CleanBatch:
     reviews: DataFrame
 
 
-def clean_batch(batch_orders: DataFrame, closure: Closure, batch_id: Column | int | None = None) -> CleanBatch:
+def clean_batch(batch_orders: DataFrame, closure: Closure, batch_id: Column | int | None = None,
+                months: DataFrame | None = None) -> CleanBatch:
+    """Clean every table of a batch. ``months`` (raw order id -> ``_month``), when
+    given, is attached to the order children and carried through cleaning."""
+    carry: list[str] = []
+    items, payments, reviews = closure.items, closure.payments, closure.reviews
+    if months is not None:
+        m = months.withColumnRenamed("order_id", "_m_order_id")
+
+        def attach(rows: DataFrame) -> DataFrame:
+            return rows.join(m, rows["order_id"] == m["_m_order_id"]).drop("_m_order_id")
+
+        items, payments, reviews = attach(items), attach(payments), attach(reviews)
+        carry = ["_month"]
     return CleanBatch(
         orders=E.clean_orders(batch_orders, batch_id, keep_tiebreak=True),
         customers=E.clean_customers(closure.customers, batch_id),
         products=E.clean_products(closure.products, closure.translations, batch_id),
         sellers=E.clean_sellers(closure.sellers, batch_id),
-        items=E.clean_items(closure.items, batch_id),
-        payments=E.clean_payments(closure.payments, batch_id),
-        reviews=E.clean_reviews(closure.reviews, batch_id),
+        items=E.clean_items(items, batch_id, carry=carry),
+        payments=E.clean_payments(payments, batch_id, carry=carry),
+        reviews=E.clean_reviews(reviews, batch_id, carry=carry),
     )
 
 

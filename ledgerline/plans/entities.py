@@ -3,13 +3,16 @@
 Each follows the same order: clean every column, drop rows missing a
 required key, then keep the last row per key (orders excepted: they keep
 duplicates until the upsert). ``lead`` columns, when given, decide "last"
-before the raw columns do (backlog mode leads with the batch number).
+before the raw columns do (backlog mode leads with the batch number);
+``carry`` names raw helper columns passed through unchanged (layout month).
 Cleaning happens before the key filter and the dedupe, so raw keys that
 differ only by surrounding whitespace collapse.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,7 +108,8 @@ def clean_sellers(raw: DataFrame, batch_id: Column | int | None = None, lead: li
     return _finish(df, ["seller_id"])
 
 
-def clean_items(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
+def clean_items(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = (),
+                carry: Sequence[str] = ()) -> DataFrame:
     """Prices stay DECIMAL(18,6) here; they are rounded only when stored."""
     df = raw.select(*_with_batch([
         clean_text("order_id").alias("order_id"),
@@ -115,22 +119,24 @@ def clean_items(raw: DataFrame, batch_id: Column | int | None = None, lead: list
         to_datetime("shipping_limit_date").alias("shipping_limit_at"),
         to_number("price").alias("price"),
         to_number("freight_value").alias("freight_value"),
-    ], batch_id), tiebreak_of(raw, ["order_id", "order_item_id"], lead=lead).alias(TIEBREAK))
+    ], batch_id), *carry, tiebreak_of(raw, ["order_id", "order_item_id"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["order_id", "order_item_id"])
 
 
-def clean_payments(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
+def clean_payments(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = (),
+                   carry: Sequence[str] = ()) -> DataFrame:
     df = raw.select(*_with_batch([
         clean_text("order_id").alias("order_id"),
         to_integer("payment_sequential", what="payment_sequential").alias("payment_sequential"),
         clean_text("payment_type", lower=True).alias("payment_type"),
         to_integer("payment_installments", what="payment_installments").alias("payment_installments"),
         to_number("payment_value").alias("payment_value"),
-    ], batch_id), tiebreak_of(raw, ["order_id", "payment_sequential"], lead=lead).alias(TIEBREAK))
+    ], batch_id), *carry, tiebreak_of(raw, ["order_id", "payment_sequential"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["order_id", "payment_sequential"])
 
 
-def clean_reviews(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
+def clean_reviews(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = (),
+                  carry: Sequence[str] = ()) -> DataFrame:
     df = raw.select(*_with_batch([
         clean_text("review_id").alias("review_id"),
         clean_text("order_id").alias("order_id"),
@@ -139,5 +145,5 @@ def clean_reviews(raw: DataFrame, batch_id: Column | int | None = None, lead: li
         clean_text("review_comment_message").alias("review_comment_message"),
         to_datetime("review_creation_date").alias("review_creation_at"),
         to_datetime("review_answer_timestamp").alias("review_answer_at"),
-    ], batch_id), tiebreak_of(raw, ["review_id", "order_id"], lead=lead).alias(TIEBREAK))
+    ], batch_id), *carry, tiebreak_of(raw, ["review_id", "order_id"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["review_id", "order_id"])

@@ -39,7 +39,8 @@ from ..plans.facts import build_fact_orders
 from ..plans.store import typed
 from ..session import checkpoint_root
 from . import state
-from .batches import purchase_order
+from .batches import _layout, plan_upserts, publish_planned, purchase_order
+from .publish import LAYOUT_COL, month_of
 
 BATCH = "_batch"
 
@@ -67,13 +68,15 @@ def _last_batch_by(rows: DataFrame, key_col: str, batch_col: str = BATCH) -> Dat
 
 def _tagged(rows: DataFrame, maxb: DataFrame, row_col: str) -> DataFrame:
     """Raw rows with the last batch that fetched them; rows never fetched drop out (1:1 join)."""
-    m = maxb.select(F.col(maxb.columns[0]).alias("_key"), "_maxb")
+    m = maxb.select(F.col(maxb.columns[0]).alias("_key"), *maxb.columns[1:])
     return rows.join(m, rows[row_col] == m["_key"], "inner").drop("_key")
 
 
-def _last_touch(cleaner, tagged_rows: DataFrame) -> DataFrame:
+def _last_touch(cleaner, tagged_rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Clean rows tagged with ``_maxb``; per cleaned key keep the last batch's last row."""
     b = F.col("_maxb")
+    if carry:
+        return cleaner(tagged_rows, b, lead=[b], carry=list(carry))
     return cleaner(tagged_rows, b, lead=[b])
 
 
@@ -87,7 +90,10 @@ class BacklogState:
 
 def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogState:
     batch_col = F.col(BATCH)
-    order_maxb = _last_batch_by(assigned, "order_id")
+    # Raw order id -> last batch that scanned it, and the layout month of its children.
+    order_maxb = (assigned.where(F.col("order_id").isNotNull()).groupBy("order_id")
+                  .agg(F.max(BATCH).alias("_maxb"),
+                       month_of(F.max(strict_timestamp("order_purchase_timestamp"))).alias("_month")))
     cust_maxb = _last_batch_by(assigned, "customer_id")
 
     # Orders: every cleaned row carries its batch; the latest batch, then the latest row, wins.
@@ -100,9 +106,9 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogStat
 
     # Staging children: reached through raw order ids, last touching batch wins.
     items_t = _tagged(raw["raw_order_items"], order_maxb, "order_id").persist(StorageLevel.MEMORY_AND_DISK)
-    items_final = _last_touch(E.clean_items, items_t)
-    pay_final = _last_touch(E.clean_payments, _tagged(raw["raw_payments"], order_maxb, "order_id"))
-    rev_final = _last_touch(E.clean_reviews, _tagged(raw["raw_reviews"], order_maxb, "order_id"))
+    items_final = _last_touch(E.clean_items, items_t, ("_month",))
+    pay_final = _last_touch(E.clean_payments, _tagged(raw["raw_payments"], order_maxb, "order_id"), ("_month",))
+    rev_final = _last_touch(E.clean_reviews, _tagged(raw["raw_reviews"], order_maxb, "order_id"), ("_month",))
     cust_final = _last_touch(E.clean_customers, _tagged(raw["raw_customers"], cust_maxb, "customer_id"))
     # Products and sellers: the last batch among fetched items that name them.
     prod_maxb = items_t.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.max("_maxb").alias("_maxb"))
@@ -124,20 +130,20 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogStat
 
     fact = _fact_with_batch(orders_final, fetched, raw)
 
-    items_typed = typed(items_final, schemas.ORDER_ITEMS).persist(StorageLevel.MEMORY_AND_DISK)
+    items_typed = _layout(items_final, schemas.ORDER_ITEMS, F.col("_month")).persist(StorageLevel.MEMORY_AND_DISK)
     tables = {
-        "stg_orders": typed(orders_final, schemas.STG_ORDERS),
+        "stg_orders": _layout(orders_final, schemas.STG_ORDERS, month_of(F.col("purchased_at"))),
         "stg_customers": typed(cust_final, schemas.CUSTOMERS),
         "stg_products": typed(prod_final, schemas.PRODUCTS),
         "stg_sellers": typed(sell_final, schemas.SELLERS),
         "stg_order_items": items_typed,
-        "stg_payments": typed(pay_final, schemas.PAYMENTS),
-        "stg_reviews": typed(rev_final, schemas.REVIEWS),
+        "stg_payments": _layout(pay_final, schemas.PAYMENTS, F.col("_month")),
+        "stg_reviews": _layout(rev_final, schemas.REVIEWS, F.col("_month")),
         "dim_customer": typed(cust_final, schemas.CUSTOMERS),
         "dim_product": typed(prod_final, schemas.PRODUCTS),
         "dim_seller": typed(sell_final, schemas.SELLERS),
         "fact_order_items": items_typed,
-        "fact_orders": fact,
+        "fact_orders": fact.withColumn(LAYOUT_COL, month_of(F.col("purchased_at"))),
     }
     return BacklogState(tables, batch_log_rows(assigned, orders_all, raw), final_watermark(assigned),
                         [orders_final, items_t, items_typed])
@@ -198,7 +204,6 @@ def run_backlog(spark: SparkSession, raw: dict[str, DataFrame], store, batch_siz
     Falls back to the loop when a duplicate (ts, id) run straddles a batch edge.
     """
     from .pipeline import full_refresh, run_pipeline, validate_batch_size
-    from ..operators.upsert import upsert
 
     validate_batch_size(batch_size)
     checkpoint_root(spark)
@@ -220,15 +225,14 @@ def run_backlog(spark: SparkSession, raw: dict[str, DataFrame], store, batch_siz
     if wm.last_order_id is None:
         raise ValueError("null value in column last_order_id violates not-null constraint")
     result = backlog_state(raw, assigned)
-    changes: dict[str, DataFrame] = {}
-    for table, new in result.tables.items():
-        _, keys = schemas.WAREHOUSE_TABLES[table]
-        changes[table] = upsert(store.read(table), new, keys, audit=schemas.audit_column(table))
-    changes["etl_watermarks"] = state.advance_watermark(spark, store.read("etl_watermarks"),
-                                                        wm.last_order_purchase_timestamp, wm.last_order_id, pipeline)
-    changes["etl_batch_log"] = store.read("etl_batch_log").unionByName(result.log_rows)
+    planned = plan_upserts(store, result.tables)
+    extra = {
+        "etl_watermarks": state.advance_watermark(spark, store.read("etl_watermarks"),
+                                                  wm.last_order_purchase_timestamp, wm.last_order_id, pipeline),
+        "etl_batch_log": store.read("etl_batch_log").unionByName(result.log_rows),
+    }
     from .pipeline import CLUSTER_KEYS
-    store.publish(changes, sort_by=CLUSTER_KEYS)
+    publish_planned(store, planned, extra, sort_by=CLUSTER_KEYS)
     for df in result.persisted:
         df.unpersist()
     return int(n_batches)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -18,6 +19,7 @@ from ..operators.upsert import upsert
 from ..plans.build import CleanBatch, clean_batch, eligible_orders
 from ..plans.facts import build_fact_orders
 from ..plans.store import typed
+from .publish import LAYOUT_COL, PARTITIONED, Warehouse, month_of
 
 # Default and maximum orders per batch.
 DEFAULT_BATCH_SIZE = 5_000
@@ -46,34 +48,100 @@ def bounds_of(batch: DataFrame) -> DataFrame:
 
 @dataclass
 class BatchResult:
-    changes: dict[str, DataFrame]
+    planned: dict[str, "PlannedUpsert"]
     metrics: tuple[int, int, int, int]
     persisted: list[DataFrame]
 
 
+def release(result: "BatchResult") -> None:
+    for df in result.persisted:
+        df.unpersist()
+
+
+def batch_months(batch_orders: DataFrame) -> DataFrame:
+    """Raw order id -> layout month (latest purchase time of that id in the batch)."""
+    return (batch_orders.where(F.col("order_id").isNotNull()).groupBy("order_id")
+            .agg(month_of(F.max(strict_timestamp("order_purchase_timestamp"))).alias("_month")))
+
+
+def _layout(df: DataFrame, schema, month: Column) -> DataFrame:
+    return typed(df, schema, lineage=("source_batch_id", "_month")).withColumn(LAYOUT_COL, month).drop("_month")
+
+
 def batch_outputs(clean: CleanBatch, batch_id: int | Column) -> dict[str, DataFrame]:
-    """New rows per warehouse table for one batch (typed, with ``source_batch_id``)."""
+    """New rows per warehouse table for one batch (typed, with ``source_batch_id``).
+
+    Order-grain tables also carry ``layout_month``: the purchase month for
+    orders, the month of the batch order that fetched them for children.
+    """
     orders_latest = dedupe_keep_last(clean.orders, ["order_id"])
     fact = build_fact_orders(clean.orders, clean.items, clean.payments, clean.reviews, batch_id)
-    items = typed(clean.items, schemas.ORDER_ITEMS)
+    items = _layout(clean.items, schemas.ORDER_ITEMS, F.col("_month"))
     return {
-        "stg_orders": typed(orders_latest, schemas.STG_ORDERS),
+        "stg_orders": _layout(orders_latest, schemas.STG_ORDERS, month_of(F.col("purchased_at"))),
         "stg_customers": typed(clean.customers, schemas.CUSTOMERS),
         "stg_products": typed(clean.products, schemas.PRODUCTS),
         "stg_sellers": typed(clean.sellers, schemas.SELLERS),
         "stg_order_items": items,
-        "stg_payments": typed(clean.payments, schemas.PAYMENTS),
-        "stg_reviews": typed(clean.reviews, schemas.REVIEWS),
+        "stg_payments": _layout(clean.payments, schemas.PAYMENTS, F.col("_month")),
+        "stg_reviews": _layout(clean.reviews, schemas.REVIEWS, F.col("_month")),
         "dim_customer": typed(clean.customers, schemas.CUSTOMERS),
         "dim_product": typed(clean.products, schemas.PRODUCTS),
         "dim_seller": typed(clean.sellers, schemas.SELLERS),
         "fact_order_items": items,
-        "fact_orders": fact,
+        "fact_orders": fact.withColumn(LAYOUT_COL, month_of(F.col("purchased_at"))),
     }
 
 
+@dataclass
+class PlannedUpsert:
+    df: DataFrame                 # new content of the table (or of its touched months)
+    touched: set[str] | None      # months replaced; None = whole table
+    months: set[str] | None       # months holding rows after the upsert
+
+
+def plan_upsert(store: Warehouse, table: str, new: DataFrame, new_keys_bounded: bool = False) -> PlannedUpsert:
+    """The upsert of ``new`` into ``table``, restricted to the months it touches.
+
+    For a month-partitioned table only the touched months are read and
+    rewritten: the months of the new rows, and the months still holding an
+    older row of an incoming key (a key whose purchase time moved). Finding
+    the latter reads only the key columns of the table; only the month
+    values (a short list) reach the driver.
+    """
+    _, keys = schemas.WAREHOUSE_TABLES[table]
+    audit = schemas.audit_column(table)
+    if table not in PARTITIONED:
+        return PlannedUpsert(upsert(store.read(table), new, keys, audit=audit), None, None)
+    incoming = new.select(*keys)
+    if new_keys_bounded:
+        incoming = F.broadcast(incoming)
+    current = store.read(table, layout=True)
+    moved_from = current.select(*keys, LAYOUT_COL).join(incoming, keys, "left_semi").select(LAYOUT_COL)
+    marked = (new.select(LAYOUT_COL, F.lit(True).alias("is_new"))
+              .unionByName(moved_from.select(LAYOUT_COL, F.lit(False).alias("is_new")))
+              .groupBy(LAYOUT_COL).agg(F.max("is_new").alias("is_new")).collect())
+    new_months = {r[0] for r in marked if r.is_new}
+    moved_only = {r[0] for r in marked if not r.is_new}
+    kept = set()
+    if moved_only:  # months that only lose rows: do any rows stay?
+        left = store.read(table, parts=moved_only, layout=True).join(incoming, keys, "left_anti")
+        kept = {r[0] for r in left.select(LAYOUT_COL).distinct().collect()}
+    touched = new_months | moved_only
+    target = store.read(table, parts=touched, layout=True)
+    return PlannedUpsert(upsert(target, new, keys, audit=audit), touched, new_months | kept)
+
+
+def plan_upserts(store: Warehouse, outputs: dict[str, DataFrame], new_keys_bounded: bool = False,
+                 parallelism: int = 4) -> dict[str, PlannedUpsert]:
+    """:func:`plan_upsert` for many tables; the small month lookups run as concurrent jobs."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        planned = pool.map(lambda kv: (kv[0], plan_upsert(store, kv[0], kv[1], new_keys_bounded)), outputs.items())
+        return dict(planned)
+
+
 def process_batch(raw: dict[str, DataFrame], batch_orders: DataFrame, batch_id: int,
-                  read_target) -> BatchResult:
+                  store: Warehouse) -> BatchResult:
     """Closure -> clean -> fact -> upsert plans for every warehouse table.
 
     ``batch_orders`` is checkpointed and holds at most the batch maximum, so
@@ -83,18 +151,20 @@ def process_batch(raw: dict[str, DataFrame], batch_orders: DataFrame, batch_id:
     deterministically. Call :func:`release` after publishing.
     """
     closure = batch_closure(raw, batch_orders, bounded=True)
-    clean = clean_batch(batch_orders, closure, batch_id)
+    clean = clean_batch(batch_orders, closure, batch_id, months=F.broadcast(batch_months(batch_orders)))
     clean = CleanBatch(**{k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in clean.__dict__.items()})
     n_orders = clean.orders.count()
     n_items = clean.items.count()
-    changes = {}
-    for table, new in batch_outputs(clean, batch_id).items():
-        _, keys = schemas.WAREHOUSE_TABLES[table]
-        changes[table] = upsert(read_target(table), new, keys, audit=schemas.audit_column(table))
+    planned = plan_upserts(store, batch_outputs(clean, batch_id), new_keys_bounded=True)
     # Metrics as the source logs them: input rows, duplicates included.
-    return BatchResult(changes, (n_orders, n_items, n_orders, n_items), list(clean.__dict__.values()))
+    return BatchResult(planned, (n_orders, n_items, n_orders, n_items), list(clean.__dict__.values()))
 
 
-def release(result: "BatchResult") -> None:
-    for df in result.persisted:
-        df.unpersist()
+def publish_planned(store: Warehouse, planned: dict[str, PlannedUpsert], extra: dict[str, DataFrame],
+                    sort_by: dict[str, list[str]] | None = None) -> int:
+    """Publish planned upserts plus whole-table changes (state tables) in one manifest swap."""
+    changes = {t: p.df for t, p in planned.items()}
+    changes.update(extra)
+    touched = {t: p.touched for t, p in planned.items() if p.touched is not None}
+    months = {t: p.months for t, p in planned.items() if p.months is not None}
+    return store.publish(changes, touched=touched, sort_by=sort_by, months=months)

@@ -2,20 +2,27 @@
 
 Layout under ``root`` (a folder on the shared file system):
 
-    <root>/<table>/v=<n>/part-*.parquet     one immutable directory per version
-    <root>/_manifest/version=<m>/part-*     one tiny file: (table_name, path) rows
-
-A publish writes every changed table to a fresh version directory, then
-appends manifest version ``m+1`` listing the current path of *every* table.
+    <root>/<table>/v=<n>/part-*.parquet                    whole-table version
+    <root>/<table>/layout_month=<m>/v=<n>/part-*.parquet   one month of a partitioned table
+    <root>/_manifest/version=<k>/part-*                    (table_name, part, path) rows
+
+Order-grain tables (orders, their items, payments and reviews) are split by
+purchase month. A batch advances in purchase time, so it touches only the
+newest months (plus any month still holding an older row of a key it
+rewrites); only those fragments are rewritten, every other month keeps its
+pointer. Dimensions and other small tables are rewritten whole.
+
+A publish writes every changed table or fragment into fresh directories, then
+appends manifest version ``k+1`` listing the fragments of *every* table.
 Readers use the newest manifest version only, so a crash before the manifest
 write leaves the previous state fully visible: data, watermark and batch log
-change together or not at all. The manifest is a single-task write whose
-files appear on job commit. One writer at a time is assumed (as in the
+change together or not at all. One writer at a time is assumed (as in the
 source system's one concurrent run).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +31,22 @@ from pyspark.sql import types as T
 
 from .. import schemas
 
+LAYOUT_COL = "layout_month"
+WHOLE = ""  # ``part`` value of an unpartitioned table's single fragment
+PARTITIONED = {"stg_orders", "fact_orders", "stg_order_items", "fact_order_items", "stg_payments", "stg_reviews"}
+
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
+    T.StructField("part", T.StringType(), False),
     T.StructField("path", T.StringType(), False),
 ])
 
 
+def month_of(ts_col) -> F.Column:
+    """Layout value of a purchase timestamp: ``yyyy-MM``."""
+    return F.date_format(ts_col, "yyyy-MM")
+
+
 class Warehouse:
     """Tables of the warehouse, resolved through the newest manifest."""
 
@@ -37,28 +54,31 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.write_parallelism = write_parallelism
-        self._pointers: dict[str, str] | None = None
+        self._frags: dict[str, dict[str, str]] | None = None
         self._version: int | None = None
 
-    # -- reading -----------------------------------------------------------
+    # -- manifest ------------------------------------------------------------
     def _load_manifest(self) -> None:
         try:
             m = self.spark.read.parquet(f"{self.root}/_manifest")
         except Exception as exc:  # no manifest yet
-            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc) or "does not exist" in str(exc):
-                self._pointers, self._version = {}, 0
+            if any(s in str(exc) for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist")):
+                self._frags, self._version = {}, 0
                 return
             raise
-        latest = m.where(F.col("version") == m.agg(F.max("version")).first()[0])
-        rows = latest.select("table_name", "path", "version").collect()  # one row per table
-        self._pointers = {r.table_name: r.path for r in rows}
-        self._version = rows[0].version if rows else 0
-
-    @property
-    def pointers(self) -> dict[str, str]:
-        if self._pointers is None:
+        latest = m.agg(F.max("version")).first()[0]
+        rows = m.where(F.col("version") == latest).select("table_name", "part", "path").collect()  # pointers only
+        frags: dict[str, dict[str, str]] = {}
+        for r in rows:
+            frags.setdefault(r.table_name, {})
+            if r.path:
+                frags[r.table_name][r.part] = r.path
+        self._frags, self._version = frags, int(latest)
+
+    def fragments(self, table: str) -> dict[str, str]:
+        if self._frags is None:
             self._load_manifest()
-        return dict(self._pointers)
+        return dict(self._frags.get(table, {}))
 
     @property
     def version(self) -> int:
@@ -69,43 +89,83 @@ class Warehouse:
     def schema_of(self, table: str) -> T.StructType:
         return schemas.ALL_TABLES[table][0]
 
-    def read(self, table: str) -> DataFrame:
-        path = self.pointers.get(table)
-        if path is None:
-            return self.spark.createDataFrame([], self.schema_of(table))
-        return self.spark.read.schema(self.schema_of(table)).parquet(path)
+    # -- reading -------------------------------------------------------------
+    def read(self, table: str, parts: Iterable[str] | None = None, layout: bool = False) -> DataFrame:
+        """The table's current rows; ``parts`` restricts a partitioned table to those months.
 
-    # -- writing -----------------------------------------------------------
-    def publish(self, changes: dict[str, DataFrame | None], sort_by: dict[str, list[str]] | None = None) -> int:
-        """Write changed tables as new versions, then swap the manifest once.
-
-        ``None`` as a value publishes the table as empty (full refresh).
-        Returns the new manifest version.
+        ``layout=True`` keeps the ``layout_month`` column (partitioned tables only).
+        """
+        schema = self.schema_of(table)
+        frags = self.fragments(table)
+        if parts is not None:
+            wanted = set(parts)
+            frags = {p: path for p, path in frags.items() if p in wanted}
+        keep_layout = layout and table in PARTITIONED
+        if not frags:
+            extra = [T.StructField(LAYOUT_COL, T.StringType())] if keep_layout else []
+            return self.spark.createDataFrame([], T.StructType(list(schema.fields) + extra))
+        if table not in PARTITIONED:
+            return self.spark.read.schema(schema).parquet(frags[WHOLE])
+        full = T.StructType(list(schema.fields) + [T.StructField(LAYOUT_COL, T.StringType()),
+                                                   T.StructField("v", T.StringType())])
+        df = (self.spark.read.option("basePath", f"{self.root}/{table}").schema(full)
+              .parquet(*sorted(frags.values())))
+        cols = schema.fieldNames() + ([LAYOUT_COL] if keep_layout else [])
+        return df.select(*cols)
+
+    # -- writing -------------------------------------------------------------
+    def publish(self, changes: dict[str, DataFrame | None], touched: dict[str, set[str]] | None = None,
+                sort_by: dict[str, list[str]] | None = None, months: dict[str, set[str]] | None = None) -> int:
+        """Write changed tables, then swap the manifest once. Returns the new version.
+
+        ``changes[t]`` is the new content of table ``t`` (``None`` = empty). A
+        partitioned table's frame carries ``layout_month`` and ``months[t]``
+        lists the months it holds rows for; with ``touched[t]`` it replaces only
+        those months (other months keep their fragments), otherwise the whole
+        table. :func:`ledgerline.streaming.batches.plan_upsert` computes both.
         """
-        pointers = self.pointers
+        touched = touched or {}
+        months = months or {}
         version = self.version + 1
+        frags = {t: self.fragments(t) for t in schemas.ALL_TABLES}
 
-        def write(item: tuple[str, DataFrame | None]) -> tuple[str, str]:
+        def write(item: tuple[str, DataFrame | None]) -> tuple[str, dict[str, str], set[str] | None]:
             table, df = item
             schema = self.schema_of(table)
+            part = table in PARTITIONED
             if df is None:
-                df = self.spark.createDataFrame([], schema)
-            out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+                return table, {}, None
+            cols = [F.col(f.name).cast(f.dataType) for f in schema.fields]
+            out = df.select(*cols, *([F.col(LAYOUT_COL).cast("string")] if part else []))
             keys = (sort_by or {}).get(table)
             if keys:
                 # Clustered layout: range partitions + sorted files give tight
                 # per-file min/max statistics on the ordering columns.
                 out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-            path = f"{self.root}/{table}/v={version:08d}"
-            out.write.mode("errorifexists").parquet(path)
-            return table, path
+            tag = f"{version:08d}"
+            if not part:
+                path = f"{self.root}/{table}/v={tag}"
+                out.write.mode("errorifexists").parquet(path)
+                return table, {WHOLE: path}, None
+            if table not in months:
+                raise ValueError(f"months of the new rows of {table} are required")
+            out.withColumn("v", F.lit(tag)).write.partitionBy(LAYOUT_COL, "v").mode("append") \
+                .parquet(f"{self.root}/{table}")
+            return (table, {m: f"{self.root}/{table}/{LAYOUT_COL}={m}/v={tag}" for m in months[table]},
+                    touched.get(table))
 
         # Independent tables are written by concurrent Spark jobs; the manifest
         # swap below happens only after every write has succeeded.
         with ThreadPoolExecutor(max_workers=max(1, self.write_parallelism)) as pool:
-            for table, path in pool.map(write, changes.items()):
-                pointers[table] = path
-        manifest = self.spark.createDataFrame(sorted(pointers.items()), MANIFEST_SCHEMA)
+            for table, written, replaced in pool.map(write, changes.items()):
+                if replaced is None:
+                    frags[table] = written
+                else:
+                    kept = {m: p for m, p in frags[table].items() if m not in replaced}
+                    frags[table] = {**kept, **written}
+        rows = [(t, part, path) for t in sorted(frags) for part, path in sorted(frags[t].items())]
+        rows += [(t, WHOLE, "") for t in sorted(frags) if not frags[t]]  # keep empty tables listed
+        manifest = self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
         manifest.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/_manifest/version={version}")
-        self._pointers, self._version = pointers, version
+        self._frags, self._version = frags, version
         return version

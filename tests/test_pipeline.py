@@ -114,11 +114,11 @@ def test_b8_crash_before_swap_leaves_old_state(spark, store_root, monkeypatch):
     real = Warehouse.publish
     calls = {"n": 0}
 
-    def crashing(self, changes, sort_by=None):
+    def crashing(self, changes, **kwargs):
         if "fact_orders" in changes:  # the data publish of the second batch
             calls["n"] += 1
             raise RuntimeError("executor lost before the manifest swap")
-        return real(self, changes, sort_by)
+        return real(self, changes, **kwargs)
 
     monkeypatch.setattr(Warehouse, "publish", crashing)
     with pytest.raises(RuntimeError):
@@ -187,3 +187,19 @@ def test_grain_uniqueness(spark):
     for t, (_, keys) in schemas.WAREHOUSE_TABLES.items():
         df = store.read(t)
         assert df.count() == df.select(*keys).distinct().count(), t
+
+
+def test_b8_failure_after_table_writes_before_manifest(spark, store_root):
+    """Tables of batch 2 are fully written, but the manifest swap fails: nothing of batch 2 is visible."""
+    import os
+    raw = bind_raw(spark, SMALL)
+    store = Warehouse(spark, store_root)
+    run_pipeline(spark, raw, store, batch_size=500, max_batches=1)
+    before = {t: state_rows(store, t) for t in ("fact_orders", "stg_order_items", "etl_watermarks")}
+    # Batch 2 first publishes its 'running' log row (version v+1), then its data (v+2).
+    os.makedirs(f"{store_root.removeprefix('file:')}/_manifest/version={store.version + 2}")
+    with pytest.raises(Exception):
+        run_pipeline(spark, raw, store, batch_size=500, max_batches=1)
+    fresh = Warehouse(spark, store_root)
+    assert {t: state_rows(fresh, t) for t in before} == before
+    assert [r.status for r in fresh.read("etl_batch_log").orderBy("batch_id").collect()] == ["completed", "running"]
