@@ -105,10 +105,14 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogStat
     orders_final = orders_final.persist(StorageLevel.MEMORY_AND_DISK)
 
     # Staging children: reached through raw order ids, last touching batch wins.
+    # The tagged children are hash-partitioned by raw order id by their join and
+    # feed both the staging rows and the fact, so they are persisted once.
     items_t = _tagged(raw["raw_order_items"], order_maxb, "order_id").persist(StorageLevel.MEMORY_AND_DISK)
+    pay_t = _tagged(raw["raw_payments"], order_maxb, "order_id").persist(StorageLevel.MEMORY_AND_DISK)
+    rev_t = _tagged(raw["raw_reviews"], order_maxb, "order_id").persist(StorageLevel.MEMORY_AND_DISK)
     items_final = _last_touch(E.clean_items, items_t, ("_month",))
-    pay_final = _last_touch(E.clean_payments, _tagged(raw["raw_payments"], order_maxb, "order_id"), ("_month",))
-    rev_final = _last_touch(E.clean_reviews, _tagged(raw["raw_reviews"], order_maxb, "order_id"), ("_month",))
+    pay_final = _last_touch(E.clean_payments, pay_t, ("_month",))
+    rev_final = _last_touch(E.clean_reviews, rev_t, ("_month",))
     cust_final = _last_touch(E.clean_customers, _tagged(raw["raw_customers"], cust_maxb, "customer_id"))
     # Products and sellers: the last batch among fetched items that name them.
     prod_maxb = items_t.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.max("_maxb").alias("_maxb"))
@@ -128,7 +132,7 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogStat
     def fetched(rows: DataFrame) -> DataFrame:
         return rows.join(in_final, rows["order_id"] == in_final["_v"], "left_semi")
 
-    fact = _fact_with_batch(orders_final, fetched, raw)
+    fact = _fact_with_batch(orders_final, fetched(items_t), fetched(pay_t), fetched(rev_t))
 
     items_typed = _layout(items_final, schemas.ORDER_ITEMS, F.col("_month")).persist(StorageLevel.MEMORY_AND_DISK)
     tables = {
@@ -146,16 +150,20 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogStat
         "fact_orders": fact.withColumn(LAYOUT_COL, month_of(F.col("purchased_at"))),
     }
     return BacklogState(tables, batch_log_rows(assigned, orders_all, raw), final_watermark(assigned),
-                        [orders_final, items_t, items_typed])
+                        [orders_final, items_t, pay_t, rev_t, items_typed])
 
 
-def _fact_with_batch(orders_final: DataFrame, fetched, raw: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows of each order's final batch; ``source_batch_id`` comes from the order row."""
+def _fact_with_batch(orders_final: DataFrame, items: DataFrame, payments: DataFrame,
+                     reviews: DataFrame) -> DataFrame:
+    """Fact rows of each order's final batch from the raw children that batch fetched.
+
+    ``source_batch_id`` comes from the order row.
+    """
     facts = build_fact_orders(
         orders_final.drop("source_batch_id"),
-        E.clean_items(fetched(raw["raw_order_items"])),
-        E.clean_payments(fetched(raw["raw_payments"])),
-        E.clean_reviews(fetched(raw["raw_reviews"])),
+        E.clean_items(items),
+        E.clean_payments(payments),
+        E.clean_reviews(reviews),
     )
     batch_of = orders_final.select("order_id", "source_batch_id")
     return facts.join(batch_of, "order_id").select(*schemas.FACT_ORDERS.fieldNames(), "source_batch_id")
