@@ -16,8 +16,9 @@ with "last touching batch wins":
 Everything is an aggregate or a 1:1 / semi join: no row is copied per batch.
 The result equals the loop's final state whenever no run of identical
 ``(purchase time, order id)`` rows straddles a batch edge (the loop would
-skip the rest of such a run and shift every later batch); in that case
-:func:`straddling_runs` is non-empty and callers fall back to the loop.
+skip the rest of such a run and shift every later batch). :func:`run_backlog`
+therefore loads up to the first straddling batch in one pass and re-ranks
+the rest from the new watermark.
 """
 
 from __future__ import annotations
@@ -49,7 +50,12 @@ def assign_batches(raw_orders: DataFrame, batch_size: int, after_ts: str = "1900
                    after_id: str = "", first_batch_id: int = 1) -> DataFrame:
     """Eligible raw orders with ``_batch`` = the batch id the loop would give them."""
     eligible = eligible_orders(raw_orders, after_ts, after_id)
-    ranked = global_row_number(eligible, purchase_order(), out="_rank")
+    # A scan-stable row id splits runs of identical copies across range
+    # partitions (a run may hold a large share of all rows); it is computed
+    # on the scan's input splits, and the ranked result is checkpointed.
+    order = [*purchase_order(raw_orders), F.col("_row_uid").asc()]
+    ranked = global_row_number(eligible.withColumn("_row_uid", F.monotonically_increasing_id()), order,
+                               out="_rank").drop("_row_uid")
     return ranked.withColumn(
         BATCH, (F.ceil(F.col("_rank") / F.lit(batch_size)) + F.lit(first_batch_id - 1)).cast("long"))
 
@@ -206,26 +212,40 @@ def final_watermark(assigned: DataFrame) -> DataFrame:
 
 def run_backlog(spark: SparkSession, raw: dict[str, DataFrame], store, batch_size: int = 5000,
                 refresh: bool = False, max_batches: int = 0, pipeline: str = state.PIPELINE_NAME) -> int:
-    """Load everything after the watermark in one publish. Returns the number of batches.
+    """Load everything after the watermark, one publish per pass. Returns the number of batches.
 
     ``max_batches`` limits the load to that many batches (0 = all; negative = one).
-    Falls back to the loop when a duplicate (ts, id) run straddles a batch edge.
+    When a run of identical (ts, id) rows straddles a batch edge, the pass
+    stops at that batch; the next pass re-ranks from the new watermark, which
+    skips the rest of the run exactly as the loop does.
     """
-    from .pipeline import full_refresh, run_pipeline, validate_batch_size
+    from .pipeline import validate_batch_size, full_refresh
 
     validate_batch_size(batch_size)
     checkpoint_root(spark)
     if refresh:
         full_refresh(store, pipeline)
-    wm_ts, wm_id = state.get_watermark(store.read("etl_watermarks"), pipeline)
-    first_id = state.next_batch_id(store.read("etl_batch_log"))
-    ts_text = wm_ts.strftime("%Y-%m-%d %H:%M:%S.%f") if isinstance(wm_ts, dt.datetime) else str(wm_ts)
-    assigned = assign_batches(raw["raw_orders"], batch_size, ts_text, wm_id, first_id)
-    if max_batches:
-        assigned = assigned.where(F.col(BATCH) < F.lit(first_id + max(max_batches, 1)))
-    assigned = assigned.checkpoint()
-    if straddling_runs(assigned).limit(1).count():
-        return run_pipeline(spark, raw, store, batch_size=batch_size, max_batches=max_batches, pipeline=pipeline)
+    limit = 1 if max_batches < 0 else max_batches
+    done = 0
+    while True:
+        wm_ts, wm_id = state.get_watermark(store.read("etl_watermarks"), pipeline)
+        first_id = state.next_batch_id(store.read("etl_batch_log"))
+        ts_text = wm_ts.strftime("%Y-%m-%d %H:%M:%S.%f") if isinstance(wm_ts, dt.datetime) else str(wm_ts)
+        assigned = assign_batches(raw["raw_orders"], batch_size, ts_text, wm_id, first_id)
+        if limit:
+            assigned = assigned.where(F.col(BATCH) < F.lit(first_id + limit - done))
+        assigned = assigned.checkpoint()
+        cut = straddling_runs(assigned).agg(F.min("first_batch")).first()[0]
+        if cut is not None:
+            assigned = assigned.where(F.col(BATCH) <= F.lit(cut))
+        n = _load_pass(spark, raw, store, assigned, pipeline)
+        done += n
+        if n == 0 or cut is None or (limit and done >= limit):
+            return done
+
+
+def _load_pass(spark: SparkSession, raw: dict[str, DataFrame], store, assigned: DataFrame, pipeline: str) -> int:
+    """Publish the final state of the assigned batches (one manifest swap)."""
     n_batches = assigned.select(F.countDistinct(BATCH)).first()[0]
     if not n_batches:
         return 0

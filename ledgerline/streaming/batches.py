@@ -26,9 +26,17 @@ DEFAULT_BATCH_SIZE = 5_000
 MAX_BATCH_SIZE = 5_000
 
 
-def purchase_order() -> list[Column]:
-    """The batch order: strictly-cast purchase time, then raw order id (NULLs last)."""
-    return [strict_timestamp("order_purchase_timestamp").asc(), F.col("order_id").asc_nulls_last()]
+def purchase_order(raw_orders: DataFrame) -> list[Column]:
+    """The batch order: strictly-cast purchase time, then raw order id (NULLs last).
+
+    The remaining raw columns follow as tie-breakers, so rows sharing a
+    (time, id) pair are cut at a batch edge the same way by the loop and by
+    backlog mode (the source leaves this order undefined).
+    """
+    rest = [c for c in raw_orders.columns if c not in ("order_purchase_timestamp", "order_id")
+            and not c.startswith("_")]
+    return [strict_timestamp("order_purchase_timestamp").asc(), F.col("order_id").asc_nulls_last(),
+            *[F.col(c).asc_nulls_last() for c in rest]]
 
 
 def keyset_batch(raw_orders: DataFrame, after_ts: dt.datetime | str, after_id: str, batch_size: int) -> DataFrame:
@@ -39,7 +47,7 @@ def keyset_batch(raw_orders: DataFrame, after_ts: dt.datetime | str, after_id: s
     rows meet in the final merge.
     """
     ts = after_ts.strftime("%Y-%m-%d %H:%M:%S.%f") if isinstance(after_ts, dt.datetime) else after_ts
-    return eligible_orders(raw_orders, ts, after_id).orderBy(*purchase_order()).limit(batch_size)
+    return eligible_orders(raw_orders, ts, after_id).orderBy(*purchase_order(raw_orders)).limit(batch_size)
 
 
 def bounds_of(batch: DataFrame) -> DataFrame:
