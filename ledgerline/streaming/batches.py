@@ -120,7 +120,8 @@ def plan_upsert(store: Warehouse, table: str, new: DataFrame, new_keys_bounded:
     _, keys = schemas.WAREHOUSE_TABLES[table]
     audit = schemas.audit_column(table)
     if table not in PARTITIONED:
-        return PlannedUpsert(upsert(store.read(table), new, keys, audit=audit), None, None)
+        return PlannedUpsert(upsert(store.read(table), new, keys, audit=audit, new_bounded=new_keys_bounded),
+                             None, None)
     incoming = new.select(*keys)
     if new_keys_bounded:
         incoming = F.broadcast(incoming)
@@ -137,7 +138,8 @@ def plan_upsert(store: Warehouse, table: str, new: DataFrame, new_keys_bounded:
         kept = {r[0] for r in left.select(LAYOUT_COL).distinct().collect()}
     touched = new_months | moved_only
     target = store.read(table, parts=touched, layout=True)
-    return PlannedUpsert(upsert(target, new, keys, audit=audit), touched, new_months | kept)
+    return PlannedUpsert(upsert(target, new, keys, audit=audit, new_bounded=new_keys_bounded),
+                         touched, new_months | kept)
 
 
 def plan_upserts(store: Warehouse, outputs: dict[str, DataFrame], new_keys_bounded: bool = False,
