@@ -79,7 +79,7 @@ def _layout(df: DataFrame, schema, month: Column) -> DataFrame:
 def batch_outputs(clean: CleanBatch, batch_id: int | Column) -> dict[str, DataFrame]:
     """New rows per warehouse table for one batch (typed, with ``source_batch_id``).
 
-    Order-grain tables also carry ``layout_month``: the purchase month for
+    Order-grain tables also carry ``layout_period``: the purchase month for
     orders, the month of the batch order that fetched them for children.
     """
     orders_latest = dedupe_keep_last(clean.orders, ["order_id"])

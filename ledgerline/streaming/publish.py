@@ -3,14 +3,15 @@
 Layout under ``root`` (a folder on the shared file system):
 
     <root>/<table>/v=<n>/part-*.parquet                    whole-table version
-    <root>/<table>/layout_month=<m>/v=<n>/part-*.parquet   one month of a partitioned table
+    <root>/<table>/layout_period=<p>/v=<n>/part-*.parquet  one period of a partitioned table
     <root>/_manifest/version=<k>/part-*                    (table_name, part, path) rows
 
 Order-grain tables (orders, their items, payments and reviews) are split by
-purchase month. A batch advances in purchase time, so it touches only the
-newest months (plus any month still holding an older row of a key it
-rewrites); only those fragments are rewritten, every other month keeps its
-pointer. Dimensions and other small tables are rewritten whole.
+purchase period (month by default, see ``LAYOUT_FORMAT_CONF``). A batch
+advances in purchase time, so it touches only the newest periods (plus any
+period still holding an older row of a key it rewrites); only those fragments
+are rewritten, every other period keeps its pointer. Dimensions and other
+small tables are rewritten whole.
 
 A publish writes every changed table or fragment into fresh directories, then
 appends manifest version ``k+1`` listing the fragments of *every* table.
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 
-LAYOUT_COL = "layout_month"
+LAYOUT_COL = "layout_period"
 WHOLE = ""  # ``part`` value of an unpartitioned table's single fragment
 PARTITIONED = {"stg_orders", "fact_orders", "stg_order_items", "fact_order_items", "stg_payments", "stg_reviews"}
 
@@ -42,9 +43,21 @@ MANIFEST_SCHEMA = T.StructType([
 ])
 
 
+# Session setting for the rewrite grain of order-grain tables. ``yyyy-MM``
+# (default) suits small and medium volumes; at tens of TB use ``yyyy-MM-dd`` so
+# a bounded batch rewrites a day, not a month. Changing it needs a full refresh.
+LAYOUT_FORMAT_CONF = "spark.ledgerline.layoutFormat"
+DEFAULT_LAYOUT_FORMAT = "yyyy-MM"
+
+
+def layout_format() -> str:
+    spark = SparkSession.getActiveSession()
+    return spark.conf.get(LAYOUT_FORMAT_CONF, DEFAULT_LAYOUT_FORMAT) if spark else DEFAULT_LAYOUT_FORMAT
+
+
 def month_of(ts_col) -> F.Column:
-    """Layout value of a purchase timestamp: ``yyyy-MM``."""
-    return F.date_format(ts_col, "yyyy-MM")
+    """Layout period of a purchase timestamp (``yyyy-MM`` unless configured)."""
+    return F.date_format(ts_col, layout_format())
 
 
 class Warehouse:
@@ -93,7 +106,7 @@ class Warehouse:
     def read(self, table: str, parts: Iterable[str] | None = None, layout: bool = False) -> DataFrame:
         """The table's current rows; ``parts`` restricts a partitioned table to those months.
 
-        ``layout=True`` keeps the ``layout_month`` column (partitioned tables only).
+        ``layout=True`` keeps the ``layout_period`` column (partitioned tables only).
         """
         schema = self.schema_of(table)
         frags = self.fragments(table)
@@ -119,7 +132,7 @@ class Warehouse:
         """Write changed tables, then swap the manifest once. Returns the new version.
 
         ``changes[t]`` is the new content of table ``t`` (``None`` = empty). A
-        partitioned table's frame carries ``layout_month`` and ``months[t]``
+        partitioned table's frame carries ``layout_period`` and ``months[t]``
         lists the months it holds rows for; with ``touched[t]`` it replaces only
         those months (other months keep their fragments), otherwise the whole
         table. :func:`ledgerline.streaming.batches.plan_upsert` computes both.

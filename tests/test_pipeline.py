@@ -207,3 +207,21 @@ def test_b8_failure_after_table_writes_before_manifest(spark, store_root):
     fresh = Warehouse(spark, store_root)
     assert {t: state_rows(fresh, t) for t in before} == before
     assert [r.status for r in fresh.read("etl_batch_log").orderBy("batch_id").collect()] == ["completed", "running"]
+
+
+def test_day_layout_grain_backlog_then_loop(spark):
+    """Day-grain layout; a backlog pass followed by loop batches equals one full backlog."""
+    from ledgerline.streaming.publish import LAYOUT_FORMAT_CONF
+    raw = bind_raw(spark, SMALL)
+    ref = Warehouse(spark, scratch_path(spark, "ref"))
+    run_backlog(spark, raw, ref, batch_size=400)
+    spark.conf.set(LAYOUT_FORMAT_CONF, "yyyy-MM-dd")
+    try:
+        mixed = Warehouse(spark, scratch_path(spark, "day"))
+        assert run_backlog(spark, raw, mixed, batch_size=400, max_batches=2) == 2
+        assert run_pipeline(spark, raw, mixed, batch_size=400) == 2
+        assert all(len(p) == 10 for p in mixed.fragments("fact_orders"))
+    finally:
+        spark.conf.unset(LAYOUT_FORMAT_CONF)
+    for t in [*schemas.WAREHOUSE_TABLES, "etl_watermarks", "etl_batch_log"]:
+        assert state_rows(ref, t) == state_rows(mixed, t), t
