@@ -19,9 +19,9 @@ from ..functions import (clean_text, days_between, nan_to_null, parse_bool, to_d
 from ..operators import batch_bounds, dedupe_keep_last, distinct_keys, insert_absent, semi_by, upsert
 from ..operators.closure import batch_closure
 from ..operators.keys import tiebreak_of
-from ..session import checkpoint_root, scratch_path
+from ..session import scratch_path
 from ..sources import ingest
-from ..sources.binding import bind_raw, load_base
+from ..sources.binding import bind_raw
 from ..sources.tables import param_query, read_table
 from ..streaming import state
 from ..streaming.backlog import BATCH, assign_batches, run_backlog

@@ -27,7 +27,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -94,7 +94,8 @@ class BacklogState:
     persisted: list[DataFrame]     # release after publishing
 
 
-def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogState:
+def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame,
+                  pipeline: str = state.PIPELINE_NAME) -> BacklogState:
     batch_col = F.col(BATCH)
     # Raw order id -> last batch that scanned it, and the layout month of its children.
     order_maxb = (assigned.where(F.col("order_id").isNotNull()).groupBy("order_id")
@@ -155,7 +156,7 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame) -> BacklogStat
         "fact_order_items": items_typed,
         "fact_orders": fact.withColumn(LAYOUT_COL, month_of(F.col("purchased_at"))),
     }
-    return BacklogState(tables, batch_log_rows(assigned, orders_all, raw), final_watermark(assigned),
+    return BacklogState(tables, batch_log_rows(assigned, orders_all, items_t, pipeline), final_watermark(assigned),
                         [orders_final, items_t, pay_t, rev_t, items_typed])
 
 
@@ -175,22 +176,26 @@ def _fact_with_batch(orders_final: DataFrame, items: DataFrame, payments: DataFr
     return facts.join(batch_of, "order_id").select(*schemas.FACT_ORDERS.fieldNames(), "source_batch_id")
 
 
-def batch_log_rows(assigned: DataFrame, orders_all: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
-    """One ``completed`` log row per batch with its bounds and the four counters."""
+def batch_log_rows(assigned: DataFrame, orders_all: DataFrame, items_tagged: DataFrame,
+                   pipeline: str = state.PIPELINE_NAME) -> DataFrame:
+    """One ``completed`` log row per batch with its bounds and the four counters.
+
+    ``items_tagged`` are the raw items whose order id was scanned by some batch.
+    """
     key = F.struct(strict_timestamp("order_purchase_timestamp").alias("ts"),
                    F.col("order_id").isNull().alias("id_null"), F.col("order_id").alias("id"))
     bounds = assigned.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
     n_orders = orders_all.groupBy(F.col("source_batch_id").alias(BATCH)).agg(F.count(F.lit(1)).alias("n_orders"))
     # Items per batch: distinct cleaned item keys among the items each batch fetched.
     scanned = assigned.where(F.col("order_id").isNotNull()).select("order_id", BATCH).distinct()
-    item_keys = (raw["raw_order_items"].join(scanned, "order_id")
+    item_keys = (items_tagged.join(scanned, "order_id")
                  .select(BATCH, clean_text("order_id").alias("k"), to_integer("order_item_id").alias("i"))
                  .where(F.col("k").isNotNull() & F.col("i").isNotNull()).distinct())
     n_items = item_keys.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n_items"))
     now = state.now_ntz()
     rows = bounds.join(n_orders, BATCH, "left").join(n_items, BATCH, "left")
     return rows.select(
-        F.col(BATCH).alias("batch_id"), F.lit(state.PIPELINE_NAME).alias("pipeline_name"),
+        F.col(BATCH).alias("batch_id"), F.lit(pipeline).alias("pipeline_name"),
         F.lit("completed").alias("status"), now.alias("started_at"), now.alias("finished_at"),
         F.col("n").cast("int").alias("batch_size"),
         F.col("lo.ts").alias("source_min_purchase_ts"), F.col("hi.ts").alias("source_max_purchase_ts"),
@@ -252,7 +257,7 @@ def _load_pass(spark: SparkSession, raw: dict[str, DataFrame], store, assigned:
     wm = final_watermark(assigned).first()
     if wm.last_order_id is None:
         raise ValueError("null value in column last_order_id violates not-null constraint")
-    result = backlog_state(raw, assigned)
+    result = backlog_state(raw, assigned, pipeline)
     planned = plan_upserts(store, result.tables)
     extra = {
         "etl_watermarks": state.advance_watermark(spark, store.read("etl_watermarks"),
