@@ -24,6 +24,20 @@ def to_number(col: Column | str) -> Column:
     return _col(col).cast("string").try_cast(PARSE_TYPE)
 
 
+def strict_cast(col: Column | str, data_type, what: str = "value") -> Column:
+    """Cast that fails the job on a value the target type cannot hold.
+
+    Independent of the session's ANSI setting: ``try_cast`` yields NULL for an
+    unrepresentable value (overflow, unparsable text), which is turned into an
+    error -- the behaviour of the source system's typed columns.
+    """
+    c = _col(col)
+    converted = c.try_cast(data_type)
+    return F.when(c.isNotNull() & converted.isNull(),
+                  F.raise_error(F.concat(F.lit(f"value out of range for {what}: "), c.cast("string")))
+                  ).otherwise(converted)
+
+
 def to_integer(col: Column | str, *, what: str = "value") -> Column:
     """Text to INT. ``'40.0'`` is 40; a fractional value fails the job.
 
@@ -33,7 +47,7 @@ def to_integer(col: Column | str, *, what: str = "value") -> Column:
     number = to_number(col)
     return (
         F.when(number.isNull(), F.lit(None).cast("int"))
-        .when(number == F.floor(number), number.cast("int"))
+        .when(number == F.floor(number), strict_cast(number, "int", what))
         .otherwise(F.raise_error(F.concat(F.lit(f"fractional {what}: "), number.cast("string"))).cast("int"))
     )
 
@@ -46,4 +60,4 @@ def nan_to_null(col: Column | str) -> Column:
 
 def money(col: Column | str, precision: int = 12, scale: int = 2) -> Column:
     """Store-time rounding of a decimal to NUMERIC(p,s): HALF_UP, error on overflow."""
-    return _col(col).cast(f"decimal({precision},{scale})")
+    return strict_cast(col, f"decimal({precision},{scale})", "money")

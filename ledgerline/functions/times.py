@@ -25,8 +25,11 @@ def to_datetime(col: Column | str) -> Column:
 
 
 def strict_timestamp(col: Column | str) -> Column:
-    """Strict cast used by the batch scan: a bad value fails the run."""
-    return _col(col).cast("timestamp_ntz")
+    """Strict cast used by the batch scan: a bad value fails the run (whatever the ANSI setting)."""
+    c = _col(col)
+    parsed = c.try_cast("timestamp_ntz")
+    return F.when(c.isNotNull() & parsed.isNull(),
+                  F.raise_error(F.concat(F.lit("invalid timestamp: "), c))).otherwise(parsed)
 
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:

@@ -8,16 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numbers import strict_cast
+
+
+def store_cast(df: DataFrame, field: T.StructField):
+    """One column as stored: numeric narrowing rounds HALF_UP and fails on overflow."""
+    current = df.schema[field.name].dataType
+    if current == field.dataType:
+        return F.col(field.name)
+    if isinstance(field.dataType, (T.DecimalType, T.IntegerType, T.LongType)):
+        return strict_cast(F.col(field.name), field.dataType, field.name).alias(field.name)
+    return F.col(field.name).cast(field.dataType).alias(field.name)
+
 
 def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project and cast to ``schema``: decimals round HALF_UP, overflow raises (ANSI)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Project and cast to ``schema``: decimals round HALF_UP, overflow raises."""
+    return df.select(*[store_cast(df, f) for f in schema.fields])
 
 
 def typed(df: DataFrame, schema: T.StructType, lineage: Sequence[str] = ("source_batch_id",)) -> DataFrame:
     """:func:`cast_to` plus whichever lineage columns ``df`` carries."""
     extra = [F.col(c) for c in lineage if c in df.columns]
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+    return df.select(*[store_cast(df, f) for f in schema.fields], *extra)
 
 
 def constraint_report(df: DataFrame, table: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
