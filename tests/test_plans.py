@@ -10,7 +10,14 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The static physical plan (AQE off, so whole-stage codegen stages are visible)."""
+    spark = df.sparkSession
+    prior = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prior)
 
 
 def test_flagship_has_no_python_and_no_single_partition(spark):
