@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDINAL = "_ordinal"   # source row number written by CSV ingest
@@ -31,18 +31,18 @@ def tiebreak_of(raw: DataFrame, key_columns: Sequence[str], lead: Sequence[Colum
 
 
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order_col: str = TIEBREAK) -> DataFrame:
-    """One row per key: the greatest by ``order_col``; ``order_col`` is dropped.
+    """One row per key: the greatest by ``order_col`` (NULL fields lowest); ``order_col`` is dropped.
 
-    Planned as an aggregate (``max`` over a struct) rather than a
-    ``row_number`` window: the partial aggregate collapses duplicates on the
-    map side, so a hot key is reduced before the shuffle instead of landing in
-    one task whole.
+    ``row_number() = 1`` over the key: Spark plans it with a partial
+    ``WindowGroupLimit`` that keeps the top row per key in every map task
+    before the shuffle, so a hot key is reduced map-side instead of landing in
+    one task whole. Rows tied on ``order_col`` are identical in every column
+    derived from it, so the pick is deterministic.
     """
     keys = list(keys)
-    payload = [c for c in df.columns if c not in keys and c != order_col]
-    best = df.groupBy(*keys).agg(F.max(F.struct(F.col(order_col).alias("_o"), *payload)).alias("_w"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c)
-                         for c in df.columns if c != order_col])
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
+    return (df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+            .drop("_rn", order_col))
 
 
 def distinct_keys(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:

@@ -54,3 +54,11 @@ def test_global_rank_avoids_single_partition_window(spark):
     from ledgerline.streaming.backlog import assign_batches
     p = plan_text(assign_batches(bind_raw(spark, SMALL)["raw_orders"], 100))
     assert "SinglePartition" not in p.split("BroadcastExchange")[0]
+
+
+def test_keep_last_dedupe_limits_before_the_shuffle(spark):
+    from ledgerline.plans import entities as E
+    p = plan_text(E.clean_items(bind_raw(spark, SMALL)["raw_order_items"]))
+    lines = [l for l in p.splitlines() if "WindowGroupLimit" in l or "Exchange hashpartitioning" in l]
+    # top-down: final limit, exchange, partial (map-side) limit
+    assert len(lines) >= 3 and "WindowGroupLimit" in lines[-1] and "Exchange" in lines[-2]
