@@ -96,12 +96,15 @@ STATE_TABLES: dict[str, tuple[T.StructType, list[str]]] = {
     "etl_watermarks": (WATERMARKS, ["pipeline_name"]),
     "etl_batch_log": (BATCH_LOG, ["batch_id"]),
 }
-ALL_TABLES = {**WAREHOUSE_TABLES, **STATE_TABLES}
+SERVING_TABLES: dict[str, tuple[T.StructType, list[str]]] = {
+    "orders": (ORDERS_SERVING, ["order_id"]),
+}
+ALL_TABLES = {**WAREHOUSE_TABLES, **STATE_TABLES, **SERVING_TABLES}
 
 
 def audit_column(table: str) -> str | None:
     names = ALL_TABLES[table][0].fieldNames()
     for candidate in ("loaded_at", "updated_at"):
-        if candidate in names and table not in STATE_TABLES:
+        if candidate in names and table in WAREHOUSE_TABLES:
             return candidate
     return None
