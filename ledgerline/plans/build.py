@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import strict_timestamp
 from ..operators.closure import Closure, batch_closure
+from ..sources.ingest import PURCHASE_TS
 from . import entities as E
 from .facts import build_fact_orders
 
@@ -28,7 +29,12 @@ def eligible_orders(raw_orders: DataFrame, after_ts: str = EPOCH_TS, after_id: s
     """
     ts = strict_timestamp("order_purchase_timestamp")
     a = F.lit(after_ts).cast("timestamp_ntz")
-    return raw_orders.where(
+    eligible = raw_orders
+    if PURCHASE_TS in raw_orders.columns:
+        # Redundant, pushable form on the typed bronze column: skips row groups
+        # before the watermark; NULLs (unparsable text) stay for the strict cast.
+        eligible = eligible.where((F.col(PURCHASE_TS) >= a) | F.col(PURCHASE_TS).isNull())
+    return eligible.where(
         F.col("order_purchase_timestamp").isNotNull()
         & ((ts > a) | ((ts == a) & (F.col("order_id") > F.lit(after_id))))
     )

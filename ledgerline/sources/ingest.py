@@ -71,12 +71,33 @@ def as_raw_text(df: DataFrame) -> DataFrame:
     ])
 
 
+PURCHASE_TS = "_purchase_ts"  # typed ordering column added to bronze orders
+
+
+def with_ordering_column(orders: DataFrame) -> DataFrame:
+    """Bronze orders with a typed purchase time (NULL when unparsable), clustered by it.
+
+    The batch scan filters on a strict cast of the text column, which Parquet
+    cannot evaluate; this column lets a redundant ``>= watermark`` predicate
+    reach the reader, and sorted files give tight min/max statistics, so row
+    groups wholly before the watermark are skipped.
+    """
+    typed = orders.withColumn(PURCHASE_TS, F.col("order_purchase_timestamp").try_cast("timestamp_ntz"))
+    return typed.repartitionByRange(F.col(PURCHASE_TS).asc_nulls_last()).sortWithinPartitions(PURCHASE_TS)
+
+
 def write_bronze(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Land each table under ``root/<name>`` as all-text Parquet (replacing it)."""
+    """Land each table under ``root/<name>`` as all-text Parquet (replacing it).
+
+    ``raw_orders`` also gets the typed ordering column (see :func:`with_ordering_column`).
+    """
     paths = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
-        as_raw_text(df).write.mode("overwrite").parquet(path)
+        out = as_raw_text(df)
+        if name == "raw_orders" and "order_purchase_timestamp" in df.columns:
+            out = with_ordering_column(out)
+        out.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
 

@@ -225,3 +225,13 @@ def test_day_layout_grain_backlog_then_loop(spark):
         spark.conf.unset(LAYOUT_FORMAT_CONF)
     for t in [*schemas.WAREHOUSE_TABLES, "etl_watermarks", "etl_batch_log"]:
         assert state_rows(ref, t) == state_rows(mixed, t), t
+
+
+def test_r10_bad_timestamp_in_bronze_still_fails(spark, make_raw, store_root):
+    from ledgerline.sources import ingest
+    raw = make_raw(orders=[o("o1", "2017-01-01 00:00:00"), o("o2", "bad")])
+    paths = ingest.write_bronze({"raw_orders": raw["raw_orders"]}, scratch_path(spark, "bronze"))
+    bronze = dict(raw, raw_orders=spark.read.parquet(paths["raw_orders"]))
+    assert "_purchase_ts" in bronze["raw_orders"].columns
+    with pytest.raises(Exception, match="invalid timestamp"):
+        run_pipeline(spark, bronze, Warehouse(spark, store_root), batch_size=10)

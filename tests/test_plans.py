@@ -62,3 +62,17 @@ def test_keep_last_dedupe_limits_before_the_shuffle(spark):
     lines = [l for l in p.splitlines() if "WindowGroupLimit" in l or "Exchange hashpartitioning" in l]
     # top-down: final limit, exchange, partial (map-side) limit
     assert len(lines) >= 3 and "WindowGroupLimit" in lines[-1] and "Exchange" in lines[-2]
+
+
+def test_keyset_scan_on_bronze_pushes_the_watermark(spark):
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import ingest
+    from ledgerline.streaming.batches import keyset_batch
+    root = scratch_path(spark, "bronze-plan")
+    paths = ingest.write_bronze({"raw_orders": bind_raw(spark, SMALL)["raw_orders"]}, root)
+    bronze = spark.read.parquet(paths["raw_orders"])
+    p = plan_text(keyset_batch(bronze, "1998-01-01 00:00:00", "", 100))
+    assert "PushedFilters: [Or(GreaterThanOrEqual(_purchase_ts,1998-01-01T00:00)" in p
+    rows = keyset_batch(bronze, "1998-01-01 00:00:00", "", 100).collect()
+    ref = keyset_batch(bind_raw(spark, SMALL)["raw_orders"], "1998-01-01 00:00:00", "", 100).collect()
+    assert [r.order_id for r in rows] == [r.order_id for r in ref]
