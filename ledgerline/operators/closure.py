@@ -36,19 +36,44 @@ class Closure:
     sellers: DataFrame
 
 
+def key_range(keys: DataFrame, key_col: str) -> tuple[str, str] | None:
+    """``(min, max)`` of a bounded key set -- two values for the driver; None if empty."""
+    r = keys.agg(F.min(key_col).alias("lo"), F.max(key_col).alias("hi")).first()
+    return None if r.lo is None else (r.lo, r.hi)
+
+
+def within(rows: DataFrame, col: str, bounds: tuple[str, str] | None) -> DataFrame:
+    """A literal range predicate Parquet can check against row-group min/max statistics."""
+    if bounds is None:
+        return rows.where(F.lit(False))
+    return rows.where(F.col(col).between(F.lit(bounds[0]), F.lit(bounds[1])))
+
+
 def batch_closure(raw: dict[str, DataFrame], batch_orders: DataFrame, bounded: bool = False) -> Closure:
     """Raw rows reachable from ``batch_orders``, matched on raw (uncleaned) keys.
 
     customers, items, payments and reviews hang off the orders; products and
     sellers off the batch's items; translations off the batch's products.
+    For a bounded (materialised) batch the order-keyed and customer lookups
+    also get the batch's key range as a literal predicate, so clustered bronze
+    files outside it are skipped; the semi join still decides membership.
     """
-    items = semi_by(raw["raw_order_items"], batch_orders, "order_id", bounded=bounded)
+    ids = cust = None
+    if bounded:
+        ids, cust = key_range(batch_orders, "order_id"), key_range(batch_orders, "customer_id")
+
+    def by_order(name: str) -> DataFrame:
+        rows = within(raw[name], "order_id", ids) if bounded else raw[name]
+        return semi_by(rows, batch_orders, "order_id", bounded=bounded)
+
+    items = by_order("raw_order_items")
     products = semi_by(raw["raw_products"], items, "product_id")
+    customers = raw["raw_customers"] if not bounded else within(raw["raw_customers"], "customer_id", cust)
     return Closure(
-        customers=semi_by(raw["raw_customers"], batch_orders, "customer_id", bounded=bounded),
+        customers=semi_by(customers, batch_orders, "customer_id", bounded=bounded),
         items=items,
-        payments=semi_by(raw["raw_payments"], batch_orders, "order_id", bounded=bounded),
-        reviews=semi_by(raw["raw_reviews"], batch_orders, "order_id", bounded=bounded),
+        payments=by_order("raw_payments"),
+        reviews=by_order("raw_reviews"),
         products=products,
         translations=semi_by(raw["raw_translations"], products, "product_category_name"),
         sellers=semi_by(raw["raw_sellers"], items, "seller_id"),

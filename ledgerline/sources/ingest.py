@@ -86,10 +86,19 @@ def with_ordering_column(orders: DataFrame) -> DataFrame:
     return typed.repartitionByRange(F.col(PURCHASE_TS).asc_nulls_last()).sortWithinPartitions(PURCHASE_TS)
 
 
+# Lookup key of each child table: bronze files are clustered by it, so a batch's
+# key range (a literal predicate) skips the row groups outside it.
+CLUSTER_BY_KEY = {
+    "raw_order_items": "order_id", "raw_payments": "order_id", "raw_reviews": "order_id",
+    "raw_customers": "customer_id", "raw_products": "product_id", "raw_sellers": "seller_id",
+}
+
+
 def write_bronze(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
     """Land each table under ``root/<name>`` as all-text Parquet (replacing it).
 
-    ``raw_orders`` also gets the typed ordering column (see :func:`with_ordering_column`).
+    ``raw_orders`` also gets the typed ordering column (see
+    :func:`with_ordering_column`); child tables are clustered by their lookup key.
     """
     paths = {}
     for name, df in tables.items():
@@ -97,6 +106,9 @@ def write_bronze(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
         out = as_raw_text(df)
         if name == "raw_orders" and "order_purchase_timestamp" in df.columns:
             out = with_ordering_column(out)
+        elif CLUSTER_BY_KEY.get(name) in df.columns:
+            key = CLUSTER_BY_KEY[name]
+            out = out.repartitionByRange(F.col(key).asc_nulls_last()).sortWithinPartitions(key)
         out.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths

@@ -76,3 +76,17 @@ def test_keyset_scan_on_bronze_pushes_the_watermark(spark):
     rows = keyset_batch(bronze, "1998-01-01 00:00:00", "", 100).collect()
     ref = keyset_batch(bind_raw(spark, SMALL)["raw_orders"], "1998-01-01 00:00:00", "", 100).collect()
     assert [r.order_id for r in rows] == [r.order_id for r in ref]
+
+
+def test_bounded_closure_prunes_bronze_children_by_key_range(spark):
+    from ledgerline.operators.closure import batch_closure
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import ingest
+    raw = bind_raw(spark, SMALL)
+    paths = ingest.write_bronze({"raw_order_items": raw["raw_order_items"]}, scratch_path(spark, "bronze-items"))
+    bronze = dict(raw, raw_order_items=spark.read.parquet(paths["raw_order_items"]))
+    batch = build.eligible_orders(raw["raw_orders"]).orderBy("order_id").limit(50).checkpoint()
+    c = batch_closure(bronze, batch, bounded=True)
+    assert "PushedFilters: [IsNotNull(order_id), GreaterThanOrEqual(order_id," in plan_text(c.items)
+    ref = batch_closure(raw, batch, bounded=False).items
+    assert sorted(tuple(r) for r in c.items.collect()) == sorted(tuple(r) for r in ref.collect())
