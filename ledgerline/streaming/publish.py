@@ -2,9 +2,9 @@
 
 Layout under ``root`` (a folder on the shared file system):
 
-    <root>/<table>/v=<n>/part-*.parquet                    whole-table version
-    <root>/<table>/layout_period=<p>/v=<n>/part-*.parquet  one period of a partitioned table
-    <root>/_manifest/version=<k>/part-*                    (table_name, part, path) rows
+    <root>/<table>/v=<n>-<attempt>/part-*.parquet                    whole-table version
+    <root>/<table>/layout_period=<p>/v=<n>-<attempt>/part-*.parquet  one period of a partitioned table
+    <root>/_manifest/version=<k>/attempt=<a>/part-*                  (table_name, part, path) rows
 
 Order-grain tables (orders, their items, payments and reviews) are split by
 purchase period (month by default, see ``LAYOUT_FORMAT_CONF``). A batch
@@ -17,12 +17,15 @@ A publish writes every changed table or fragment into fresh directories, then
 appends manifest version ``k+1`` listing the fragments of *every* table.
 Readers use the newest manifest version only, so a crash before the manifest
 write leaves the previous state fully visible: data, watermark and batch log
-change together or not at all. One writer at a time is assumed (as in the
+change together or not at all. Every publish attempt writes under its own
+attempt token, so files left by a failed attempt are never picked up by a
+retry (they stay unreferenced). One writer at a time is assumed (as in the
 source system's one concurrent run).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -80,7 +83,11 @@ class Warehouse:
                 return
             raise
         latest = m.agg(F.max("version")).first()[0]
-        rows = m.where(F.col("version") == latest).select("table_name", "part", "path").collect()  # pointers only
+        top = m.where(F.col("version") == latest)
+        # One committed attempt per version (single writer); pick deterministically anyway.
+        attempt = top.agg(F.min(F.col("attempt").cast("string"))).first()[0]
+        rows = (top.where(F.col("attempt").cast("string") == F.lit(attempt))
+                .select("table_name", "part", "path").collect())  # pointers only
         frags: dict[str, dict[str, str]] = {}
         for r in rows:
             frags.setdefault(r.table_name, {})
@@ -140,6 +147,7 @@ class Warehouse:
         touched = touched or {}
         months = months or {}
         version = self.version + 1
+        attempt = uuid.uuid4().hex[:12]
         frags = {t: self.fragments(t) for t in schemas.ALL_TABLES}
 
         def write(item: tuple[str, DataFrame | None]) -> tuple[str, dict[str, str], set[str] | None]:
@@ -155,7 +163,7 @@ class Warehouse:
                 # Clustered layout: range partitions + sorted files give tight
                 # per-file min/max statistics on the ordering columns.
                 out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-            tag = f"{version:08d}"
+            tag = f"{version:08d}-{attempt}"
             if not part:
                 path = f"{self.root}/{table}/v={tag}"
                 out.write.mode("errorifexists").parquet(path)
@@ -178,7 +186,12 @@ class Warehouse:
                     frags[table] = {**kept, **written}
         rows = [(t, part, path) for t in sorted(frags) for part, path in sorted(frags[t].items())]
         rows += [(t, WHOLE, "") for t in sorted(frags) if not frags[t]]  # keep empty tables listed
-        manifest = self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
-        manifest.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/_manifest/version={version}")
+        self._write_manifest(rows, version, attempt)
         self._frags, self._version = frags, version
         return version
+
+    def _write_manifest(self, rows: list[tuple[str, str, str]], version: int, attempt: str) -> None:
+        """The pointer swap: one small file, visible only once its job commits."""
+        manifest = self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
+        manifest.coalesce(1).write.mode("errorifexists").parquet(
+            f"{self.root}/_manifest/version={version}/attempt={attempt}")

@@ -193,20 +193,39 @@ def test_grain_uniqueness(spark):
         assert df.count() == df.select(*keys).distinct().count(), t
 
 
-def test_b8_failure_after_table_writes_before_manifest(spark, store_root):
-    """Tables of batch 2 are fully written, but the manifest swap fails: nothing of batch 2 is visible."""
-    import os
+def test_b8_failure_after_table_writes_before_manifest(spark, store_root, monkeypatch):
+    """Tables of batch 2 are fully written, but the manifest swap fails: nothing of batch 2 is
+    visible, and a retry neither trips over nor picks up the orphaned files."""
     raw = bind_raw(spark, SMALL)
     store = Warehouse(spark, store_root)
     run_pipeline(spark, raw, store, batch_size=500, max_batches=1)
     before = {t: state_rows(store, t) for t in ("fact_orders", "stg_order_items", "etl_watermarks")}
-    # Batch 2 first publishes its 'running' log row (version v+1), then its data (v+2).
-    os.makedirs(f"{store_root.removeprefix('file:')}/_manifest/version={store.version + 2}")
-    with pytest.raises(Exception):
+    real = Warehouse._write_manifest
+    calls = {"n": 0}
+
+    def failing(self, rows, version, attempt):
+        if version == 4 and calls["n"] == 0:
+            # Batch 1 published versions 1 (log opened) and 2 (data); batch 2 opened its log
+            # row as version 3, so version 4 is batch 2's data publish.
+            calls["n"] += 1
+            raise RuntimeError("lost before the pointer swap")
+        return real(self, rows, version, attempt)
+
+    monkeypatch.setattr(Warehouse, "_write_manifest", failing)
+    with pytest.raises(RuntimeError):
         run_pipeline(spark, raw, store, batch_size=500, max_batches=1)
     fresh = Warehouse(spark, store_root)
+    assert calls["n"] == 1
     assert {t: state_rows(fresh, t) for t in before} == before
-    assert [r.status for r in fresh.read("etl_batch_log").orderBy("batch_id").collect()] == ["completed", "running"]
+    assert [r.status for r in fresh.read("etl_batch_log").orderBy("batch_id").collect()] == ["completed", "failed"]
+    # Retry: batch 2 is redone as batch 3; no duplicates from the orphaned attempt.
+    run_pipeline(spark, raw, fresh, batch_size=500)
+    ref = Warehouse(spark, scratch_path(spark, "ref"))
+    run_pipeline(spark, raw, ref, batch_size=500)
+    for t in ("stg_order_items", "fact_order_items", "stg_payments", "stg_reviews"):
+        a = fresh.read(t).drop("source_batch_id", "loaded_at", "updated_at")
+        b = ref.read(t).drop("source_batch_id", "loaded_at", "updated_at")
+        assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect()), t
 
 
 def test_day_layout_grain_backlog_then_loop(spark):
