@@ -4,8 +4,8 @@
     load    --bronze DIR --warehouse DIR [--batch-size N] [--max-batches N] [--full-refresh B] [--backlog]
     serve   --bronze DIR --warehouse DIR             rebuild and publish the ``orders`` table
 
-Bronze tables are Parquet directories named ``raw_<table>`` (``ingest`` writes
-them from ``<table>.csv`` files). The session comes from the submit
+Bronze tables are Parquet tables named ``raw_<table>`` (``ingest`` writes them
+from ``<table>.csv`` files as one load: all tables or none become current). The session comes from the submit
 environment; ``spark.checkpoint.dir`` should name a shared folder.
 """
 
@@ -24,7 +24,13 @@ RAW_NAMES = ("raw_orders", "raw_customers", "raw_products", "raw_translations",
 
 
 def read_bronze(spark, bronze: str) -> dict:
-    return {name: spark.read.parquet(f"{bronze.rstrip('/')}/{name}") for name in RAW_NAMES}
+    """The eight raw tables of the newest committed bronze load."""
+    from .sources.ingest import read_bronze as newest_load
+    tables = newest_load(spark, bronze)
+    missing = [n for n in RAW_NAMES if n not in tables]
+    if missing:
+        raise FileNotFoundError(f"bronze load lacks {missing}")
+    return {n: tables[n] for n in RAW_NAMES}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -47,11 +53,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(app_name=f"ledgerline-{args.command}")
 
     if args.command == "ingest":
-        from .sources.ingest import load_csv_directory, write_bronze
+        from .sources.ingest import land_bronze, load_csv_directory, read_bronze as newest_load
         tables = load_csv_directory(spark, args.csv_dir)
-        paths = write_bronze({f"raw_{k}": v for k, v in tables.items()}, args.bronze)
-        for name, path in paths.items():
-            logging.info("Loaded %s: %s rows", name, spark.read.parquet(path).count())
+        token = land_bronze(spark, {f"raw_{k}": v for k, v in tables.items()}, args.bronze)
+        for name, df in sorted(newest_load(spark, args.bronze).items()):
+            logging.info("Loaded %s (load %s): %s rows", name, token, df.count())
         return 0
 
     from .streaming.publish import Warehouse

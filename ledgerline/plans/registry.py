@@ -90,10 +90,10 @@ def raw_all_text(spark, sf_dir):
 
 @register("raw_load_counts")
 def raw_load_counts(spark, sf_dir):
-    """K4: load every table to bronze, report rows per table."""
+    """K4: load every table to bronze as one unit (one manifest commit), report rows per table."""
     root = scratch_path(spark, "bronze")
-    paths = ingest.write_bronze(bind_raw(spark, sf_dir), root)
-    return operational.layer_counts({n: spark.read.parquet(p) for n, p in paths.items()}).withColumnRenamed(
+    ingest.land_bronze(spark, bind_raw(spark, sf_dir), root)
+    return operational.layer_counts(ingest.read_bronze(spark, root)).withColumnRenamed(
         "layer_table", "table_name")
 
 

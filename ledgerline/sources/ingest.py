@@ -11,6 +11,8 @@ files; after landing, the Parquet bronze tables are splittable.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,7 +96,7 @@ CLUSTER_BY_KEY = {
 }
 
 
-def write_bronze(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
+def write_bronze(tables: dict[str, DataFrame], root: str, suffix: str = "") -> dict[str, str]:
     """Land each table under ``root/<name>`` as all-text Parquet (replacing it).
 
     ``raw_orders`` also gets the typed ordering column (see
@@ -102,7 +104,7 @@ def write_bronze(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
     """
     paths = {}
     for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}"
+        path = f"{root.rstrip('/')}/{name}" + (f"/{suffix}" if suffix else "")
         out = as_raw_text(df)
         if name == "raw_orders" and "order_purchase_timestamp" in df.columns:
             out = with_ordering_column(out)
@@ -132,3 +134,42 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def land_bronze(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> str:
+    """Load every table as one unit: write each under a new load token, then commit one manifest.
+
+    ``<root>/<name>/load=<token>/`` holds the data, ``<root>/_loads/load=<token>/``
+    the (table_name, path) list. A crash before the manifest write leaves the
+    previous load current; readers use :func:`read_bronze`. Returns the token.
+    """
+    root = root.rstrip("/")
+    previous = _latest_load(spark, root)
+    seq = int(previous.split("-")[0]) + 1 if previous else 1
+    token = f"{seq:08d}-{uuid.uuid4().hex[:12]}"
+    paths = write_bronze({name: df for name, df in tables.items()}, root, suffix=f"load={token}")
+    rows = sorted(paths.items())
+    manifest = spark.createDataFrame(rows, "table_name string, path string")
+    manifest.coalesce(1).write.mode("errorifexists").parquet(f"{root}/_loads/load={token}")
+    return token
+
+
+def _latest_load(spark: SparkSession, root: str) -> str | None:
+    try:
+        loads = spark.read.parquet(f"{root}/_loads")
+    except Exception as exc:  # no load yet
+        if any(s in str(exc) for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist")):
+            return None
+        raise
+    return loads.agg(F.max(F.col("load").cast("string"))).first()[0]
+
+
+def read_bronze(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the newest committed bronze load."""
+    root = root.rstrip("/")
+    token = _latest_load(spark, root)
+    if token is None:
+        raise FileNotFoundError(f"No committed bronze load under {root}")
+    rows = (spark.read.parquet(f"{root}/_loads").where(F.col("load").cast("string") == F.lit(token))
+            .select("table_name", "path").collect())  # one row per table
+    return {r.table_name: spark.read.parquet(r.path) for r in rows}

@@ -17,7 +17,7 @@ def test_ingest_load_serve(spark):
     csv_dir, bronze, wh = (scratch_path(spark, n) for n in ("cli-csv", "cli-bronze", "cli-wh"))
     ingest.write_csv_tables({k.removeprefix("raw_"): v for k, v in raw.items()}, csv_dir)
     assert cli.main(["ingest", "--csv-dir", csv_dir, "--bronze", bronze]) == 0
-    assert spark.read.parquet(f"{bronze}/raw_orders").count() == raw["raw_orders"].count()
+    assert ingest.read_bronze(spark, bronze)["raw_orders"].count() == raw["raw_orders"].count()
     assert cli.main(["load", "--bronze", bronze, "--warehouse", wh, "--batch-size", "500",
                      "--max-batches", "1", "--full-refresh", "false"]) == 0
     assert cli.main(["load", "--bronze", bronze, "--warehouse", wh, "--batch-size", "500", "--backlog"]) == 0

@@ -40,3 +40,26 @@ def test_bronze_is_all_text_with_blank_as_null(spark):
     back = spark.read.parquet(paths["t"])
     assert [f.dataType.simpleString() for f in back.schema.fields] == ["string"] * 3
     assert sorted(tuple(r) for r in back.collect()) == [("1", None, "2.5"), ("2", "x", None)]
+
+
+def test_bronze_load_is_all_or_nothing(spark, monkeypatch):
+    from ledgerline.session import scratch_path
+    root = scratch_path(spark, "bronze-load")
+    first = {"raw_a": spark.createDataFrame([("1",)], "x string"), "raw_b": spark.createDataFrame([("2",)], "y string")}
+    t1 = ingest.land_bronze(spark, first, root)
+    second = {"raw_a": spark.createDataFrame([("10",), ("11",)], "x string"),
+              "raw_b": spark.createDataFrame([("20",)], "y string")}
+    real = ingest.write_bronze
+
+    def crash_after_tables(tables, root_, suffix=""):
+        real(tables, root_, suffix)
+        raise RuntimeError("lost before the load manifest")
+
+    monkeypatch.setattr(ingest, "write_bronze", crash_after_tables)
+    with pytest.raises(RuntimeError):
+        ingest.land_bronze(spark, second, root)
+    monkeypatch.setattr(ingest, "write_bronze", real)
+    current = ingest.read_bronze(spark, root)
+    assert current["raw_a"].count() == 1 and current["raw_b"].count() == 1
+    t3 = ingest.land_bronze(spark, second, root)
+    assert t3 > t1 and ingest.read_bronze(spark, root)["raw_a"].count() == 2
