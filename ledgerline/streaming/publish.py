@@ -128,10 +128,18 @@ class Warehouse:
             return self.spark.read.schema(schema).parquet(frags[WHOLE])
         full = T.StructType(list(schema.fields) + [T.StructField(LAYOUT_COL, T.StringType()),
                                                    T.StructField("v", T.StringType())])
-        df = (self.spark.read.option("basePath", f"{self.root}/{table}").schema(full)
-              .parquet(*sorted(frags.values())))
+        # Fragments may live under more than one table directory (a store cloned from
+        # another keeps pointing at its files): one read per base directory.
+        by_base: dict[str, list[str]] = {}
+        for path in frags.values():
+            by_base.setdefault(path.split(f"/{LAYOUT_COL}=")[0], []).append(path)
         cols = schema.fieldNames() + ([LAYOUT_COL] if keep_layout else [])
-        return df.select(*cols)
+        parts_read = [self.spark.read.option("basePath", base).schema(full).parquet(*sorted(paths)).select(*cols)
+                      for base, paths in sorted(by_base.items())]
+        df = parts_read[0]
+        for other in parts_read[1:]:
+            df = df.unionByName(other)
+        return df
 
     # -- writing -------------------------------------------------------------
     def publish(self, changes: dict[str, DataFrame | None], touched: dict[str, set[str]] | None = None,
