@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, token_counts
+from ledgerline.llm import bpe, decontaminate, langid, ngram_join, sharding, suffix_dedup, token_counts
 from ledgerline.llm.common import hex_sha256, read_table
 
 ENCODE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -26,6 +26,51 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_sha256(bpe.decoded(path, pattern, F.col("ids"))).alias("decoded_sha256"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by 3-word shingles at Jaccard 0.9 or more, and their components."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.similarity_components(docs, width=3, percent=90)
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50-byte string kept in the smallest document that has it."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = suffix_dedup.remove_repeats(docs, length=50)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return left.select(
+        "doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept_bytes")).alias("n_removed"),
+        (F.size("removed_bounds") / 2).cast("long").alias("n_spans"), hex_sha256(F.col("kept_bytes")).alias("kept_sha256"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in 13-word windows of benchmark items."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"), window=13)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        hex_sha256(F.concat_ws(",", "items")).alias("items_sha256"),
+                        decontaminate.is_contaminated(20).alias("contaminated"))
+
+
+def held_out(doc_id):
+    """The fold that nothing is learned from: crc32 of the id as text, modulo 4, is 2. False for a null id."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
+    return (docs.withColumn("found", langid.predicted(docs, model))
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "found.lang_pred", "found.score"))
+
+
+def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of equal row counts, uniformly shuffled."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard_rows(docs, n_shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they exceed the limit."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,6 +83,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_ngram_join": op3_ngram_join,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op6_decontamination": op6_decontamination,
+    "op7_language_id": op7_language_id,
+    "op8_hypergeometric_shards": op8_hypergeometric_shards,
     "op2_bpe_codec": op2_bpe_codec,
     "op9_token_counts": op9_token_counts,
 }
