@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import zipfile
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import ledgerline
 from ledgerline.session import checkpoint_root
 
 
@@ -27,3 +34,32 @@ def hex_sha256(column) -> "F.Column":
 
 def blank_if_null(name: str):
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per Spark context.
+
+    Spark's own file distribution carries it, so executors need no installation and no common folder.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerline_shipped", False):
+        return
+    root = Path(ledgerline.__file__).parent
+    folder = Path(SparkFiles.getRootDirectory()) / "packages"  # the driver's own folder for files to distribute
+    folder.mkdir(exist_ok=True)
+    with zipfile.ZipFile(folder / "ledgerline.zip", "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, str(path.relative_to(root.parent)))
+    sc.addPyFile(str(folder / "ledgerline.zip"))
+    sc._ledgerline_shipped = True
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query or stage whose first argument is the session, run with the package at the workers."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        ship_package(spark)
+        return query(spark, *args)
+
+    return run

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, langid, ngram_join, sharding, suffix_dedup, token_counts
-from ledgerline.llm.common import hex_sha256, read_table
+from ledgerline.llm import ann, bpe, chat, decontaminate, langid, licenses, ngram_join, sharding, suffix_dedup, token_counts
+from ledgerline.llm.common import hex_sha256, read_table, shipped
 
 ENCODE_RANKS = "byte_bpe_multi_50k.tiktoken"
 COUNT_VOCABULARY = "byte_bpe_50k.json"
@@ -82,14 +82,38 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-QUERIES = {
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one made of control strings, formatted and read back."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-1, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))],
+                                   "conv_id long, turn long, role string, text string")
+    return chat.conversation_digests(chat.format_turns(turns.unionByName(tricky))).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose whole text is a known licence."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("doc_id", "canonical_sha256", "license_id", F.col("license_id").isNotNull().alias("is_license"))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, lambda vec_id: vec_id % 20 == 0, k=20)
+
+
+QUERIES = {name: shipped(query) for name, query in {
+    "op1_chat_format": op1_chat_format,
+    "op2_bpe_codec": op2_bpe_codec,
     "op3_ngram_join": op3_ngram_join,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
-    "op2_bpe_codec": op2_bpe_codec,
     "op9_token_counts": op9_token_counts,
-}
+    "op10_nearest": op10_nearest,
+}.items()}
 
 ORACLES: dict[str, str] = {}
