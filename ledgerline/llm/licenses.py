@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Typographic punctuation outside ASCII, each taken as a space (the copyright sign as a letter).
-TYPOGRAPHIC = "‘’“”–—… «»•·﻿"
+TYPOGRAPHIC = "‘’“”–—…\u00a0«»•·\ufeff"
 COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n©]*(copyright|\(c\)|©|all rights reserved|portions copyright)[^\n]*"
 NOT_WORD = r"[\x00-/:-`{-\x7f]+"
 # Equivalent spellings by rule: pattern, replacement. Applied to both sides, in this order.

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import ann, bpe, chat, decontaminate, langid, licenses, ngram_join, sharding, suffix_dedup, token_counts
 from ledgerline.llm.common import hex_sha256, read_table, shipped
+from ledgerline.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 ENCODE_RANKS = "byte_bpe_multi_50k.tiktoken"
 COUNT_VOCABULARY = "byte_bpe_50k.json"
@@ -115,5 +118,3 @@ QUERIES = {name: shipped(query) for name, query in {
     "op9_token_counts": op9_token_counts,
     "op10_nearest": op10_nearest,
 }.items()}
-
-ORACLES: dict[str, str] = {}
