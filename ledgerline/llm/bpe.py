@@ -11,13 +11,15 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,14 +29,36 @@ OVERLAP = 1_024
 #: A boundary this many characters before the end of a chunk does not depend on what follows the chunk:
 #: the longest look-ahead of the pattern is the three characters of 're, 've and 'll.
 SAFE_TAIL = 3
-CACHE_WORDS = 200_000
+CACHE_WORDS = 250_000
+LONG_PIECE = 64
+NO_RANK = 1 << 40
 
 
-def merged(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
+def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: merge the lowest-rank adjacent pair, leftmost first, until none is a token."""
     whole = ranks.get(piece)
     if whole is not None:
-        return (whole,)
+        return [whole]
+    return _merged_long(piece, ranks) if len(piece) > LONG_PIECE else _merged_short(piece, ranks)
+
+
+def _merged_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """By scanning a list of pair ranks, the fastest way for words."""
+    rank_of = ranks.get
+    start = list(range(len(piece) + 1))  # symbol i spans piece[start[i]:start[i + 1]]
+    pairs = [rank_of(piece[i:i + 2], NO_RANK) for i in range(len(piece) - 1)]
+    while pairs and (least := min(pairs)) != NO_RANK:
+        i = pairs.index(least)
+        del start[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = rank_of(piece[start[i]:start[i + 2]], NO_RANK)
+        if i:
+            pairs[i - 1] = rank_of(piece[start[i - 1]:start[i + 1]], NO_RANK)
+    return [ranks[piece[i:j]] for i, j in zip(start, start[1:])]
+
+
+def _merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """By a heap over linked symbols: n log n, for runs without a break."""
     n = len(piece)
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # symbol i spans piece[i:end[i]]
     alive = [True] * n
@@ -58,19 +82,23 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     while i < n:
         ids.append(ranks[piece[i:end[i]]])
         i = end[i]
-    return tuple(ids)
+    return ids
 
 
 class WordIds(dict):
-    """Pre-token -> ids, filled on demand; emptied when it holds ``CACHE_WORDS`` entries."""
+    """Pre-token -> its ids as int32 bytes, filled on demand in two generations of ``CACHE_WORDS``."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+        self.ranks, self.older = ranks, {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
-        self[word] = ids = merged(word.encode("utf-8"), self.ranks)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = array("i", merged(word.encode("utf-8"), self.ranks)).tobytes()
+        self[word] = ids
         return ids
 
 
@@ -80,7 +108,9 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
-        self.bytes_of = {r: t for t, r in ranks.items()}
+        self.bytes_of = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.bytes_of[rank] = token
         self.words = WordIds(ranks)
         self.pattern = regex.compile(pattern)
 
@@ -90,7 +120,7 @@ class Codec:
         beyond = 0 if last is None else len(text) - last
         while beyond > 0:
             beyond -= len(words.pop())
-        return np.fromiter(chain.from_iterable(map(self.words.__getitem__, words)), dtype=np.int32)
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype=np.int32)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -129,7 +159,7 @@ def _encoder(path: str, pattern: str, text: str, first: str | None = None, last:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for whole in batches:
-            lengths = [len(t or "") for t in whole.column(text).to_pylist()]
+            lengths = pc.fill_null(pc.utf8_length(whole.column(text)), 0).to_pylist()
             for lo, hi in slices_of(lengths):
                 b = whole.slice(lo, hi - lo)
                 texts = [t or "" for t in b.column(text).to_pylist()]
