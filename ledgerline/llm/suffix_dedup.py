@@ -88,10 +88,24 @@ def bucket_of(anchors: np.ndarray, n: int) -> np.ndarray:
     return ((anchors >> np.uint64(16)) * np.uint64(n)) >> np.uint64(32)
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Compressed; numbers byte plane by byte plane, so that their constant high bytes cost nothing."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T) if len(values) else values
+    raw = planes.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def restored(raw: bytes, kind) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(pa.decompress(raw[8:], decompressed_size=size, codec="zstd", asbytes=True), np.uint8)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel() if size else np.zeros(0, kind)
+
+
 class Strings:
-    """Byte strings of anchor runs: for each its anchor, document id, row key, start, length, block and log2 of its salts."""
+    """Byte strings of anchor runs: for each its anchor, document id, row (by rank in its block), start, length, block and log2 of its salts."""
 
-    FIELDS = (("anchor", np.uint64), ("doc", np.int64), ("key", np.int64), ("start", np.int32), ("size", np.int32),
+    FIELDS = (("anchor", np.uint64), ("doc", np.int64), ("row", np.int32), ("start", np.int32), ("size", np.int32),
               ("block", np.int32), ("hot", np.int8))
 
     def __init__(self, fields: dict[str, np.ndarray], raw: bytes):
@@ -107,11 +121,12 @@ class Strings:
         return Strings({k: getattr(self, k)[index] for k, _ in self.FIELDS}, raw)
 
     def pack(self) -> dict[str, bytes]:
-        return {k: getattr(self, k).tobytes() for k, _ in self.FIELDS} | {"raw": self.raw}
+        return {k: squeezed(getattr(self, k)) for k, _ in self.FIELDS} | {"raw": squeezed(np.frombuffer(self.raw, np.uint8))}
 
     @classmethod
     def unpack(cls, rows: list[dict]) -> Strings:
-        return cls({k: np.frombuffer(b"".join(r[k] for r in rows), dtype=t) for k, t in cls.FIELDS}, b"".join(r["raw"] for r in rows))
+        fields = {k: np.concatenate([np.zeros(0, t), *(restored(r[k], t) for r in rows)]) for k, t in cls.FIELDS}
+        return cls(fields, b"".join(restored(r["raw"], np.uint8).tobytes() for r in rows))
 
 
 PACKED = ", ".join(f"{k} binary" for k, _ in Strings.FIELDS) + ", raw binary"
@@ -164,12 +179,12 @@ def radix_pass(s: Strings, index: np.ndarray, length: int) -> tuple[np.ndarray,
 
 
 def repeated_windows(s: Strings, length: int, keep: np.ndarray, copies: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Spans of repeated windows: block, row key, first and last-plus-one byte.
+    """Spans of repeated windows: block, row, first and last-plus-one byte.
 
     Strings equal to one of a smaller document (``copies``) are whole spans; the others (``keep``) are
     sorted by their windows, in slices of whole anchors.
     """
-    yield s.block[copies], s.key[copies], s.start[copies], s.start[copies] + s.size[copies]
+    yield s.block[copies], s.row[copies], s.start[copies], s.start[copies] + s.size[copies]
     order = keep[np.argsort(s.anchor[keep], kind="stable")]
     anchor, doc = s.anchor[order], s.doc[order]
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(order) else np.zeros(0, np.int64)
@@ -196,7 +211,7 @@ def _spans_of(s: Strings, string: np.ndarray, window: np.ndarray, length: int):
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(string)) - 1 if len(first) else first
     own = string[first]
-    return s.block[own], s.key[own], s.start[own] + window[first], s.start[own] + window[last] + length
+    return s.block[own], s.row[own], s.start[own] + window[first], s.start[own] + window[last] + length
 
 
 def _doc_bytes(text: str | None) -> bytes:
@@ -264,8 +279,8 @@ def _part_of(anchors: np.ndarray, salt: np.ndarray | np.uint64, n_parts: int) ->
 
 
 _MOVED_TYPES = [("part", pa.int32()), *((k, pa.binary()) for k in _PACKED_NAMES), ("_block", pa.int32()),
-                ("keys", pa.binary()), ("firsts", pa.binary()), ("lasts", pa.binary())]
-_MOVED = f"part int, {PACKED}, _block int, keys binary, firsts binary, lasts binary"
+                ("rows", pa.binary()), ("firsts", pa.binary()), ("lasts", pa.binary())]
+_MOVED = f"part int, {PACKED}, _block int, rows binary, firsts binary, lasts binary"
 
 
 def _moved(s: Strings, part: np.ndarray, spans: list[tuple[np.ndarray, ...]], n_parts: int) -> pa.Table:
@@ -275,12 +290,12 @@ def _moved(s: Strings, part: np.ndarray, spans: list[tuple[np.ndarray, ...]], n_
     parts, at = np.unique(part[order], return_index=True)
     for p, index in zip(parts.tolist(), np.split(order, at[1:])):
         rows.append({"part": p, **s.take(index).pack()})
-    block, key, first, last = (np.concatenate(x) for x in zip(*spans))
-    order = np.lexsort((first, key, block))
+    block, row, first, last = (np.concatenate(x) for x in zip(*spans))
+    order = np.lexsort((first, row, block))
     blocks, at = np.unique(block[order], return_index=True)
     for b, index in zip(blocks.tolist(), np.split(order, at[1:])):
-        rows.append({"part": b % n_parts, "_block": b, "keys": key[index].tobytes(),
-                     "firsts": first[index].astype(np.int32).tobytes(), "lasts": last[index].astype(np.int32).tobytes()})
+        rows.append({"part": b % n_parts, "_block": b, **{
+            k: squeezed(x[index].astype(np.int32)) for k, x in (("rows", row), ("firsts", first), ("lasts", last))}})
     return pa.table({k: pa.array([r.get(k) for r in rows], t) for k, t in _MOVED_TYPES})
 
 
@@ -299,11 +314,10 @@ def _send_strings(length: int, n_buckets: int, n_parts: int):
         sizes = (counts[go] + length - 1).astype(np.int32)
         raw = b"".join([texts[r][f:f + n] for r, f, n in zip(rows[go].tolist(), firsts[go].tolist(), sizes.tolist())])
         block = docs.column("_block")[0].as_py() if len(docs) else 0
-        keys = np.array(docs.column("_key").to_pylist(), dtype=np.int64)
-        s = Strings({"anchor": anchors[go], "doc": ids[rows[go]], "key": keys[rows[go]], "start": firsts[go].astype(np.int32),
+        s = Strings({"anchor": anchors[go], "doc": ids[rows[go]], "row": _row_ranks(docs)[rows[go]], "start": firsts[go].astype(np.int32),
                      "size": sizes, "block": np.full(len(go), block, np.int32), "hot": (own[go] - 1).astype(np.int8)}, raw)
         keep, copies = smallest_copies(s)
-        settled = (s.block[copies], s.key[copies], s.start[copies], s.start[copies] + s.size[copies])
+        settled = (s.block[copies], s.row[copies], s.start[copies], s.start[copies] + s.size[copies])
         s = s.take(keep)
         salt = np.uint64(block) & ((np.uint64(1) << s.hot.astype(np.uint64)) - np.uint64(1))
         return _moved(s, _part_of(s.anchor, salt, n_parts), [settled], n_parts)
@@ -328,20 +342,25 @@ def _sort_part(length: int, n_parts: int):
 
 
 def _unpack_spans(row: dict) -> tuple[np.ndarray, ...]:
-    key = np.frombuffer(row["keys"], np.int64)
-    return (np.full(len(key), row["_block"], np.int32), key, np.frombuffer(row["firsts"], np.int32), np.frombuffer(row["lasts"], np.int32))
+    rows, firsts, lasts = (restored(row[k], np.int32) for k in ("rows", "firsts", "lasts"))
+    return np.full(len(rows), row["_block"], np.int32), rows, firsts, lasts
+
+
+def _row_ranks(docs: pa.Table) -> np.ndarray:
+    """Each row's number within its block, in order of the rows' keys: the same whenever the block is read."""
+    return np.unique(docs.column("_key").to_numpy(), return_inverse=True)[1].astype(np.int32)
 
 
 def _mark(docs: pa.Table, spans: pa.Table) -> pa.Table:
     """applyInArrow on a block and its spans: for every row the removed spans and the bytes left."""
-    texts, keys = [_doc_bytes(t) for t in docs.column("_text").to_pylist()], np.array(docs.column("_key").to_pylist(), dtype=np.int64)
+    texts, ranks = [_doc_bytes(t) for t in docs.column("_text").to_pylist()], _row_ranks(docs)
     parts = [_unpack_spans(r) for r in spans.to_pylist()]
     none = np.zeros(0, np.int64)
-    _, key, first, last = (np.concatenate(x) for x in zip(*parts)) if parts else (none,) * 4
-    order = np.argsort(key, kind="stable")
-    key, first, last = key[order], first[order], last[order]
+    _, row, first, last = (np.concatenate(x) for x in zip(*parts)) if parts else (none,) * 4
+    order = np.argsort(row, kind="stable")
+    row, first, last = row[order], first[order], last[order]
     bounds, left = [], []
-    for t, lo, hi in zip(texts, np.searchsorted(key, keys), np.searchsorted(key, keys, side="right")):
+    for t, lo, hi in zip(texts, np.searchsorted(row, ranks), np.searchsorted(row, ranks, side="right")):
         if lo == hi:
             bounds.append([])
             left.append(t)
@@ -381,7 +400,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     moved = blocks.cogroup(codes.groupBy("_block")).applyInArrow(_send_strings(length, n_buckets, n_blocks), _MOVED)
     for _ in ("salted groups of blocks", "all"):
         moved = moved.groupBy("part").applyInArrow(_sort_part(length, n_blocks), _MOVED)
-    spans = moved.filter("_block IS NOT NULL").select("_block", "keys", "firsts", "lasts")
+    spans = moved.filter("_block IS NOT NULL").select("_block", "rows", "firsts", "lasts")
     marked = blocks.cogroup(spans.groupBy("_block")).applyInArrow(
         _mark, f"_row {row_type}, _text string, _bounds array<long>, _left binary")
     return marked.select(*(F.col("_text").alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in kept),
