@@ -9,7 +9,6 @@ aggregates.
 from __future__ import annotations
 
 from .. import schemas
-from ..functions.misc import NA_TOKENS, TRUE_WORDS, FALSE_WORDS
 from ..sources.binding import RAW_TABLES
 from . import sqlgen as g
 
@@ -179,8 +178,13 @@ LOG_LISTING_COLS = ("batch_id, 'completed' AS status, batch_size, staging_orders
                     "staging_orders_loaded AS fact_orders_upserted, source_min_purchase_ts, source_max_purchase_ts")
 
 
+# The missing-value tokens, written out here on their own.
+MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+           "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
 def na_clean(table: str) -> str:
-    tokens = ", ".join(_lit(t) for t in NA_TOKENS)
+    tokens = ", ".join(_lit(t) for t in MISSING)
     cols = g.RAW_COLUMNS[table]
     return "SELECT " + ", ".join(f"CASE WHEN {c} IN ({tokens}) THEN NULL ELSE {c} END AS {c}" for c in cols) + \
         f" FROM {table}"
@@ -237,8 +241,12 @@ FIRST_BATCH = (f"fb AS (SELECT * FROM raw_orders WHERE {ELIGIBLE} ORDER BY {TS},
 def _oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     # sources
-    o["csv_ingest"] = q(na_clean("raw_orders"))
-    o["na_tokens"] = q(na_clean("raw_reviews"))
+    o["csv_ingest"] = q("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, concat_ws('|', " + ", ".join(f"COALESCE({c}, '~')" for c in g.RAW_COLUMNS[t])
+        + f") AS cells FROM ({na_clean(t)}) x" for t in RAW_TABLES))
+    o["na_tokens"] = q("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(COUNT(*) AS BIGINT) AS row_count, CAST(COUNT({c}) AS BIGINT) AS present "
+        f"FROM ({na_clean(t)}) x" for t in RAW_TABLES for c in g.RAW_COLUMNS[t]))
     o["table_profile"] = q("\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
         f"CAST({len(g.RAW_COLUMNS[t])} AS INTEGER) AS column_count, {_lit(', '.join(g.RAW_COLUMNS[t]))} AS columns "
@@ -309,11 +317,10 @@ def _oracles() -> dict[str, str]:
                            f"{g.to_integer('product_weight_g')} AS weight_g FROM raw_products")
     o["fn_delivery_days"] = full(f"SELECT order_id, {g.days_between('delivered_customer_at', 'purchased_at')} "
                                  f"AS delivery_days FROM o")
-    words = "[' yes', 'NO ', 'y', 'n', '1', '0', 'True', 'false']"
-    t_words = ", ".join(_lit(w) for w in TRUE_WORDS)
-    f_words = ", ".join(_lit(w) for w in FALSE_WORDS)
-    o["fn_parse_bool"] = (f"SELECT o_orderkey, word, CASE WHEN lower(trim(word)) IN ({t_words}) THEN TRUE "
-                          f"WHEN lower(trim(word)) IN ({f_words}) THEN FALSE END AS flag "
+    words = "[' yes', chr(9) || 'NO' || chr(10), 'y', 'n', '1', '0', chr(12288) || 'True', 'false']"
+    word = g.clean_text("word", lower=True)
+    o["fn_parse_bool"] = (f"SELECT o_orderkey, word, CASE {word} WHEN '1' THEN TRUE WHEN 'true' THEN TRUE WHEN 'yes' THEN TRUE "
+                          f"WHEN 'y' THEN TRUE WHEN '0' THEN FALSE WHEN 'false' THEN FALSE WHEN 'no' THEN FALSE WHEN 'n' THEN FALSE END AS flag "
                           f"FROM (SELECT o_orderkey, {words}[o_orderkey % 8 + 1] AS word FROM orders) x")
     # entities and facts
     o["clean_orders"] = full("SELECT * EXCLUDE (_rn_latest) FROM o")

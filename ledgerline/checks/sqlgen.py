@@ -5,11 +5,11 @@ Hand-written SQL, independent of the Spark plans, used only as a check.
 
 from __future__ import annotations
 
-from ..functions.text import WHITESPACE_CLASS
-from ..functions.times import TIMESTAMP_PATTERN
 from ..sources.binding import raw_ctes
 
-EDGE = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
+# White space as ranges, written out here on its own.
+SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+EDGE = f"^{SPACE}+|{SPACE}+$"
 
 
 def strip(c: str) -> str:
@@ -26,17 +26,27 @@ def clean_text(c: str, upper: bool = False, lower: bool = False) -> str:
 
 
 def to_datetime(c: str) -> str:
+    """A date alone, or the first 26 characters of a date and time whose T becomes a blank."""
     s = strip(c)
-    return f"(CASE WHEN regexp_matches({s}, '{TIMESTAMP_PATTERN}') THEN TRY_CAST({s} AS TIMESTAMP) END)"
+    return (f"(CASE WHEN regexp_full_match({s}, '\\d\\d\\d\\d-\\d\\d-\\d\\d') THEN TRY_CAST({s} AS TIMESTAMP) "
+            f"WHEN regexp_full_match({s}, '\\d\\d\\d\\d-\\d\\d-\\d\\d[T ]\\d\\d:\\d\\d:\\d\\d([.]\\d+)?') "
+            f"THEN TRY_CAST(replace(substr({s}, 1, 26), 'T', ' ') AS TIMESTAMP) END)")
+
+
+def _double(c: str) -> str:
+    return f"TRY_CAST(trim(CAST({c} AS VARCHAR)) AS DOUBLE)"
 
 
 def to_number(c: str) -> str:
-    return f"TRY_CAST(CAST({c} AS VARCHAR) AS DECIMAL(18,6))"
+    """The range is judged on the value as a double."""
+    d = _double(c)
+    return (f"(CASE WHEN {d} IS NULL OR NOT isfinite({d}) THEN NULL WHEN abs({d}) >= 1e12 THEN CAST(error('number out of range') "
+            f"AS DECIMAL(18,6)) ELSE TRY_CAST(CAST({c} AS VARCHAR) AS DECIMAL(18,6)) END)")
 
 
 def to_integer(c: str) -> str:
-    n = to_number(c)
-    return (f"(CASE WHEN {n} IS NULL THEN NULL WHEN {n} = floor({n}) THEN CAST({n} AS INTEGER) "
+    d = _double(c)
+    return (f"(CASE WHEN {d} IS NULL OR NOT isfinite({d}) THEN NULL WHEN {d} = floor({d}) THEN CAST({d} AS INTEGER) "
             f"ELSE CAST(error('fractional integer') AS INTEGER) END)")
 
 

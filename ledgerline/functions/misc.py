@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Words accepted as booleans (trimmed, case-insensitive).
-TRUE_WORDS = ("1", "true", "yes", "y")
-FALSE_WORDS = ("0", "false", "no", "n")
+from .text import strip_unicode
+
+# Words accepted as booleans (stripped, in any case).
+BOOLEAN_WORDS = {
+    "1": True, "true": True, "yes": True, "y": True,
+    "0": False, "false": False, "no": False, "n": False,
+}
 
 # Cells read as missing on CSV ingest, compared exactly.
 NA_TOKENS = (
@@ -18,26 +22,19 @@ NA_TOKENS = (
 
 
 def parse_bool(col: Column | str) -> Column:
-    """``1/true/yes/y`` -> true, ``0/false/no/n`` -> false, anything else raises."""
+    """The boolean that a word stands for; any other value, NULL included, fails the job."""
     c = F.col(col) if isinstance(col, str) else col
-    word = F.lower(F.trim(c))
-    return (
-        F.when(word.isin(*TRUE_WORDS), F.lit(True))
-        .when(word.isin(*FALSE_WORDS), F.lit(False))
-        .otherwise(F.raise_error(F.concat(F.lit("Expected a boolean value, got: "), F.coalesce(c, F.lit("NULL")))).cast("boolean"))
-    )
-
-
-def parse_bool_value(value: str | bool) -> bool:
-    """Driver-side twin of :func:`parse_bool` for job parameters."""
-    if isinstance(value, bool):
-        return value
-    word = value.strip().lower()
-    if word in TRUE_WORDS:
-        return True
-    if word in FALSE_WORDS:
-        return False
-    raise ValueError(f"Expected a boolean value, got: {value}")
+    words = F.create_map(*[F.lit(x) for pair in BOOLEAN_WORDS.items() for x in pair])
+    found = F.try_element_at(words, F.lower(strip_unicode(c)))
+    return F.coalesce(found, F.raise_error(F.concat(F.lit("not a boolean word: "), F.coalesce(c, F.lit("NULL")))).cast("boolean"))
+
+
+def boolean_option(value: str | bool) -> bool:
+    """A job parameter as a boolean, by the same words."""
+    found = value if isinstance(value, bool) else BOOLEAN_WORDS.get(value.strip().lower())
+    if found is None:
+        raise ValueError(f"not a boolean word: {value!r}")
+    return found
 
 
 def null_na_tokens(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

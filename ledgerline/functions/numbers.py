@@ -1,7 +1,8 @@
 """Lenient number parsing.
 
-Money is parsed to DECIMAL(18,6) and summed exactly; rounding to the stored
-scale happens only on the final cast (HALF_UP, overflow raises under ANSI).
+Text that is no number is NULL; text that is a finite number but does not fit
+fails the job, whatever its size. Money is parsed to DECIMAL(18,6) and summed
+exactly; rounding to the stored scale happens only on the final cast (HALF_UP).
 """
 
 from __future__ import annotations
@@ -16,12 +17,28 @@ def _col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def to_number(col: Column | str) -> Column:
-    """Text to DECIMAL(18,6); anything unparsable (``'1,000'``, ``'x'``, ``'inf'``) is NULL.
+# The widest decimal: what integers are judged on, before any rounding to money.
+WIDE_TYPE = "decimal(38,18)"
+# What counts as a finite decimal number, surrounding ASCII blanks allowed.
+NUMBER_PATTERN = r"^[\x09-\x0D ]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[\x09-\x0D ]*$"
 
-    Surrounding blanks and exponents (``' 4 '``, ``'1e3'``) are accepted.
+
+def _number_as(col: Column | str, data_type: str, what: str) -> Column:
+    text = _col(col).cast("string")
+    is_number = text.rlike(NUMBER_PATTERN)
+    # Blanks other than the space are stripped here: a decimal cast may not take them.
+    value = F.regexp_replace(text, r"[\x09-\x0D ]", "").try_cast(data_type)
+    return F.when(is_number, F.when(value.isNotNull(), value).otherwise(
+        F.raise_error(F.concat(F.lit(f"number out of range for {what}: "), text)).cast(data_type)))
+
+
+def to_number(col: Column | str, *, what: str = "number") -> Column:
+    """Text to DECIMAL(18,6); anything that is no number (``'1,000'``, ``'x'``, ``'inf'``) is NULL.
+
+    Surrounding blanks and exponents (``' 4 '``, ``'1e3'``) are accepted. A number of 1e12 or more,
+    which the stored NUMERIC(12,2) could not take either, fails the job instead of becoming NULL.
     """
-    return _col(col).cast("string").try_cast(PARSE_TYPE)
+    return _number_as(col, PARSE_TYPE, what)
 
 
 def strict_cast(col: Column | str, data_type, what: str = "value") -> Column:
@@ -39,16 +56,18 @@ def strict_cast(col: Column | str, data_type, what: str = "value") -> Column:
 
 
 def to_integer(col: Column | str, *, what: str = "value") -> Column:
-    """Text to INT. ``'40.0'`` is 40; a fractional value fails the job.
+    """Text to INT. ``'40.0'`` is 40; a fraction of any size and an oversize number fail the job.
 
     A fractional number in an integer column is a data error in the source
-    system, so it raises instead of silently truncating.
+    system. It is judged on all its digits: on a wide decimal, and on the text as a double for digits beyond that.
     """
-    number = to_number(col)
+    number = _number_as(col, WIDE_TYPE, what)
+    rough = F.regexp_replace(_col(col).cast("string"), r"[\x09-\x0D ]", "").try_cast("double")
+    whole = (number == F.floor(number)) & (rough == F.floor(rough))
     return (
         F.when(number.isNull(), F.lit(None).cast("int"))
-        .when(number == F.floor(number), strict_cast(number, "int", what))
-        .otherwise(F.raise_error(F.concat(F.lit(f"fractional {what}: "), number.cast("string"))).cast("int"))
+        .when(whole, strict_cast(number, "int", what))
+        .otherwise(F.raise_error(F.concat(F.lit(f"fractional {what}: "), _col(col).cast("string"))).cast("int"))
     )
 
 
@@ -57,7 +76,3 @@ def nan_to_null(col: Column | str) -> Column:
     c = _col(col)
     return F.when(~F.isnan(c), c)
 
-
-def money(col: Column | str, precision: int = 12, scale: int = 2) -> Column:
-    """Store-time rounding of a decimal to NUMERIC(p,s): HALF_UP, error on overflow."""
-    return strict_cast(col, f"decimal({precision},{scale})", "money")

@@ -14,9 +14,6 @@ WHITESPACE_CODEPOINTS = (
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
 WHITESPACE = "".join(chr(c) for c in WHITESPACE_CODEPOINTS)
-# The same set as a regex character class (used by the SQL oracle).
-WHITESPACE_CLASS = "[" + "".join(f"\\x{{{c:X}}}" for c in WHITESPACE_CODEPOINTS) + "]"
-
 
 def strip_unicode(col: Column | str) -> Column:
     """Remove leading and trailing Unicode whitespace.
@@ -28,15 +25,12 @@ def strip_unicode(col: Column | str) -> Column:
     return F.btrim(c.cast("string"), F.lit(WHITESPACE))
 
 
-def clean_text(col: Column | str, *, upper: bool = False, lower: bool = False) -> Column:
-    """Stripped text; empty becomes NULL; optional case folding."""
-    stripped = strip_unicode(col)
-    cleaned = F.when(stripped != F.lit(""), stripped)
-    if upper:
-        cleaned = F.upper(cleaned)
-    if lower:
-        cleaned = F.lower(cleaned)
-    return cleaned
+FOLDS = {None: lambda c: c, "upper": F.upper, "lower": F.lower}
+
+
+def clean_text(col: Column | str, case: str | None = None) -> Column:
+    """Text without surrounding white space, NULL if nothing is left, folded to ``case``."""
+    return F.nullif(FOLDS[case](strip_unicode(col)), F.lit(""))
 
 
 def truncate(col: Column | str, length: int) -> Column:

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from .text import strip_unicode
 
-# Fixed value: the one accepted layout for source timestamps, yyyy-MM-dd HH:mm:ss
-# with an optional fraction of a second.
-TIMESTAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
+# Accepted layouts: a date, or a date and a time of day to the second with any fraction, joined by a blank or T.
+TIMESTAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?)?$"
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -19,17 +18,24 @@ def _col(col: Column | str) -> Column:
 
 
 def to_datetime(col: Column | str) -> Column:
-    """Lenient parse: the fixed layout or NULL (bad dates such as Feb 30 too)."""
+    """Lenient parse: one of the accepted layouts, else NULL (bad dates such as Feb 30 too).
+
+    Fractions of a second are cut to microseconds.
+    """
     text = strip_unicode(_col(col))
-    return F.when(text.rlike(TIMESTAMP_PATTERN), text.try_cast("timestamp_ntz"))
+    micros = F.regexp_replace(text, r"(\.[0-9]{6})[0-9]+$", "$1")
+    return F.when(text.rlike(TIMESTAMP_PATTERN), micros.try_cast("timestamp_ntz"))
 
 
 def strict_timestamp(col: Column | str) -> Column:
-    """Strict cast used by the batch scan: a bad value fails the run (whatever the ANSI setting)."""
-    c = _col(col)
-    parsed = c.try_cast("timestamp_ntz")
+    """The same parse for the batch scan, where a bad value fails the run (whatever the ANSI setting).
+
+    What the scan accepts the cleaner accepts, so no scanned order is lost behind the watermark.
+    """
+    c = _col(col).cast("string")
+    parsed = to_datetime(c)
     return F.when(c.isNotNull() & parsed.isNull(),
-                  F.raise_error(F.concat(F.lit("invalid timestamp: "), c))).otherwise(parsed)
+                  F.raise_error(F.concat(F.lit("invalid timestamp: "), c)).cast("timestamp_ntz")).otherwise(parsed)
 
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:

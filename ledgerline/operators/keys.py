@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ORDINAL = "_ordinal"   # source row number written by CSV ingest
+ORDINAL = "_ordinal"   # a row's place in its CSV table: file, block, row
 TIEBREAK = "_tiebreak"  # struct that orders duplicate rows: greatest = last
 
 
@@ -16,18 +16,18 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.na.drop("any", subset=list(keys))
 
 
-def tiebreak_of(raw: DataFrame, key_columns: Sequence[str], lead: Sequence[Column] = ()) -> Column:
+def tiebreak_of(raw: DataFrame, key_columns: Sequence[str], lead: Sequence[Column] = (),
+                then: Sequence[Column] = ()) -> Column:
     """The ordering that decides which duplicate is "last".
 
-    With a source ordinal (CSV ingest) the last row read wins. Without one the
-    order is undefined at the source, so we fix it: optional ``lead`` columns,
-    then every non-key raw column, then the raw key columns, all compared
-    descending with NULL lowest. Helper columns (leading ``_``) are skipped.
+    ``lead`` columns come first. With a source ordinal (CSV ingest) the last row read wins, and of rows
+    that a join made from it the greatest by ``then`` (the other side's ordinal). Every non-key raw column
+    and the raw key columns follow, compared descending with NULL lowest, so rows that still tie are
+    equal and the pick does not depend on the plan. Helper columns (leading ``_``) are skipped there.
     """
-    if ORDINAL in raw.columns:
-        return F.struct(*lead, F.col(ORDINAL))
     others = [c for c in raw.columns if c not in key_columns and not c.startswith("_")]
-    return F.struct(*lead, *[F.col(c) for c in [*others, *key_columns]])
+    source = [F.col(ORDINAL)] if ORDINAL in raw.columns else []
+    return F.struct(*lead, *source, *then, *[F.col(c) for c in [*others, *key_columns]])
 
 
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order_col: str = TIEBREAK) -> DataFrame:
@@ -36,8 +36,8 @@ def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order_col: str = TIEBRE
     ``row_number() = 1`` over the key: Spark plans it with a partial
     ``WindowGroupLimit`` that keeps the top row per key in every map task
     before the shuffle, so a hot key is reduced map-side instead of landing in
-    one task whole. Rows tied on ``order_col`` are identical in every column
-    derived from it, so the pick is deterministic.
+    one task whole. ``tiebreak_of`` leaves only equal rows tied, so the pick is
+    deterministic.
     """
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())

@@ -17,7 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean_text, to_datetime, to_integer, to_number
-from ..operators.keys import TIEBREAK, dedupe_keep_last, require_keys, tiebreak_of
+from ..operators.keys import ORDINAL, TIEBREAK, dedupe_keep_last, require_keys, tiebreak_of
+
+
+T_ORDINAL = "_t_ordinal"
 
 
 def _with_batch(cols: list[Column], batch_id: Column | int | None) -> list[Column]:
@@ -38,7 +41,7 @@ def clean_orders(raw: DataFrame, batch_id: Column | int | None = None, keep_tieb
     cols = [
         clean_text("order_id").alias("order_id"),
         clean_text("customer_id").alias("customer_id"),
-        clean_text("order_status", lower=True).alias("order_status"),
+        clean_text("order_status", "lower").alias("order_status"),
         purchased.alias("purchased_at"),
         to_datetime("order_approved_at").alias("approved_at"),
         to_datetime("order_delivered_carrier_date").alias("delivered_carrier_at"),
@@ -51,28 +54,26 @@ def clean_orders(raw: DataFrame, batch_id: Column | int | None = None, keep_tieb
     return _finish(df, ["order_id", "customer_id", "purchased_at"], dedupe=False)
 
 
-def latest_order_rows(orders: DataFrame) -> DataFrame:
-    """Collapse duplicate order ids to the latest (purchase time, raw id) row."""
-    return dedupe_keep_last(orders, ["order_id"])
-
-
 def clean_customers(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = ()) -> DataFrame:
     df = raw.select(*_with_batch([
         clean_text("customer_id").alias("customer_id"),
         clean_text("customer_unique_id").alias("customer_unique_id"),
         to_integer("customer_zip_code_prefix", what="customer_zip_code_prefix").alias("customer_zip_code_prefix"),
-        clean_text("customer_city", lower=True).alias("customer_city"),
-        clean_text("customer_state", upper=True).alias("customer_state"),
+        clean_text("customer_city", "lower").alias("customer_city"),
+        clean_text("customer_state", "upper").alias("customer_state"),
     ], batch_id), tiebreak_of(raw, ["customer_id"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["customer_id"])
 
 
 def products_with_translation(products: DataFrame, translations: DataFrame) -> DataFrame:
-    """Left join on the raw category text; duplicate translations fan out (deduped later)."""
-    t = translations.select(
-        F.col("product_category_name").alias("_t_category"),
-        F.col("product_category_name_english"),
-    )
+    """Left join on the raw category text; duplicate translations fan out (deduped later).
+
+    A translation's ordinal, when it has one, comes along as ``_t_ordinal``.
+    """
+    cols = [F.col("product_category_name").alias("_t_category"), F.col("product_category_name_english")]
+    if ORDINAL in translations.columns:
+        cols.append(F.col(ORDINAL).alias(T_ORDINAL))
+    t = translations.select(*cols)
     joined = products.join(t, products["product_category_name"] == t["_t_category"], "left")
     return joined.drop("_t_category")
 
@@ -91,10 +92,11 @@ def clean_products(products: DataFrame, translations: DataFrame,
     ]
     df = raw.select(*_with_batch([
         clean_text("product_id").alias("product_id"),
-        clean_text("product_category_name", lower=True).alias("product_category_name"),
-        clean_text("product_category_name_english", lower=True).alias("product_category_name_english"),
+        clean_text("product_category_name", "lower").alias("product_category_name"),
+        clean_text("product_category_name_english", "lower").alias("product_category_name_english"),
         *[to_integer(src, what=dst).alias(dst) for src, dst in ints],
-    ], batch_id), tiebreak_of(raw, ["product_id"], lead=lead).alias(TIEBREAK))
+    ], batch_id), tiebreak_of(raw, ["product_id"], lead=lead,
+                              then=[F.col(c) for c in (T_ORDINAL,) if c in raw.columns]).alias(TIEBREAK))
     return _finish(df, ["product_id"])
 
 
@@ -102,8 +104,8 @@ def clean_sellers(raw: DataFrame, batch_id: Column | int | None = None, lead: li
     df = raw.select(*_with_batch([
         clean_text("seller_id").alias("seller_id"),
         to_integer("seller_zip_code_prefix", what="seller_zip_code_prefix").alias("seller_zip_code_prefix"),
-        clean_text("seller_city", lower=True).alias("seller_city"),
-        clean_text("seller_state", upper=True).alias("seller_state"),
+        clean_text("seller_city", "lower").alias("seller_city"),
+        clean_text("seller_state", "upper").alias("seller_state"),
     ], batch_id), tiebreak_of(raw, ["seller_id"], lead=lead).alias(TIEBREAK))
     return _finish(df, ["seller_id"])
 
@@ -128,7 +130,7 @@ def clean_payments(raw: DataFrame, batch_id: Column | int | None = None, lead: l
     df = raw.select(*_with_batch([
         clean_text("order_id").alias("order_id"),
         to_integer("payment_sequential", what="payment_sequential").alias("payment_sequential"),
-        clean_text("payment_type", lower=True).alias("payment_type"),
+        clean_text("payment_type", "lower").alias("payment_type"),
         to_integer("payment_installments", what="payment_installments").alias("payment_installments"),
         to_number("payment_value").alias("payment_value"),
     ], batch_id), *carry, tiebreak_of(raw, ["order_id", "payment_sequential"], lead=lead).alias(TIEBREAK))

@@ -9,6 +9,7 @@ return what it published (audit timestamps left out).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,29 +56,39 @@ def _backlog_store(spark: SparkSession, sf_dir: str, batch_size: int = DEFAULT_B
 
 
 # ---------------------------------------------------------------- sources
-@register("csv_ingest")
-def csv_ingest(spark, sf_dir):
-    """Raw tables written as CSV files, scanned back as one table per file stem."""
+def _csv_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """The raw tables written as CSV files and scanned back, one table per file stem."""
     directory = scratch_path(spark, "csv")
     ingest.write_csv_tables(bind_raw(spark, sf_dir), directory)
-    return ingest.load_csv_directory(spark, directory)["raw_orders"].drop("_ordinal")
+    return {name: df.drop("_ordinal") for name, df in ingest.load_csv_directory(spark, directory).items()}
+
+
+def _stacked(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("csv_ingest")
+def csv_ingest(spark, sf_dir):
+    """Every row of every ingested table, its cells joined in column order."""
+    return _stacked([
+        df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *[F.coalesce(c, F.lit("~")) for c in df.columns]).alias("cells"))
+        for name, df in _csv_tables(spark, sf_dir).items()])
 
 
 @register("na_tokens")
 def na_tokens(spark, sf_dir):
-    """Missing-value tokens and blank cells become NULL on ingest."""
-    directory = scratch_path(spark, "csv")
-    raw = bind_raw(spark, sf_dir)
-    ingest.write_csv_tables({"raw_order_items": raw["raw_order_items"], "raw_reviews": raw["raw_reviews"]}, directory)
-    return ingest.load_csv_directory(spark, directory)["raw_reviews"].drop("_ordinal")
+    """Per column of every ingested table, the rows and the cells that are not missing-value tokens."""
+    return _stacked([
+        df.agg(F.count("*").alias("n"), *[F.count(c).alias(c) for c in df.columns])
+        .select(F.lit(name).alias("table_name"), F.col("n").alias("row_count"),
+                F.explode(F.create_map(*[x for c in df.columns for x in (F.lit(c), F.col(c))])).alias("column_name", "present"))
+        for name, df in _csv_tables(spark, sf_dir).items()])
 
 
 @register("table_profile")
 def table_profile(spark, sf_dir):
     """Rows, column count and names of every ingested table."""
-    directory = scratch_path(spark, "csv")
-    ingest.write_csv_tables(bind_raw(spark, sf_dir), directory)
-    return ingest.table_profile(ingest.load_csv_directory(spark, directory))
+    return ingest.table_profile(_csv_tables(spark, sf_dir))
 
 
 @register("raw_all_text")
@@ -301,8 +312,8 @@ def fn_clean_text(spark, sf_dir):
     """Unicode strip, blank -> NULL, case folding, over order status and customer text."""
     raw = bind_raw(spark, sf_dir)["raw_orders"]
     return raw.select("order_id", clean_text("order_status").alias("status_clean"),
-                      clean_text("order_status", upper=True).alias("status_upper"),
-                      clean_text("order_status", lower=True).alias("status_lower"))
+                      clean_text("order_status", "upper").alias("status_upper"),
+                      clean_text("order_status", "lower").alias("status_lower"))
 
 
 @register("fn_to_datetime")
@@ -340,7 +351,7 @@ def fn_delivery_days(spark, sf_dir):
 def fn_parse_bool(spark, sf_dir):
     """truthy words; the words are derived per order from its key."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    word = F.element_at(F.array(*[F.lit(w) for w in (" yes", "NO ", "y", "n", "1", "0", "True", "false")]),
+    word = F.element_at(F.array(*[F.lit(w) for w in (" yes", "\tNO\n", "y", "n", "1", "0", "\u3000True", "false")]),
                         (F.col("o_orderkey") % 8 + 1).cast("int"))
     return o.select("o_orderkey", word.alias("word"), parse_bool(word).alias("flag"))
 

@@ -1,68 +1,100 @@
 """CSV directory -> all-text bronze tables.
 
-Each ``*.csv`` under the directory is one table named after its stem (a
-``name.csv/`` directory of part files counts as one table too). Every cell is
-read as text -- no type inference -- and missing-value tokens become NULL.
-A ``_ordinal`` column records the row's position in its file; quoted
-multi-line CSV is not splittable, so each file is read by one task in file
-order and the ordinal is the row order. Parallelism comes from reading many
-files; after landing, the Parquet bronze tables are splittable.
+Each ``*.csv`` directly under the directory is one table named after its stem
+(a ``name.csv/`` directory of part files counts as one table too). Every cell
+is read as text -- no type inference -- and missing-value tokens become NULL.
+``_ordinal`` records a row's place in its table: file path, block, row.
+
+With ``multi_line`` (the default) quoted cells may hold line breaks, and a file
+is read by one task; without it files are split and read in parallel. A row
+with fewer cells than the header ends in NULLs, one with more fails the load.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import to_datetime
 from ..functions.misc import null_na_tokens
 from ..operators.keys import ORDINAL
 
-CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "encoding": "UTF-8",
-            "inferSchema": "false", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-            "mode": "FAILFAST"}
+CSV_READ = {"header": "true", "escape": '"', "quote": '"', "encoding": "UTF-8", "inferSchema": "false",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 CSV_WRITE = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false"}
 
 
 def list_csv_tables(spark: SparkSession, directory: str) -> dict[str, str]:
-    """``stem -> path`` for every CSV table under ``directory``, sorted by name.
+    """``stem -> path`` for every CSV table directly under ``directory``, sorted by name.
 
     Listing uses the ``binaryFile`` source with only ``path`` selected, so no
-    file content is read.
+    file content is read; part files are reduced to their table before anything
+    reaches the driver. Files in other sub-folders are no tables of this directory.
     """
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+               .option("recursiveFileLookup", "true"))
     try:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-                 .option("recursiveFileLookup", "true").load(directory).select("path"))
-        paths = [r.path for r in files.collect()]  # file names only
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            paths = []
-        else:
+        files = listing.load(directory).select("path")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-    tables: dict[str, str] = {}
-    for p in paths:
-        parts = p.rstrip("/").split("/")
-        parent = parts[-2] if len(parts) > 1 else ""
-        if parent.endswith(".csv"):
-            tables[parent[:-4]] = "/".join(parts[:-1])
-        elif parts[-1].endswith(".csv"):
-            tables[parts[-1][:-4]] = p
-    if not tables:
-        raise FileNotFoundError(f"No CSV files found in {directory}")
-    return dict(sorted(tables.items()))
-
-
-def read_csv_table(spark: SparkSession, path: str) -> DataFrame:
-    """One CSV table as text columns, NA tokens nulled, with the source ordinal."""
-    df = spark.read.options(**CSV_READ).csv(path)
-    df = null_na_tokens(df)
-    return df.withColumn(ORDINAL, F.monotonically_increasing_id())
-
-
-def load_csv_directory(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    return {name: read_csv_table(spark, path) for name, path in list_csv_tables(spark, directory).items()}
+        raise FileNotFoundError(f"{directory}: no such directory") from exc
+    root = directory.rstrip("/").rsplit("/", 1)[-1]
+    parts = F.split("path", "/")
+    name, folder, above = (F.try_element_at(parts, F.lit(-i)) for i in (1, 2, 3))
+    tables = (files.select(F.when((folder == root) & name.endswith(".csv"), F.col("path"))
+                           .when((above == root) & folder.endswith(".csv"), F.regexp_replace("path", "/[^/]*$", "")).alias("path"))
+              .where(F.col("path").isNotNull()).distinct())
+    paths = sorted(r.path for r in tables.collect())  # one per table
+    stems = [p.rsplit("/", 1)[1][:-len(".csv")] for p in paths]
+    if not stems:
+        raise FileNotFoundError(f"no CSV table in {directory}")
+    repeated = sorted({x for x in stems if stems.count(x) > 1})
+    if repeated:
+        raise ValueError(f"several CSV tables in {directory} are named {', '.join(repeated)}")
+    return dict(sorted(zip(stems, paths)))
+
+
+_CORRUPT, _MARK = "_corrupt_row", "\x01"
+
+
+def read_csv_table(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One CSV table as text columns, NA tokens nulled, with the source ordinal.
+
+    Rows whose number of cells differs from the header's arrive flagged with
+    their text. Only those are parsed once more, a mark put behind their last
+    cell: if the mark is not among the first header + 1 cells, the row is too long.
+    """
+    options = {**CSV_READ, "multiLine": str(multi_line).lower()}
+    columns = spark.read.options(**options).csv(path).columns
+    if _CORRUPT in columns:
+        raise ValueError(f"{path}: column name {_CORRUPT} is reserved")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _CORRUPT]])
+    rows = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning="false",
+                              enforceSchema="false").schema(schema).csv(path)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    rows = rows.select("*", place.alias(ORDINAL))
+    cells = [f"c{i}" for i in range(len(columns) + 1)]
+    again = F.from_csv(F.concat(F.col(_CORRUPT), F.lit(f",{_MARK}")), ", ".join(f"{c} string" for c in cells),
+                       {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    fits = reduce(Column.__or__, [again[c].eqNullSafe(F.lit(_MARK)) for c in cells])
+    too_long = F.col(_CORRUPT).isNotNull() & ~fits
+    # Naming a data cell also keeps the reader from scanning for the flag alone, which Spark refuses.
+    message = F.concat(F.lit(f"{path}: row with more than {len(columns)} cells, the first "), F.coalesce(columns[0], F.lit("NULL")),
+                       F.lit(": "), F.substring(_CORRUPT, 1, 200))
+    checked = rows.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return null_na_tokens(checked.drop(_CORRUPT), columns)
+
+
+def load_csv_directory(spark: SparkSession, directory: str, multi_line: bool = True) -> dict[str, DataFrame]:
+    return {name: read_csv_table(spark, path, multi_line) for name, path in list_csv_tables(spark, directory).items()}
 
 
 def as_raw_text(df: DataFrame) -> DataFrame:
@@ -73,6 +105,12 @@ def as_raw_text(df: DataFrame) -> DataFrame:
     ])
 
 
+def clustered(df: DataFrame, key: Column) -> DataFrame:
+    """Range-partitioned and sorted by ``key``; a hash of the row splits a key (or NULL) that holds many rows."""
+    spread = F.xxhash64(*[F.col(c) for c in df.columns if c != ORDINAL])
+    return df.repartitionByRange(key.asc_nulls_last(), spread).sortWithinPartitions(key)
+
+
 PURCHASE_TS = "_purchase_ts"  # typed ordering column added to bronze orders
 
 
@@ -84,8 +122,8 @@ def with_ordering_column(orders: DataFrame) -> DataFrame:
     reach the reader, and sorted files give tight min/max statistics, so row
     groups wholly before the watermark are skipped.
     """
-    typed = orders.withColumn(PURCHASE_TS, F.col("order_purchase_timestamp").try_cast("timestamp_ntz"))
-    return typed.repartitionByRange(F.col(PURCHASE_TS).asc_nulls_last()).sortWithinPartitions(PURCHASE_TS)
+    typed = orders.withColumn(PURCHASE_TS, to_datetime("order_purchase_timestamp"))
+    return clustered(typed, F.col(PURCHASE_TS))
 
 
 # Lookup key of each child table: bronze files are clustered by it, so a batch's
@@ -110,7 +148,7 @@ def write_bronze(tables: dict[str, DataFrame], root: str, suffix: str = "") -> d
             out = with_ordering_column(out)
         elif CLUSTER_BY_KEY.get(name) in df.columns:
             key = CLUSTER_BY_KEY[name]
-            out = out.repartitionByRange(F.col(key).asc_nulls_last()).sortWithinPartitions(key)
+            out = clustered(out, F.col(key))
         out.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
@@ -155,13 +193,18 @@ def land_bronze(spark: SparkSession, tables: dict[str, DataFrame], root: str) ->
 
 
 def _latest_load(spark: SparkSession, root: str) -> str | None:
+    loads = committed(spark, f"{root}/_loads")
+    return None if loads is None else loads.agg(F.max(F.col("load").cast("string"))).first()[0]
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``; None if nothing was ever committed there. Any other failure raises."""
     try:
-        loads = spark.read.parquet(f"{root}/_loads")
-    except Exception as exc:  # no load yet
-        if any(s in str(exc) for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist")):
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return loads.agg(F.max(F.col("load").cast("string"))).first()[0]
 
 
 def read_bronze(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..sources.ingest import committed
 
 LAYOUT_COL = "layout_period"
 WHOLE = ""  # ``part`` value of an unpartitioned table's single fragment
@@ -75,13 +76,10 @@ class Warehouse:
 
     # -- manifest ------------------------------------------------------------
     def _load_manifest(self) -> None:
-        try:
-            m = self.spark.read.parquet(f"{self.root}/_manifest")
-        except Exception as exc:  # no manifest yet
-            if any(s in str(exc) for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist")):
-                self._frags, self._version = {}, 0
-                return
-            raise
+        m = committed(self.spark, f"{self.root}/_manifest")
+        if m is None:
+            self._frags, self._version = {}, 0
+            return
         latest = m.agg(F.max("version")).first()[0]
         top = m.where(F.col("version") == latest)
         # One committed attempt per version (single writer); pick deterministically anyway.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from decimal import Decimal
 
 from ledgerline.plans import build, entities as E, serving
@@ -127,3 +129,27 @@ def test_r22_bronze_keeps_source_text(spark, tmp_path):
     (tmp_path / "t.csv").write_text("zip,price\n01409,58.90\n", encoding="utf-8")
     row = ingest.load_csv_directory(spark, str(tmp_path))["t"].first()
     assert (row.zip, row.price) == ("01409", "58.90")
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+@pytest.mark.parametrize("join", ["broadcast", "merge"])
+def test_last_translation_in_the_file_wins_with_any_plan(spark, tmp_path, parts, join):
+    """Twenty translations per category: the last merged row is the last product row's last translation."""
+    from ledgerline.sources import ingest
+    (tmp_path / "p.csv").write_text("product_id,product_category_name,product_name_lenght,product_description_lenght,product_photos_qty,"
+                                    "product_weight_g,product_length_cm,product_height_cm,product_width_cm\n"
+                                    + "".join(f"p{i % 50},cat{i % 4},1,1,1,{i},1,1,1\n" for i in range(100)), encoding="utf-8")
+    (tmp_path / "t.csv").write_text("product_category_name,product_category_name_english\n"
+                                    + "".join(f"cat{i % 4},name_{(i * 37) % 80:02d}\n" for i in range(80)), encoding="utf-8")
+    tables = ingest.load_csv_directory(spark, str(tmp_path))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if join == "merge" else threshold)
+    try:
+        got = {r.product_id: (r.product_weight_g, r.product_category_name_english)
+               for r in E.clean_products(tables["p"].repartition(parts), tables["t"].repartition(parts)).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    want = {}
+    for i in range(100):  # file order: later rows replace earlier ones
+        want[f"p{i % 50}"] = (i, f"name_{((76 + i % 4) * 37) % 80:02d}")
+    assert got == want

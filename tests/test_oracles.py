@@ -11,11 +11,12 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from ledgerline.checks.oracles import oracle_sql  # noqa: E402
+from ledgerline.plans.registry import QUERIES  # noqa: E402
 from oracle_check import TABLES, canon  # noqa: E402
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+ORACLES = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +31,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
