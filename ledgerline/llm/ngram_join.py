@@ -1,14 +1,19 @@
 """N-gram Jaccard self-join with adaptive multi-match prefixes, and its connected components.
 
 All shingles have one global order, rare ones first (by a fixed-width count table over all documents,
-then by hash). Two sets of Jaccard similarity t share at least l of the first ``p + l - 1`` shingles of
-each, with ``p = n - ceil(t n) + 1``. Longer prefixes (larger l) cost more postings but leave fewer
-candidates; every set takes the l that its postings' exact lengths make cheapest, and a pair must share
-as many prefix shingles as the smaller l of the two asks.
+then by hash). Of a set of n shingles the first ``n - rest(n)`` are its prefix. Two sets of similarity t
+share at least ``need(n) - rest(n)`` prefix shingles, so a longer prefix asks for more matches. Every set
+takes one of two lengths (``LEVELS``): the longer if the count table estimates that its shorter prefix
+would meet many candidates. A pair goes by the shorter level of the two.
+
+What the extra matches buy: with the prefix shingles' exact posting lengths, each set may leave out its
+``spare(n) - 1`` most frequent ones, for the rarest shingle that a pair shares has at least so many shared
+ones above it. Sets whose prefix repeats by chance only thus post nothing. The postings left are
+joined, and a pair must still share as many of them as its sizes imply before it is verified.
 
 Copies are collapsed first: documents with equal sets are one node. Components need no list of all pairs:
-round one verifies every set against the set it shares most postings with as first of the list; round
-two verifies all remaining candidate pairs whose components still differ. Long postings are split into
+round one verifies every set against the one with the fewest shingles of its own in a posting list, of these
+the one it shares most lists with; round two verifies all remaining candidate pairs whose components still differ. Long postings are split into
 blocks of rows that meet pairwise in different tasks.
 """
 
@@ -19,18 +24,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import cut
 
-MAX_MATCHES = 4
+#: (percent, count): a prefix of this level is percent + 100 - t of a set, and count shingles, long.
+LEVELS = ((5, 3), (10, 6))
 COUNTERS = 1 << 18
 COUNTER_ROWS = 16
 POSTING_BLOCK = 1_000
 ROWS_PER_BUCKET = 100_000
-#: Verifying a candidate costs about so many posting reads for each of its shingles.
-VERIFY_COST = 0.05
+#: What verifying a candidate costs, in postings.
+VERIFY_COST = 10
+#: Ids of the sets to verify are broadcast if they were counted and are no more (8 MB).
+BROADCAST_IDS = 500_000
 _M = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD))
 
 
@@ -61,11 +69,30 @@ def set_key(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64)))
 
 
-def need(t100: int, n: np.ndarray) -> np.ndarray:
+def need(t100: int, n):
     """Overlap that a set of n needs at least with any similar set: ceil(t n)."""
     return -(-t100 * n // 100)
 
 
+def rest(t100: int, n, level: int):
+    """Shingles behind the prefix. Never falls as n grows, nor does ``spare``; the proof above needs both."""
+    percent, count = LEVELS[level]
+    return np.maximum(0, (t100 - percent) * n // 100 - count)
+
+
+def spare(t100: int, n, level: int):
+    """At most need(n) - rest(n): prefix shingles that any similar pair of at least this size shares."""
+    percent, count = LEVELS[level]
+    return np.minimum(percent * n // 100 + count - 1, need(t100, n))
+
+
+def _sql(t100: int, level: int) -> tuple[str, str]:
+    """``rest`` and ``spare`` of the column n."""
+    percent, count = LEVELS[level]
+    return (f"greatest(0, ({t100 - percent} * n) div 100 - {count})",
+            f"least(({percent} * n) div 100 + {count - 1}, ({t100} * n + 99) div 100)")
+
+
 def _counter(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(7)) & np.uint64(COUNTERS - 1)
 
@@ -106,12 +133,16 @@ def _add_up(table: pa.Table) -> pa.Table:
 
 
 def _prefixes(width: int, t100: int, shared):
-    """mapInArrow: text -> postings (token, key, n, pos) of the longest prefix, once per set and task."""
+    """mapInArrow: text -> postings (token, key, n, level, short) of the prefix, once per set and task.
+
+    ``short``: the shingle lies in the prefix of level 0 as well.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity, seen = shared.value, set()
+        usual = 2 * float(rarity.mean())
         for b in batches:
-            tokens, keys, ns, places = [], [], [], []
+            out = []
             for t in b.column("text").to_pylist():
                 s = shingle_set(t, width)
                 n = len(s)
@@ -119,76 +150,76 @@ def _prefixes(width: int, t100: int, shared):
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(key)
-                m = min(n, int(n - need(t100, np.int64(n)) + MAX_MATCHES))
+                short, long = (n - int(rest(t100, n, level)) for level in (0, 1))
                 count = rarity[_counter(s).astype(np.int64)]
-                if m < n:
-                    some = np.argpartition(count, m - 1)[:m]
-                    some = np.flatnonzero(count <= count[some].max())
-                    order = some[np.lexsort((s[some], count[some]))][:m]
-                else:
-                    order = np.lexsort((s, count))
-                tokens.append(s[order].view(np.int64))
-                keys.append(np.full(m, key, np.int64))
-                ns.append(np.full(m, n, np.int32))
-                places.append(np.arange(m, dtype=np.int32))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, keys, ns, places)],
-                                                 names=["token", "key", "n", "pos"])
+                order = np.lexsort((s, count)) if long == n else _first(count, s, long)
+                # Estimated candidates of the shorter prefix, after what it may leave out, against the longer one's postings.
+                posted = count[order[:max(0, short - int(spare(t100, n, 0)) + 1)]]
+                level = int(VERIFY_COST * np.maximum(posted - usual, 0).sum() > long - short)
+                m = long if level else short
+                out.append((s[order[:m]].view(np.int64), np.full(m, key, np.int64), np.full(m, n, np.int32),
+                            np.full(m, level, np.int8), np.arange(m) < short))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["token", "key", "n", "level", "short"])
 
     return run
 
 
-def _runs(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
-    return first, np.diff(np.append(first, len(token)))
-
-
-def _possible(t100: int, nx, px, ny, py) -> np.ndarray:
-    """Length bound, and positional bound: what lies before, at and after this common shingle must suffice."""
-    small, large = np.minimum(nx, ny), np.maximum(nx, ny)
-    most = np.minimum(px, py) + 1 + np.minimum(nx - px, ny - py) - 1
-    return (100 * small >= t100 * large) & (most * (100 + t100) >= t100 * (nx + ny))
+def _first(count: np.ndarray, shingles: np.ndarray, m: int) -> np.ndarray:
+    """Indices of the first m in order of (count, shingle)."""
+    edge = np.partition(count, m - 1)[m - 1]
+    some = np.flatnonzero(count <= edge)
+    return some[np.lexsort((shingles[some], count[some]))][:m]
 
 
 def _cross_pairs(t100: int):
     """applyInArrow on a bucket of postings: pairs of keys in different components that may be similar, once per token."""
 
     def run(table: pa.Table) -> pa.Table:
-        names = ("token", "a", "b", "block", "n", "pos", "matches", "comp", "key")
-        col = {c: table.column(c).to_numpy() for c in names}
+        col = {c: table.column(c).to_numpy() for c in ("token", "a", "b", "block", "n", "own", "level", "in_short", "in_long", "comp", "key")}
         order = np.lexsort((col["key"], col["b"], col["a"], col["token"]))
         col = {c: v[order] for c, v in col.items()}
-        t = col["token"]
+        t, n = col["token"], col["n"].astype(np.int64)
+        most = n - col["own"]  # overlap with any other set
         new = np.concatenate([[True], (t[1:] != t[:-1]) | (col["a"][1:] != col["a"][:-1]) | (col["b"][1:] != col["b"][:-1])]) if len(t) else np.zeros(0, bool)
         first = np.flatnonzero(new)
         length = np.diff(np.append(first, len(t)))
-        # Runs within one component have nothing to compare.
-        if len(first):
+        if len(first):  # runs within one component have nothing to compare
             mixed = np.minimum.reduceat(col["comp"], first) < np.maximum.reduceat(col["comp"], first)
             first, length = first[mixed], length[mixed]
-        out_x, out_y, out_l = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-        left = np.repeat(length, length) - (np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length))
-        row = np.repeat(first, length) + (np.repeat(length, length) - left)
-        d = 1
-        while len(row):
+        at = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        row, left = np.repeat(first, length) + at, np.repeat(length, length) - at
+        found, d = [(np.zeros(0, np.int64),) * 2], 1
+        while len(row):  # every row with the d-th after it in its run
             row, left = row[left > d], left[left > d]
             x, y = row, row + d
-            ok = (col["comp"][x] != col["comp"][y]) & ((col["a"][x] == col["b"][x]) | (col["block"][x] != col["block"][y]))
-            x, y = x[ok], y[ok]
-            matches = np.minimum(col["matches"][x], col["matches"][y])
-            (nx, px), (ny, py) = ((col["n"][z].astype(np.int64), col["pos"][z].astype(np.int64)) for z in (x, y))
-            # The shingle must lie in both prefixes for so many matches.
-            ok = (px < nx - need(t100, nx) + matches) & (py < ny - need(t100, ny) + matches) & _possible(t100, nx, px, ny, py)
-            out_x.append(col["key"][x[ok]])
-            out_y.append(col["key"][y[ok]])
-            out_l.append(matches[ok])
+            both = np.where(np.minimum(col["level"][x], col["level"][y]) > 0, col["in_long"][x] & col["in_long"][y],
+                            col["in_short"][x] & col["in_short"][y])
+            ok = (both & (col["comp"][x] != col["comp"][y]) & ((col["a"][x] == col["b"][x]) | (col["block"][x] != col["block"][y]))
+                  & ((100 + t100) * np.minimum(most[x], most[y]) >= t100 * (n[x] + n[y])))
+            found.append((x[ok], y[ok]))
             d += 1
-        x, y, matches = map(np.concatenate, (out_x, out_y, out_l))
-        return pa.table({"x": np.minimum(x, y), "y": np.maximum(x, y), "matches": matches.astype(np.int32)})
+        x, y = map(np.concatenate, zip(*found))
+        swap = col["key"][x] > col["key"][y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        return pa.table({"x": col["key"][x], "y": col["key"][y], "nx": n[x], "ny": n[y],
+                         "level": np.minimum(col["level"][x], col["level"][y]).astype(np.int32)})
 
     return run
 
 
+def _enough(t100: int):
+    """SQL: a pair shares as many postings as its sizes nx, ny and its level imply: its least overlap, less what may
+    lie behind the prefixes, less what the larger may have left out."""
+    least = f"(({t100} * (nx + ny) + {99 + t100}) div {100 + t100})"
+    by_level = []
+    for level in range(len(LEVELS)):
+        behind, left_out = _sql(t100, level)
+        behind, left_out = (e.replace("* n)", "* greatest(nx, ny))").replace("* n +", "* greatest(nx, ny) +") for e in (behind, left_out))
+        by_level.append(f"{least} - {behind} - {left_out} + 1")
+    return f"shared >= if(level = 0, {by_level[0]}, {by_level[1]})"
+
+
 def _packed_sets(width: int):
     """mapInArrow: (key, text) -> (key, shingles as bytes) of the rows whose text has that set."""
 
@@ -266,35 +297,42 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     rarity = np.minimum(rarity, np.iinfo(np.int32).max).astype(np.int32)
 
     postings = docs.select("text").mapInArrow(_prefixes(width, t100, spark.sparkContext.broadcast(rarity)),
-                                              "token long, key long, n int, pos int")
+                                              "token long, key long, n int, level byte, short boolean")
     lengths = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    common = cut(postings.join(lengths, "token").groupBy("token", "key").agg(
-        F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("df").alias("df")))
+    # Of each set's repeated prefix shingles, the most frequent may be left out at either level.
+    repeated = postings.join(lengths, "token").groupBy("token", "key").agg(
+        F.min("n").alias("n"), F.min("level").alias("level"), F.min("short").alias("short"), F.min("df").alias("df"))
+    above = [F.desc("df"), F.desc("token")]
+    (short_rest, short_spare), (long_rest, long_spare) = (_sql(t100, level) for level in (0, 1))
+    of_set = Window.partitionBy("key")
+    placed = (repeated.withColumn("own", (F.expr(f"n - if(level = 0, {short_rest}, {long_rest})") - F.count("*").over(of_set)).cast("int"))
+              .filter(F.expr(f"100 * (n - own) >= {t100} * n"))
+              .withColumn("long_place", F.row_number().over(Window.partitionBy("key").orderBy(*above)))
+              .withColumn("short_place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("short"), *above))))
+    common = cut(placed.withColumn("in_short", F.expr(f"short and short_place >= {short_spare}"))
+                 .withColumn("in_long", F.expr(f"level = 1 and long_place >= {long_spare}"))
+                 .filter("in_short or in_long").select("token", "key", "n", "own", "level", "in_short", "in_long"))
     sample = rows.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"))
 
     def similar(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (x, y) of keys whose sets are similar. Each set is fetched once; x's meets each y's."""
         pairs = cut(pairs)
-        asked = pairs.select(F.col("x").alias("key")).union(pairs.select(F.col("y").alias("key"))).distinct().join(sample, "key")
-        sets = (docs.join(asked, docs["id"].eqNullSafe(asked["id"])).select("key", "text")
+        asked = cut(pairs.select(F.col("x").alias("key")).union(pairs.select(F.col("y").alias("key"))).distinct().join(sample, "key"))
+        wanted = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
+        sets = (docs.join(wanted, docs["id"].eqNullSafe(wanted["id"])).select("key", "text")
                 .mapInArrow(_packed_sets(width), "key long, shingles binary").dropDuplicates(["key"]))
         return cut(pairs.join(sets.select(F.col("key").alias("y"), F.col("shingles").alias("sy")), "y")
                    .join(sets.select(F.col("key").alias("x"), F.col("shingles").alias("sx")), "x")
                    .select("x", "y", "sx", "sy").mapInArrow(_similar(t100), "x long, y long"))
 
-    # Round one: every set with the first set of a posting list, of these the one it shares most lists with.
-    leaders = common.groupBy("token").agg(F.min("key").alias("x"))
+    # Round one: every set with the most typical set of a posting list, of these the one it shares most lists with.
+    leaders = common.groupBy("token").agg(F.min(F.struct("own", "key"))["key"].alias("x"))
     stars = (common.select("token", F.col("key").alias("y")).join(leaders, "token").filter("x != y").groupBy("x", "y").count()
              .groupBy("y").agg(F.max_by("x", F.struct("count", "x")).alias("x")).select("x", "y"))
     stars = connected_components(similar(stars))
 
     # Round two: all candidates whose components differ.
-    needed = f"(({t100} * n + 99) div 100)"
-    reads = [F.sum(F.expr(f"if(pos < n - {needed} + {m}, df - 1, 0)")) for m in range(1, MAX_MATCHES + 1)]
-    costs = [F.struct((r * (1 + F.lit(VERIFY_COST) * F.max("n") / m)).alias("cost"), F.lit(m).alias("m")) for m, r in enumerate(reads, 1)]
-    chosen = common.groupBy("key").agg(F.least(F.least(*costs)["m"], F.max(F.expr(needed))).cast("int").alias("matches"))
-    labelled = (common.join(chosen, "key").filter(f"pos < n - {needed} + matches")
-                .join(stars.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key")))
+    labelled = (common.join(stars.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key")))
     # The largest component of a list only needs to meet the others: its blocks meet theirs, not each other.
     by_comp = labelled.groupBy("token", "comp").count()
     lists = (by_comp.groupBy("token").agg(F.sum("count").alias("total"), F.max(F.struct("count", "comp")).alias("top"))
@@ -305,11 +343,13 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     met = (labelled.join(lists, "token")
            .withColumn("block", F.expr("if(comp = top, pmod(xxhash64(key), p), p + pmod(xxhash64(key), q))").cast("int"))
            .withColumn("other", F.explode(F.expr("if(comp = top, sequence(p, p + q - 1), sequence(0, p + q - 1))")))
-           .select("token", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "n", "pos", "matches", "comp", "key"))
+           .select("token", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "n", "own", "level",
+                   "in_short", "in_long", "comp", "key"))
     n_buckets = max(1, -(-common.count() // ROWS_PER_BUCKET))
     pairs = (met.withColumn("bucket", F.pmod(F.xxhash64("token", "a", "b"), F.lit(n_buckets))).groupBy("bucket")
-             .applyInArrow(_cross_pairs(t100), "x long, y long, matches int")
-             .groupBy("x", "y").agg(F.count("*").alias("n"), F.min("matches").alias("matches")).filter("n >= matches").select("x", "y"))
+             .applyInArrow(_cross_pairs(t100), "x long, y long, nx long, ny long, level int")
+             .groupBy("x", "y").agg(F.count("*").alias("shared"), F.min("nx").alias("nx"), F.min("ny").alias("ny"), F.min("level").alias("level"))
+             .filter(_enough(t100)).select("x", "y"))
     more = similar(pairs)
     comps = connected_components(more.union(stars.select(F.col("comp").alias("x"), F.col("node").alias("y")))).withColumnRenamed("node", "key")
 
