@@ -251,8 +251,9 @@ def _oracles() -> dict[str, str]:
         f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
         f"CAST({len(g.RAW_COLUMNS[t])} AS INTEGER) AS column_count, {_lit(', '.join(g.RAW_COLUMNS[t]))} AS columns "
         f"FROM {t}" for t in RAW_TABLES))
-    o["raw_all_text"] = q("SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in g.RAW_COLUMNS["raw_products"])
-                          + " FROM raw_products")
+    o["raw_all_text"] = q("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, concat_ws('|', " + ", ".join(f"COALESCE(NULLIF({c}, ''), '~')" for c in g.RAW_COLUMNS[t])
+        + f") AS cells FROM {t}" for t in RAW_TABLES))
     o["raw_load_counts"] = q(counts_union([(t, t) for t in RAW_TABLES]))
     o["scan_projected"] = "SELECT c_custkey, c_mktsegment FROM customer"
     o["param_query"] = q("SELECT order_id, customer_id, order_purchase_timestamp FROM raw_orders "
@@ -363,8 +364,9 @@ UNION ALL SELECT 'primary_key:order_id', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT)
     o["process_batch"] = incremental(last_batch("itb", ["order_id", "order_item_id"], schemas.ORDER_ITEMS),
                                      max_batch=1)
     o["watermark_lookup"] = incremental(
-        f"SELECT {TS} AS last_order_purchase_timestamp, order_id AS last_order_id FROM assigned "
-        f"ORDER BY {TS} DESC, order_id DESC NULLS FIRST LIMIT 1", max_batch=2)
+        f"SELECT * FROM (SELECT '{PIPELINE}' AS pipeline_name, {TS} AS last_order_purchase_timestamp, order_id AS last_order_id "
+        f"FROM assigned ORDER BY {TS} DESC, order_id DESC NULLS FIRST LIMIT 1) UNION ALL "
+        "SELECT 'never_ran', TIMESTAMP '1900-01-01 00:00:00', ''")
     o["watermark_advance"] = incremental(
         f"SELECT '{PIPELINE}' AS pipeline_name, {TS} AS last_order_purchase_timestamp, order_id AS last_order_id "
         f"FROM assigned ORDER BY {TS} DESC, order_id DESC NULLS FIRST LIMIT 1")
@@ -390,14 +392,17 @@ UNION ALL SELECT 'primary_key:order_id', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT)
     cust_b = lambda b: (f"(SELECT {typed_cols(schemas.CUSTOMERS)}, CAST({b} AS BIGINT) AS source_batch_id "
                         f"FROM cusx{b})")
     two = ",\n".join([
-        f"a2 AS (SELECT * FROM (SELECT *, CAST(ceil(row_number() OVER (ORDER BY {TS}, order_id NULLS LAST) / "
-        f"{BATCH_SIZE}.0) AS BIGINT) AS _batch FROM batch) z WHERE _batch <= 2)",
+        f"az AS (SELECT *, CAST(ceil(row_number() OVER (ORDER BY {TS}, order_id NULLS LAST) / "
+        f"{BATCH_SIZE}.0) AS BIGINT) AS _batch FROM batch)",
+        "a2 AS (SELECT * EXCLUDE (_batch), CASE WHEN _batch <= (SELECT ceil(max(_batch) / 2.0) FROM az) THEN 1 ELSE 2 END AS _batch FROM az)",
         *[f"cx{b} AS (SELECT * FROM raw_customers WHERE customer_id IN (SELECT customer_id FROM a2 WHERE _batch = {b}))"
           for b in (1, 2)],
         *[f"cusx{b} AS ({g.cleaned_select('customers', f'cx{b}')})" for b in (1, 2)],
+        f"merged AS (SELECT n.*, customer_id IN (SELECT customer_id FROM cusx1) AS kept_audit FROM {cust_b(2)} n UNION ALL "
+        f"SELECT t.*, TRUE FROM {cust_b(1)} t WHERE t.customer_id NOT IN (SELECT customer_id FROM cusx2))",
     ])
-    o["upsert_update"] = q(f"SELECT * FROM {cust_b(2)} n UNION ALL SELECT * FROM {cust_b(1)} t "
-                           f"WHERE t.customer_id NOT IN (SELECT customer_id FROM cusx2)", BATCH_ALL, two)
+    o["upsert_update"] = q("SELECT *, FALSE AS bounded FROM merged UNION ALL "
+                           "SELECT *, (SELECT COUNT(*) FROM cusx2) <= 50000 FROM merged", BATCH_ALL, two)
     o["upsert_ignore"] = q(f"SELECT * FROM {cust_b(1)} t UNION ALL SELECT * FROM {cust_b(2)} n "
                            f"WHERE n.customer_id NOT IN (SELECT customer_id FROM cusx1)", BATCH_ALL, two)
     early_src = (f"batch AS (SELECT * FROM raw_orders WHERE {ELIGIBLE} AND CAST(order_id AS BIGINT) % 7 <> 0)")
@@ -413,7 +418,7 @@ WHERE (a.purchased_at < wm.ts OR (a.purchased_at = wm.ts AND a.order_id <= wm.id
         f"allo AS ({g.cleaned_orders('allb')})")
     o["replay_idempotent"] = incremental(
         """SELECT CAST(batch_id AS BIGINT) AS batch_id, status, CAST(batch_size AS INTEGER) AS batch_size,
-       CAST(fact_rows AS BIGINT) AS fact_rows FROM (
+       CAST(fact_rows AS BIGINT) AS fact_rows, CAST(fact_rows AS BIGINT) AS rows_as_in_a_clean_run FROM (
   SELECT CASE WHEN b._batch = 1 THEN 1 ELSE b._batch + 1 END AS batch_id, 'completed' AS status, b.n AS batch_size,
          COALESCE(f.n, 0) AS fact_rows
   FROM (SELECT _batch, COUNT(*) AS n FROM assigned GROUP BY _batch) b

@@ -24,12 +24,11 @@ NUMBER_PATTERN = r"^[\x09-\x0D ]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+
 
 
 def _number_as(col: Column | str, data_type: str, what: str) -> Column:
+    """The cast value; only where the cast fails is the text looked at: a number then fails the job, all else is NULL."""
     text = _col(col).cast("string")
-    is_number = text.rlike(NUMBER_PATTERN)
-    # Blanks other than the space are stripped here: a decimal cast may not take them.
-    value = F.regexp_replace(text, r"[\x09-\x0D ]", "").try_cast(data_type)
-    return F.when(is_number, F.when(value.isNotNull(), value).otherwise(
-        F.raise_error(F.concat(F.lit(f"number out of range for {what}: "), text)).cast(data_type)))
+    bare = F.regexp_replace(text, r"[\x09-\x0D ]", "")  # blanks that a decimal cast does not take
+    refused = F.raise_error(F.concat(F.lit(f"number out of range for {what}: "), text)).cast(data_type)
+    return F.coalesce(text.try_cast(data_type), F.when(text.rlike(NUMBER_PATTERN), F.coalesce(bare.try_cast(data_type), refused)))
 
 
 def to_number(col: Column | str, *, what: str = "number") -> Column:
@@ -61,14 +60,16 @@ def to_integer(col: Column | str, *, what: str = "value") -> Column:
     A fractional number in an integer column is a data error in the source
     system. It is judged on all its digits: on a wide decimal, and on the text as a double for digits beyond that.
     """
-    number = _number_as(col, WIDE_TYPE, what)
-    rough = F.regexp_replace(_col(col).cast("string"), r"[\x09-\x0D ]", "").try_cast("double")
+    text = _col(col).cast("string")
+    number = _number_as(text, WIDE_TYPE, what)
+    rough = F.regexp_replace(text, r"[\x09-\x0D ]", "").try_cast("double")
     whole = (number == F.floor(number)) & (rough == F.floor(rough))
-    return (
+    judged = (
         F.when(number.isNull(), F.lit(None).cast("int"))
         .when(whole, strict_cast(number, "int", what))
-        .otherwise(F.raise_error(F.concat(F.lit(f"fractional {what}: "), _col(col).cast("string"))).cast("int"))
+        .otherwise(F.raise_error(F.concat(F.lit(f"fractional {what}: "), text)).cast("int"))
     )
+    return F.coalesce(text.try_cast("int"), judged)  # plain digits need no judging
 
 
 def nan_to_null(col: Column | str) -> Column:

@@ -2,13 +2,14 @@
 
 Membership is always a ``left_semi`` join against a DataFrame of keys --
 never an ``isin`` over collected ids -- so the key set can be any size. When
-the caller knows the key side is bounded (a batch of at most ``max`` orders)
-it passes ``bounded=True`` and the key side is broadcast; otherwise Spark and
-AQE pick broadcast or sort-merge from measured sizes.
+the caller has counted the orders and found them few it passes ``bounded=True``
+and their keys are broadcast; the batch's items, whose number no batch size
+bounds, and everything else are left to Spark and AQE.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -49,7 +50,8 @@ def within(rows: DataFrame, col: str, bounds: tuple[str, str] | None) -> DataFra
     return rows.where(F.col(col).between(F.lit(bounds[0]), F.lit(bounds[1])))
 
 
-def batch_closure(raw: dict[str, DataFrame], batch_orders: DataFrame, bounded: bool = False) -> Closure:
+def batch_closure(raw: dict[str, DataFrame], batch_orders: DataFrame, bounded: bool = False,
+                  keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Closure:
     """Raw rows reachable from ``batch_orders``, matched on raw (uncleaned) keys.
 
     customers, items, payments and reviews hang off the orders; products and
@@ -57,6 +59,7 @@ def batch_closure(raw: dict[str, DataFrame], batch_orders: DataFrame, bounded: b
     For a bounded (materialised) batch the order-keyed and customer lookups
     also get the batch's key range as a literal predicate, so clustered bronze
     files outside it are skipped; the semi join still decides membership.
+    ``keep`` may persist the items, which four of the results build on.
     """
     ids = cust = None
     if bounded:
@@ -66,7 +69,7 @@ def batch_closure(raw: dict[str, DataFrame], batch_orders: DataFrame, bounded: b
         rows = within(raw[name], "order_id", ids) if bounded else raw[name]
         return semi_by(rows, batch_orders, "order_id", bounded=bounded)
 
-    items = by_order("raw_order_items")
+    items = keep(by_order("raw_order_items"))
     products = semi_by(raw["raw_products"], items, "product_id")
     customers = raw["raw_customers"] if not bounded else within(raw["raw_customers"], "customer_id", cust)
     return Closure(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import days_between
 from ..operators.keys import TIEBREAK, dedupe_keep_last
-from .store import cast_to
+from .store import typed
 
 ORDER_COLUMNS = [f.name for f in schemas.STG_ORDERS.fields]
 
@@ -47,11 +47,13 @@ def build_fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
                       batch_id: Column | int | None = None) -> DataFrame:
     """Cleaned orders + item / payment / review measures, typed as stored.
 
-    An order without children keeps NULL sums and gets 0 counts.
+    An order without children keeps NULL sums and gets 0 counts. ``source_batch_id`` is ``batch_id``
+    or else the order row's own, if it has one.
     """
     if TIEBREAK in orders.columns:
         orders = dedupe_keep_last(orders, ["order_id"])
-    facts = (orders.select(*ORDER_COLUMNS)
+    lineage = ["source_batch_id"] if batch_id is None and "source_batch_id" in orders.columns else []
+    facts = (orders.select(*ORDER_COLUMNS, *lineage)
              .join(item_aggregates(items), "order_id", "left")
              .join(payment_aggregates(payments), "order_id", "left")
              .join(review_aggregates(reviews), "order_id", "left"))
@@ -61,10 +63,10 @@ def build_fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
         F.coalesce("order_item_count", F.lit(0)).alias("order_item_count"),
         F.coalesce("distinct_product_count", F.lit(0)).alias("distinct_product_count"),
         "total_item_value", "total_freight_value", "total_payment_value", "avg_review_score",
-        F.coalesce("review_count", F.lit(0)).alias("review_count"),
+        F.coalesce("review_count", F.lit(0)).alias("review_count"), *lineage,
     )
-    typed = cast_to(facts, schemas.FACT_ORDERS)
+    stored = typed(facts, schemas.FACT_ORDERS)
     if batch_id is not None:
         b = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
-        typed = typed.withColumn("source_batch_id", b.cast("long"))
-    return typed
+        stored = stored.withColumn("source_batch_id", b.cast("long"))
+    return stored

@@ -19,10 +19,6 @@ def log_latest(log: DataFrame, n: int = 10) -> DataFrame:
     return log.select(*LOG_LISTING_COLUMNS).orderBy(F.col("batch_id").desc()).limit(n)
 
 
-def watermark_of(watermarks: DataFrame, pipeline: str) -> DataFrame:
-    return watermarks.where(F.col("pipeline_name") == F.lit(pipeline))
-
-
 def layer_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``(layer_table, row_count)`` for each given table, as one union of global counts."""
     parts = [df.agg(F.count(F.lit(1)).cast("long").alias("row_count")).select(

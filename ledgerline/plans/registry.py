@@ -26,7 +26,7 @@ from ..sources.binding import bind_raw
 from ..sources.tables import param_query, read_table
 from ..streaming import state
 from ..streaming.backlog import BATCH, assign_batches, run_backlog
-from ..streaming.batches import DEFAULT_BATCH_SIZE, bounds_of, keyset_batch
+from ..streaming.batches import BROADCAST_ROWS, DEFAULT_BATCH_SIZE, bounds_of, keyset_batch
 from ..streaming.pipeline import CLUSTER_KEYS, full_refresh, run_pipeline
 from ..streaming.publish import Warehouse
 from . import build, entities as E, facts, operational, serving
@@ -47,11 +47,21 @@ def _no_audit(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in ("loaded_at", "updated_at", "started_at", "finished_at") if c in df.columns])
 
 
+_LOADED: dict[tuple, str] = {}
+
+
 def _backlog_store(spark: SparkSession, sf_dir: str, batch_size: int = DEFAULT_BATCH_SIZE,
                    max_batches: int = 0) -> tuple[Warehouse, dict[str, DataFrame]]:
+    """A store loaded with the backlog. Tests set ``spark.ledgerline.reuseLoads`` to load once for all queries."""
     raw = bind_raw(spark, sf_dir)
+    reuse = spark.conf.get("spark.ledgerline.reuseLoads", "false") == "true"
+    key = (spark.sparkContext.applicationId, sf_dir, batch_size, max_batches)
+    if reuse and key in _LOADED:
+        return Warehouse(spark, _LOADED[key]), raw
     store = Warehouse(spark, scratch_path(spark, "warehouse"))
     run_backlog(spark, raw, store, batch_size=batch_size, max_batches=max_batches)
+    if reuse:
+        _LOADED[key] = store.root
     return store, raw
 
 
@@ -93,10 +103,13 @@ def table_profile(spark, sf_dir):
 
 @register("raw_all_text")
 def raw_all_text(spark, sf_dir):
-    """K2/K3: land a table as all-text bronze (blank -> NULL) and read it back."""
-    root = scratch_path(spark, "bronze")
-    paths = ingest.write_bronze({"raw_products": bind_raw(spark, sf_dir)["raw_products"]}, root)
-    return spark.read.parquet(paths["raw_products"])
+    """K2/K3: every table landed as all-text bronze (blank -> NULL) and read back, cells joined in column order."""
+    paths = ingest.write_bronze(bind_raw(spark, sf_dir), scratch_path(spark, "bronze"))
+    bound = bind_raw(spark, sf_dir)
+    return _stacked([
+        spark.read.parquet(path).select(F.lit(name).alias("table_name"), F.concat_ws(
+            "|", *[F.coalesce(c, F.lit("~")) for c in bound[name].columns]).alias("cells"))
+        for name, path in paths.items()])
 
 
 @register("raw_load_counts")
@@ -413,9 +426,12 @@ def orders_serving(spark, sf_dir):
 
 @register("constraint_report")
 def constraint_report_q(spark, sf_dir):
-    """NOT NULL and key violations of the serving table (must be empty to publish)."""
-    df = serving.build_orders_serving(bind_raw(spark, sf_dir))
-    return constraint_report(df, "orders", schemas.ORDERS_SERVING, ["order_id"])
+    """NOT NULL and key violations of every table: the serving table and all that a backlog load published."""
+    store, raw = _backlog_store(spark, sf_dir)
+    reports = [constraint_report(serving.build_orders_serving(raw), "orders", schemas.ORDERS_SERVING, ["order_id"])]
+    reports += [constraint_report(store.read(t), t, schema, keys)
+                for t, (schema, keys) in {**schemas.WAREHOUSE_TABLES, **schemas.STATE_TABLES}.items()]
+    return _stacked(reports)
 
 
 # ---------------------------------------------------------------- incremental state
@@ -455,7 +471,7 @@ def incremental_final_state(spark, sf_dir):
 
 @register("process_batch")
 def process_batch_q(spark, sf_dir):
-    """One batch through the loop; the staged orders it published."""
+    """One batch through the loop; the staged items it published."""
     raw = bind_raw(spark, sf_dir)
     store = Warehouse(spark, scratch_path(spark, "warehouse"))
     run_pipeline(spark, raw, store, batch_size=DEFAULT_BATCH_SIZE, max_batches=1)
@@ -464,9 +480,11 @@ def process_batch_q(spark, sf_dir):
 
 @register("watermark_lookup")
 def watermark_lookup(spark, sf_dir):
-    """The pipeline's watermark after two batches."""
-    store, _ = _backlog_store(spark, sf_dir, max_batches=2)
-    return state.watermark_row(store.read("etl_watermarks"))
+    """The watermark of the loaded pipeline, and the default of one that never ran."""
+    store, _ = _backlog_store(spark, sf_dir)
+    marks = store.read("etl_watermarks")
+    return _stacked([state.watermark_row(marks, name).select(F.lit(name).alias("pipeline_name"), "*")
+                     for name in (state.PIPELINE_NAME, "never_ran")])
 
 
 @register("watermark_advance")
@@ -528,7 +546,8 @@ def preview(spark, sf_dir):
 @register("full_refresh")
 def full_refresh_q(spark, sf_dir):
     """After a load and a refresh: tables empty, watermark gone, log kept."""
-    store, _ = _backlog_store(spark, sf_dir)
+    store = Warehouse(spark, scratch_path(spark, "warehouse"))
+    run_backlog(spark, bind_raw(spark, sf_dir), store)
     full_refresh(store)
     counts = {t: store.read(t) for t in [*schemas.WAREHOUSE_TABLES, "etl_watermarks", "etl_batch_log"]}
     return operational.layer_counts(counts)
@@ -536,28 +555,34 @@ def full_refresh_q(spark, sf_dir):
 
 @register("upsert_update")
 def upsert_update(spark, sf_dir):
-    """Customers of batch 1 upserted with customers of batch 2 (batch 2 wins on shared keys)."""
-    target, new = _two_batches_customers(spark, sf_dir)
-    stored = target.withColumn("loaded_at", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
-    out = upsert(stored, new, ["customer_id"], audit="loaded_at")
-    return out.drop("loaded_at")
+    """Customers of the backlog's lower half upserted with those of the upper half, both ways of the upsert.
+
+    The stored audit time must survive an update; ``kept_audit`` tells.
+    """
+    target, new = _two_halves_customers(spark, sf_dir)
+    first = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
+    stored = target.withColumn("loaded_at", first)
+    return _stacked([
+        upsert(stored, new, ["customer_id"], audit="loaded_at", new_bounded=bounded)
+        .withColumn("kept_audit", F.col("loaded_at") == first).withColumn("bounded", F.lit(bounded)).drop("loaded_at")
+        for bounded in (False, new.count() <= BROADCAST_ROWS)])
 
 
 @register("upsert_ignore")
 def upsert_ignore(spark, sf_dir):
-    """K7: insert-if-absent of batch 2 customers into batch 1 customers."""
-    target, new = _two_batches_customers(spark, sf_dir)
+    """K7: insert-if-absent of the upper half's customers into the lower half's."""
+    target, new = _two_halves_customers(spark, sf_dir)
     return insert_absent(target, new, ["customer_id"])
 
 
-def _two_batches_customers(spark, sf_dir):
+def _two_halves_customers(spark, sf_dir):
     raw = bind_raw(spark, sf_dir)
-    assigned = assign_batches(raw["raw_orders"], DEFAULT_BATCH_SIZE)
+    assigned = assign_batches(raw["raw_orders"], DEFAULT_BATCH_SIZE).checkpoint()
+    middle = assigned.agg(F.ceil(F.max(BATCH) / 2)).first()[0]
     out = []
-    for b in (1, 2):
-        orders = assigned.where(F.col(BATCH) == b)
-        cust = semi_by(raw["raw_customers"], orders, "customer_id")
-        out.append(typed(E.clean_customers(cust, b), schemas.CUSTOMERS))
+    for half, batch in ((F.col(BATCH) <= middle, 1), (F.col(BATCH) > middle, 2)):
+        cust = semi_by(raw["raw_customers"], assigned.where(half), "customer_id")
+        out.append(typed(E.clean_customers(cust, batch), schemas.CUSTOMERS))
     return out[0], out[1]
 
 
@@ -597,11 +622,19 @@ def replay_idempotent(spark, sf_dir):
         "order_item_id", F.concat(F.col("order_item_id"), F.lit("5")))  # '1.05' -> fractional -> error
     try:
         run_pipeline(spark, bad, store, batch_size=DEFAULT_BATCH_SIZE, max_batches=1)
-    except Exception:
-        pass
+    except Exception as exc:
+        if "fractional order_item_id" not in str(exc):
+            raise
     run_pipeline(spark, raw, store, batch_size=DEFAULT_BATCH_SIZE)
     log = store.read("etl_batch_log").select("batch_id", "status", "batch_size")
-    facts_ = _no_audit(store.read("fact_orders")).groupBy("source_batch_id").agg(
-        F.count(F.lit(1)).alias("fact_rows"))
-    return log.join(facts_, log.batch_id == facts_.source_batch_id, "left").select(
-        "batch_id", "status", "batch_size", F.coalesce("fact_rows", F.lit(0)).alias("fact_rows"))
+    # The data must be a clean run's, row by row: batch numbers after the failed one are one higher.
+    clean = Warehouse(spark, scratch_path(spark, "warehouse"))
+    run_pipeline(spark, raw, clean, batch_size=DEFAULT_BATCH_SIZE)
+    ids = F.col("source_batch_id")
+    wanted = _no_audit(clean.read("fact_orders")).withColumn("source_batch_id", F.when(ids > 1, ids + 1).otherwise(ids))
+    facts_ = _no_audit(store.read("fact_orders"))
+    same = facts_.intersect(wanted).groupBy("source_batch_id").agg(F.count(F.lit(1)).alias("same_rows"))
+    counted = facts_.groupBy("source_batch_id").agg(F.count(F.lit(1)).alias("fact_rows")).join(same, "source_batch_id", "left")
+    return log.join(counted, log.batch_id == counted.source_batch_id, "left").select(
+        "batch_id", "status", "batch_size", F.coalesce("fact_rows", F.lit(0)).alias("fact_rows"),
+        F.coalesce("same_rows", F.lit(0)).alias("rows_as_in_a_clean_run"))

@@ -46,9 +46,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     Reads ``spark.checkpoint.dir`` (or the directory already set on the
-    context). Only when neither is set -- local tests -- a fresh private folder
-    is created and registered, so a cluster job never writes to a
-    machine-local temporary directory.
+    context). When neither is set, a ``local`` master gets a fresh private
+    folder; on any other master this raises, because executors would not see a
+    folder of the driver's machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     resolved = sc.getCheckpointDir() or configured

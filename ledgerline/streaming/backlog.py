@@ -14,11 +14,13 @@ with "last touching batch wins":
   then keeps the last row as the loop would within that batch.
 
 Everything is an aggregate or a 1:1 / semi join: no row is copied per batch.
-The result equals the loop's final state whenever no run of identical
+The result equals the loop's final state whenever no run of equal
 ``(purchase time, order id)`` rows straddles a batch edge (the loop would
-skip the rest of such a run and shift every later batch). :func:`run_backlog`
-therefore loads up to the first straddling batch in one pass and re-ranks
-the rest from the new watermark.
+skip the rest of such a run and shift every later batch), and no batch ends
+at a NULL order id (the loop fails there). :func:`run_backlog` therefore loads
+up to the first such edge in one pass; after a straddled edge it re-ranks the
+rest from the new watermark, and a batch that ends at a NULL id fails as in
+the loop. Both are seen in one aggregate, a row per batch.
 """
 
 from __future__ import annotations
@@ -26,7 +28,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,8 @@ from ..plans.facts import build_fact_orders
 from ..plans.store import typed
 from ..session import checkpoint_root
 from . import state
-from .batches import _layout, plan_upserts, publish_planned, purchase_order
+from .batches import (DEFAULT_BATCH_SIZE, MAX_BATCH_SIZE, Persisted, _layout, plan_upserts, publish_planned,
+                      purchase_order)
 from .publish import LAYOUT_COL, month_of
 
 BATCH = "_batch"
@@ -60,11 +62,30 @@ def assign_batches(raw_orders: DataFrame, batch_size: int, after_ts: str = "1900
         BATCH, (F.ceil(F.col("_rank") / F.lit(batch_size)) + F.lit(first_batch_id - 1)).cast("long"))
 
 
-def straddling_runs(assigned: DataFrame) -> DataFrame:
-    """Runs of identical (purchase time, raw order id) split across two batches."""
-    return (assigned.groupBy("order_purchase_timestamp", "order_id")
-            .agg(F.min(BATCH).alias("first_batch"), F.max(BATCH).alias("last_batch"))
-            .where(F.col("first_batch") != F.col("last_batch")))
+def _order_key():
+    """(purchase time, order id) in batch order, NULL ids last."""
+    return F.struct(strict_timestamp("order_purchase_timestamp").alias("ts"),
+                    F.col("order_id").isNull().alias("id_null"), F.col("order_id").alias("id"))
+
+
+def batch_edges(assigned: DataFrame) -> DataFrame:
+    """Per batch: ``n`` rows, first key ``lo`` and last key ``hi``."""
+    return assigned.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"), F.min(_order_key()).alias("lo"), F.max(_order_key()).alias("hi"))
+
+
+def first_bad_edges(edges: DataFrame) -> tuple[int | None, int | None]:
+    """The first batch after which the loop would skip rows, and the first that ends at a NULL id.
+
+    The loop goes on strictly after a batch's last key: it skips further rows with that key, and rows of
+    that time without an id. Keys are compared as parsed, so two spellings of one time are one run. A row
+    per batch is read.
+    """
+    after = edges.select((F.col(BATCH) - 1).alias(BATCH), F.col("lo").alias("next"))
+    row = edges.join(after, BATCH, "left").agg(
+        F.min(F.when((F.col("hi.ts") == F.col("next.ts")) & (F.col("next.id_null") | (F.col("hi.id") == F.col("next.id"))),
+                     F.col(BATCH))).alias("straddled"),
+        F.min(F.when(F.col("hi.id_null"), F.col(BATCH))).alias("null_id")).first()
+    return row.straddled, row.null_id
 
 
 def _last_batch_by(rows: DataFrame, key_col: str, batch_col: str = BATCH) -> DataFrame:
@@ -90,17 +111,12 @@ def _last_touch(cleaner, tagged_rows: DataFrame, carry: tuple[str, ...] = ()) ->
 class BacklogState:
     tables: dict[str, DataFrame]   # final new rows per warehouse table (typed, with source_batch_id)
     log_rows: DataFrame            # one completed log row per batch
-    watermark: DataFrame           # (last ts, last id) of the final batch
-    persisted: list[DataFrame]     # release after publishing
 
 
-def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame,
-                  pipeline: str = state.PIPELINE_NAME) -> BacklogState:
+def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame, edges: DataFrame, kept: Persisted,
+                  pipeline: str = state.PIPELINE_NAME, started: dt.datetime | None = None) -> BacklogState:
+    """Final rows of all tables after the assigned batches, and their log rows; shared frames are persisted in ``kept``."""
     batch_col = F.col(BATCH)
-    # Raw order id -> last batch that scanned it, and the layout month of its children.
-    order_maxb = (assigned.where(F.col("order_id").isNotNull()).groupBy("order_id")
-                  .agg(F.max(BATCH).alias("_maxb"),
-                       month_of(F.max(strict_timestamp("order_purchase_timestamp"))).alias("_month")))
     cust_maxb = _last_batch_by(assigned, "customer_id")
 
     # Orders: every cleaned row carries its batch; the latest batch, then the latest row, wins.
@@ -109,14 +125,24 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame,
         orders_all.withColumn(TIEBREAK, F.struct(F.col("source_batch_id"), F.col(TIEBREAK))), ["order_id"])
     # Shared by several outputs: keep them for the publish (lineage starts at the
     # checkpointed assignment, so a lost block is recomputed deterministically).
-    orders_final = orders_final.persist(StorageLevel.MEMORY_AND_DISK)
+    orders_final = kept.keep(orders_final)
+
+    # At order grain: per raw order id the last batch that scanned it, the layout month of its children, and
+    # whether the final batch of its cleaned order is among the batches that scanned it.
+    final_batch = orders_final.select(F.col("order_id").alias("_k"), F.col("source_batch_id").alias("_fb"))
+    scanned = (assigned.where(F.col("order_id").isNotNull()).groupBy("order_id", batch_col.alias("_b"))
+               .agg(F.max(strict_timestamp("order_purchase_timestamp")).alias("_ts"))
+               .withColumn("_k", clean_text("order_id")))
+    order_maxb = (scanned.join(final_batch, "_k", "left").groupBy("order_id")
+                  .agg(F.max("_b").alias("_maxb"), month_of(F.max("_ts")).alias("_month"),
+                       F.coalesce(F.max(F.col("_b") == F.col("_fb")), F.lit(False)).alias("_in_final")))
 
     # Staging children: reached through raw order ids, last touching batch wins.
     # The tagged children are hash-partitioned by raw order id by their join and
     # feed both the staging rows and the fact, so they are persisted once.
-    items_t = _tagged(raw["raw_order_items"], order_maxb, "order_id").persist(StorageLevel.MEMORY_AND_DISK)
-    pay_t = _tagged(raw["raw_payments"], order_maxb, "order_id").persist(StorageLevel.MEMORY_AND_DISK)
-    rev_t = _tagged(raw["raw_reviews"], order_maxb, "order_id").persist(StorageLevel.MEMORY_AND_DISK)
+    items_t = kept.keep(_tagged(raw["raw_order_items"], order_maxb, "order_id"))
+    pay_t = kept.keep(_tagged(raw["raw_payments"], order_maxb, "order_id"))
+    rev_t = kept.keep(_tagged(raw["raw_reviews"], order_maxb, "order_id"))
     items_final = _last_touch(E.clean_items, items_t, ("_month",))
     pay_final = _last_touch(E.clean_payments, pay_t, ("_month",))
     rev_final = _last_touch(E.clean_reviews, rev_t, ("_month",))
@@ -128,20 +154,11 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame,
                              _tagged(raw["raw_products"], prod_maxb, "product_id"))
     sell_final = _last_touch(E.clean_sellers, _tagged(raw["raw_sellers"], sell_maxb, "seller_id"))
 
-    # Fact: each cleaned order's final batch B(k); its children are those fetched in B(k),
-    # i.e. rows whose raw order id was scanned in B(k) -- a semi join on raw ids.
-    final_batch = orders_final.select(F.col("order_id").alias("_k"), F.col("source_batch_id").alias("_fb"))
-    scanned = (assigned.where(F.col("order_id").isNotNull())
-               .select(F.col("order_id").alias("_v"), batch_col.alias("_b")).distinct()
-               .withColumn("_k", clean_text("_v")))
-    in_final = scanned.join(final_batch, ["_k"]).where(F.col("_b") == F.col("_fb")).select("_v")
-
-    def fetched(rows: DataFrame) -> DataFrame:
-        return rows.join(in_final, rows["order_id"] == in_final["_v"], "left_semi")
-
-    fact = _fact_with_batch(orders_final, fetched(items_t), fetched(pay_t), fetched(rev_t))
+    # Fact: each cleaned order's children are those that its final batch fetched.
+    fact = build_fact_orders(orders_final, E.clean_items(items_t.where("_in_final")), E.clean_payments(pay_t.where("_in_final")),
+                             E.clean_reviews(rev_t.where("_in_final")))
 
-    items_typed = _layout(items_final, schemas.ORDER_ITEMS, F.col("_month")).persist(StorageLevel.MEMORY_AND_DISK)
+    items_typed = kept.keep(_layout(items_final, schemas.ORDER_ITEMS, F.col("_month")))
     tables = {
         "stg_orders": _layout(orders_final, schemas.STG_ORDERS, month_of(F.col("purchased_at"))),
         "stg_customers": typed(cust_final, schemas.CUSTOMERS),
@@ -156,47 +173,40 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame,
         "fact_order_items": items_typed,
         "fact_orders": fact.withColumn(LAYOUT_COL, month_of(F.col("purchased_at"))),
     }
-    return BacklogState(tables, batch_log_rows(assigned, orders_all, items_t, pipeline), final_watermark(assigned),
-                        [orders_final, items_t, pay_t, rev_t, items_typed])
+    return BacklogState(tables, batch_log_rows(edges, scanned, orders_all, items_t, pipeline, started))
 
 
-def _fact_with_batch(orders_final: DataFrame, items: DataFrame, payments: DataFrame,
-                     reviews: DataFrame) -> DataFrame:
-    """Fact rows of each order's final batch from the raw children that batch fetched.
+def items_per_batch(scanned: DataFrame, items: DataFrame) -> DataFrame:
+    """(batch, n_items): distinct cleaned item keys among the items that each batch fetched.
 
-    ``source_batch_id`` comes from the order row.
+    Items are counted once per raw order id; batches meet the counts at order grain. Only cleaned orders
+    that come in several raw spellings, whose items one batch may fetch twice, are expanded to item keys.
     """
-    facts = build_fact_orders(
-        orders_final.drop("source_batch_id"),
-        E.clean_items(items),
-        E.clean_payments(payments),
-        E.clean_reviews(reviews),
-    )
-    batch_of = orders_final.select("order_id", "source_batch_id")
-    return facts.join(batch_of, "order_id").select(*schemas.FACT_ORDERS.fieldNames(), "source_batch_id")
-
-
-def batch_log_rows(assigned: DataFrame, orders_all: DataFrame, items_tagged: DataFrame,
-                   pipeline: str = state.PIPELINE_NAME) -> DataFrame:
+    keys = (items.select("order_id", clean_text("order_id").alias("_k"), to_integer("order_item_id").alias("_i"))
+            .where(F.col("_k").isNotNull() & F.col("_i").isNotNull()).distinct())
+    per_id = keys.groupBy("order_id", "_k").agg(F.count(F.lit(1)).alias("n"))
+    spelled = per_id.groupBy("_k").agg((F.count(F.lit(1)) > 1).alias("several"))
+    plain, several = spelled.where(~F.col("several")).select("_k"), spelled.where("several").select("_k")
+    ids = scanned.select("order_id", F.col("_b").alias(BATCH))
+    once = ids.join(per_id.join(plain, "_k", "left_semi"), "order_id").select(BATCH, "n")
+    many = (ids.join(keys.join(several, "_k", "left_semi"), "order_id").select(BATCH, "_k", "_i").distinct()
+            .groupBy(BATCH).agg(F.count(F.lit(1)).alias("n")))
+    return once.unionByName(many).groupBy(BATCH).agg(F.sum("n").alias("n_items"))
+
+
+def batch_log_rows(edges: DataFrame, scanned: DataFrame, orders_all: DataFrame, items_tagged: DataFrame,
+                   pipeline: str = state.PIPELINE_NAME, started: dt.datetime | None = None) -> DataFrame:
     """One ``completed`` log row per batch with its bounds and the four counters.
 
-    ``items_tagged`` are the raw items whose order id was scanned by some batch.
+    ``items_tagged`` are the raw items whose order id was scanned by some batch; ``started`` is when the pass began.
     """
-    key = F.struct(strict_timestamp("order_purchase_timestamp").alias("ts"),
-                   F.col("order_id").isNull().alias("id_null"), F.col("order_id").alias("id"))
-    bounds = assigned.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
     n_orders = orders_all.groupBy(F.col("source_batch_id").alias(BATCH)).agg(F.count(F.lit(1)).alias("n_orders"))
-    # Items per batch: distinct cleaned item keys among the items each batch fetched.
-    scanned = assigned.where(F.col("order_id").isNotNull()).select("order_id", BATCH).distinct()
-    item_keys = (items_tagged.join(scanned, "order_id")
-                 .select(BATCH, clean_text("order_id").alias("k"), to_integer("order_item_id").alias("i"))
-                 .where(F.col("k").isNotNull() & F.col("i").isNotNull()).distinct())
-    n_items = item_keys.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n_items"))
     now = state.now_ntz()
-    rows = bounds.join(n_orders, BATCH, "left").join(n_items, BATCH, "left")
+    rows = edges.join(n_orders, BATCH, "left").join(items_per_batch(scanned, items_tagged), BATCH, "left")
     return rows.select(
         F.col(BATCH).alias("batch_id"), F.lit(pipeline).alias("pipeline_name"),
-        F.lit("completed").alias("status"), now.alias("started_at"), now.alias("finished_at"),
+        F.lit("completed").alias("status"),
+        (F.lit(started).cast("timestamp_ntz") if started else now).alias("started_at"), now.alias("finished_at"),
         F.col("n").cast("int").alias("batch_size"),
         F.col("lo.ts").alias("source_min_purchase_ts"), F.col("hi.ts").alias("source_max_purchase_ts"),
         F.col("lo.id").alias("source_min_order_id"), F.col("hi.id").alias("source_max_order_id"),
@@ -208,25 +218,20 @@ def batch_log_rows(assigned: DataFrame, orders_all: DataFrame, items_tagged: Dat
     )
 
 
-def final_watermark(assigned: DataFrame) -> DataFrame:
-    key = F.struct(strict_timestamp("order_purchase_timestamp").alias("ts"),
-                   F.col("order_id").isNull().alias("id_null"), F.col("order_id").alias("id"))
-    return assigned.agg(F.max(key).alias("hi")).select(
-        F.col("hi.ts").alias("last_order_purchase_timestamp"), F.col("hi.id").alias("last_order_id"))
-
-
-def run_backlog(spark: SparkSession, raw: dict[str, DataFrame], store, batch_size: int = 5000,
-                refresh: bool = False, max_batches: int = 0, pipeline: str = state.PIPELINE_NAME) -> int:
+def run_backlog(spark: SparkSession, raw: dict[str, DataFrame], store, batch_size: int = DEFAULT_BATCH_SIZE,
+                refresh: bool = False, max_batches: int = 0, pipeline: str = state.PIPELINE_NAME,
+                max_batch_size: int = MAX_BATCH_SIZE) -> int:
     """Load everything after the watermark, one publish per pass. Returns the number of batches.
 
     ``max_batches`` limits the load to that many batches (0 = all; negative = one).
-    When a run of identical (ts, id) rows straddles a batch edge, the pass
-    stops at that batch; the next pass re-ranks from the new watermark, which
-    skips the rest of the run exactly as the loop does.
+    When a run of equal (ts, id) rows straddles a batch edge, the pass stops at
+    that batch; the next pass re-ranks from the new watermark, which skips the
+    rest of the run exactly as the loop does. A batch that ends at a NULL id is
+    logged as failed after everything before it was loaded, and raises.
     """
-    from .pipeline import validate_batch_size, full_refresh
+    from .pipeline import full_refresh, validate_batch_size
 
-    validate_batch_size(batch_size)
+    validate_batch_size(batch_size, max_batch_size)
     checkpoint_root(spark)
     if refresh:
         full_refresh(store, pipeline)
@@ -240,32 +245,65 @@ def run_backlog(spark: SparkSession, raw: dict[str, DataFrame], store, batch_siz
         if limit:
             assigned = assigned.where(F.col(BATCH) < F.lit(first_id + limit - done))
         assigned = assigned.checkpoint()
-        cut = straddling_runs(assigned).agg(F.min("first_batch")).first()[0]
-        if cut is not None:
-            assigned = assigned.where(F.col(BATCH) <= F.lit(cut))
-        n = _load_pass(spark, raw, store, assigned, pipeline)
-        done += n
-        if n == 0 or cut is None or (limit and done >= limit):
+        edges = batch_edges(assigned).checkpoint()  # a row per batch
+        straddled, null_id = first_bad_edges(edges)
+        last = edges.agg(F.max(BATCH)).first()[0]
+        if last is None:
+            return done
+        if straddled is not None:
+            last = min(last, straddled)
+        failing = null_id is not None and null_id <= last
+        if failing:
+            last = null_id - 1
+        if last >= first_id:
+            upto = F.col(BATCH) <= F.lit(last)
+            _load_pass(spark, raw, store, assigned.where(upto), edges.where(upto), first_id, pipeline)
+            done += last - first_id + 1
+        if failing:
+            _open(spark, store, edges, null_id, pipeline)
+            _fail(store, null_id, NULL_ID)
+            raise ValueError(NULL_ID)
+        if straddled is None or (limit and done >= limit):
             return done
 
 
-def _load_pass(spark: SparkSession, raw: dict[str, DataFrame], store, assigned: DataFrame, pipeline: str) -> int:
-    """Publish the final state of the assigned batches (one manifest swap)."""
-    n_batches = assigned.select(F.countDistinct(BATCH)).first()[0]
-    if not n_batches:
-        return 0
-    wm = final_watermark(assigned).first()
-    if wm.last_order_id is None:
-        raise ValueError("null value in column last_order_id violates not-null constraint")
-    result = backlog_state(raw, assigned, pipeline)
-    planned = plan_upserts(store, result.tables)
-    extra = {
-        "etl_watermarks": state.advance_watermark(spark, store.read("etl_watermarks"),
-                                                  wm.last_order_purchase_timestamp, wm.last_order_id, pipeline),
-        "etl_batch_log": store.read("etl_batch_log").unionByName(result.log_rows),
-    }
+NULL_ID = "null value in column last_order_id violates not-null constraint"
+
+
+def _open(spark: SparkSession, store, edges: DataFrame, batch_id: int, pipeline: str) -> None:
+    """Publish the ``running`` row of a batch, as the loop does before it works on one."""
+    bounds = edges.where(F.col(BATCH) == batch_id).select(
+        F.col("n").cast("int").alias("batch_size"), F.col("lo.ts").alias("source_min_purchase_ts"), F.col("hi.ts").alias("source_max_purchase_ts"),
+        F.col("lo.id").alias("source_min_order_id"), F.col("hi.id").alias("source_max_order_id"))
+    log = store.read("etl_batch_log")
+    store.publish({"etl_batch_log": state.log_started(spark, log, batch_id, bounds, pipeline)})
+
+
+def _fail(store, batch_id: int, error: str) -> None:
+    store.publish({"etl_batch_log": state.log_finished(store.read("etl_batch_log"), batch_id, error=error)})
+
+
+def _load_pass(spark: SparkSession, raw: dict[str, DataFrame], store, assigned: DataFrame, edges: DataFrame,
+               first_id: int, pipeline: str) -> None:
+    """Publish the final state of the assigned batches (one manifest swap).
+
+    The first batch's log row is ``running`` meanwhile, and ``failed`` if the pass fails: nothing of it was published.
+    """
     from .pipeline import CLUSTER_KEYS
-    publish_planned(store, planned, extra, sort_by=CLUSTER_KEYS)
-    for df in result.persisted:
-        df.unpersist()
-    return int(n_batches)
+
+    _open(spark, store, edges, first_id, pipeline)
+    log = store.read("etl_batch_log")
+    started = log.where(F.col("batch_id") == first_id).first().started_at
+    try:
+        with Persisted() as kept:
+            result = backlog_state(raw, assigned, edges, kept, pipeline, started)
+            planned = plan_upserts(store, result.tables)
+            hi = edges.agg(F.max("hi").alias("hi")).first().hi
+            extra = {
+                "etl_watermarks": state.advance_watermark(spark, store.read("etl_watermarks"), hi.ts, hi.id, pipeline),
+                "etl_batch_log": log.where(F.col("batch_id") != first_id).unionByName(result.log_rows),
+            }
+            publish_planned(store, planned, extra, sort_by=CLUSTER_KEYS)
+    except Exception as exc:
+        _fail(store, first_id, str(exc))
+        raise

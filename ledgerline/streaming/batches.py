@@ -18,12 +18,15 @@ from ..operators.keys import dedupe_keep_last
 from ..operators.upsert import upsert
 from ..plans.build import CleanBatch, clean_batch, eligible_orders
 from ..plans.facts import build_fact_orders
+from ..plans.operational import layer_counts
 from ..plans.store import typed
 from .publish import LAYOUT_COL, PARTITIONED, Warehouse, month_of
 
 # Default and maximum orders per batch.
 DEFAULT_BATCH_SIZE = 5_000
 MAX_BATCH_SIZE = 5_000
+#: Key sets are broadcast only when they were counted and are no larger (a few MB of ids).
+BROADCAST_ROWS = 50_000
 
 
 def purchase_order(raw_orders: DataFrame) -> list[Column]:
@@ -58,12 +61,24 @@ def bounds_of(batch: DataFrame) -> DataFrame:
 class BatchResult:
     planned: dict[str, "PlannedUpsert"]
     metrics: tuple[int, int, int, int]
-    persisted: list[DataFrame]
 
 
-def release(result: "BatchResult") -> None:
-    for df in result.persisted:
-        df.unpersist()
+class Persisted:
+    """Frames kept while one batch or pass is worked on; all are released at the end, also after a failure."""
+
+    def __init__(self):
+        self.frames: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.frames.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    def __enter__(self) -> "Persisted":
+        return self
+
+    def __exit__(self, *failure) -> None:
+        for df in self.frames:
+            df.unpersist()
 
 
 def batch_months(batch_orders: DataFrame) -> DataFrame:
@@ -142,32 +157,46 @@ def plan_upsert(store: Warehouse, table: str, new: DataFrame, new_keys_bounded:
                          touched, new_months | kept)
 
 
-def plan_upserts(store: Warehouse, outputs: dict[str, DataFrame], new_keys_bounded: bool = False,
+def plan_upserts(store: Warehouse, outputs: dict[str, DataFrame], new_rows: dict[str, int] | None = None,
                  parallelism: int = 4) -> dict[str, PlannedUpsert]:
-    """:func:`plan_upsert` for many tables; the small month lookups run as concurrent jobs."""
+    """:func:`plan_upsert` for many tables; the small month lookups run as concurrent jobs.
+
+    ``new_rows`` are counted rows of the new frames: only those within ``BROADCAST_ROWS`` are broadcast.
+    """
+    def plan(table: str) -> tuple[str, PlannedUpsert]:
+        bounded = (new_rows or {}).get(table, BROADCAST_ROWS + 1) <= BROADCAST_ROWS
+        return table, plan_upsert(store, table, outputs[table], bounded)
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        planned = pool.map(lambda kv: (kv[0], plan_upsert(store, kv[0], kv[1], new_keys_bounded)), outputs.items())
-        return dict(planned)
+        return dict(pool.map(plan, outputs))
+
+
+# Which cleaned frame each warehouse table's new rows come from.
+SOURCE_OF = {"stg_orders": "orders", "fact_orders": "orders", "stg_order_items": "items", "fact_order_items": "items",
+             "stg_payments": "payments", "stg_reviews": "reviews", "stg_customers": "customers", "dim_customer": "customers",
+             "stg_products": "products", "dim_product": "products", "stg_sellers": "sellers", "dim_seller": "sellers"}
 
 
-def process_batch(raw: dict[str, DataFrame], batch_orders: DataFrame, batch_id: int,
-                  store: Warehouse) -> BatchResult:
+def process_batch(raw: dict[str, DataFrame], batch_orders: DataFrame, batch_id: int, store: Warehouse,
+                  kept: Persisted) -> BatchResult:
     """Closure -> clean -> fact -> upsert plans for every warehouse table.
 
-    ``batch_orders`` is checkpointed and holds at most the batch maximum, so
-    the semi-joins broadcast it. The cleaned batch frames feed several outputs
-    and the counters, so they are persisted (memory, spilling to disk); their
-    lineage starts at the checkpointed batch, so a lost block is recomputed
-    deterministically. Call :func:`release` after publishing.
+    ``batch_orders`` is checkpointed. Its rows, and every table's new rows, are counted, and only counted
+    sets of at most ``BROADCAST_ROWS`` are broadcast: an order of a bounded batch may still hold any
+    number of items. The cleaned frames and the batch's raw items feed several outputs, so they are
+    persisted in ``kept`` (memory, spilling to disk); their lineage starts at the checkpointed batch, so a
+    lost block is recomputed deterministically.
     """
-    closure = batch_closure(raw, batch_orders, bounded=True)
-    clean = clean_batch(batch_orders, closure, batch_id, months=F.broadcast(batch_months(batch_orders)))
-    clean = CleanBatch(**{k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in clean.__dict__.items()})
-    n_orders = clean.orders.count()
-    n_items = clean.items.count()
-    planned = plan_upserts(store, batch_outputs(clean, batch_id), new_keys_bounded=True)
+    bounded = batch_orders.count() <= BROADCAST_ROWS
+    closure = batch_closure(raw, batch_orders, bounded=bounded, keep=kept.keep)
+    months = batch_months(batch_orders)
+    clean = clean_batch(batch_orders, closure, batch_id, months=F.broadcast(months) if bounded else months)
+    clean = CleanBatch(**{k: kept.keep(v) for k, v in clean.__dict__.items()})
+    sizes = layer_counts(clean.__dict__).collect()
+    rows = {r.layer_table: r.row_count for r in sizes}
+    planned = plan_upserts(store, batch_outputs(clean, batch_id), {t: rows[k] for t, k in SOURCE_OF.items()})
     # Metrics as the source logs them: input rows, duplicates included.
-    return BatchResult(planned, (n_orders, n_items, n_orders, n_items), list(clean.__dict__.values()))
+    return BatchResult(planned, (rows["orders"], rows["items"], rows["orders"], rows["items"]))
 
 
 def publish_planned(store: Warehouse, planned: dict[str, PlannedUpsert], extra: dict[str, DataFrame],

@@ -28,12 +28,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..plans.store import not_null, refuse, repeated_keys
 from ..sources.ingest import committed
 
 LAYOUT_COL = "layout_period"
@@ -54,9 +56,13 @@ LAYOUT_FORMAT_CONF = "spark.ledgerline.layoutFormat"
 DEFAULT_LAYOUT_FORMAT = "yyyy-MM"
 
 
-def layout_format() -> str:
-    spark = SparkSession.getActiveSession()
-    return spark.conf.get(LAYOUT_FORMAT_CONF, DEFAULT_LAYOUT_FORMAT) if spark else DEFAULT_LAYOUT_FORMAT
+#: The manifest row that says which layout format the fragments were written with.
+LAYOUT_ROW = "_layout_format"
+
+
+def layout_format(spark: SparkSession | None = None) -> str:
+    """The session's rewrite grain; ``spark`` defaults to the active session and there must be one."""
+    return (spark or SparkSession.active()).conf.get(LAYOUT_FORMAT_CONF, DEFAULT_LAYOUT_FORMAT)
 
 
 def month_of(ts_col) -> F.Column:
@@ -73,6 +79,7 @@ class Warehouse:
         self.write_parallelism = write_parallelism
         self._frags: dict[str, dict[str, str]] | None = None
         self._version: int | None = None
+        self._layout: str | None = None
 
     # -- manifest ------------------------------------------------------------
     def _load_manifest(self) -> None:
@@ -88,6 +95,9 @@ class Warehouse:
                 .select("table_name", "part", "path").collect())  # pointers only
         frags: dict[str, dict[str, str]] = {}
         for r in rows:
+            if r.table_name == LAYOUT_ROW:
+                self._layout = r.path
+                continue
             frags.setdefault(r.table_name, {})
             if r.path:
                 frags[r.table_name][r.part] = r.path
@@ -113,11 +123,14 @@ class Warehouse:
 
         ``layout=True`` keeps the ``layout_period`` column (partitioned tables only).
         """
-        schema = self.schema_of(table)
         frags = self.fragments(table)
         if parts is not None:
             wanted = set(parts)
             frags = {p: path for p, path in frags.items() if p in wanted}
+        return self._read_fragments(table, frags, layout)
+
+    def _read_fragments(self, table: str, frags: dict[str, str], layout: bool = False) -> DataFrame:
+        schema = self.schema_of(table)
         keep_layout = layout and table in PARTITIONED
         if not frags:
             extra = [T.StructField(LAYOUT_COL, T.StringType())] if keep_layout else []
@@ -153,6 +166,9 @@ class Warehouse:
         touched = touched or {}
         months = months or {}
         version = self.version + 1
+        layout = layout_format(self.spark)
+        if self._layout not in (None, layout) and any(self.fragments(t) for t in PARTITIONED if changes.get(t, ()) is not None):
+            raise ValueError(f"the tables are laid out by {self._layout}, the session asks for {layout}: refresh fully to change it")
         attempt = uuid.uuid4().hex[:12]
         frags = {t: self.fragments(t) for t in schemas.ALL_TABLES}
 
@@ -162,7 +178,7 @@ class Warehouse:
             part = table in PARTITIONED
             if df is None:
                 return table, {}, None
-            cols = [F.col(f.name).cast(f.dataType) for f in schema.fields]
+            cols = [not_null(f, table) for f in schema.fields]
             out = df.select(*cols, *([F.col(LAYOUT_COL).cast("string")] if part else []))
             keys = (sort_by or {}).get(table)
             if keys:
@@ -190,12 +206,22 @@ class Warehouse:
                 else:
                     kept = {m: p for m, p in frags[table].items() if m not in replaced}
                     frags[table] = {**kept, **written}
+        self._refuse_repeated_keys({t: frags[t] if touched.get(t) is None else
+                                    {m: p for m, p in frags[t].items() if m in months.get(t, ())} for t, df in changes.items() if df is not None})
         rows = [(t, part, path) for t in sorted(frags) for part, path in sorted(frags[t].items())]
         rows += [(t, WHOLE, "") for t in sorted(frags) if not frags[t]]  # keep empty tables listed
+        rows.append((LAYOUT_ROW, WHOLE, layout))
         self._write_manifest(rows, version, attempt)
-        self._frags, self._version = frags, version
+        self._frags, self._version, self._layout = frags, version, layout
         return version
 
+    def _refuse_repeated_keys(self, written: dict[str, dict[str, str]]) -> None:
+        """Before the swap: no key may repeat in what was just written. Reads key columns only, one job for all tables."""
+        reports = [repeated_keys(self._read_fragments(t, frags).select(*schemas.ALL_TABLES[t][1]), t, schemas.ALL_TABLES[t][1])
+                   for t, frags in sorted(written.items()) if frags]
+        if reports:
+            refuse(reduce(DataFrame.unionByName, reports), "this version")
+
     def _write_manifest(self, rows: list[tuple[str, str, str]], version: int, attempt: str) -> None:
         """The pointer swap: one small file, visible only once its job commits."""
         manifest = self.spark.createDataFrame(rows, MANIFEST_SCHEMA)

@@ -13,10 +13,11 @@ from ledgerline.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="ledgerline-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app_name="ledgerline-tests", shuffle_partitions=4, extra_conf={"spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-test-ckpt-"))
+    s.conf.set("spark.ledgerline.reuseLoads", "true")
     yield s
     s.stop()
 

@@ -9,7 +9,7 @@ from ledgerline import schemas
 from ledgerline.session import scratch_path
 from ledgerline.sources.binding import bind_raw
 from ledgerline.streaming import state
-from ledgerline.streaming.backlog import assign_batches, run_backlog, straddling_runs
+from ledgerline.streaming.backlog import assign_batches, batch_edges, first_bad_edges, run_backlog
 from ledgerline.streaming.pipeline import full_refresh, run_pipeline
 from ledgerline.streaming.publish import Warehouse
 
@@ -160,7 +160,7 @@ def test_straddling_duplicates_match_the_loop(spark, make_raw):
             o("o2", "2017-01-02 00:00:00", cust="b"), o("o3", "2017-01-03 00:00:00"),
             o("o4", "2017-01-04 00:00:00"), o("o5", "2017-01-05 00:00:00")]
     raw = make_raw(orders=rows)
-    assert straddling_runs(assign_batches(raw["raw_orders"], 2)).count() == 1
+    assert first_bad_edges(batch_edges(assign_batches(raw["raw_orders"], 2))) == (1, None)
     loop, backlog = (Warehouse(spark, scratch_path(spark, n)) for n in ("loop", "backlog"))
     # The loop skips the second o2 copy; later batches shift by one row.
     assert run_pipeline(spark, raw, loop, batch_size=2) == 3
@@ -254,3 +254,122 @@ def test_r10_bad_timestamp_in_bronze_still_fails(spark, make_raw, store_root):
     assert "_purchase_ts" in bronze["raw_orders"].columns
     with pytest.raises(Exception, match="invalid timestamp"):
         run_pipeline(spark, bronze, Warehouse(spark, store_root), batch_size=10)
+
+
+def run_both(spark, raw, size):
+    """Loop and backlog over the same rows; each store with what the run raised."""
+    out = []
+    for name, run in (("loop", run_pipeline), ("backlog", run_backlog)):
+        store, error = Warehouse(spark, scratch_path(spark, name)), None
+        try:
+            run(spark, raw, store, batch_size=size)
+        except Exception as exc:
+            error = str(exc)
+        out.append((store, error))
+    return out
+
+
+def assert_equal_stores(loop, backlog):
+    for t in [*schemas.WAREHOUSE_TABLES, "etl_watermarks", "etl_batch_log"]:
+        assert state_rows(loop, t) == state_rows(backlog, t), t
+
+
+def test_backlog_equals_loop_for_two_spellings_of_one_time(spark, make_raw):
+    raw = make_raw(orders=[o("a", "2020-01-01 00:00:00"), o("b", "2020-01-02 00:00:00", cust="x"), o("b", "2020-01-02T00:00:00.0", cust="y"),
+                           o("c", "2020-01-03 00:00:00")])
+    (loop, e1), (backlog, e2) = run_both(spark, raw, 2)
+    assert e1 is None and e2 is None
+    assert [r.batch_size for r in backlog.read("etl_batch_log").orderBy("batch_id").collect()] == [2, 1]
+    assert_equal_stores(loop, backlog)
+
+
+@pytest.mark.parametrize("at", [0, 1, 2, 3, 4, 5])
+def test_backlog_equals_loop_with_a_null_id_anywhere(spark, make_raw, at):
+    rows = [o(f"o{i}", f"2020-01-0{i + 1} 00:00:00") for i in range(6)]
+    rows[at] = o(None, rows[at]["order_purchase_timestamp"])
+    raw = make_raw(orders=rows)
+    (loop, e1), (backlog, e2) = run_both(spark, raw, 2)
+    assert (e1 is None) == (e2 is None) == (at % 2 == 0) and e1 == e2
+    assert_equal_stores(loop, backlog)
+
+
+def test_backlog_equals_loop_when_a_null_id_shares_the_edge_time(spark, make_raw):
+    raw = make_raw(orders=[o("a", "2020-01-01 00:00:00"), o("b", "2020-01-02 00:00:00"), o(None, "2020-01-02 00:00:00"), o("c", "2020-01-03 00:00:00"),
+                           o("d", "2020-01-04 00:00:00")])
+    (loop, e1), (backlog, e2) = run_both(spark, raw, 2)
+    assert e1 is None and e2 is None
+    assert_equal_stores(loop, backlog)
+
+
+def test_backlog_logs_running_then_failed(spark, make_raw, monkeypatch):
+    from ledgerline.streaming import backlog as module
+    raw = make_raw(orders=[o("a", "2020-01-01 00:00:00"), o("b", "2020-01-02 00:00:00")])
+    store, seen = Warehouse(spark, scratch_path(spark, "backlog")), []
+
+    def lost(*args, **kwargs):
+        seen.extend((r.batch_id, r.status) for r in Warehouse(spark, store.root).read("etl_batch_log").collect())
+        raise RuntimeError("x" * 3000)
+
+    monkeypatch.setattr(module, "publish_planned", lost)
+    with pytest.raises(RuntimeError):
+        run_backlog(spark, raw, store, batch_size=1)
+    assert seen == [(1, "running")]
+    (row,) = store.read("etl_batch_log").collect()
+    assert row.status == "failed" and row.message == "x" * 1000 and store.read("stg_orders").count() == 0
+    monkeypatch.undo()
+    assert run_backlog(spark, raw, store, batch_size=1) == 2
+    log = store.read("etl_batch_log").orderBy("batch_id").collect()
+    assert [(r.batch_id, r.status) for r in log] == [(1, "failed"), (2, "completed"), (3, "completed")]
+    assert all(r.started_at <= r.finished_at for r in log)
+
+
+def test_items_of_orders_in_several_spellings_are_counted_per_batch(spark, make_raw):
+    orders = [o("k", "2020-01-01 00:00:00"), o(" k", "2020-01-02 00:00:00"), o("m", "2020-01-03 00:00:00"), o("k ", "2020-01-04 00:00:00")]
+    items = [{"order_id": i, "order_item_id": str(n)} for i in ("k", " k", "k ", "m") for n in (1, 1, 2)]
+    for size in (1, 2, 3):
+        (loop, e1), (backlog, e2) = run_both(spark, make_raw(orders=orders, items=items), size)
+        assert e1 is None and e2 is None
+        assert_equal_stores(loop, backlog)
+
+
+def test_the_largest_batch_is_a_parameter(spark, make_raw):
+    raw = make_raw(orders=[o("a", "2020-01-01 00:00:00")])
+    store = Warehouse(spark, scratch_path(spark, "big"))
+    with pytest.raises(ValueError):
+        run_backlog(spark, raw, store, batch_size=6000)
+    assert run_backlog(spark, raw, store, batch_size=6000, max_batch_size=6000) == 1
+
+
+def test_no_table_is_published_with_nulls_or_repeated_keys(spark):
+    from ledgerline.plans.store import ConstraintViolation
+    store = Warehouse(spark, scratch_path(spark, "gate"))
+    columns = "customer_id string, customer_unique_id string, customer_zip_code_prefix int, customer_city string, customer_state string, source_batch_id long"
+
+    def rows(*ids):
+        df = spark.createDataFrame([(i, "u", 1, "c", "s", 1) for i in ids], columns)
+        return df.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+
+    store.publish({"stg_customers": rows("a", "b")})
+    with pytest.raises(ConstraintViolation, match="stg_customers primary_key:customer_id=1"):
+        store.publish({"stg_customers": rows("a", "a")})
+    with pytest.raises(Exception, match="null value in column customer_id of stg_customers"):
+        store.publish({"stg_customers": rows("a", None)})
+    with pytest.raises(Exception, match="null value in column last_order_id"):
+        store.publish({"etl_watermarks": spark.createDataFrame(
+            [("p", None)], "pipeline_name string, last_order_id string").withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz"))
+            .withColumn("last_order_purchase_timestamp", F.col("updated_at"))})
+    assert sorted(r.customer_id for r in Warehouse(spark, store.root).read("stg_customers").collect()) == ["a", "b"]
+
+
+def test_another_layout_format_is_refused(spark):
+    from ledgerline.streaming.publish import LAYOUT_FORMAT_CONF
+    raw = bind_raw(spark, SMALL)
+    store = Warehouse(spark, scratch_path(spark, "layout"))
+    run_backlog(spark, raw, store, batch_size=400, max_batches=1)
+    spark.conf.set(LAYOUT_FORMAT_CONF, "yyyy")
+    try:
+        with pytest.raises(ValueError, match="laid out by yyyy-MM"):
+            run_backlog(spark, raw, Warehouse(spark, store.root), batch_size=400, max_batches=1)
+        assert run_backlog(spark, raw, Warehouse(spark, store.root), batch_size=400, max_batches=1, refresh=True) == 1
+    finally:
+        spark.conf.unset(LAYOUT_FORMAT_CONF)
