@@ -29,7 +29,7 @@ OVERLAP = 1_024
 #: A boundary this many characters before the end of a chunk does not depend on what follows the chunk:
 #: the longest look-ahead of the pattern is the three characters of 're, 've and 'll.
 SAFE_TAIL = 3
-CACHE_WORDS = 250_000
+CACHE_WORDS = 80_000
 LONG_PIECE = 64
 NO_RANK = 1 << 40
 
@@ -141,7 +141,7 @@ def ids_array(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *arrays])))
 
 
-def slices_of(rows: list[int], budget: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices_of(rows: list[int], budget: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Cut a batch so that one result batch holds about ``budget`` characters of input at most."""
     start = size = 0
     for i, n in enumerate(rows):
@@ -153,8 +153,9 @@ def slices_of(rows: list[int], budget: int = 4_000_000) -> Iterator[tuple[int, i
         yield start, len(rows)
 
 
-def _encoder(path: str, pattern: str, text: str, first: str | None = None, last: str | None = None):
-    """mapInArrow function: replaces ``text`` by ``_ids``, those of [first, last) when these columns are named."""
+def _encoder(path: str, pattern: str, decode: bool, text: str, first: str | None = None, last: str | None = None):
+    """mapInArrow function: replaces ``text`` by ``_ids``, those of [first, last) when these columns are named, and
+    ``_bytes``, what the ids decode to (null unless asked for)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -165,9 +166,9 @@ def _encoder(path: str, pattern: str, text: str, first: str | None = None, last:
                 texts = [t or "" for t in b.column(text).to_pylist()]
                 spans = zip(b.column(first).to_pylist(), b.column(last).to_pylist()) if first else repeat((0, None))
                 ids = [c.encode(t, *span) for t, span in zip(texts, spans)]
+                back = pa.array([c.decode(x.tolist()) for x in ids] if decode else [None] * len(ids), pa.binary())
                 keep = [n for n in b.schema.names if n not in (text, first, last)]
-                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), ids_array(ids)],
-                                                 names=[*keep, "_ids"])
+                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), ids_array(ids), back], names=[*keep, "_ids", "_bytes"])
 
     return run
 
@@ -239,8 +240,10 @@ def _stitch(chunk_chars: int):
 
 
 def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "ids",
-           chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP) -> DataFrame:
-    """Add ``out_col`` (array<int>): the ids of each whole text by the rank file at ``path``.
+           chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP, decoded_col: str | None = None,
+           keep_text: bool = True) -> DataFrame:
+    """Add ``out_col`` (array<int>): the ids of each whole text by the rank file at ``path``; with ``decoded_col``
+    also the bytes that decoding these ids gives; without ``keep_text`` the text is left out, which halves what moves.
 
     Pre-tokens are the matches of ``pattern``; there are no special tokens. Texts up to
     ``chunk_chars`` characters are one chunk and are encoded where they are. Longer ones are chunked,
@@ -250,12 +253,13 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", out_c
     """
     if not 0 < overlap <= chunk_chars:
         raise ValueError("overlap must be between 1 and chunk_chars")
-    others = [c for c in df.columns if c != out_col]
+    others = [c for c in df.columns if c not in (out_col, decoded_col) and (keep_text or c != text_col)]
+    decode = decoded_col is not None
     flat = df.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"),
                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     row_type = flat.schema["_row"].dataType.simpleString()
     short = flat.filter(F.char_length("_text") <= chunk_chars).mapInArrow(
-        _encoder(path, pattern, "_text"), f"_row {row_type}, _ids array<int>")
+        _encoder(path, pattern, decode, "_text"), f"_row {row_type}, _ids array<int>, _bytes binary")
 
     long = flat.filter(F.char_length("_text") > chunk_chars).withColumn("_key", F.sha2("_text", 256))
     chunks = (long.select("_key", "_text")
@@ -270,11 +274,13 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", out_c
              .select("_key", F.lit(0).alias("_no"), F.col("_text").alias("_chunk"), F.lit(0).cast("long").alias("_first"),
                      F.char_length("_text").cast("long").alias("_last")))
     encoded = pieces.unionByName(whole).mapInArrow(
-        _encoder(path, pattern, "_chunk", "_first", "_last"), "_key string, _no int, _ids array<int>")
-    by_text = encoded.groupBy("_key").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_no", "_ids"))), lambda p: p["_ids"])).alias("_ids"))
-    stitched = long.select("_row", "_key").join(by_text, "_key").select("_row", "_ids")
-    return short.unionByName(stitched).select("_row.*", F.col("_ids").alias(out_col))
+        _encoder(path, pattern, decode, "_chunk", "_first", "_last"), "_key string, _no int, _ids array<int>, _bytes binary")
+    parts = F.array_sort(F.collect_list(F.struct("_no", "_ids", "_bytes")))
+    by_text = encoded.groupBy("_key").agg(parts.alias("_parts")).select(
+        "_key", F.flatten("_parts._ids").alias("_ids"),
+        F.unhex(F.array_join(F.transform("_parts._bytes", lambda b: F.hex(b)), "")).alias("_bytes"))
+    stitched = long.select("_row", "_key").join(by_text, "_key").select("_row", "_ids", "_bytes")
+    return short.unionByName(stitched).select("_row.*", F.col("_ids").alias(out_col), *([F.col("_bytes").alias(decoded_col)] if decode else []))
 
 
 def decoded(path: str, pattern: str, ids):

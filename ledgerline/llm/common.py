@@ -54,12 +54,17 @@ def ship_package(spark: SparkSession) -> None:
     sc._ledgerline_shipped = True
 
 
+#: Python workers and the JVM each hold a few Arrow batches; Spark's default of 64 MB is much for executors of 3 GB.
+ARROW_BATCH = "8m"
+
+
 def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """A query or stage whose first argument is the session, run with the package at the workers."""
+    """A query or stage whose first argument is the session, run with the package at the workers and bounded Arrow batches."""
 
     @wraps(query)
     def run(spark: SparkSession, *args) -> DataFrame:
         ship_package(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
         return query(spark, *args)
 
     return run

@@ -21,12 +21,12 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode the ids again, and digest both."""
     path, pattern = public_tokenizers.path(ENCODE_RANKS), public_tokenizers.PATTERN
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, path, pattern)
+    encoded = bpe.encode(docs, path, pattern, decoded_col="back", keep_text=False)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         hex_sha256(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
-        hex_sha256(bpe.decoded(path, pattern, F.col("ids"))).alias("decoded_sha256"))
+        hex_sha256(F.col("back")).alias("decoded_sha256"))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

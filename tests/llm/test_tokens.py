@@ -42,6 +42,8 @@ def test_encoding_equals_the_library_at_any_chunk_size(spark, docs_of, reference
     rows = [*enumerate(texts()), (900, None), (901, "dup " * 60), (901, "dup " * 60), (None, "no id " * 30)]
     got = bpe.encode(docs_of(rows), RANKS, P.PATTERN, chunk_chars=chunk, overlap=overlap)
     assert got.columns == ["doc_id", "text", "_key", "_text", "n", "ids"]
+    both = bpe.encode(docs_of(rows), RANKS, P.PATTERN, chunk_chars=chunk, overlap=overlap, decoded_col="bytes").collect()
+    assert all(bytes(r.bytes) == (r.text or "").encode() for r in both) and len(both) == len(rows)
     got = got.withColumn("back", bpe.decoded(RANKS, P.PATTERN, got["ids"])).collect()
     assert sorted((str(r.doc_id), r.ids) for r in got) == sorted((str(i), reference.encode_ordinary(x or "")) for i, x in rows)
     assert all(bytes(r.back) == (r.text or "").encode() and r["_text"] == "t" for r in got)
