@@ -27,13 +27,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut
+from ledgerline.llm.common import cut, tidy
 
 #: (percent, count): a prefix of this level is percent + 100 - t of a set, and count shingles, long.
 LEVELS = ((5, 3), (10, 6))
 COUNTERS = 1 << 18
 COUNTER_ROWS = 16
 POSTING_BLOCK = 1_000
+#: A set that posts no more shingles takes the list of them along.
+LISTED = 64
 ROWS_PER_BUCKET = 100_000
 #: What verifying a candidate costs, in postings.
 VERIFY_COST = 10
@@ -172,11 +174,39 @@ def _first(count: np.ndarray, shingles: np.ndarray, m: int) -> np.ndarray:
     return some[np.lexsort((shingles[some], count[some]))][:m]
 
 
+def _padded(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists as rows of a matrix and their lengths (0 for null)."""
+    lists = lists.combine_chunks()
+    size = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False), nan=0).astype(np.int64)
+    out = np.zeros((len(lists), int(size.max(initial=0))), np.int64)
+    out[np.repeat(np.arange(len(lists)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)] = lists.flatten().to_numpy()
+    return out, size
+
+
+def _shared(tokens: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of rows: how many tokens they have in common, and the least of these."""
+    count, least = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+    at = np.arange(tokens.shape[1])
+    step = max(1, 4_000_000 // max(1, tokens.shape[1] ** 2))
+    for i in range(0, len(x), step):
+        p, q = x[i:i + step], y[i:i + step]
+        same = (tokens[p][:, :, None] == tokens[q][:, None, :]) & (at < size[q][:, None])[:, None, :]
+        both = same.any(axis=2) & (at < size[p][:, None])
+        count[i:i + step] = both.sum(axis=1)
+        least[i:i + step] = np.where(both, tokens[p], np.iinfo(np.int64).max).min(axis=1)
+    return count, least
+
+
 def _cross_pairs(t100: int):
-    """applyInArrow on a bucket of postings: pairs of keys in different components that may be similar, once per token."""
+    """applyInArrow on a bucket of postings: pairs of keys in different components that may be similar.
+
+    Where both sets come with the lists of all they posted, the pair's shared postings are counted here, at the
+    least of them, and the pair goes out only if they are enough. Otherwise every shared posting goes out with a count of one.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        col = {c: table.column(c).to_numpy() for c in ("token", "a", "b", "block", "n", "own", "level", "in_short", "in_long", "comp", "key")}
+        names = ("token", "a", "b", "block", "n", "own", "level", "in_short", "in_long", "comp", "key")
+        col = {c: table.column(c).to_numpy() for c in names}
         order = np.lexsort((col["key"], col["b"], col["a"], col["token"]))
         col = {c: v[order] for c, v in col.items()}
         t, n = col["token"], col["n"].astype(np.int64)
@@ -189,21 +219,33 @@ def _cross_pairs(t100: int):
             first, length = first[mixed], length[mixed]
         at = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
         row, left = np.repeat(first, length) + at, np.repeat(length, length) - at
-        found, d = [(np.zeros(0, np.int64),) * 2], 1
+        lists = [_padded(table.column(c)) for c in ("short_list", "long_list")]
+        lists = [(tokens[order], size[order]) for tokens, size in lists]
+        out, d = [(np.zeros(0, np.int64),) * 4], 1
         while len(row):  # every row with the d-th after it in its run
             row, left = row[left > d], left[left > d]
             x, y = row, row + d
-            both = np.where(np.minimum(col["level"][x], col["level"][y]) > 0, col["in_long"][x] & col["in_long"][y],
-                            col["in_short"][x] & col["in_short"][y])
+            level = np.minimum(col["level"][x], col["level"][y]).astype(np.int64)
+            both = np.where(level > 0, col["in_long"][x] & col["in_long"][y], col["in_short"][x] & col["in_short"][y])
             ok = (both & (col["comp"][x] != col["comp"][y]) & ((col["a"][x] == col["b"][x]) | (col["block"][x] != col["block"][y]))
                   & ((100 + t100) * np.minimum(most[x], most[y]) >= t100 * (n[x] + n[y])))
-            found.append((x[ok], y[ok]))
+            x, y, level = x[ok], y[ok], level[ok]
+            for at_level, (tokens, size) in enumerate(lists):
+                mine = level == at_level
+                listed = mine & (size[x] > 0) & (size[y] > 0)
+                p, q = x[listed], y[listed]
+                count, least = _shared(tokens, size, p, q)
+                larger = np.maximum(n[p], n[q])
+                wanted = -(-t100 * (n[p] + n[q]) // (100 + t100)) - rest(t100, larger, at_level) - spare(t100, larger, at_level) + 1
+                go = (least == t[p]) & (count >= wanted)
+                out.append((p[go], q[go], level[listed][go], count[go]))
+                p, q = x[mine & ~listed], y[mine & ~listed]
+                out.append((p, q, level[mine & ~listed], np.ones(len(p), np.int64)))
             d += 1
-        x, y = map(np.concatenate, zip(*found))
+        x, y, level, shared = map(np.concatenate, zip(*out))
         swap = col["key"][x] > col["key"][y]
         x, y = np.where(swap, y, x), np.where(swap, x, y)
-        return pa.table({"x": col["key"][x], "y": col["key"][y], "nx": n[x], "ny": n[y],
-                         "level": np.minimum(col["level"][x], col["level"][y]).astype(np.int32)})
+        return pa.table({"x": col["key"][x], "y": col["key"][y], "nx": n[x], "ny": n[y], "level": level.astype(np.int32), "shared": shared})
 
     return run
 
@@ -288,7 +330,7 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark, t100 = df.sparkSession, percent
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    described = cut(docs.mapInArrow(_describe(width), "id long, n long, key long, slice int, counts binary"))
+    described = cut(docs.mapInArrow(tidy(_describe(width)), "id long, n long, key long, slice int, counts binary"))
     rows = described.filter("slice IS NULL").select("id", "n", "key")
     counts = (described.filter("slice IS NOT NULL").select("slice", "counts").groupBy("slice")
               .applyInArrow(_add_up, "slice int, counts binary").collect())  # COUNTERS numbers, whatever the table
@@ -296,7 +338,7 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     rarity = np.concatenate([counts.get(i, np.zeros(COUNTERS // COUNTER_ROWS, np.int64)) for i in range(COUNTER_ROWS)])
     rarity = np.minimum(rarity, np.iinfo(np.int32).max).astype(np.int32)
 
-    postings = docs.select("text").mapInArrow(_prefixes(width, t100, spark.sparkContext.broadcast(rarity)),
+    postings = docs.select("text").mapInArrow(tidy(_prefixes(width, t100, spark.sparkContext.broadcast(rarity))),
                                               "token long, key long, n int, level byte, short boolean")
     lengths = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     # Of each set's repeated prefix shingles, the most frequent may be left out at either level.
@@ -320,10 +362,10 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
         asked = cut(pairs.select(F.col("x").alias("key")).union(pairs.select(F.col("y").alias("key"))).distinct().join(sample, "key"))
         wanted = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
         sets = (docs.join(wanted, docs["id"].eqNullSafe(wanted["id"])).select("key", "text")
-                .mapInArrow(_packed_sets(width), "key long, shingles binary").dropDuplicates(["key"]))
+                .mapInArrow(tidy(_packed_sets(width)), "key long, shingles binary").dropDuplicates(["key"]))
         return cut(pairs.join(sets.select(F.col("key").alias("y"), F.col("shingles").alias("sy")), "y")
                    .join(sets.select(F.col("key").alias("x"), F.col("shingles").alias("sx")), "x")
-                   .select("x", "y", "sx", "sy").mapInArrow(_similar(t100), "x long, y long"))
+                   .select("x", "y", "sx", "sy").mapInArrow(tidy(_similar(t100)), "x long, y long"))
 
     # Round one: every set with the most typical set of a posting list, of these the one it shares most lists with.
     leaders = common.groupBy("token").agg(F.min(F.struct("own", "key"))["key"].alias("x"))
@@ -345,10 +387,14 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
            .withColumn("other", F.explode(F.expr("if(comp = top, sequence(p, p + q - 1), sequence(0, p + q - 1))")))
            .select("token", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "n", "own", "level",
                    "in_short", "in_long", "comp", "key"))
+    # Sets that posted little carry all they posted, so that their pairs are counted where they meet.
+    few = (common.groupBy("key").agg(*[F.collect_list(F.when(F.col(f"in_{k}"), F.col("token"))).alias(f"{k}_list") for k in ("short", "long")])
+           .filter(f"size(short_list) <= {LISTED} and size(long_list) <= {LISTED}"))
+    met = met.join(few, "key", "left")
     n_buckets = max(1, -(-common.count() // ROWS_PER_BUCKET))
     pairs = (met.withColumn("bucket", F.pmod(F.xxhash64("token", "a", "b"), F.lit(n_buckets))).groupBy("bucket")
-             .applyInArrow(_cross_pairs(t100), "x long, y long, nx long, ny long, level int")
-             .groupBy("x", "y").agg(F.count("*").alias("shared"), F.min("nx").alias("nx"), F.min("ny").alias("ny"), F.min("level").alias("level"))
+             .applyInArrow(_cross_pairs(t100), "x long, y long, nx long, ny long, level int, shared long")
+             .groupBy("x", "y").agg(F.sum("shared").alias("shared"), F.min("nx").alias("nx"), F.min("ny").alias("ny"), F.min("level").alias("level"))
              .filter(_enough(t100)).select("x", "y"))
     more = similar(pairs)
     comps = connected_components(more.union(stars.select(F.col("comp").alias("x"), F.col("node").alias("y")))).withColumnRenamed("node", "key")
