@@ -17,9 +17,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import FORGET
+
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_WORDS = 200_000
+CACHE_WORDS = 250_000
 
 
 def byte_symbols() -> list[str]:
@@ -60,16 +62,20 @@ def merges_needed(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
 
 
 class WordCounts(dict):
-    """Pre-token -> number of tokens, filled on demand; emptied when it holds ``CACHE_WORDS`` entries."""
+    """Pre-token -> number of tokens, filled on demand in two generations of ``CACHE_WORDS`` entries."""
 
     def __init__(self, ranks: dict[tuple[str, str], int]):
-        self.ranks, self.symbol = ranks, byte_symbols()
+        self.ranks, self.symbol, self.older = ranks, byte_symbols(), {}
 
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
-        symbols = [self.symbol[b] for b in word.encode("utf-8", "surrogatepass")]
-        self[word] = n = len(symbols) - merges_needed(symbols, self.ranks)
+        n = self.older.get(word)
+        if n is None:
+            symbols = [self.symbol[b] for b in word.encode("utf-8", "surrogatepass")]
+            n = len(symbols) - merges_needed(symbols, self.ranks)
+        self[word] = n
         return n
 
 
@@ -99,6 +105,9 @@ def counter(path: str) -> TokenCounter:
     return TokenCounter(path)
 
 
+FORGET.append(counter.cache_clear)
+
+
 def with_token_counts(df: DataFrame, path: str, text_col: str = "text", out_col: str = "n_tokens") -> DataFrame:
     """Add ``out_col``: the number of tokens of each whole text, as the tokenizers library counts them.
 
