@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut
+from ledgerline.llm.common import cut, tidy
 
 WINDOW = 13
 SHINGLE = 3
 BLOCK_BYTES = 2_000_000
 BLOCKS_AT_ONCE = 8
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 #: Words are runs of digits, lower-cased letters A-Z and non-ASCII bytes.
 _TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -254,11 +254,11 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
         index = build_index(sorted((r["id"], r["text"]) for r in own), window)
         unordered = spark.sparkContext.broadcast(index)
         frequency = np.zeros(index.n_grams, dtype=np.int64)
-        for r in (texts.mapInArrow(_document_counts(unordered), "gram int, count long")
+        for r in (texts.mapInArrow(tidy(_document_counts(unordered)), "gram int, count long")
                   .groupBy("gram").agg(F.sum("count").alias("count")).collect() if index.n_grams else ()):
             frequency[r["gram"]] = r["count"]
         index = spark.sparkContext.broadcast(order_by_rarity(index, frequency))
-        flat = flat.mapInArrow(_join_block(index, block == 0),
+        flat = flat.mapInArrow(tidy(_join_block(index, block == 0)),
                                f"_row {row_type}, _text string, _n_words long, _spans array<int>, _items array<string>")
         if block % BLOCKS_AT_ONCE == BLOCKS_AT_ONCE - 1 and block < n_blocks - 1:
             flat = cut(flat)

@@ -35,8 +35,8 @@ COUNTERS = 1 << 18
 COUNTER_ROWS = 16
 POSTING_BLOCK = 1_000
 #: A set that posts no more shingles takes the list of them along.
-LISTED = 64
-ROWS_PER_BUCKET = 100_000
+LISTED = 48
+ROWS_PER_BUCKET = 40_000
 #: What verifying a candidate costs, in postings.
 VERIFY_COST = 10
 #: Ids of the sets to verify are broadcast if they were counted and are no more (8 MB).

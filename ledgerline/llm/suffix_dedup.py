@@ -26,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import release_memory
+
 LENGTH = 50
 ANCHOR = 16
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 4_000_000
 #: Distinct anchors of this many bytes of text meet in one task when they are counted.
 BYTES_PER_BUCKET = 12_000_000
 BLOCKS_PER_SALT = 64
-SORT_WINDOWS = 400_000
+SORT_WINDOWS = 200_000
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -320,7 +322,10 @@ def _send_strings(length: int, n_buckets: int, n_parts: int):
         settled = (s.block[copies], s.row[copies], s.start[copies], s.start[copies] + s.size[copies])
         s = s.take(keep)
         salt = np.uint64(block) & ((np.uint64(1) << s.hot.astype(np.uint64)) - np.uint64(1))
-        return _moved(s, _part_of(s.anchor, salt, n_parts), [settled], n_parts)
+        moved = _moved(s, _part_of(s.anchor, salt, n_parts), [settled], n_parts)
+        del s, raw, texts
+        release_memory()
+        return moved
 
     return run
 
@@ -336,7 +341,10 @@ def _sort_part(length: int, n_parts: int):
         spans += repeated_windows(s, length, keep, copies)
         on = s.take(keep[s.hot[keep] > 0])
         on.hot = np.zeros(len(on), np.int8)
-        return _moved(on, _part_of(on.anchor, np.uint64(0), n_parts), spans, n_parts)
+        moved = _moved(on, _part_of(on.anchor, np.uint64(0), n_parts), spans, n_parts)
+        del s, on, rows
+        release_memory()
+        return moved
 
     return run
 
@@ -370,6 +378,7 @@ def _mark(docs: pa.Table, spans: pa.Table) -> pa.Table:
         gone = np.cumsum(edge[:-1]) > 0
         bounds.append(np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))).tolist())
         left.append(np.frombuffer(t, np.uint8)[~gone].tobytes())
+    release_memory()
     return pa.table({"_row": docs.column("_row"), "_text": docs.column("_text"), "_bounds": pa.array(bounds, pa.list_(pa.int64())),
                      "_left": pa.array(left, pa.binary())})
 
