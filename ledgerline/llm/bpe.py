@@ -24,12 +24,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import FORGET, tidy
+
 CHUNK_CHARS = 32_768
 OVERLAP = 1_024
 #: A boundary this many characters before the end of a chunk does not depend on what follows the chunk:
 #: the longest look-ahead of the pattern is the three characters of 're, 've and 'll.
 SAFE_TAIL = 3
-CACHE_WORDS = 80_000
+CACHE_WORDS = 120_000
 LONG_PIECE = 64
 NO_RANK = 1 << 40
 
@@ -135,6 +137,9 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+FORGET.append(codec.cache_clear)
+
+
 def ids_array(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(arrays) + 1, dtype=np.int32)
     np.cumsum([len(a) for a in arrays], out=offsets[1:])
@@ -259,13 +264,13 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", out_c
                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     row_type = flat.schema["_row"].dataType.simpleString()
     short = flat.filter(F.char_length("_text") <= chunk_chars).mapInArrow(
-        _encoder(path, pattern, decode, "_text"), f"_row {row_type}, _ids array<int>, _bytes binary")
+        tidy(_encoder(path, pattern, decode, "_text"), forget=False), f"_row {row_type}, _ids array<int>, _bytes binary")
 
     long = flat.filter(F.char_length("_text") > chunk_chars).withColumn("_key", F.sha2("_text", 256))
     chunks = (long.select("_key", "_text")
-              .mapInArrow(_cut_chunks(chunk_chars, overlap), "_key string, _n long, _no int, _chunk string")
+              .mapInArrow(tidy(_cut_chunks(chunk_chars, overlap), forget=False), "_key string, _n long, _no int, _chunk string")
               .dropDuplicates(["_key", "_no"]))
-    ends = chunks.mapInArrow(_ends_of_chunks(path, pattern, chunk_chars, overlap),
+    ends = chunks.mapInArrow(tidy(_ends_of_chunks(path, pattern, chunk_chars, overlap), forget=False),
                              "_key string, _n long, _no int, _head array<long>, _tail array<long>")
     cuts = ends.groupBy("_key").applyInPandas(_stitch(chunk_chars), "_key string, _no int, _first long, _last long")
     pieces = chunks.drop("_n").join(cuts, ["_key", "_no"])
@@ -274,7 +279,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", out_c
              .select("_key", F.lit(0).alias("_no"), F.col("_text").alias("_chunk"), F.lit(0).cast("long").alias("_first"),
                      F.char_length("_text").cast("long").alias("_last")))
     encoded = pieces.unionByName(whole).mapInArrow(
-        _encoder(path, pattern, decode, "_chunk", "_first", "_last"), "_key string, _no int, _ids array<int>, _bytes binary")
+        tidy(_encoder(path, pattern, decode, "_chunk", "_first", "_last"), forget=False), "_key string, _no int, _ids array<int>, _bytes binary")
     parts = F.array_sort(F.collect_list(F.struct("_no", "_ids", "_bytes")))
     by_text = encoded.groupBy("_key").agg(parts.alias("_parts")).select(
         "_key", F.flatten("_parts._ids").alias("_ids"),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +40,36 @@ def blank_if_null(name: str):
     return F.coalesce(F.col(name), F.lit(""))
 
 
+#: Empties the caches that operators keep in a Python worker from task to task; each operator adds its own.
+FORGET: list[Callable[[], None]] = []
+
+
+def release_memory(forget: bool = True) -> None:
+    """Give memory of this Python worker back to the machine: workers serve many stages and would keep it.
+
+    With ``forget`` also what other operators' tasks left in their caches.
+    """
+    for empty in FORGET if forget else ():
+        empty()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[..., Iterator], forget: bool = True) -> Callable[..., Iterator]:
+    """A mapInArrow function that releases its worker's memory when its task ends."""
+
+    @wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory(forget)
+
+    return tidied
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package, once per Spark context.
 

@@ -18,9 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import release_memory, tidy
+
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
-BATCH = 256
+BATCH = 128
+SALTS = 64
 _BITS = 21  # of a code point; three of them fit a 64-bit key, so n-grams are exact
 
 
@@ -129,13 +132,13 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     rows = labelled.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")
                            ).filter("lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.withColumn("turn", F.xxhash64("id", "text"))
-    first = Window.partitionBy("lang").orderBy("turn", "id")
-    chosen = (rows.filter(F.col("text").rlike(r"\p{L}")).select("lang", "turn", "id")
-              .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= rows_per_language)
-              .select("lang", "turn").distinct())
+    chosen = rows.filter(F.col("text").rlike(r"\p{L}")).select("lang", "turn").distinct()
+    for group in (["lang", F.pmod("turn", F.lit(SALTS))], ["lang"]):  # a language's rows first in salted groups
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("turn"))
+        chosen = chosen.withColumn("place", place).filter(F.col("place") <= rows_per_language).drop("place")
     # At most rows_per_language short rows for each language: bounded, whatever the table.
     sample = rows.join(F.broadcast(chosen), ["lang", "turn"]).dropDuplicates(["lang", "turn"]).select("lang", "text")
-    got = sample.mapInArrow(_spectra_batches, "lang string, grams binary, sizes array<int>").collect()
+    got = sample.mapInArrow(tidy(_spectra_batches), "lang string, grams binary, sizes array<int>").collect()
     got = sorted(((r["lang"], bytes(r["grams"]), r["sizes"]) for r in got), key=lambda r: r[:2])
     spectra = [np.split(np.frombuffer(g, dtype=np.int64), np.cumsum(sizes)[:-1]) for _, g, sizes in got]
     return fit([lang for lang, _, _ in got], spectra, n_landmarks)
@@ -163,5 +166,6 @@ def predicted(df: DataFrame, model: Model | None, text_col: str = "text"):
                     for (i, _), j, row in zip(found, best, values):
                         langs[i], scores[i] = model.languages[j], min(1.0, max(0.0, (float(row[j]) + 1) / 2))
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
+        release_memory()
 
     return run(F.col(f"`{text_col}`"))
