@@ -347,8 +347,8 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     above = [F.desc("df"), F.desc("token")]
     (short_rest, short_spare), (long_rest, long_spare) = (_sql(t100, level) for level in (0, 1))
     of_set = Window.partitionBy("key")
+    # ``own`` only says how typical a set is: what no other prefix holds may still lie behind another's.
     placed = (repeated.withColumn("own", (F.expr(f"n - if(level = 0, {short_rest}, {long_rest})") - F.count("*").over(of_set)).cast("int"))
-              .filter(F.expr(f"100 * (n - own) >= {t100} * n"))
               .withColumn("long_place", F.row_number().over(Window.partitionBy("key").orderBy(*above)))
               .withColumn("short_place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("short"), *above))))
     common = cut(placed.withColumn("in_short", F.expr(f"short and short_place >= {short_spare}"))

@@ -61,6 +61,18 @@ def test_against_brute_force(spark, docs_of, monkeypatch, seed, width, percent,
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, width, percent)
 
 
+def test_extended_copies(spark, docs_of):
+    """A shingle that no other prefix holds may lie behind the prefix of a similar set."""
+    rows, i = [], 0
+    for length in (11, 20, 40, 80):
+        words = [f"x{length}y{k}" for k in range(length)]
+        for more in range(3):
+            rows.append((i, " ".join(words + [f"z{length}y{more}y{k}" for k in range(more * length // 20 + 1)][:more])))
+            i += 1
+    got = ngram_join.similarity_components(docs_of(rows), width=3, percent=90).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, 3, 90)
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 200) for i in range(40)] + [(r.randrange(300, 400), r.randrange(300, 400)) for _ in range(60)] + [(7, 7)]
