@@ -135,9 +135,9 @@ def _add_up(table: pa.Table) -> pa.Table:
 
 
 def _prefixes(width: int, t100: int, shared):
-    """mapInArrow: text -> postings (token, key, n, level, short) of the prefix, once per set and task.
+    """mapInArrow: text -> postings (token, key, n, level, place, short) of the prefix, once per set and task.
 
-    ``short``: the shingle lies in the prefix of level 0 as well.
+    ``place``: how many shingles of the set come before. ``short``: the shingle lies in the prefix of level 0 as well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,9 +160,9 @@ def _prefixes(width: int, t100: int, shared):
                 level = int(VERIFY_COST * np.maximum(posted - usual, 0).sum() > long - short)
                 m = long if level else short
                 out.append((s[order[:m]].view(np.int64), np.full(m, key, np.int64), np.full(m, n, np.int32),
-                            np.full(m, level, np.int8), np.arange(m) < short))
+                            np.full(m, level, np.int8), np.arange(m, dtype=np.int32), np.arange(m) < short))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["token", "key", "n", "level", "short"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["token", "key", "n", "level", "place", "short"])
 
     return run
 
@@ -202,15 +202,16 @@ def _cross_pairs(t100: int):
 
     Where both sets come with the lists of all they posted, the pair's shared postings are counted here, at the
     least of them, and the pair goes out only if they are enough. Otherwise every shared posting goes out with a count of one.
+    A posting's places in both sets bound their overlap: a similar pair passes that test at every posting it shares.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        names = ("token", "a", "b", "block", "n", "own", "level", "in_short", "in_long", "comp", "key")
+        names = ("token", "a", "b", "block", "n", "level", "place", "in_short", "in_long", "comp", "key")
         col = {c: table.column(c).to_numpy() for c in names}
         order = np.lexsort((col["key"], col["b"], col["a"], col["token"]))
         col = {c: v[order] for c, v in col.items()}
         t, n = col["token"], col["n"].astype(np.int64)
-        most = n - col["own"]  # overlap with any other set
+        before, behind = col["place"].astype(np.int64), n - col["place"]  # shingles in the global order; behind counts the posting too
         new = np.concatenate([[True], (t[1:] != t[:-1]) | (col["a"][1:] != col["a"][:-1]) | (col["b"][1:] != col["b"][:-1])]) if len(t) else np.zeros(0, bool)
         first = np.flatnonzero(new)
         length = np.diff(np.append(first, len(t)))
@@ -227,8 +228,9 @@ def _cross_pairs(t100: int):
             x, y = row, row + d
             level = np.minimum(col["level"][x], col["level"][y]).astype(np.int64)
             both = np.where(level > 0, col["in_long"][x] & col["in_long"][y], col["in_short"][x] & col["in_short"][y])
+            most = np.minimum(before[x], before[y]) + np.minimum(behind[x], behind[y])  # overlap of two sets that share this posting
             ok = (both & (col["comp"][x] != col["comp"][y]) & ((col["a"][x] == col["b"][x]) | (col["block"][x] != col["block"][y]))
-                  & ((100 + t100) * np.minimum(most[x], most[y]) >= t100 * (n[x] + n[y])))
+                  & ((100 + t100) * most >= t100 * (n[x] + n[y])))
             x, y, level = x[ok], y[ok], level[ok]
             for at_level, (tokens, size) in enumerate(lists):
                 mine = level == at_level
@@ -339,11 +341,11 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     rarity = np.minimum(rarity, np.iinfo(np.int32).max).astype(np.int32)
 
     postings = docs.select("text").mapInArrow(tidy(_prefixes(width, t100, spark.sparkContext.broadcast(rarity))),
-                                              "token long, key long, n int, level byte, short boolean")
+                                              "token long, key long, n int, level byte, place int, short boolean")
     lengths = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     # Of each set's repeated prefix shingles, the most frequent may be left out at either level.
     repeated = postings.join(lengths, "token").groupBy("token", "key").agg(
-        F.min("n").alias("n"), F.min("level").alias("level"), F.min("short").alias("short"), F.min("df").alias("df"))
+        F.min("n").alias("n"), F.min("level").alias("level"), F.min("place").alias("place"), F.min("short").alias("short"), F.min("df").alias("df"))
     above = [F.desc("df"), F.desc("token")]
     (short_rest, short_spare), (long_rest, long_spare) = (_sql(t100, level) for level in (0, 1))
     of_set = Window.partitionBy("key")
@@ -353,7 +355,7 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
               .withColumn("short_place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("short"), *above))))
     common = cut(placed.withColumn("in_short", F.expr(f"short and short_place >= {short_spare}"))
                  .withColumn("in_long", F.expr(f"level = 1 and long_place >= {long_spare}"))
-                 .filter("in_short or in_long").select("token", "key", "n", "own", "level", "in_short", "in_long"))
+                 .filter("in_short or in_long").select("token", "key", "n", "own", "level", "place", "in_short", "in_long"))
     sample = rows.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"))
 
     def similar(pairs: DataFrame) -> DataFrame:
@@ -385,7 +387,7 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     met = (labelled.join(lists, "token")
            .withColumn("block", F.expr("if(comp = top, pmod(xxhash64(key), p), p + pmod(xxhash64(key), q))").cast("int"))
            .withColumn("other", F.explode(F.expr("if(comp = top, sequence(p, p + q - 1), sequence(0, p + q - 1))")))
-           .select("token", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "n", "own", "level",
+           .select("token", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "n", "level", "place",
                    "in_short", "in_long", "comp", "key"))
     # Sets that posted little carry all they posted, so that their pairs are counted where they meet.
     few = (common.groupBy("key").agg(*[F.collect_list(F.when(F.col(f"in_{k}"), F.col("token"))).alias(f"{k}_list") for k in ("short", "long")])

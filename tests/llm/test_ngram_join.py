@@ -73,6 +73,20 @@ def test_extended_copies(spark, docs_of):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, 3, 90)
 
 
+def test_partly_shared_groups(spark, docs_of):
+    """Similar pairs whose prefixes are filled differently, where a third set leads all the lists they share."""
+    r = random.Random(2)
+    vocab, rows = [f"v{k}" for k in range(40)], []
+    for g in range(12):
+        core, some = [f"g{g}c{k}" for k in range(r.choice([30, 60, 80]))], [f"g{g}s{k}" for k in range(14)]
+        for c in range(r.choice([3, 4, 6])):
+            words = core + r.sample(some, r.randrange(11)) + [f"g{g}d{c}r{k}" for k in range(r.randrange(12))] + r.sample(vocab, r.randrange(3))
+            rows.append((len(rows), " ".join(words)))
+    r.shuffle(rows)
+    got = ngram_join.similarity_components(docs_of(rows), width=1, percent=80).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, 1, 80)
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 200) for i in range(40)] + [(r.randrange(300, 400), r.randrange(300, 400)) for _ in range(60)] + [(7, 7)]
