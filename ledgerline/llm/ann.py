@@ -198,6 +198,7 @@ class Cell:
         length, best, best_rows = float(q @ q) + self.longest, np.zeros(0), np.zeros(0, np.int64)
         bound = reach if reach >= 0 else math.inf
         kth = math.inf
+        tolerance = 1e-9 * math.sqrt(float(q @ q) * self.longest)
         for i in range(0, len(order), LEAVES_AT_ONCE):
             if near[order[i]] >= limit * bound:
                 break
@@ -207,10 +208,10 @@ class Cell:
             if len(rows) > k:
                 # Equal scores may differ by rounding in a matrix product: keep all that could be among the k.
                 edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-                keep = scores >= edge - 1e-9 * (1 + abs(edge))
+                keep = scores >= edge - tolerance
                 scores, rows = scores[keep], rows[keep]
-                if len(rows) > 4 * k:
-                    keep = np.lexsort((self.first_id[rows], -np.round(scores, 9)))[:4 * k]
+                if len(rows) > 4 * k:  # by the scores that also decide at the end
+                    keep = np.lexsort((self.first_id[rows], -(self.vectors[rows] * q).sum(axis=1)))[:4 * k]
                     scores, rows = scores[keep], rows[keep]
             best, best_rows = scores, rows
             ordered = np.argsort(-best)

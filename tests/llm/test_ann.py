@@ -59,3 +59,16 @@ def test_odd_rows(spark):
     assert got == [(0, 1, 1, 1.0), (0, 2, 20, 1.0), (0, 3, 60, 0.0), (20, 1, 0, 1.0), (20, 2, 1, 1.0), (20, 3, 60, -1.0),
                    (60, 1, 0, 0.0), (60, 2, 1, -1.0), (60, 3, 20, -1.0)]
     assert ann.nearest(df.limit(0), lambda i: i % 20 == 0).collect() == []
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-6, 1e4])
+def test_many_scores_within_the_tolerance(scale):
+    """Scores are compared as they are, however short the vectors and however many lie close together."""
+    rng = np.random.default_rng(6)
+    vectors = (rng.standard_normal((1_500, 8)) if scale < 1 else 1 + 1e-11 * rng.standard_normal((1_500, 8))) * scale
+    longest = float((vectors ** 2).sum(axis=1).max())
+    cell = ann.Cell(vectors, [[i] for i in range(len(vectors))], rng.standard_normal((9, ann.PROJECTIONS)), longest)
+    q = vectors[700]
+    exact = (vectors * q).sum(axis=1)
+    want = sorted((-s, i) for i, s in enumerate(exact.tolist()))[:21]
+    assert cell.search(q, 21, 1e9, -1.0)[0] == [(-s, i) for s, i in want]
