@@ -101,6 +101,23 @@ SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST
 FROM words w LEFT JOIN hit h ON h.doc = w.id LEFT JOIN named m ON m.doc = w.id WHERE w.kind = 'd'
 """
 
+OP13 = r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), lines AS (
+  SELECT doc_id, i, l[i] AS line,
+    translate(trim(l[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM split)
+), common AS (
+  SELECT k, max(doc_id) AS last FROM lines WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT l.doc_id, i, line, c.last IS NOT NULL AND c.last <> l.doc_id AS gone FROM lines l LEFT JOIN common c ON c.k = l.k
+)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 
 def _canonical(text: str) -> str:
     sql = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -129,4 +146,5 @@ ORACLES = {
     "op4_suffix_dedup": OP4,
     "op5_license_scan": _op5(),
     "op6_decontamination": OP6,
+    "op13_line_dedup": OP13,
 }

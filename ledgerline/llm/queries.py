@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, bpe, chat, decontaminate, langid, licenses, ngram_join, sharding, suffix_dedup, token_counts
+from ledgerline.llm import ann, bpe, chat, decontaminate, langid, licenses, line_dedup, ngram_join, sharding, suffix_dedup, token_counts
 from ledgerline.llm.common import hex_sha256, read_table, shipped
 from ledgerline.llm.oracles import ORACLES
 
@@ -106,6 +106,13 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, lambda vec_id: vec_id % 20 == 0, k=20)
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 20 code points or more in three documents or more, kept in the one with the largest id."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_common_lines(docs, min_docs=3, min_chars=20).select(
+        "doc_id", "n_lines", "n_dropped", hex_sha256(F.col("kept_text")).alias("kept_sha256"))
+
+
 QUERIES = {name: shipped(query) for name, query in {
     "op1_chat_format": op1_chat_format,
     "op2_bpe_codec": op2_bpe_codec,
@@ -117,4 +124,5 @@ QUERIES = {name: shipped(query) for name, query in {
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
     "op9_token_counts": op9_token_counts,
     "op10_nearest": op10_nearest,
+    "op13_line_dedup": op13_line_dedup,
 }.items()}
