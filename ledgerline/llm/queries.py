@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, bpe, chat, decontaminate, langid, licenses, line_dedup, ngram_join, sharding, suffix_dedup, token_counts
+from ledgerline.llm import ann, bpe, chat, decontaminate, langid, licenses, line_dedup, ngram_join, sharding, suffix_dedup, token_counts, whiten
 from ledgerline.llm.common import hex_sha256, read_table, shipped
 from ledgerline.llm.oracles import ORACLES
 
@@ -106,6 +106,13 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, lambda vec_id: vec_id % 20 == 0, k=20)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight first whitened components of every embedding."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whiten.whiten(vectors, components=8).select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"),
+                                                       "whitened", "explained", "identity_error")
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 code points or more in three documents or more, kept in the one with the largest id."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -124,5 +131,6 @@ QUERIES = {name: shipped(query) for name, query in {
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
     "op9_token_counts": op9_token_counts,
     "op10_nearest": op10_nearest,
+    "op11_whitening": op11_whitening,
     "op13_line_dedup": op13_line_dedup,
 }.items()}

@@ -52,3 +52,15 @@ def test_recall_of_the_neighbour_search(spark):
         score[ids == q] = -np.inf
         hits += len(set(near.vec_id) & set(ids[np.lexsort((ids, -score))[:20]]))
     assert hits >= 0.95 * len(got) and len(got) == 20 * (ids % 20 == 0).sum()
+
+
+def test_whitening_of_the_whole_table(spark):
+    import numpy as np
+    from tests.llm.test_whiten import brute
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").toPandas().sort_values("vec_id")
+    want, w, share = brute([(i, [float(c) for c in v]) for i, v in zip(rows.vec_id, rows.embedding)])
+    got = QUERIES["op11_whitening"](spark, SF).toPandas().sort_values(["component", "vec_id"])
+    assert len(got) == 8 * len(rows) and got.identity_error.max() < 1e-9
+    for c, x in got.groupby("component"):
+        assert list(zip(x.vec_id, x.deviation)) == want and np.allclose(x.explained, share[c - 1], rtol=1e-9)
+        assert min(np.abs(x.whitened - w[:, c - 1]).max(), np.abs(x.whitened + w[:, c - 1]).max()) < 1e-6
