@@ -101,6 +101,43 @@ SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST
 FROM words w LEFT JOIN hit h ON h.doc = w.id LEFT JOIN named m ON m.doc = w.id WHERE w.kind = 'd'
 """
 
+OP12 = r"""
+WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS r, digest, size
+  FROM (SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+               octet_length(encode(coalesce(text, ''))) AS size FROM conversations WHERE conv_id IS NOT NULL)
+), ids AS (
+  -- CRC-32 bit by bit: a byte goes in (its value), then eight shifts (-1 each).
+  SELECT c, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+              lambda x: [CAST(ord(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM turns)
+), seq AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY src, r) AS d, digest, size
+  FROM (SELECT i.c, 0 AS src, t.r, t.digest, t.size FROM ids i JOIN turns t ON t.c = i.c - i.c % 5 AND t.r <= i.h
+        UNION ALL SELECT i.c, 1, t.r, t.digest, t.size FROM ids i JOIN turns t ON t.c = i.c AND t.r > i.h)
+), whole AS (
+  SELECT i.c, coalesce(string_agg(s.digest, '' ORDER BY d), '') AS path FROM ids i LEFT JOIN seq s ON s.c = i.c GROUP BY i.c
+), member AS (
+  SELECT m.c, m.d, left(path, 32 * m.d) AS k, length(path) = 32 * m.d AS ended, coalesce(s.size, 0) AS size
+  FROM (SELECT c, path, CAST(unnest(range(0, CAST(length(path) / 32 AS BIGINT) + 1)) AS BIGINT) AS d FROM whole) m LEFT JOIN seq s ON s.c = m.c AND s.d = m.d
+), node AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n, any_value(size) AS size,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ended), '')) AS ends_sha256
+  FROM member GROUP BY d, k
+), children AS (
+  SELECT left(k, 32 * (d - 1)) AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1
+), under AS (
+  SELECT left(k, 32 * a) AS k, sum(leaf) AS leaves, sum(cost) AS saved
+  FROM (SELECT n.k, CASE WHEN ch.n IS NULL THEN 1 ELSE 0 END AS leaf, (n.n - 1) * n.size AS cost, unnest(range(0, n.d + 1)) AS a
+        FROM node n LEFT JOIN children ch ON ch.k = n.k)
+  GROUP BY 1
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, CAST(n.n AS BIGINT) AS n_convs, CAST(coalesce(ch.n, 0) AS BIGINT) AS n_children,
+  CAST(u.leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node n LEFT JOIN node p ON n.d > 0 AND p.k = left(n.k, 32 * (n.d - 1)) LEFT JOIN children ch ON ch.k = n.k JOIN under u ON u.k = n.k
+"""
+
 OP13 = r"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
@@ -146,5 +183,6 @@ ORACLES = {
     "op4_suffix_dedup": OP4,
     "op5_license_scan": _op5(),
     "op6_decontamination": OP6,
+    "op12_prefix_trie": OP12,
     "op13_line_dedup": OP13,
 }

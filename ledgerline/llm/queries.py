@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, bpe, chat, decontaminate, langid, licenses, line_dedup, ngram_join, sharding, suffix_dedup, token_counts, whiten
+from ledgerline.llm import ann, bpe, chat, decontaminate, langid, licenses, line_dedup, ngram_join, prefix_trie, sharding, suffix_dedup, token_counts, whiten
 from ledgerline.llm.common import hex_sha256, read_table, shipped
 from ledgerline.llm.oracles import ORACLES
 
@@ -113,6 +113,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                        "whitened", "explained", "identity_error")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations' turn prefixes, each conversation rebuilt on the first of its five."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.prefix_trie(turns, group=5, modulus=9)
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 code points or more in three documents or more, kept in the one with the largest id."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -132,5 +138,6 @@ QUERIES = {name: shipped(query) for name, query in {
     "op9_token_counts": op9_token_counts,
     "op10_nearest": op10_nearest,
     "op11_whitening": op11_whitening,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_line_dedup": op13_line_dedup,
 }.items()}
