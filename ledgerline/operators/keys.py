@@ -27,7 +27,8 @@ def tiebreak_of(raw: DataFrame, key_columns: Sequence[str], lead: Sequence[Colum
     """
     others = [c for c in raw.columns if c not in key_columns and not c.startswith("_")]
     source = [F.col(ORDINAL)] if ORDINAL in raw.columns else []
-    return F.struct(*lead, *source, *then, *[F.col(c) for c in [*others, *key_columns]])
+    fields = [*lead, *source, *then, *[F.col(c) for c in [*others, *key_columns]]]
+    return F.struct(*[c.alias(f"t{i}") for i, c in enumerate(fields)])  # a column may lead and come again: names must differ to be stored
 
 
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order_col: str = TIEBREAK) -> DataFrame:

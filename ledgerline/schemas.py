@@ -99,7 +99,12 @@ STATE_TABLES: dict[str, tuple[T.StructType, list[str]]] = {
 SERVING_TABLES: dict[str, tuple[T.StructType, list[str]]] = {
     "orders": (ORDERS_SERVING, ["order_id"]),
 }
-ALL_TABLES = {**WAREHOUSE_TABLES, **STATE_TABLES, **SERVING_TABLES}
+# Where the rows of an order lie: every period in which some order-grain table may hold rows of the (cleaned) id.
+LOCATOR = "order_locator"
+INTERNAL_TABLES: dict[str, tuple[T.StructType, list[str]]] = {
+    LOCATOR: (_schema(("order_id", S, False), ("period", S, False)), ["order_id", "period"]),
+}
+ALL_TABLES = {**WAREHOUSE_TABLES, **STATE_TABLES, **SERVING_TABLES, **INTERNAL_TABLES}
 
 
 def audit_column(table: str) -> str | None:

@@ -41,7 +41,7 @@ from ..plans.facts import build_fact_orders
 from ..plans.store import typed
 from ..session import checkpoint_root
 from . import state
-from .batches import (DEFAULT_BATCH_SIZE, MAX_BATCH_SIZE, Persisted, _layout, plan_upserts, publish_planned,
+from .batches import (DEFAULT_BATCH_SIZE, MAX_BATCH_SIZE, Persisted, _layout, order_periods, plan_upserts, publish_planned,
                       purchase_order)
 from .publish import LAYOUT_COL, month_of
 
@@ -111,6 +111,7 @@ def _last_touch(cleaner, tagged_rows: DataFrame, carry: tuple[str, ...] = ()) ->
 class BacklogState:
     tables: dict[str, DataFrame]   # final new rows per warehouse table (typed, with source_batch_id)
     log_rows: DataFrame            # one completed log row per batch
+    pairs: DataFrame               # (order_id, period) of all order-grain rows
 
 
 def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame, edges: DataFrame, kept: Persisted,
@@ -173,7 +174,8 @@ def backlog_state(raw: dict[str, DataFrame], assigned: DataFrame, edges: DataFra
         "fact_order_items": items_typed,
         "fact_orders": fact.withColumn(LAYOUT_COL, month_of(F.col("purchased_at"))),
     }
-    return BacklogState(tables, batch_log_rows(edges, scanned, orders_all, items_t, pipeline, started))
+    return BacklogState(tables, batch_log_rows(edges, scanned, orders_all, items_t, pipeline, started),
+                        order_periods(orders_final, order_maxb))
 
 
 def items_per_batch(scanned: DataFrame, items: DataFrame) -> DataFrame:
@@ -297,7 +299,7 @@ def _load_pass(spark: SparkSession, raw: dict[str, DataFrame], store, assigned:
     try:
         with Persisted() as kept:
             result = backlog_state(raw, assigned, edges, kept, pipeline, started)
-            planned = plan_upserts(store, result.tables)
+            planned = plan_upserts(store, result.tables, result.pairs)
             hi = edges.agg(F.max("hi").alias("hi")).first().hi
             extra = {
                 "etl_watermarks": state.advance_watermark(spark, store.read("etl_watermarks"), hi.ts, hi.id, pipeline),

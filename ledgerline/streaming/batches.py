@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import strict_timestamp
+from ..functions import clean_text, strict_timestamp
 from ..operators.bounds import batch_bounds
-from ..operators.closure import batch_closure
+from ..operators.closure import Closure, batch_closure
 from ..operators.keys import dedupe_keep_last
 from ..operators.upsert import upsert
 from ..plans.build import CleanBatch, clean_batch, eligible_orders
 from ..plans.facts import build_fact_orders
-from ..plans.operational import layer_counts
 from ..plans.store import typed
-from .publish import LAYOUT_COL, PARTITIONED, Warehouse, month_of
+from ..session import scratch_path
+from .publish import LAYOUT_COL, ORDER_GRAIN, Warehouse, month_of
 
 # Default and maximum orders per batch.
 DEFAULT_BATCH_SIZE = 5_000
@@ -118,57 +120,61 @@ def batch_outputs(clean: CleanBatch, batch_id: int | Column) -> dict[str, DataFr
 
 @dataclass
 class PlannedUpsert:
-    df: DataFrame                 # new content of the table (or of its touched months)
-    touched: set[str] | None      # months replaced; None = whole table
-    months: set[str] | None       # months holding rows after the upsert
+    df: DataFrame                 # new content of the table (or of its touched periods)
+    touched: set[str] | None      # periods replaced; None = whole table
 
 
-def plan_upsert(store: Warehouse, table: str, new: DataFrame, new_keys_bounded: bool = False) -> PlannedUpsert:
-    """The upsert of ``new`` into ``table``, restricted to the months it touches.
+def order_periods(orders: DataFrame, months: DataFrame) -> DataFrame:
+    """(order_id, period), once each: where the new rows of cleaned orders and of the raw ids' children go.
 
-    For a month-partitioned table only the touched months are read and
-    rewritten: the months of the new rows, and the months still holding an
-    older row of an incoming key (a key whose purchase time moved). Finding
-    the latter reads only the key columns of the table; only the month
-    values (a short list) reach the driver.
+    ``months`` is (raw order id, ``_month``): all children that a batch fetches lie in the period of the id that fetched them.
     """
-    _, keys = schemas.WAREHOUSE_TABLES[table]
-    audit = schemas.audit_column(table)
-    if table not in PARTITIONED:
-        return PlannedUpsert(upsert(store.read(table), new, keys, audit=audit, new_bounded=new_keys_bounded),
-                             None, None)
-    incoming = new.select(*keys)
-    if new_keys_bounded:
-        incoming = F.broadcast(incoming)
-    current = store.read(table, layout=True)
-    moved_from = current.select(*keys, LAYOUT_COL).join(incoming, keys, "left_semi").select(LAYOUT_COL)
-    marked = (new.select(LAYOUT_COL, F.lit(True).alias("is_new"))
-              .unionByName(moved_from.select(LAYOUT_COL, F.lit(False).alias("is_new")))
-              .groupBy(LAYOUT_COL).agg(F.max("is_new").alias("is_new")).collect())
-    new_months = {r[0] for r in marked if r.is_new}
-    moved_only = {r[0] for r in marked if not r.is_new}
-    kept = set()
-    if moved_only:  # months that only lose rows: do any rows stay?
-        left = store.read(table, parts=moved_only, layout=True).join(incoming, keys, "left_anti")
-        kept = {r[0] for r in left.select(LAYOUT_COL).distinct().collect()}
-    touched = new_months | moved_only
-    target = store.read(table, parts=touched, layout=True)
-    return PlannedUpsert(upsert(target, new, keys, audit=audit, new_bounded=new_keys_bounded),
-                         touched, new_months | kept)
-
-
-def plan_upserts(store: Warehouse, outputs: dict[str, DataFrame], new_rows: dict[str, int] | None = None,
-                 parallelism: int = 4) -> dict[str, PlannedUpsert]:
-    """:func:`plan_upsert` for many tables; the small month lookups run as concurrent jobs.
-
-    ``new_rows`` are counted rows of the new frames: only those within ``BROADCAST_ROWS`` are broadcast.
+    own = orders.select("order_id", month_of(F.col("purchased_at")).alias("period"))
+    fetched = months.select(clean_text("order_id").alias("order_id"), F.col("_month").alias("period"))
+    return own.unionByName(fetched).where(F.col("order_id").isNotNull() & F.col("period").isNotNull()).distinct()
+
+
+def locator(store: Warehouse, parts: set[str] | None = None) -> DataFrame:
+    """The store's (order_id, period) pairs; of a store written without a locator, the keys of its order-grain tables."""
+    if store.fragments(schemas.LOCATOR):
+        return store.read(schemas.LOCATOR, parts=parts)
+    held = [store.read(t, parts=parts, layout=True).select("order_id", F.col(LAYOUT_COL).alias("period"))
+            for t in sorted(ORDER_GRAIN) if store.fragments(t)]
+    empty = store.read(schemas.LOCATOR)
+    return reduce(DataFrame.unionByName, held, empty).distinct()
+
+
+def located(store: Warehouse, pairs: DataFrame, bounded: bool = False) -> set[str]:
+    """The periods that an upsert of these orders touches: their new ones, and those that hold older rows of them.
+
+    One read of the locator answers for all order-grain tables; only period names, a short list, reach the driver.
     """
-    def plan(table: str) -> tuple[str, PlannedUpsert]:
-        bounded = (new_rows or {}).get(table, BROADCAST_ROWS + 1) <= BROADCAST_ROWS
-        return table, plan_upsert(store, table, outputs[table], bounded)
+    ids = pairs.select("order_id")
+    older = locator(store).join(F.broadcast(ids) if bounded else ids, "order_id", "left_semi").select("period")
+    return {r.period for r in pairs.select("period").unionByName(older).distinct().collect()}
+
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return dict(pool.map(plan, outputs))
+def plan_upserts(store: Warehouse, outputs: dict[str, DataFrame], pairs: DataFrame, new_rows: dict[str, int] | None = None) -> dict[str, PlannedUpsert]:
+    """The upserts of ``outputs``; of order-grain tables only the touched periods are read and written, the locator's as well.
+
+    ``pairs`` are the (order_id, period) of all new order-grain rows, or more. ``new_rows`` are counted rows of the new
+    frames: only those within ``BROADCAST_ROWS`` are broadcast. An id keeps the periods it was ever located in
+    (a later batch then rewrites a period in vain at worst); a full refresh forgets them.
+    """
+    def bounded(table: str) -> bool:
+        return (new_rows or {}).get(table, BROADCAST_ROWS + 1) <= BROADCAST_ROWS
+
+    touched = located(store, pairs, bounded(schemas.LOCATOR))
+    planned = {}
+    for table, new in outputs.items():
+        _, keys = schemas.WAREHOUSE_TABLES[table]
+        parts = touched if table in ORDER_GRAIN else None
+        target = store.read(table, parts=parts, layout=True)
+        planned[table] = PlannedUpsert(upsert(target, new, keys, audit=schemas.audit_column(table), new_bounded=bounded(table)), parts)
+    whole = not store.fragments(schemas.LOCATOR)
+    pairs = locator(store, None if whole else touched).unionByName(pairs).distinct().withColumn(LAYOUT_COL, F.col("period"))
+    planned[schemas.LOCATOR] = PlannedUpsert(pairs, None if whole else touched)
+    return planned
 
 
 # Which cleaned frame each warehouse table's new rows come from.
@@ -177,24 +183,48 @@ SOURCE_OF = {"stg_orders": "orders", "fact_orders": "orders", "stg_order_items":
              "stg_products": "products", "dim_product": "products", "stg_sellers": "sellers", "dim_seller": "sellers"}
 
 
-def process_batch(raw: dict[str, DataFrame], batch_orders: DataFrame, batch_id: int, store: Warehouse,
-                  kept: Persisted) -> BatchResult:
+class Staged:
+    """Intermediate frames of one batch as tables in a scratch folder, with the row counts that the writing jobs observed.
+
+    A written frame has no lineage: plans that use it twice (an upsert joins its new rows with themselves) stay small and
+    nothing is computed again, where a persisted frame is recomputed under a self-join's renamed columns.
+    """
+
+    def __init__(self, spark: SparkSession, parallelism: int = 4):
+        self.spark, self.parallelism = spark, parallelism
+        self.folder = scratch_path(spark, "batch")
+        self.rows: dict[str, int] = {}
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        path, seen = f"{self.folder}/{name}", Observation(f"{name}-{uuid.uuid4().hex[:12]}")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        self.rows[name] = seen.get["rows"]
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep_all(self, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Independent frames, written by concurrent jobs."""
+        with ThreadPoolExecutor(max_workers=self.parallelism) as pool:
+            return dict(zip(frames, pool.map(self.keep, frames, frames.values())))
+
+
+def process_batch(raw: dict[str, DataFrame], batch_orders: DataFrame, n_orders: int, batch_id: int, store: Warehouse,
+                  closure: Closure | None = None) -> BatchResult:
     """Closure -> clean -> fact -> upsert plans for every warehouse table.
 
-    ``batch_orders`` is checkpointed. Its rows, and every table's new rows, are counted, and only counted
+    ``batch_orders`` is written and has ``n_orders`` rows; ``closure`` is found in ``raw`` unless given. Every table's new rows are counted while they are staged, and only counted
     sets of at most ``BROADCAST_ROWS`` are broadcast: an order of a bounded batch may still hold any
-    number of items. The cleaned frames and the batch's raw items feed several outputs, so they are
-    persisted in ``kept`` (memory, spilling to disk); their lineage starts at the checkpointed batch, so a
-    lost block is recomputed deterministically.
+    number of items.
     """
-    bounded = batch_orders.count() <= BROADCAST_ROWS
-    closure = batch_closure(raw, batch_orders, bounded=bounded, keep=kept.keep)
-    months = batch_months(batch_orders)
-    clean = clean_batch(batch_orders, closure, batch_id, months=F.broadcast(months) if bounded else months)
-    clean = CleanBatch(**{k: kept.keep(v) for k, v in clean.__dict__.items()})
-    sizes = layer_counts(clean.__dict__).collect()
-    rows = {r.layer_table: r.row_count for r in sizes}
-    planned = plan_upserts(store, batch_outputs(clean, batch_id), {t: rows[k] for t, k in SOURCE_OF.items()})
+    staged = Staged(store.spark)
+    bounded = n_orders <= BROADCAST_ROWS
+    closure = closure or batch_closure(raw, batch_orders, bounded=bounded, keep=lambda items: staged.keep("raw_items", items))
+    months = staged.keep("months", batch_months(batch_orders))
+    clean = CleanBatch(**staged.keep_all(clean_batch(batch_orders, closure, batch_id, months=F.broadcast(months) if bounded else months).__dict__))
+    outputs = batch_outputs(clean, batch_id)
+    late = staged.keep_all({"fact_orders": outputs["fact_orders"], "pairs": order_periods(clean.orders, months)})
+    outputs["fact_orders"] = late["fact_orders"]
+    rows = staged.rows
+    planned = plan_upserts(store, outputs, late["pairs"], {schemas.LOCATOR: rows["pairs"], **{t: rows[k] for t, k in SOURCE_OF.items()}})
     # Metrics as the source logs them: input rows, duplicates included.
     return BatchResult(planned, (rows["orders"], rows["items"], rows["orders"], rows["items"]))
 
@@ -205,5 +235,4 @@ def publish_planned(store: Warehouse, planned: dict[str, PlannedUpsert], extra:
     changes = {t: p.df for t, p in planned.items()}
     changes.update(extra)
     touched = {t: p.touched for t, p in planned.items() if p.touched is not None}
-    months = {t: p.months for t, p in planned.items() if p.months is not None}
-    return store.publish(changes, touched=touched, sort_by=sort_by, months=months)
+    return store.publish(changes, touched=touched, sort_by=sort_by)

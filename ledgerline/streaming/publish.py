@@ -10,9 +10,12 @@ Order-grain tables (orders, their items, payments and reviews) are split by
 purchase period (month by default, see ``LAYOUT_FORMAT_CONF``). A batch
 advances in purchase time, so it touches only the newest periods (plus any
 period still holding an older row of a key it rewrites); only those fragments
-are rewritten, every other period keeps its pointer. Dimensions and other
+are rewritten, every other period keeps its pointer. Which periods hold rows of an
+order is kept in one narrow table, ``order_locator``, split the same way. Dimensions and other
 small tables are rewritten whole.
 
+Row counts and the periods that hold rows are observed by the writing jobs themselves.
+
 A publish writes every changed table or fragment into fresh directories, then
 appends manifest version ``k+1`` listing the fragments of *every* table.
 Readers use the newest manifest version only, so a crash before the manifest
@@ -30,7 +33,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +43,8 @@ from ..sources.ingest import committed
 
 LAYOUT_COL = "layout_period"
 WHOLE = ""  # ``part`` value of an unpartitioned table's single fragment
-PARTITIONED = {"stg_orders", "fact_orders", "stg_order_items", "fact_order_items", "stg_payments", "stg_reviews"}
+ORDER_GRAIN = {"stg_orders", "fact_orders", "stg_order_items", "fact_order_items", "stg_payments", "stg_reviews"}
+PARTITIONED = ORDER_GRAIN | {schemas.LOCATOR}
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
@@ -80,6 +84,8 @@ class Warehouse:
         self._frags: dict[str, dict[str, str]] | None = None
         self._version: int | None = None
         self._layout: str | None = None
+        #: Rows per table that the latest publish wrote, as its jobs counted them (of a partitioned table: of its touched periods).
+        self.written_rows: dict[str, int] = {}
 
     # -- manifest ------------------------------------------------------------
     def _load_manifest(self) -> None:
@@ -154,17 +160,15 @@ class Warehouse:
 
     # -- writing -------------------------------------------------------------
     def publish(self, changes: dict[str, DataFrame | None], touched: dict[str, set[str]] | None = None,
-                sort_by: dict[str, list[str]] | None = None, months: dict[str, set[str]] | None = None) -> int:
+                sort_by: dict[str, list[str]] | None = None) -> int:
         """Write changed tables, then swap the manifest once. Returns the new version.
 
         ``changes[t]`` is the new content of table ``t`` (``None`` = empty). A
-        partitioned table's frame carries ``layout_period`` and ``months[t]``
-        lists the months it holds rows for; with ``touched[t]`` it replaces only
-        those months (other months keep their fragments), otherwise the whole
-        table. :func:`ledgerline.streaming.batches.plan_upsert` computes both.
+        partitioned table's frame carries ``layout_period``; with ``touched[t]`` it replaces only
+        those periods (other periods keep their fragments), otherwise the whole
+        table. The periods that then hold rows are observed while they are written.
         """
         touched = touched or {}
-        months = months or {}
         version = self.version + 1
         layout = layout_format(self.spark)
         if self._layout not in (None, layout) and any(self.fragments(t) for t in PARTITIONED if changes.get(t, ()) is not None):
@@ -172,12 +176,12 @@ class Warehouse:
         attempt = uuid.uuid4().hex[:12]
         frags = {t: self.fragments(t) for t in schemas.ALL_TABLES}
 
-        def write(item: tuple[str, DataFrame | None]) -> tuple[str, dict[str, str], set[str] | None]:
+        def write(item: tuple[str, DataFrame | None]) -> tuple[str, dict[str, str], set[str] | None, int]:
             table, df = item
             schema = self.schema_of(table)
             part = table in PARTITIONED
             if df is None:
-                return table, {}, None
+                return table, {}, None, 0
             cols = [not_null(f, table) for f in schema.fields]
             out = df.select(*cols, *([F.col(LAYOUT_COL).cast("string")] if part else []))
             keys = (sort_by or {}).get(table)
@@ -185,34 +189,35 @@ class Warehouse:
                 # Clustered layout: range partitions + sorted files give tight
                 # per-file min/max statistics on the ordering columns.
                 out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-            tag = f"{version:08d}-{attempt}"
+            tag, seen = f"{version:08d}-{attempt}", Observation(f"{table}-{attempt}")
+            counted = out.observe(seen, F.count(F.lit(1)).alias("rows"), *([F.collect_set(LAYOUT_COL).alias("periods")] if part else []))
             if not part:
                 path = f"{self.root}/{table}/v={tag}"
-                out.write.mode("errorifexists").parquet(path)
-                return table, {WHOLE: path}, None
-            if table not in months:
-                raise ValueError(f"months of the new rows of {table} are required")
-            out.withColumn("v", F.lit(tag)).write.partitionBy(LAYOUT_COL, "v").mode("append") \
+                counted.write.mode("errorifexists").parquet(path)
+                return table, {WHOLE: path}, None, seen.get["rows"]
+            counted.withColumn("v", F.lit(tag)).write.partitionBy(LAYOUT_COL, "v").mode("append") \
                 .parquet(f"{self.root}/{table}")
-            return (table, {m: f"{self.root}/{table}/{LAYOUT_COL}={m}/v={tag}" for m in months[table]},
-                    touched.get(table))
+            return (table, {m: f"{self.root}/{table}/{LAYOUT_COL}={m}/v={tag}" for m in seen.get["periods"]},
+                    touched.get(table), seen.get["rows"])
 
         # Independent tables are written by concurrent Spark jobs; the manifest
         # swap below happens only after every write has succeeded.
+        periods: dict[str, dict[str, str]] = {}
+        counts: dict[str, int] = {}
         with ThreadPoolExecutor(max_workers=max(1, self.write_parallelism)) as pool:
-            for table, written, replaced in pool.map(write, changes.items()):
+            for table, written, replaced, counts[table] in pool.map(write, changes.items()):
+                periods[table] = written
                 if replaced is None:
                     frags[table] = written
                 else:
                     kept = {m: p for m, p in frags[table].items() if m not in replaced}
                     frags[table] = {**kept, **written}
-        self._refuse_repeated_keys({t: frags[t] if touched.get(t) is None else
-                                    {m: p for m, p in frags[t].items() if m in months.get(t, ())} for t, df in changes.items() if df is not None})
+        self._refuse_repeated_keys({t: written for t, written in periods.items() if changes[t] is not None})
         rows = [(t, part, path) for t in sorted(frags) for part, path in sorted(frags[t].items())]
         rows += [(t, WHOLE, "") for t in sorted(frags) if not frags[t]]  # keep empty tables listed
         rows.append((LAYOUT_ROW, WHOLE, layout))
         self._write_manifest(rows, version, attempt)
-        self._frags, self._version, self._layout = frags, version, layout
+        self._frags, self._version, self._layout, self.written_rows = frags, version, layout, counts
         return version
 
     def _refuse_repeated_keys(self, written: dict[str, dict[str, str]]) -> None:

@@ -373,3 +373,34 @@ def test_another_layout_format_is_refused(spark):
         assert run_backlog(spark, raw, Warehouse(spark, store.root), batch_size=400, max_batches=1, refresh=True) == 1
     finally:
         spark.conf.unset(LAYOUT_FORMAT_CONF)
+
+
+def test_locator_finds_the_period_an_order_moves_from(spark, make_raw):
+    """An id that comes again in a later month leaves its old period; one locator read answers for all six tables."""
+    first = [o("k", "2020-01-05 00:00:00"), o("other", "2020-01-06 00:00:00"), o("m", "2020-02-01 00:00:00")]
+    items = [{"order_id": "k", "order_item_id": "1"}, {"order_id": "other", "order_item_id": "1"}]
+    store = Warehouse(spark, scratch_path(spark, "moves"))
+    run_pipeline(spark, make_raw(orders=first, items=items), store, batch_size=10)
+    assert sorted(map(tuple, store.read(schemas.LOCATOR).collect())) == [("k", "2020-01"), ("m", "2020-02"), ("other", "2020-01")]
+    before = store.fragments("fact_orders")
+    raw = make_raw(orders=[*first, o("k", "2020-03-01 00:00:00")], items=items)
+    run_pipeline(spark, raw, store, batch_size=10)
+    months = {t: sorted((r.order_id, r.layout_period) for r in store.read(t, layout=True).collect()) for t in ("fact_orders", "stg_order_items")}
+    assert months == {"fact_orders": [("k", "2020-03"), ("m", "2020-02"), ("other", "2020-01")], "stg_order_items": [("k", "2020-03"), ("other", "2020-01")]}
+    after = store.fragments("fact_orders")
+    assert after["2020-02"] == before["2020-02"] and after["2020-01"] != before["2020-01"]
+    assert store.written_rows["fact_orders"] == 2 and store.written_rows["dim_customer"] == store.read("dim_customer").count()
+    # A period that loses its last row drops out.
+    run_pipeline(spark, make_raw(orders=[*first, o("m", "2020-04-01 00:00:00")]), store, batch_size=10)
+    assert "2020-02" not in store.fragments("stg_orders") and "2020-04" in store.fragments("stg_orders")
+
+
+def test_a_store_without_a_locator_gets_one(spark):
+    raw = bind_raw(spark, SMALL)
+    ref, old = (Warehouse(spark, scratch_path(spark, n)) for n in ("ref", "old"))
+    run_backlog(spark, raw, ref, batch_size=400)
+    run_backlog(spark, raw, old, batch_size=400, max_batches=2)
+    old.publish({schemas.LOCATOR: None})
+    assert run_pipeline(spark, raw, old, batch_size=400) == 2
+    assert_equal_stores(ref, old)
+    assert state_rows(ref, schemas.LOCATOR) == state_rows(old, schemas.LOCATOR)
