@@ -11,7 +11,8 @@ What the extra matches buy: with the prefix shingles' exact posting lengths, eac
 ones above it. Sets whose prefix repeats by chance only thus post nothing. The postings left are
 joined, and a pair must still share as many of them as its sizes imply before it is verified.
 
-Copies are collapsed first: documents with equal sets are one node. Components need no list of all pairs:
+Copies are collapsed first: documents with equal sets are one node. A node is named by 64 bits of its set's digest; where
+sets share these but not 64 further bits, they are named by the latter. Components need no list of all pairs:
 round one verifies every set against the one with the fewest shingles of its own in a posting list, of these
 the one it shares most lists with; round two verifies all remaining candidate pairs whose components still differ. Long postings are split into
 blocks of rows that meet pairwise in different tasks.
@@ -26,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ledgerline.llm.common import cut, tidy
 
@@ -34,8 +36,11 @@ LEVELS = ((5, 3), (10, 6))
 COUNTERS = 1 << 18
 COUNTER_ROWS = 16
 POSTING_BLOCK = 1_000
-#: A set that posts no more shingles takes the list of them along.
+#: A set that posts no more shingles takes the list of them along; another one takes its ``FIRST`` least shingles.
 LISTED = 48
+FIRST = 16
+#: Bits of a set's first name. Fewer only in tests.
+NAME_BITS = 64
 ROWS_PER_BUCKET = 40_000
 #: What verifying a candidate costs, in postings.
 VERIFY_COST = 10
@@ -66,9 +71,16 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(out)
 
 
-def set_key(shingles: np.ndarray) -> int:
-    """Identity of a set: 64 bits, used together with its size."""
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).view(np.int64)))
+def set_names(shingles: np.ndarray, bits: int = 64) -> tuple[int, int]:
+    """Two independent 64-bit digests of a set (of the first, ``bits`` bits count): together its identity."""
+    raw = shingles.tobytes()
+    return tuple(int(np.uint64(h).view(np.int64)) for h in (xxhash.xxh3_64_intdigest(raw) & (1 << bits) - 1, xxhash.xxh3_64_intdigest(raw, 1)))
+
+
+def set_key(shingles: np.ndarray, shared: frozenset[int], bits: int = 64) -> int:
+    """The node of a set: its first name, or its second if several sets share the first."""
+    first, second = set_names(shingles, bits)
+    return second if first in shared else first
 
 
 def need(t100: int, n):
@@ -99,29 +111,31 @@ def _counter(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(7)) & np.uint64(COUNTERS - 1)
 
 
-def _describe(width: int):
-    """mapInArrow: (id, text) -> one row per document (n, key), and per task the counts of its shingles."""
+def _describe(width: int, bits: int):
+    """mapInArrow: (id, text, digest) -> one row per document (n, key, other), and per task the counts of its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, counters = np.zeros(COUNTERS, np.int64), [np.zeros(0, np.int64)]
-        names = ["id", "n", "key", "slice", "counts"]
+        total, counters, id_type = np.zeros(COUNTERS, np.int64), [np.zeros(0, np.int64)], pa.int64()
+        names = ["id", "digest", "n", "key", "other", "slice", "counts"]
         for b in batches:
+            id_type = b.column("id").type
             ns, keys = [], []
             for t in b.column("text").to_pylist():
                 s = shingle_set(t, width)
                 ns.append(len(s))
-                keys.append(set_key(s))
+                keys.append(set_names(s, bits))
                 counters.append(_counter(s).astype(np.int64))
                 if len(counters) == 1_000:
                     total += np.bincount(np.concatenate(counters), minlength=COUNTERS)
                     counters = []
             m = len(ns)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(ns, pa.int64()), pa.array(keys, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
+                [b.column("id"), b.column("digest"), pa.array(ns, pa.int64()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)),
+                 pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
         parts = np.split(total + np.bincount(np.concatenate(counters), minlength=COUNTERS), COUNTER_ROWS)
         m = len(parts)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(range(m), pa.int32()),
+            [pa.nulls(m, id_type), *(pa.nulls(m, pa.int64()) for _ in range(4)), pa.array(range(m), pa.int32()),
              pa.array([p.tobytes() for p in parts], pa.binary())], names=names)
 
     return run
@@ -134,7 +148,7 @@ def _add_up(table: pa.Table) -> pa.Table:
     return pa.table({"slice": table.column("slice").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def _prefixes(width: int, t100: int, shared):
+def _prefixes(width: int, t100: int, shared, twice: frozenset[int], bits: int):
     """mapInArrow: text -> postings (token, key, n, level, place, short) of the prefix, once per set and task.
 
     ``place``: how many shingles of the set come before. ``short``: the shingle lies in the prefix of level 0 as well.
@@ -148,7 +162,7 @@ def _prefixes(width: int, t100: int, shared):
             for t in b.column("text").to_pylist():
                 s = shingle_set(t, width)
                 n = len(s)
-                if not n or (key := set_key(s)) in seen:
+                if not n or (key := set_key(s, twice, bits)) in seen:
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(key)
@@ -200,13 +214,14 @@ def _shared(tokens: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray)
 def _cross_pairs(t100: int):
     """applyInArrow on a bucket of postings: pairs of keys in different components that may be similar.
 
-    Where both sets come with the lists of all they posted, the pair's shared postings are counted here, at the
-    least of them, and the pair goes out only if they are enough. Otherwise every shared posting goes out with a count of one.
+    A pair goes out at the least posting it shares. Sets come with the list of all they posted, if that is short: then the shared ones are
+    counted, and the pair goes out only if they are enough. Of a longer list the least come along: a pair that has one in common is left
+    out at every later posting; pairs without may go out several times.
     A posting's places in both sets bound their overlap: a similar pair passes that test at every posting it shares.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        names = ("token", "a", "b", "block", "n", "level", "place", "in_short", "in_long", "comp", "key")
+        names = ("token", "a", "b", "block", "n", "level", "place", "in_short", "in_long", "comp", "key", "short_whole", "long_whole")
         col = {c: table.column(c).to_numpy() for c in names}
         order = np.lexsort((col["key"], col["b"], col["a"], col["token"]))
         col = {c: v[order] for c, v in col.items()}
@@ -222,7 +237,8 @@ def _cross_pairs(t100: int):
         row, left = np.repeat(first, length) + at, np.repeat(length, length) - at
         lists = [_padded(table.column(c)) for c in ("short_list", "long_list")]
         lists = [(tokens[order], size[order]) for tokens, size in lists]
-        out, d = [(np.zeros(0, np.int64),) * 4], 1
+        whole = [col[c] for c in ("short_whole", "long_whole")]
+        out, d = [(np.zeros(0, np.int64),) * 2], 1
         while len(row):  # every row with the d-th after it in its run
             row, left = row[left > d], left[left > d]
             x, y = row, row + d
@@ -234,37 +250,23 @@ def _cross_pairs(t100: int):
             x, y, level = x[ok], y[ok], level[ok]
             for at_level, (tokens, size) in enumerate(lists):
                 mine = level == at_level
-                listed = mine & (size[x] > 0) & (size[y] > 0)
-                p, q = x[listed], y[listed]
+                p, q = x[mine], y[mine]
                 count, least = _shared(tokens, size, p, q)
                 larger = np.maximum(n[p], n[q])
                 wanted = -(-t100 * (n[p] + n[q]) // (100 + t100)) - rest(t100, larger, at_level) - spare(t100, larger, at_level) + 1
-                go = (least == t[p]) & (count >= wanted)
-                out.append((p[go], q[go], level[listed][go], count[go]))
-                p, q = x[mine & ~listed], y[mine & ~listed]
-                out.append((p, q, level[mine & ~listed], np.ones(len(p), np.int64)))
+                go = (least >= t[p]) & ((count >= wanted) | ~(whole[at_level][p] & whole[at_level][q]))
+                out.append((p[go], q[go]))
             d += 1
-        x, y, level, shared = map(np.concatenate, zip(*out))
+        x, y = map(np.concatenate, zip(*out))
         swap = col["key"][x] > col["key"][y]
         x, y = np.where(swap, y, x), np.where(swap, x, y)
-        return pa.table({"x": col["key"][x], "y": col["key"][y], "nx": n[x], "ny": n[y], "level": level.astype(np.int32), "shared": shared})
+        pairs = np.unique(np.stack([col["key"][x], col["key"][y]], axis=1), axis=0)
+        return pa.table({"x": pairs[:, 0], "y": pairs[:, 1]})
 
     return run
 
 
-def _enough(t100: int):
-    """SQL: a pair shares as many postings as its sizes nx, ny and its level imply: its least overlap, less what may
-    lie behind the prefixes, less what the larger may have left out."""
-    least = f"(({t100} * (nx + ny) + {99 + t100}) div {100 + t100})"
-    by_level = []
-    for level in range(len(LEVELS)):
-        behind, left_out = _sql(t100, level)
-        behind, left_out = (e.replace("* n)", "* greatest(nx, ny))").replace("* n +", "* greatest(nx, ny) +") for e in (behind, left_out))
-        by_level.append(f"{least} - {behind} - {left_out} + 1")
-    return f"shared >= if(level = 0, {by_level[0]}, {by_level[1]})"
-
-
-def _packed_sets(width: int):
+def _packed_sets(width: int, twice: frozenset[int], bits: int):
     """mapInArrow: (key, text) -> (key, shingles as bytes) of the rows whose text has that set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +274,7 @@ def _packed_sets(width: int):
             for i in range(0, b.num_rows, 1_000):
                 part = b.slice(i, 1_000)
                 sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
-                keep = pa.array([set_key(s) == k for s, k in zip(sets, part.column("key").to_pylist())], pa.bool_())
+                keep = pa.array([set_key(s, twice, bits) == k for s, k in zip(sets, part.column("key").to_pylist())], pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  names=["key", "shingles"]).filter(keep)
 
@@ -331,16 +333,24 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     other. Other columns are not read. Texts count whole. An empty frame gives an empty frame.
     """
     spark, t100 = df.sparkSession, percent
-    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    described = cut(docs.mapInArrow(tidy(_describe(width)), "id long, n long, key long, slice int, counts binary"))
-    rows = described.filter("slice IS NULL").select("id", "n", "key")
+    id_type = "long" if isinstance(df.schema[id_col].dataType, IntegralType) else df.schema[id_col].dataType.simpleString()
+    docs = df.select(F.col(f"`{id_col}`").cast(id_type).alias("id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{text_col}`").alias("digest"))
+    described = cut(docs.mapInArrow(tidy(_describe(width, NAME_BITS)), f"id {id_type}, digest long, n long, key long, other long, slice int, counts binary"))
+    rows = described.filter("slice IS NULL")
+    # First names that several sets share: of n sets, n * n / 2 ** 65 at most are to be expected.
+    twice = rows.groupBy("key").agg((F.min("other") != F.max("other")).alias("twice")).filter("twice").select("key")
+    twice = frozenset(r.key for r in twice.toLocalIterator())
+    if twice:
+        named = F.broadcast(spark.createDataFrame([(k,) for k in twice], "twice long"))
+        rows = cut(rows.join(named, F.col("key") == F.col("twice"), "left").withColumn("key", F.when(F.col("twice").isNull(), F.col("key")).otherwise(F.col("other"))))
+    rows = rows.select("id", "digest", "n", "key")
     counts = (described.filter("slice IS NOT NULL").select("slice", "counts").groupBy("slice")
               .applyInArrow(_add_up, "slice int, counts binary").collect())  # COUNTERS numbers, whatever the table
     counts = {r["slice"]: np.frombuffer(r["counts"], np.int64) for r in counts}
     rarity = np.concatenate([counts.get(i, np.zeros(COUNTERS // COUNTER_ROWS, np.int64)) for i in range(COUNTER_ROWS)])
     rarity = np.minimum(rarity, np.iinfo(np.int32).max).astype(np.int32)
 
-    postings = docs.select("text").mapInArrow(tidy(_prefixes(width, t100, spark.sparkContext.broadcast(rarity))),
+    postings = docs.select("text").mapInArrow(tidy(_prefixes(width, t100, spark.sparkContext.broadcast(rarity), twice, NAME_BITS)),
                                               "token long, key long, n int, level byte, place int, short boolean")
     lengths = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     # Of each set's repeated prefix shingles, the most frequent may be left out at either level.
@@ -356,15 +366,16 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     common = cut(placed.withColumn("in_short", F.expr(f"short and short_place >= {short_spare}"))
                  .withColumn("in_long", F.expr(f"level = 1 and long_place >= {long_spare}"))
                  .filter("in_short or in_long").select("token", "key", "n", "own", "level", "place", "in_short", "in_long"))
-    sample = rows.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"))
+    # One text of every set; it is fetched by id and digest, so rows without an id don't all meet.
+    sample = rows.filter("n > 0").groupBy("key").agg(F.min(F.struct("id", "digest")).alias("one")).select("key", "one.id", "one.digest")
 
     def similar(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (x, y) of keys whose sets are similar. Each set is fetched once; x's meets each y's."""
         pairs = cut(pairs)
         asked = cut(pairs.select(F.col("x").alias("key")).union(pairs.select(F.col("y").alias("key"))).distinct().join(sample, "key"))
         wanted = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
-        sets = (docs.join(wanted, docs["id"].eqNullSafe(wanted["id"])).select("key", "text")
-                .mapInArrow(tidy(_packed_sets(width)), "key long, shingles binary").dropDuplicates(["key"]))
+        sets = (docs.join(wanted, docs["id"].eqNullSafe(wanted["id"]) & docs["digest"].eqNullSafe(wanted["digest"])).select("key", "text")
+                .mapInArrow(tidy(_packed_sets(width, twice, NAME_BITS)), "key long, shingles binary").dropDuplicates(["key"]))
         return cut(pairs.join(sets.select(F.col("key").alias("y"), F.col("shingles").alias("sy")), "y")
                    .join(sets.select(F.col("key").alias("x"), F.col("shingles").alias("sx")), "x")
                    .select("x", "y", "sx", "sy").mapInArrow(tidy(_similar(t100)), "x long, y long"))
@@ -389,15 +400,14 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
            .withColumn("other", F.explode(F.expr("if(comp = top, sequence(p, p + q - 1), sequence(0, p + q - 1))")))
            .select("token", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "n", "level", "place",
                    "in_short", "in_long", "comp", "key"))
-    # Sets that posted little carry all they posted, so that their pairs are counted where they meet.
-    few = (common.groupBy("key").agg(*[F.collect_list(F.when(F.col(f"in_{k}"), F.col("token"))).alias(f"{k}_list") for k in ("short", "long")])
-           .filter(f"size(short_list) <= {LISTED} and size(long_list) <= {LISTED}"))
-    met = met.join(few, "key", "left")
+    # Sets that posted little carry all they posted, so that their pairs are counted where they meet; others the least.
+    posted = common.groupBy("key").agg(*[F.array_sort(F.collect_list(F.when(F.col(f"in_{k}"), F.col("token")))).alias(f"{k}_list") for k in ("short", "long")])
+    carried = posted.select("key", *[column for k in ("short", "long") for column in (
+        F.expr(f"size({k}_list) <= {LISTED}").alias(f"{k}_whole"), F.expr(f"slice({k}_list, 1, if(size({k}_list) <= {LISTED}, {LISTED}, {FIRST}))").alias(f"{k}_list"))])
+    met = met.join(carried, "key")
     n_buckets = max(1, -(-common.count() // ROWS_PER_BUCKET))
     pairs = (met.withColumn("bucket", F.pmod(F.xxhash64("token", "a", "b"), F.lit(n_buckets))).groupBy("bucket")
-             .applyInArrow(_cross_pairs(t100), "x long, y long, nx long, ny long, level int, shared long")
-             .groupBy("x", "y").agg(F.sum("shared").alias("shared"), F.min("nx").alias("nx"), F.min("ny").alias("ny"), F.min("level").alias("level"))
-             .filter(_enough(t100)).select("x", "y"))
+             .applyInArrow(_cross_pairs(t100), "x long, y long").distinct())
     more = similar(pairs)
     comps = connected_components(more.union(stars.select(F.col("comp").alias("x"), F.col("node").alias("y")))).withColumnRenamed("node", "key")
 

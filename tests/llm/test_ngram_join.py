@@ -53,6 +53,7 @@ def corpus(seed, n):
 
 @pytest.mark.parametrize("seed, width, percent, block", [(1, 3, 90, 1000), (2, 3, 90, 3), (3, 5, 80, 1000), (4, 2, 60, 4), (5, 1, 80, 2)])
 def test_against_brute_force(spark, docs_of, monkeypatch, seed, width, percent, block):
+    monkeypatch.setattr(ngram_join, "FIRST", 16 if seed != 2 else 2)
     monkeypatch.setattr(ngram_join, "POSTING_BLOCK", block)
     monkeypatch.setattr(ngram_join, "ROWS_PER_BUCKET", 500)
     monkeypatch.setattr(ngram_join, "LISTED", 64 if seed != 2 else 3)
@@ -61,6 +62,20 @@ def test_against_brute_force(spark, docs_of, monkeypatch, seed, width, percent,
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, width, percent)
 
 
+def test_sets_that_share_a_name(spark, docs_of, monkeypatch):
+    """Names of five bits: nearly every two sets collide, and none may be taken for another."""
+    monkeypatch.setattr(ngram_join, "NAME_BITS", 5)
+    rows = corpus(6, 120)
+    got = ngram_join.similarity_components(docs_of(rows), width=3, percent=90).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, 3, 90)
+
+
+def test_ids_that_are_text(spark):
+    rows = [("b", "one two three four"), ("a", "one two three four"), ("c", None), (None, "x y"), ("d", "X  y")]
+    got = ngram_join.similarity_components(spark.createDataFrame(rows, "name string, text string"), id_col="name").collect()
+    assert sorted((str(r.name), r.component_id) for r in got) == [("None", "d"), ("a", "a"), ("b", "a"), ("c", "c"), ("d", "d")]
+
+
 def test_extended_copies(spark, docs_of):
     """A shingle that no other prefix holds may lie behind the prefix of a similar set."""
     rows, i = [], 0
