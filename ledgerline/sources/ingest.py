@@ -5,53 +5,60 @@ Each ``*.csv`` directly under the directory is one table named after its stem
 is read as text -- no type inference -- and missing-value tokens become NULL.
 ``_ordinal`` records a row's place in its table: file path, block, row.
 
-With ``multi_line`` (the default) quoted cells may hold line breaks, and a file
-is read by one task; without it files are split and read in parallel. A row
-with fewer cells than the header ends in NULLs, one with more fails the load.
+With ``multi_line`` (the default) quoted cells may hold line breaks. A file of more than one
+input split is then read in parallel by quote parity (:func:`split_records`), a smaller one by one task; without it
+lines are rows. A row with fewer cells than the header ends in NULLs, one with more fails the load.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import to_datetime
 from ..functions.misc import null_na_tokens
 from ..operators.keys import ORDINAL
+from ..session import scratch_path
 
-CSV_READ = {"header": "true", "escape": '"', "quote": '"', "encoding": "UTF-8", "inferSchema": "false",
-            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_PARSE = {"escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_READ = {"header": "true", "encoding": "UTF-8", "inferSchema": "false", **CSV_PARSE}
 CSV_WRITE = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false"}
 
 
+def _listed(spark: SparkSession, pattern: str) -> DataFrame | None:
+    """The files at a path or glob; None if there is no such path."""
+    try:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern).select("path")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def list_csv_tables(spark: SparkSession, directory: str) -> dict[str, str]:
     """``stem -> path`` for every CSV table directly under ``directory``, sorted by name.
 
     Listing uses the ``binaryFile`` source with only ``path`` selected, so no
     file content is read; part files are reduced to their table before anything
-    reaches the driver. Files in other sub-folders are no tables of this directory.
+    reaches the driver. The directory may be named in any way (``.``, ``dir/.``); only what lies
+    directly in it counts, whatever folders below it are called.
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-               .option("recursiveFileLookup", "true"))
-    try:
-        files = listing.load(directory).select("path")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise FileNotFoundError(f"{directory}: no such directory") from exc
-    root = directory.rstrip("/").rsplit("/", 1)[-1]
-    parts = F.split("path", "/")
-    name, folder, above = (F.try_element_at(parts, F.lit(-i)) for i in (1, 2, 3))
-    tables = (files.select(F.when((folder == root) & name.endswith(".csv"), F.col("path"))
-                           .when((above == root) & folder.endswith(".csv"), F.regexp_replace("path", "/[^/]*$", "")).alias("path"))
-              .where(F.col("path").isNotNull()).distinct())
-    paths = sorted(r.path for r in tables.collect())  # one per table
+    root = re.sub(r"([\[\]{}*?\\])", r"\\\1", directory.rstrip("/") or "/")
+    if _listed(spark, root) is None:
+        raise FileNotFoundError(f"{directory}: no such directory")
+    found, parts = _listed(spark, f"{root}/*.csv"), _listed(spark, f"{root}/*.csv/*.csv")
+    folders = None if parts is None else parts.select(F.regexp_replace("path", "/[^/]*$", "").alias("path")).distinct()
+    if found is not None and parts is not None:  # a folder's part files match the shorter pattern as well
+        found = found.join(folders.select(F.col("path").alias("folder")), F.regexp_replace("path", "/[^/]*$", "") == F.col("folder"), "left_anti")
+    tables = [t for t in (found, folders) if t is not None]
+    paths = sorted(r.path for t in tables for r in t.where(F.col("path").endswith(".csv")).collect())  # one per table
     stems = [p.rsplit("/", 1)[1][:-len(".csv")] for p in paths]
     if not stems:
         raise FileNotFoundError(f"no CSV table in {directory}")
@@ -64,6 +71,80 @@ def list_csv_tables(spark: SparkSession, directory: str) -> dict[str, str]:
 _CORRUPT, _MARK = "_corrupt_row", "\x01"
 
 
+def split_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, row, number, record): the CSV records of all files at ``path``, read by as many tasks as there are input splits.
+
+    Lines are read in parallel. A line break is inside a quoted cell if an odd number of quotes comes before it: quotes are counted
+    per split, and the counts' running sum over a file's splits (one row each) tells how each split begins. Lines
+    from one outside break to the next are a record, numbered from 1 per file; (block, row) is the place of its first line.
+    Only lines of records that hold line breaks meet again.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"))
+    lines = lines.withColumn("quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))))
+    in_split = Window.partitionBy("file", "block").orderBy("row")
+    lines = lines.withColumn("before", F.coalesce(F.sum("quotes").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2)
+    # A split starts as many records as lines begin at either parity; which one holds is known once the splits before are.
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"), F.sum((F.col("before") == 0).cast("long")).alias("even"),
+                                                 F.sum((F.col("before") == 1).cast("long")).alias("odd"),
+                                                 F.min_by(F.col("line").endswith("\r"), "row").alias("cr"))
+              .withColumn("inside", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+              .withColumn("first", F.coalesce(F.sum(F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("odd"))).over(earlier), F.lit(0)))
+              .withColumn("crlf", F.first("cr").over(Window.partitionBy("file").orderBy("block")))
+              .select("file", "block", "inside", "first", "crlf"))
+    starts = ((F.col("before") + F.col("inside")) % 2 == 0).cast("long")
+    upto = in_split.rowsBetween(Window.unboundedPreceding, 0)
+    placed = (lines.join(F.broadcast(splits), ["file", "block"]).withColumn("starts", starts)  # a row per split
+              .withColumn("number", F.col("first") + F.sum("starts").over(upto)))
+    whole = (F.col("starts") == 1) & (F.col("quotes") % 2 == 0)
+    single = placed.where(whole).select("file", "block", "row", "number", "crlf", F.col("line").alias("record"))
+    joined = (placed.where(~whole).groupBy("file", "number", "crlf")
+              .agg(F.array_sort(F.collect_list(F.struct("block", "row", "line"))).alias("parts"))
+              .select("file", F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["row"].alias("row"), "number", "crlf",
+                      F.array_join(F.col("parts.line"), "\n").alias("record")))
+    bare = F.regexp_replace("record", "\r$", "")
+    # As in the one-task read, a file whose first line ends in \r\n has only \n inside its cells.
+    records = single.unionByName(joined).withColumn("record", F.when(F.col("crlf"), F.replace(bare, F.lit("\r\n"), F.lit("\n"))).otherwise(bare))
+    return records.where(F.length("record") > 0).drop("crlf")
+
+
+def _regular(record: Column) -> Column:
+    """Quotes only around whole cells (doubled inside them), and no other line break than the record's."""
+    parts = F.split(F.replace(record, F.lit('""'), F.lit("")), '"', -1)
+    # Every second part lies outside quotes: it must end in a comma before a quote and begin with one behind.
+    wrong = F.transform(parts, lambda s, i: (i % 2 == 0) & (((i > 0) & (s != "") & ~s.startswith(","))
+                                                          | ((i < F.size(parts) - 1) & ~(s.endswith(",") | ((i == 0) & (s == ""))))
+                                                          | s.contains("\r") | s.contains("\n")))
+    return (F.size(parts) % 2 == 1) & ~F.exists(wrong, lambda x: x)
+
+
+def _parallel_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """Rows of ``schema`` with their ordinal, parsed record by record; None if some record is not regular, so that parity may mislead."""
+    folder = scratch_path(spark, "csv-records")
+    split_records(spark, path).write.parquet(folder)
+    records = spark.read.parquet(folder)
+    if not records.where(~_regular(F.col("record"))).isEmpty():
+        return None
+    names = [_CORRUPT if c == _CORRUPT else f"c{i}" for i, c in enumerate(schema.names)]
+    cells = F.from_csv("record", ", ".join(f"{c} string" for c in names),
+                       {**CSV_PARSE, "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return (records.where(F.col("number") > 1).select(cells.alias("cells"), F.struct("file", "block", "row").alias("place"))
+            .select("cells.*", "place").toDF(*schema.names, ORDINAL))
+
+
+def _in_one_split(spark: SparkSession, path: str) -> bool:
+    """Whether every file at ``path`` is read as one split anyway."""
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
+    return (sizes.agg(F.max("length")).first()[0] or 0) <= _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+
+def _bytes(setting: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", setting.strip().lower()).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
+
+
 def read_csv_table(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """One CSV table as text columns, NA tokens nulled, with the source ordinal.
 
@@ -76,11 +157,13 @@ def read_csv_table(spark: SparkSession, path: str, multi_line: bool = True) -> D
     if _CORRUPT in columns:
         raise ValueError(f"{path}: column name {_CORRUPT} is reserved")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _CORRUPT]])
-    rows = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning="false",
-                              enforceSchema="false").schema(schema).csv(path)
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("row"))
-    rows = rows.select("*", place.alias(ORDINAL))
+    rows = None if not multi_line or _in_one_split(spark, path) else _parallel_rows(spark, path, schema)
+    if rows is None:
+        rows = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning="false",
+                                  enforceSchema="false").schema(schema).csv(path)
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("row"))
+        rows = rows.select("*", place.alias(ORDINAL))
     cells = [f"c{i}" for i in range(len(columns) + 1)]
     again = F.from_csv(F.concat(F.col(_CORRUPT), F.lit(f",{_MARK}")), ", ".join(f"{c} string" for c in cells),
                        {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
