@@ -78,7 +78,7 @@ class Index:
 
 def build_index(items: list[tuple[str, str]], window: int) -> Index:
     vocabulary: dict[bytes, int] = {}
-    item_ids = sorted({i for i, _ in items})
+    item_ids = sorted({i for i, _ in items}, key=lambda i: (i is not None, i or ""))
     place = {i: n for n, i in enumerate(item_ids)}
     windows = []  # (item, width k, word ids)
     for item_id, text in items:
@@ -207,7 +207,7 @@ def _join_block(shared, first: bool):
                 new = defaultdict(lambda: ([], set()))
                 for d, s, w in zip(doc.tolist(), start.tolist(), window.tolist()):
                     new[d][0].append((s, s + int(index.length[w])))
-                    new[d][1].add(index.item_ids[index.item[w]])
+                    new[d][1].update(i for i in (index.item_ids[index.item[w]],) if i is not None)
                 for d, (places, names) in new.items():
                     old = spans[d]
                     spans[d] = list(chain.from_iterable(_union([*zip(old[::2], old[1::2]), *places])))
@@ -235,8 +235,8 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
 
     ``hit_spans`` are flat pairs of first and last-plus-one word of the document's words that lie in an
     occurrence of an item window; ``n_hit`` counts these words; ``items`` are the ids (as strings, sorted
-    as strings by code point) of the items with such windows. Null and empty texts have no words. Items without words or
-    with a null id are left out; repeated item rows count once. Repeated documents are rows of their own,
+    as strings by code point) of the items with such windows. Null and empty texts have no words. Items without words
+    are left out; the words of an item with a null id are hit, but it has no id to list; repeated item rows count once. Repeated documents are rows of their own,
     and other columns are carried along whatever their names (these four are replaced if they exist).
     Documents are read whole and never leave their partition.
     """
@@ -246,12 +246,12 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     flat = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
     texts, row_type = flat.select("_text"), flat.schema["_row"].dataType.simpleString()
     benchmark = (items.select(F.col(f"`{item_id_col}`").cast("string").alias("id"), F.col(f"`{item_text_col}`").alias("text"))
-                 .filter("id IS NOT NULL AND text IS NOT NULL").distinct())
+                 .filter("text IS NOT NULL").distinct())
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // BLOCK_BYTES))
     for block in range(n_blocks):
         own = benchmark.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == block).collect()  # about BLOCK_BYTES
-        index = build_index(sorted((r["id"], r["text"]) for r in own), window)
+        index = build_index(sorted(((r["id"], r["text"]) for r in own), key=lambda r: (r[0] is not None, r)), window)
         unordered = spark.sparkContext.broadcast(index)
         frequency = np.zeros(index.n_grams, dtype=np.int64)
         for r in (texts.mapInArrow(tidy(_document_counts(unordered)), "gram int, count long")

@@ -93,7 +93,7 @@ WITH parsed AS (
 ), hit AS (
   SELECT doc, count(DISTINCT p) AS n FROM (SELECT doc, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc
 ), named AS (
-  SELECT doc, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc, item FROM found) GROUP BY doc
+  SELECT doc, count(item) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc, item FROM found) GROUP BY doc
 )
 SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(m.n, 0) AS BIGINT) AS n_items, sha256(coalesce(m.names, '')) AS items_sha256,
