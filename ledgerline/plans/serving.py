@@ -13,17 +13,16 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import strict_timestamp, to_number
+from ..operators.nullsafe import left_join_null_safe
 from .store import cast_to
 
 
 def items_with_categories(items: DataFrame, products: DataFrame) -> DataFrame:
-    p = products.select(F.col("product_id").alias("_p_id"), "product_category_name")
-    return items.join(p, items["product_id"].eqNullSafe(p["_p_id"]), "left").drop("_p_id")
+    return left_join_null_safe(items, products.select(F.col("product_id").alias("_p_id"), "product_category_name"), "product_id", "_p_id")
 
 
 def orders_with_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    c = customers.select(F.col("customer_id").alias("_c_id"), "customer_state")
-    return orders.join(c, orders["customer_id"].eqNullSafe(c["_c_id"]), "left").drop("_c_id")
+    return left_join_null_safe(orders, customers.select(F.col("customer_id").alias("_c_id"), "customer_state"), "customer_id", "_c_id")
 
 
 def sorted_distinct_text(col: str, sep: str = ", "):

@@ -80,9 +80,34 @@ def test_uncounted_or_large_key_sets_are_not_broadcast(spark, make_raw, monkeypa
     try:
         for limit, tables in ((100, {"stg_orders"}), (10, set())):
             monkeypatch.setattr(batches, "BROADCAST_ROWS", limit)
-            with batches.Persisted() as kept:
-                result = batches.process_batch(raw, batch, 1, Warehouse(spark, scratch_path(spark, "plans")), kept)
-                plans = {t: result.planned[t].df._jdf.queryExecution().optimizedPlan().toString() for t in ("stg_orders", "stg_order_items")}
-                assert {t for t, p in plans.items() if "strategy=broadcast" in p} == tables
+            result = batches.process_batch(raw, batch, 20, 1, Warehouse(spark, scratch_path(spark, "plans")))
+            plans = {t: result.planned[t].df._jdf.queryExecution().optimizedPlan().toString() for t in ("stg_orders", "stg_order_items")}
+            assert {t for t, p in plans.items() if "strategy=broadcast" in p} == tables
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_null_keys_are_spread_and_join_as_one_key(spark):
+    """Half of all keys are NULL: same rows as a plain null-safe join, and no task has three times the median."""
+    from collections import Counter
+    from statistics import median
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.nullsafe import left_join_null_safe
+    left = spark.range(8000).select(F.when(F.col("id") % 2 == 0, F.concat(F.lit("k"), F.col("id") % 900)).alias("k"), (F.col("id") % 50).alias("v"))
+    right = spark.createDataFrame([(f"k{i}", f"s{i % 7}") for i in range(0, 800, 3)] + [(None, "none"), (None, "again"), ("k0", "twice")], "rk string, s string")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = left_join_null_safe(left, right, "k", "rk")
+        assert got.columns == ["k", "v", "s"]
+        want = left.join(right, left["k"].eqNullSafe(right["rk"]), "left").drop("rk")
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 3 * median(sizes)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
