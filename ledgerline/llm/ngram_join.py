@@ -38,7 +38,7 @@ COUNTER_ROWS = 16
 POSTING_BLOCK = 1_000
 #: A set that posts no more shingles takes the list of them along; another one takes its ``FIRST`` least shingles.
 LISTED = 48
-FIRST = 16
+FIRST = 4
 #: Bits of a set's first name. Fewer only in tests.
 NAME_BITS = 64
 ROWS_PER_BUCKET = 40_000

@@ -53,7 +53,7 @@ def corpus(seed, n):
 
 @pytest.mark.parametrize("seed, width, percent, block", [(1, 3, 90, 1000), (2, 3, 90, 3), (3, 5, 80, 1000), (4, 2, 60, 4), (5, 1, 80, 2)])
 def test_against_brute_force(spark, docs_of, monkeypatch, seed, width, percent, block):
-    monkeypatch.setattr(ngram_join, "FIRST", 16 if seed != 2 else 2)
+    monkeypatch.setattr(ngram_join, "FIRST", 4 if seed != 2 else 2)
     monkeypatch.setattr(ngram_join, "POSTING_BLOCK", block)
     monkeypatch.setattr(ngram_join, "ROWS_PER_BUCKET", 500)
     monkeypatch.setattr(ngram_join, "LISTED", 64 if seed != 2 else 3)
