@@ -346,6 +346,12 @@ UNION ALL SELECT 'primary_key:order_id', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT)
     o["clustered_write"] = full(f"{FACT_SELECT}\n{FACT_FROM}")
     # incremental state
     o["batch_assignment"] = incremental("SELECT order_id, order_purchase_timestamp, _batch AS batch_id FROM assigned")
+    per_batch = [("raw_orders", "assigned"), ("raw_order_items", "b_items"), ("raw_payments", "b_payments"), ("raw_reviews", "b_reviews"),
+                 ("raw_customers", "b_customers"), ("raw_sellers", "b_sellers"), ("raw_products", "(SELECT _batch FROM raw_products JOIN bp ON product_id = _v)"),
+                 ("raw_translations", "(SELECT b._batch FROM raw_translations t JOIN (SELECT DISTINCT product_category_name AS c, _batch "
+                                      "FROM raw_products JOIN bp ON product_id = _v) b ON t.product_category_name = b.c)")]
+    o["batch_slices"] = incremental(" UNION ALL ".join(
+        f"SELECT _batch AS batch_id, '{name}' AS table_name, COUNT(*) AS row_count FROM {cte} GROUP BY _batch" for name, cte in per_batch))
     o["dim_customer"] = incremental(last_batch("cusb", ["customer_id"], schemas.CUSTOMERS))
     o["dim_product"] = incremental(last_batch("prdb", ["product_id"], schemas.PRODUCTS))
     o["dim_seller"] = incremental(last_batch("selb", ["seller_id"], schemas.SELLERS))

@@ -27,6 +27,7 @@ from ..sources.tables import param_query, read_table
 from ..streaming import state
 from ..streaming.backlog import BATCH, assign_batches, run_backlog
 from ..streaming.batches import BROADCAST_ROWS, DEFAULT_BATCH_SIZE, bounds_of, keyset_batch
+from ..streaming.cursor import BatchCursor
 from ..streaming.pipeline import CLUSTER_KEYS, full_refresh, run_pipeline
 from ..streaming.publish import Warehouse
 from . import build, entities as E, facts, operational, serving
@@ -148,14 +149,22 @@ def keyset_batch_q(spark, sf_dir):
 def batch_closure_q(spark, sf_dir):
     """Rows of each related table reachable from the first batch (broadcast semi joins)."""
     raw = bind_raw(spark, sf_dir)
-    batch = keyset_batch(raw["raw_orders"], "1900-01-01 00:00:00", "", DEFAULT_BATCH_SIZE)
-    c = batch_closure(raw, batch, bounded=True)
+    batch = keyset_batch(raw["raw_orders"], "1900-01-01 00:00:00", "", DEFAULT_BATCH_SIZE).checkpoint()
+    c = batch_closure(raw, batch, bounded=batch.count() <= BROADCAST_ROWS)
     return operational.layer_counts({
         "customers": c.customers, "items": c.items, "payments": c.payments, "reviews": c.reviews,
         "products": c.products, "translations": c.translations, "sellers": c.sellers,
     }).withColumnRenamed("layer_table", "table_name")
 
 
+@register("batch_slices")
+def batch_slices(spark, sf_dir):
+    """What a run's cursor hands to each batch of the backlog: rows of every raw table, raw being read once."""
+    cursor = BatchCursor(spark, bind_raw(spark, sf_dir), DEFAULT_BATCH_SIZE, "1900-01-01 00:00:00", "")
+    return _stacked([cursor.table(name).groupBy(F.col(BATCH).alias("batch_id")).agg(F.count(F.lit(1)).alias("row_count"))
+                     .select("batch_id", F.lit(name).alias("table_name"), "row_count") for name in cursor.tables])
+
+
 # ---------------------------------------------------------------- semi joins over all eligible orders
 def _semi(spark, sf_dir, which: str) -> DataFrame:
     raw = bind_raw(spark, sf_dir)
