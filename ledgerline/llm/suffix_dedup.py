@@ -244,19 +244,25 @@ def _distinct_anchors(anchors: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray
     return anchors[first], docs[first] != docs[last]
 
 
+def _bucket_runs(distinct: np.ndarray, n_buckets: int) -> tuple[list[int], list[int], list[int]]:
+    """The buckets that sorted anchors fall in, and where each one's run begins and ends; other buckets cost nothing."""
+    some, first = np.unique(bucket_of(distinct, n_buckets), return_index=True)
+    first = first.tolist()
+    return some.tolist(), first, [*first[1:], len(distinct)] if first else []
+
+
 def _send_anchors(length: int, n_buckets: int):
     """applyInArrow on a block: its distinct anchors, packed by bucket."""
 
     def run(table: pa.Table) -> pa.Table:
         _, ids, anchors, rows, _, _ = _block_runs(table, length)
         distinct, several = _distinct_anchors(anchors, ids[rows])
-        edges = np.searchsorted(bucket_of(distinct, n_buckets), np.arange(n_buckets + 1))
-        some = [b for b in range(n_buckets) if edges[b] < edges[b + 1]]
+        some, first, last = _bucket_runs(distinct, n_buckets)
         block = table.column("_block")[0].as_py() if len(table) else 0
         return pa.table({
             "bucket": pa.array(some, pa.int32()), "_block": pa.array([block] * len(some), pa.int32()),
-            "anchors": pa.array([pack48(distinct[edges[b]:edges[b + 1]]) for b in some], pa.binary()),
-            "several": pa.array([np.packbits(several[edges[b]:edges[b + 1]]).tobytes() for b in some], pa.binary())})
+            "anchors": pa.array([pack48(distinct[i:j]) for i, j in zip(first, last)], pa.binary()),
+            "several": pa.array([np.packbits(several[i:j]).tobytes() for i, j in zip(first, last)], pa.binary())})
 
     return run
 
@@ -308,9 +314,10 @@ def _send_strings(length: int, n_buckets: int, n_parts: int):
         texts, ids, anchors, rows, firsts, counts = _block_runs(docs, length)
         distinct, _ = _distinct_anchors(anchors, ids[rows])
         code = np.zeros(len(distinct), np.uint8)
-        edges = np.searchsorted(bucket_of(distinct, n_buckets), np.arange(n_buckets + 1))
+        runs = {b: (i, j) for b, i, j in zip(*_bucket_runs(distinct, n_buckets))}
         for b, c in zip(codes.column("bucket").to_pylist(), codes.column("codes").to_pylist()):
-            code[edges[b]:edges[b + 1]] = np.frombuffer(c, np.uint8)
+            i, j = runs[b]
+            code[i:j] = np.frombuffer(c, np.uint8)
         own = code[np.searchsorted(distinct, anchors)] if len(anchors) else np.zeros(0, np.uint8)
         go = np.flatnonzero(own)
         sizes = (counts[go] + length - 1).astype(np.int32)
