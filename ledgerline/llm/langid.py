@@ -168,4 +168,5 @@ def predicted(df: DataFrame, model: Model | None, text_col: str = "text"):
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
         release_memory()
 
-    return run(F.col(f"`{text_col}`"))
+    # Otherwise a filter on the prediction would be pushed below it, as a second evaluation in the same task.
+    return run.asNondeterministic()(F.col(f"`{text_col}`"))

@@ -366,43 +366,68 @@ def _row_ranks(docs: pa.Table) -> np.ndarray:
     return np.unique(docs.column("_key").to_numpy(), return_inverse=True)[1].astype(np.int32)
 
 
-def _mark(docs: pa.Table, spans: pa.Table) -> pa.Table:
-    """applyInArrow on a block and its spans: for every row the removed spans and the bytes left."""
-    texts, ranks = [_doc_bytes(t) for t in docs.column("_text").to_pylist()], _row_ranks(docs)
-    parts = [_unpack_spans(r) for r in spans.to_pylist()]
-    none = np.zeros(0, np.int64)
-    _, row, first, last = (np.concatenate(x) for x in zip(*parts)) if parts else (none,) * 4
-    order = np.argsort(row, kind="stable")
-    row, first, last = row[order], first[order], last[order]
-    bounds, left = [], []
-    for t, lo, hi in zip(texts, np.searchsorted(row, ranks), np.searchsorted(row, ranks, side="right")):
-        if lo == hi:
-            bounds.append([])
-            left.append(t)
-            continue
-        n = len(t) + 1
-        edge = np.bincount(first[lo:hi], minlength=n) - np.bincount(last[lo:hi], minlength=n)
-        gone = np.cumsum(edge[:-1]) > 0
-        bounds.append(np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))).tolist())
-        left.append(np.frombuffer(t, np.uint8)[~gone].tobytes())
-    release_memory()
-    return pa.table({"_row": docs.column("_row"), "_text": docs.column("_text"), "_bounds": pa.array(bounds, pa.list_(pa.int64())),
-                     "_left": pa.array(left, pa.binary())})
-
-
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def _without(raw: bytes, bounds: list[int]) -> str:
+    """UTF-8 bytes without the spans in ``bounds``; a character that a span's edge cuts stays whole."""
+    kept, at = [], 0
+    for first, last in zip(bounds[::2], bounds[1::2]):
+        while first < last and raw[first] & 0xC0 == 0x80:
+            first += 1
+        while last > first and last < len(raw) and raw[last] & 0xC0 == 0x80:
+            last -= 1
+        kept.append(raw[at:first])
+        at = last
+    return b"".join([*kept, raw[at:]]).decode("utf-8")
+
+
+def _mark(whole: bool):
+    """applyInArrow on a block and its spans: for every row the removed spans and the bytes left, or the text of whole characters left."""
+
+    def run(docs: pa.Table, spans: pa.Table) -> pa.Table:
+        values, ranks = docs.column("_text").to_pylist(), _row_ranks(docs)
+        parts = [_unpack_spans(r) for r in spans.to_pylist()]
+        none = np.zeros(0, np.int64)
+        _, row, first, last = (np.concatenate(x) for x in zip(*parts)) if parts else (none,) * 4
+        order = np.argsort(row, kind="stable")
+        row, first, last = row[order], first[order], last[order]
+        bounds, left = [], []
+        for value, lo, hi in zip(values, np.searchsorted(row, ranks), np.searchsorted(row, ranks, side="right")):
+            t = _doc_bytes(value)
+            if lo == hi:
+                bounds.append([])
+                left.append(value if whole else t)
+                continue
+            n = len(t) + 1
+            edge = np.bincount(first[lo:hi], minlength=n) - np.bincount(last[lo:hi], minlength=n)
+            gone = np.cumsum(edge[:-1]) > 0
+            bounds.append(np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))).tolist())
+            left.append(_without(t, bounds[-1]) if whole else np.frombuffer(t, np.uint8)[~gone].tobytes())
+        out = pa.table({"_row": docs.column("_row"), "_text": docs.column("_text"), "_bounds": pa.array(bounds, pa.list_(pa.int64())),
+                        "_left": pa.array(left, pa.string() if whole else pa.binary())})
+        del values, parts, left, bounds
+        release_memory()
+        return out
+
+    return run
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                   whole_characters: bool = False) -> DataFrame:
     """All columns of ``df`` plus ``removed_bounds`` (flat first and last-plus-one bytes) and ``kept_bytes``.
 
+    With ``whole_characters`` the string ``kept_text`` takes the place of ``kept_bytes``: characters cut by a span's edge stay
+    whole, and a null text stays null.
+
     Every byte covered by a ``length``-byte string that also starts in a document with a smaller id is
     removed; strings are compared on the texts as they come, overlaps count, and no string crosses
     documents. Null texts are empty. Rows with a null id neither remove nor lose anything. Rows that
     share an id take nothing from one another, but each loses what a smaller id has. Other columns are
-    carried along whatever their names (these two are replaced if they exist). A text is read whole by
+    carried along whatever their names (those added are replaced if they exist). A text is read whole by
     one task; an empty frame gives an empty frame.
     """
     if length < 1:
         raise ValueError("length must be positive")
-    kept = [c for c in df.columns if c not in ("removed_bounds", "kept_bytes")]
+    left_col, left_type = ("kept_text", "string") if whole_characters else ("kept_bytes", "binary")
+    kept = [c for c in df.columns if c not in ("removed_bounds", left_col)]
     text, doc = F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("long")
     total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n_blocks = max(1, -(-total // BLOCK_BYTES))
@@ -418,9 +443,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         moved = moved.groupBy("part").applyInArrow(_sort_part(length, n_blocks), _MOVED)
     spans = moved.filter("_block IS NOT NULL").select("_block", "rows", "firsts", "lasts")
     marked = blocks.cogroup(spans.groupBy("_block")).applyInArrow(
-        _mark, f"_row {row_type}, _text string, _bounds array<long>, _left binary")
+        _mark(whole_characters), f"_row {row_type}, _text string, _bounds array<long>, _left {left_type}")
     return marked.select(*(F.col("_text").alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in kept),
-                         F.col("_bounds").alias("removed_bounds"), F.col("_left").alias("kept_bytes"))
+                         F.col("_bounds").alias("removed_bounds"), F.col("_left").alias(left_col))
 
 
 def text_without(text, bounds):
@@ -428,20 +453,7 @@ def text_without(text, bounds):
 
     @F.pandas_udf("string")
     def run(texts: pd.Series, all_bounds: pd.Series) -> pd.Series:
-        out = []
-        for t, edges in zip(texts, all_bounds):
-            if t is None or edges is None or not len(edges):
-                out.append(t)
-                continue
-            raw, kept, at = _doc_bytes(t), [], 0
-            for first, last in zip(edges[::2], edges[1::2]):
-                while first < last and raw[first] & 0xC0 == 0x80:
-                    first += 1
-                while last > first and last < len(raw) and raw[last] & 0xC0 == 0x80:
-                    last -= 1
-                kept.append(raw[at:first])
-                at = last
-            out.append(b"".join([*kept, raw[at:]]).decode("utf-8"))
+        out = [t if t is None or edges is None or not len(edges) else _without(_doc_bytes(t), edges) for t, edges in zip(texts, all_bounds)]
         return pd.Series(out, dtype=object)
 
     return run(text, bounds)

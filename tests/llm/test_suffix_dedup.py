@@ -54,6 +54,21 @@ def test_against_brute_force(spark, docs_of, monkeypatch, seed, length, alphabet
             assert r.again.encode() == bytes(r.kept_bytes)
 
 
+def test_whole_characters_and_more_buckets_than_anchors(spark, docs_of, monkeypatch):
+    """The text that comes with the spans is the one cut out afterwards; a bucket per byte changes nothing."""
+    rows = corpus(11, 40, "abcdefghij é漢 ", 40) + [(500, None), (501, ""), (None, "é" * 60), (502, "aé" * 40), (503, "é" * 40)]
+    want = suffix_dedup.remove_repeats(docs_of(rows), length=9)
+    want = want.withColumn("kept_text", suffix_dedup.text_without(F.col("text"), F.col("removed_bounds"))).collect()
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 600)
+    monkeypatch.setattr(suffix_dedup, "BYTES_PER_BUCKET", 1)
+    got = suffix_dedup.remove_repeats(docs_of(rows), length=9, whole_characters=True)
+    assert got.columns[-2:] == ["removed_bounds", "kept_text"]
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text or "")
+    fields = [(r.doc_id, r.text, r.removed_bounds, r.kept_text) for r in sorted(got.collect(), key=key)]
+    assert fields == [(r.doc_id, r.text, r.removed_bounds, r.kept_text) for r in sorted(want, key=key)]
+    assert any(r[2] for r in fields) and (500, None, [], None) in fields
+
+
 def test_salted_anchors(spark, docs_of, monkeypatch):
     """More blocks than a salt group holds: a passage in every document is settled in two sorts."""
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 400)
