@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from ledgerline.llm.common import cut, tidy
+from ledgerline.llm.common import cut, release_memory, tidy
 
 #: (percent, count): a prefix of this level is percent + 100 - t of a set, and count shingles, long.
 LEVELS = ((5, 3), (10, 6))
@@ -41,7 +41,8 @@ LISTED = 48
 FIRST = 4
 #: Bits of a set's first name. Fewer only in tests.
 NAME_BITS = 64
-ROWS_PER_BUCKET = 40_000
+#: Rows that one task of round two compares at a time, after long postings were copied to their blocks.
+ROWS_PER_BUCKET = 30_000
 #: What verifying a candidate costs, in postings.
 VERIFY_COST = 10
 #: Ids of the sets to verify are broadcast if they were counted and are no more (8 MB).
@@ -261,6 +262,8 @@ def _cross_pairs(t100: int):
         swap = col["key"][x] > col["key"][y]
         x, y = np.where(swap, y, x), np.where(swap, x, y)
         pairs = np.unique(np.stack([col["key"][x], col["key"][y]], axis=1), axis=0)
+        del table, col, lists, whole, out, row, left, x, y
+        release_memory()
         return pa.table({"x": pairs[:, 0], "y": pairs[:, 1]})
 
     return run
@@ -390,11 +393,11 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     labelled = (common.join(stars.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key")))
     # The largest component of a list only needs to meet the others: its blocks meet theirs, not each other.
     by_comp = labelled.groupBy("token", "comp").count()
-    lists = (by_comp.groupBy("token").agg(F.sum("count").alias("total"), F.max(F.struct("count", "comp")).alias("top"))
-             .filter("total > top.count")
-             .select("token", F.col("top.comp").alias("top"),
-                     F.expr(f"cast(ceil(top.count / {POSTING_BLOCK}) as int)").alias("p"),
-                     F.expr(f"cast(ceil((total - top.count) / {POSTING_BLOCK}) as int)").alias("q")))
+    lists = cut(by_comp.groupBy("token").agg(F.sum("count").alias("total"), F.max(F.struct("count", "comp")).alias("top"))
+                .filter("total > top.count")
+                .select("token", F.col("top.comp").alias("top"), F.col("top.count").alias("inside"), (F.col("total") - F.col("top.count")).alias("outside"))
+                .withColumn("p", F.expr(f"cast(ceil(inside / {POSTING_BLOCK}) as int)"))
+                .withColumn("q", F.expr(f"cast(ceil(outside / {POSTING_BLOCK}) as int)")))
     met = (labelled.join(lists, "token")
            .withColumn("block", F.expr("if(comp = top, pmod(xxhash64(key), p), p + pmod(xxhash64(key), q))").cast("int"))
            .withColumn("other", F.explode(F.expr("if(comp = top, sequence(p, p + q - 1), sequence(0, p + q - 1))")))
@@ -405,7 +408,8 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     carried = posted.select("key", *[column for k in ("short", "long") for column in (
         F.expr(f"size({k}_list) <= {LISTED}").alias(f"{k}_whole"), F.expr(f"slice({k}_list, 1, if(size({k}_list) <= {LISTED}, {LISTED}, {FIRST}))").alias(f"{k}_list"))])
     met = met.join(carried, "key")
-    n_buckets = max(1, -(-common.count() // ROWS_PER_BUCKET))
+    n_met = lists.agg(F.sum(F.expr("inside * q + outside * (p + q)"))).first()[0] or 0
+    n_buckets = max(1, -(-n_met // ROWS_PER_BUCKET))
     pairs = (met.withColumn("bucket", F.pmod(F.xxhash64("token", "a", "b"), F.lit(n_buckets))).groupBy("bucket")
              .applyInArrow(_cross_pairs(t100), "x long, y long").distinct())
     more = similar(pairs)
