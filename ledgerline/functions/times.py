@@ -23,7 +23,7 @@ def to_datetime(col: Column | str) -> Column:
     Fractions of a second are cut to microseconds.
     """
     text = strip_unicode(_col(col))
-    micros = F.regexp_replace(text, r"(\.[0-9]{6})[0-9]+$", "$1")
+    micros = F.when(F.length(text) > 26, F.regexp_replace(text, r"(\.[0-9]{6})[0-9]+$", "$1")).otherwise(text)
     return F.when(text.rlike(TIMESTAMP_PATTERN), micros.try_cast("timestamp_ntz"))
 
 
@@ -33,9 +33,8 @@ def strict_timestamp(col: Column | str) -> Column:
     What the scan accepts the cleaner accepts, so no scanned order is lost behind the watermark.
     """
     c = _col(col).cast("string")
-    parsed = to_datetime(c)
-    return F.when(c.isNotNull() & parsed.isNull(),
-                  F.raise_error(F.concat(F.lit("invalid timestamp: "), c)).cast("timestamp_ntz")).otherwise(parsed)
+    refused = F.raise_error(F.concat(F.lit("invalid timestamp: "), c)).cast("timestamp_ntz")
+    return F.coalesce(to_datetime(c), F.when(c.isNotNull(), refused))  # parsed once
 
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:

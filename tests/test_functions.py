@@ -112,3 +112,21 @@ def test_store_rounding_and_overflow(spark):
 def test_na_tokens(spark):
     df = spark.createDataFrame([("NA",), ("null",), ("None",), ("nan",), ("",), ("ok",), ("n/k",)], "x string")
     assert [r[0] for r in null_na_tokens(df).collect()] == [None, None, None, None, None, "ok", "n/k"]
+
+
+def test_everyday_text_is_not_cast_in_vain(spark):
+    """A cast that refuses its text raises and catches an exception for every row: a match goes before each."""
+    df = spark.createDataFrame([("1.0",), ("40.0",), ("12",), ("n/k",), ("NaN",), ("",)], "x string")
+    for parse, wanted in ((to_integer, [1, 40, 12, None, None, None]), (to_number, [Decimal(1), Decimal(40), Decimal(12), None, None, None])):
+        parsed = df.select(parse("x").alias("y"))
+        plan = parsed._jdf.queryExecution().analyzed().toString().lower()
+        assert plan.startswith("project [coalesce(case when rlike(")
+        assert [r.y for r in parsed.collect()] == wanted
+
+
+def test_casts_take_what_they_took_before(spark):
+    """Blanks and control characters around a number, digits of other scripts and bare points, as the cast itself has it."""
+    vals = ["1.", "+5", "-0.0", "\x005", "5\x7f", "\x1f5", "5\n", "5.0\r\n", "2147483647", "-2147483648.0", "12e0", "007.000"]
+    assert one_col(spark, vals, to_integer) == [1, 5, 0, 5, 5, 5, 5, 5, 2147483647, -2147483648, 12, 7]
+    digits = ["١٢", "１.٥", "\x001.5", "1,5", "--1", "1.0.0", "1d"]
+    assert one_col(spark, digits, to_number) == [Decimal(12), Decimal("1.5"), Decimal("1.5"), None, None, None, None]
