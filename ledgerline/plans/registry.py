@@ -9,7 +9,7 @@ return what it published (audit timestamps left out).
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from ..functions import (clean_text, days_between, nan_to_null, parse_bool, to_d
 from ..operators import batch_bounds, dedupe_keep_last, distinct_keys, insert_absent, semi_by, upsert
 from ..operators.closure import batch_closure
 from ..operators.keys import tiebreak_of
-from ..session import scratch_path
+from ..session import scratch_path, with_compiled_code
 from ..sources import ingest
 from ..sources.binding import bind_raw
 from ..sources.tables import param_query, read_table
@@ -39,7 +39,7 @@ QUERIES: dict[str, Query] = {}
 
 def register(name: str):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = wraps(fn)(lambda spark, sf_dir: fn(with_compiled_code(spark), sf_dir))
         return fn
     return deco
 

@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# HotSpot interprets methods of more than 8000 bytes for good. A stage whose generated code is longer (cleaning a row
+# of many columns is) runs operator by operator instead, in methods that are compiled.
+COMPILED_ONLY = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 # Settings every job relies on. Timestamps are TIMESTAMP_NTZ throughout, so the
 # session zone only matters for `current_timestamp()`; UTC keeps audit columns
 # comparable across machines.
@@ -18,9 +22,17 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    **COMPILED_ONLY,
 }
 
 
+def with_compiled_code(spark: SparkSession) -> SparkSession:
+    """The session with the code length limit, also where it was not made by :func:`build_session`."""
+    for key, value in COMPILED_ONLY.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(master: str | None = None, app_name: str = "ledgerline",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict[str, str] | None = None) -> SparkSession:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerline.plans.registry import QUERIES
 from ledgerline.operators.closure import semi_by
 from ledgerline.plans import build
 from ledgerline.sources.binding import bind_raw
@@ -90,3 +91,14 @@ def test_bounded_closure_prunes_bronze_children_by_key_range(spark):
     assert "PushedFilters: [IsNotNull(order_id), GreaterThanOrEqual(order_id," in plan_text(c.items)
     ref = batch_closure(raw, batch, bounded=False).items
     assert sorted(tuple(r) for r in c.items.collect()) == sorted(tuple(r) for r in ref.collect())
+
+
+def test_long_generated_code_is_not_left_to_the_interpreter(spark):
+    """A registered query sets the limit in whatever session it gets: stages beyond 8000 bytes of code run operator by operator."""
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+        QUERIES["clean_items"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
