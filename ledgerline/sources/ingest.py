@@ -5,8 +5,8 @@ Each ``*.csv`` directly under the directory is one table named after its stem
 is read as text -- no type inference -- and missing-value tokens become NULL.
 ``_ordinal`` records a row's place in its table: file path, block, row.
 
-With ``multi_line`` (the default) quoted cells may hold line breaks. A file of more than one
-input split is then read in parallel by quote parity (:func:`split_records`), a smaller one by one task; without it
+With ``multi_line`` (the default) quoted cells may hold line breaks. Where none does, files of more than one input split are
+read line by line, as Spark splits them; else in parallel by quote parity (:func:`split_records`), smaller ones by one task. Without it
 lines are rows. A row with fewer cells than the header ends in NULLs, one with more fails the load.
 """
 
@@ -134,6 +134,16 @@ def _parallel_rows(spark: SparkSession, path: str, schema: T.StructType) -> Data
             .select("cells.*", "place").toDF(*schema.names, ORDINAL))
 
 
+def _lines_are_records(spark: SparkSession, path: str) -> bool:
+    """Whether no cell at ``path`` holds a line break and quotes stand only around whole cells, so that every line is a record.
+
+    One look at every line, which moves nothing: Spark's own reader then splits the files.
+    """
+    line = F.regexp_replace("value", "\r$", "")
+    plain = F.when(line.contains('"'), _regular(line)).otherwise(F.lit(True)) & ~line.contains("\r")
+    return spark.read.option("lineSep", "\n").text(path).agg(F.coalesce(F.bool_and(plain), F.lit(True))).first()[0]
+
+
 def _in_one_split(spark: SparkSession, path: str) -> bool:
     """Whether every file at ``path`` is read as one split anyway."""
     sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
@@ -157,7 +167,12 @@ def read_csv_table(spark: SparkSession, path: str, multi_line: bool = True) -> D
     if _CORRUPT in columns:
         raise ValueError(f"{path}: column name {_CORRUPT} is reserved")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _CORRUPT]])
-    rows = None if not multi_line or _in_one_split(spark, path) else _parallel_rows(spark, path, schema)
+    rows = None
+    if multi_line and not _in_one_split(spark, path):
+        if _lines_are_records(spark, path):
+            options["multiLine"] = "false"
+        else:
+            rows = _parallel_rows(spark, path, schema)
     if rows is None:
         rows = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning="false",
                                   enforceSchema="false").schema(schema).csv(path)

@@ -85,3 +85,24 @@ def test_directories_by_any_name(spark, tmp_path, monkeypatch):
         ingest.list_csv_tables(spark, str(tmp_path / "none"))
     with pytest.raises(FileNotFoundError, match="no CSV table"):
         ingest.list_csv_tables(spark, str(tmp_path / "other"))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_files_without_line_breaks_in_cells_are_split_without_moving_a_row(spark, tmp_path, small_splits, monkeypatch, end):
+    rows = [["a", "b", "c d"], *([f"x{i}", 'q "and", a comma' if i % 3 else "", "NA" if i % 5 else f" {i}"] for i in range(100))]
+    path = tmp_path / "t.csv"
+    path.write_bytes(end.join(",".join(quoted(c, i % 2) for c in row) for i, row in enumerate(rows)).encode())
+    one = rows_of(ingest.read_csv_table(spark, str(path)))
+    small_splits(100)
+    monkeypatch.setattr(ingest, "split_records", lambda *a: pytest.fail("lines were moved"))
+    many = ingest.read_csv_table(spark, str(path))
+    assert many.rdd.getNumPartitions() > 3 and "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(many) == one and len(one) == 100
+
+
+@pytest.mark.parametrize("body, plain", [("a,b\n1,2\n", True), ('a,b\n"1","2"\r\n', True), ('a,b\n"1\n",2\n', False), ("a,b\n1\r2,3\n", False),
+                                         ('a,b\n"1\r2",3\n', False), ('a,b\n1"2"3,4\n', False), ("", True)])
+def test_lines_are_records_only_where_no_cell_breaks_a_line(spark, tmp_path, body, plain):
+    path = tmp_path / "t.csv"
+    path.write_bytes(body.encode())
+    assert ingest._lines_are_records(spark, str(path)) is plain
