@@ -18,7 +18,7 @@ from ledgerline.plans import build, serving  # noqa: E402
 from ledgerline.session import build_session, checkpoint_root  # noqa: E402
 from ledgerline.sources.binding import bind_raw  # noqa: E402
 from ledgerline.streaming.backlog import assign_batches, backlog_state, batch_edges  # noqa: E402
-from ledgerline.streaming.batches import Persisted  # noqa: E402
+from ledgerline.streaming.batches import Staged  # noqa: E402
 from ledgerline.streaming.batches import keyset_batch  # noqa: E402
 
 KINDS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition", "BroadcastExchange",
@@ -60,7 +60,7 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     assigned = assign_batches(raw["raw_orders"], 5000).checkpoint()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    state = backlog_state(raw, assigned, batch_edges(assigned).checkpoint(), Persisted())
+    state = backlog_state(raw, assigned, batch_edges(assigned).checkpoint(), Staged(spark))
     for t in ("fact_orders", "stg_order_items", "dim_customer", "dim_product"):
         parts.append(summarise(f"backlog mode: {t}", state.tables[t]))
     print("\n".join(parts))
