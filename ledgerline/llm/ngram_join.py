@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from ledgerline.llm.common import cut, release_memory, tidy
+from ledgerline.llm.common import cut, drop_unused_shuffles, release_memory, tidy
 
 #: (percent, count): a prefix of this level is percent + 100 - t of a set, and count shingles, long.
 LEVELS = ((5, 3), (10, 6))
@@ -369,12 +369,13 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     common = cut(placed.withColumn("in_short", F.expr(f"short and short_place >= {short_spare}"))
                  .withColumn("in_long", F.expr(f"level = 1 and long_place >= {long_spare}"))
                  .filter("in_short or in_long").select("token", "key", "n", "own", "level", "place", "in_short", "in_long"))
+    del postings, lengths, repeated, placed
+    drop_unused_shuffles(spark)
     # One text of every set; it is fetched by id and digest, so rows without an id don't all meet.
     sample = rows.filter("n > 0").groupBy("key").agg(F.min(F.struct("id", "digest")).alias("one")).select("key", "one.id", "one.digest")
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (x, y) of keys whose sets are similar. Each set is fetched once; x's meets each y's."""
-        pairs = cut(pairs)
+        """Those of the written pairs (x, y) of keys whose sets are similar. Each set is fetched once; x's meets each y's."""
         asked = cut(pairs.select(F.col("x").alias("key")).union(pairs.select(F.col("y").alias("key"))).distinct().join(sample, "key"))
         wanted = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
         sets = (docs.join(wanted, docs["id"].eqNullSafe(wanted["id"]) & docs["digest"].eqNullSafe(wanted["digest"])).select("key", "text")
@@ -385,9 +386,11 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # Round one: every set with the most typical set of a posting list, of these the one it shares most lists with.
     leaders = common.groupBy("token").agg(F.min(F.struct("own", "key"))["key"].alias("x"))
-    stars = (common.select("token", F.col("key").alias("y")).join(leaders, "token").filter("x != y").groupBy("x", "y").count()
-             .groupBy("y").agg(F.max_by("x", F.struct("count", "x")).alias("x")).select("x", "y"))
+    stars = cut(common.select("token", F.col("key").alias("y")).join(leaders, "token").filter("x != y").groupBy("x", "y").count()
+                .groupBy("y").agg(F.max_by("x", F.struct("count", "x")).alias("x")).select("x", "y"))
     stars = connected_components(similar(stars))
+    del leaders
+    drop_unused_shuffles(spark)
 
     # Round two: all candidates whose components differ.
     labelled = (common.join(stars.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key")))
@@ -410,10 +413,14 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     met = met.join(carried, "key")
     n_met = lists.agg(F.sum(F.expr("inside * q + outside * (p + q)"))).first()[0] or 0
     n_buckets = max(1, -(-n_met // ROWS_PER_BUCKET))
-    pairs = (met.withColumn("bucket", F.pmod(F.xxhash64("token", "a", "b"), F.lit(n_buckets))).groupBy("bucket")
-             .applyInArrow(_cross_pairs(t100), "x long, y long").distinct())
+    pairs = cut(met.withColumn("bucket", F.pmod(F.xxhash64("token", "a", "b"), F.lit(n_buckets))).groupBy("bucket")
+                .applyInArrow(_cross_pairs(t100), "x long, y long").distinct())
+    del labelled, by_comp, lists, met, posted, carried
+    drop_unused_shuffles(spark)
     more = similar(pairs)
     comps = connected_components(more.union(stars.select(F.col("comp").alias("x"), F.col("node").alias("y")))).withColumnRenamed("node", "key")
+    del pairs, more, stars, common
+    drop_unused_shuffles(spark)
 
     nodes = rows.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     smallest = nodes.filter("n > 0").groupBy("comp").agg(F.min("id").alias("first"))
