@@ -11,8 +11,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import repeat
 
@@ -31,32 +30,49 @@ OVERLAP = 1_024
 #: A boundary this many characters before the end of a chunk does not depend on what follows the chunk:
 #: the longest look-ahead of the pattern is the three characters of 're, 've and 'll.
 SAFE_TAIL = 3
-CACHE_WORDS = 120_000
 LONG_PIECE = 64
-NO_RANK = 1 << 40
+MERGE_AT_ONCE = 4_096
+NO_RANK = 1 << 24  # more than any rank; times LONG_PIECE it still is an int32
+#: A pair in the merge is rank * LONG_PIECE + place, so that the least is the lowest rank, leftmost; NO_PAIR stands behind all.
+NO_PAIR = NO_RANK * LONG_PIECE
 
 
-def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: merge the lowest-rank adjacent pair, leftmost first, until none is a token."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    return _merged_long(piece, ranks) if len(piece) > LONG_PIECE else _merged_short(piece, ranks)
+class PairRanks:
+    """(token id, token id) -> rank of the two as one token, an open-addressed table read for whole arrays of pairs."""
 
-
-def _merged_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """By scanning a list of pair ranks, the fastest way for words."""
-    rank_of = ranks.get
-    start = list(range(len(piece) + 1))  # symbol i spans piece[start[i]:start[i + 1]]
-    pairs = [rank_of(piece[i:i + 2], NO_RANK) for i in range(len(piece) - 1)]
-    while pairs and (least := min(pairs)) != NO_RANK:
-        i = pairs.index(least)
-        del start[i + 1], pairs[i]
-        if i < len(pairs):
-            pairs[i] = rank_of(piece[start[i]:start[i + 2]], NO_RANK)
-        if i:
-            pairs[i - 1] = rank_of(piece[start[i - 1]:start[i + 1]], NO_RANK)
-    return [ranks[piece[i:j]] for i, j in zip(start, start[1:])]
+    def __init__(self, ranks: dict[bytes, int]):
+        self.base = max(ranks.values()) + 2  # id -1, no token, comes as 0
+        pairs = {(left + 1) * self.base + right + 1: rank for token, rank in ranks.items() for i in range(1, len(token))
+                 if (left := ranks.get(token[:i])) is not None and (right := ranks.get(token[i:])) is not None}
+        keys, values = np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs))
+        bits = max(len(pairs), 1).bit_length() + 1
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.ranks = np.full(1 << bits, -1, np.int64), np.full(1 << bits, NO_RANK, np.int32)
+        at = self._slots(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # of several keys for one slot the last stays
+            placed = self.keys[at] == keys
+            self.ranks[at[placed]] = values[placed]
+            keys, values, at = keys[~placed], values[~placed], (at[~placed] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = (left.astype(np.int64) + 1) * self.base + right + 1
+        at = self._slots(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.ranks[at], np.int32(NO_RANK))
+        open_ = np.flatnonzero((there != keys) & (there >= 0))  # slots of other pairs: the next one is looked at
+        at = at[open_]
+        while len(open_):
+            at = (at + 1) & self.mask
+            there, wanted = self.keys[at], keys[open_]
+            out[open_] = np.where(there == wanted, self.ranks[at], NO_RANK)
+            on = (there != wanted) & (there >= 0)
+            open_, at = open_[on], at[on]
+        return out
 
 
 def _merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -87,45 +103,102 @@ def _merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class WordIds(dict):
-    """Pre-token -> its ids as int32 bytes, filled on demand in two generations of ``CACHE_WORDS``."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.older = ranks, {}
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        ids = self.older.get(word)
-        if ids is None:
-            ids = array("i", merged(word.encode("utf-8"), self.ranks)).tobytes()
-        self[word] = ids
-        return ids
-
-
 class Codec:
     """A rank file (base64 token, rank per line) with its pre-token pattern."""
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
-            ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
+            self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
+        self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.words = WordIds(ranks)
+        self.tokens = pa.array(self.bytes_of, pa.large_binary())
+        if len(self.bytes_of) > NO_RANK:
+            raise ValueError(f"ranks must be below {NO_RANK}")
+        self.of_byte = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
+        self.pair_ranks = PairRanks(self.ranks)
+        every = np.append(self.of_byte, -1)  # 256 stands behind a word's last byte
+        self.of_bytes = self.pair_ranks(np.repeat(every, 257), np.tile(every, 257))
         self.pattern = regex.compile(pattern)
 
-    def encode(self, text: str, first: int = 0, last: int | None = None) -> np.ndarray:
-        """Ids of text[first:last], both boundaries of its pre-tokens; what follows ``last`` is only looked at."""
-        words = self.pattern.findall(text, first)
-        beyond = 0 if last is None else len(text) - last
-        while beyond > 0:
-            beyond -= len(words.pop())
-        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype=np.int32)
-
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def encode(self, texts: list[str], spans: Iterable[tuple[int, int | None]]) -> pa.ListArray:
+        """Ids of text[first:last] for every text and its span, both boundaries of its pre-tokens; what follows ``last`` is only looked at.
+
+        A pre-token that comes again among these texts is merged once.
+        """
+        words, ends = [], [0]
+        for text, (first, last) in zip(texts, spans):
+            found = self.pattern.findall(text, first)
+            beyond = 0 if last is None else len(text) - last
+            while beyond > 0:
+                beyond -= len(found.pop())
+            words += found
+            ends.append(len(words))
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        ids, n = self.merged(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        which = coded.indices.to_numpy()
+        starts, sizes = (np.cumsum(n) - n)[which], n[which]
+        after = np.concatenate([[0], np.cumsum(sizes)])
+        values = ids[np.repeat(starts - after[:-1], sizes) + np.arange(after[-1])]
+        return pa.ListArray.from_arrays(pa.array(after[ends], pa.int32()), pa.array(values, pa.int32()))
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pre-tokens, one after the other, and how many each has: merge the lowest-rank adjacent pair,
+        leftmost first, until none is a token. Words of about one length are merged side by side, long ones by a heap."""
+        whole = np.fromiter((self.ranks.get(w, -1) for w in words), np.int64, len(words))
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        n = np.ones(len(words), np.int64)
+        which, ids = [np.flatnonzero(whole >= 0)], [whole[whole >= 0]]  # the word of each id, and the id; of a word in order
+        for i in np.flatnonzero((whole < 0) & (lengths > LONG_PIECE)):
+            long = _merged_long(words[i], self.ranks)
+            which.append(np.full(len(long), i))
+            ids.append(np.array(long, np.int64))
+            n[i] = len(long)
+        short = np.flatnonzero((whole < 0) & (lengths <= LONG_PIECE))
+        short = short[np.argsort(lengths[short], kind="stable")]
+        for lo in range(0, len(short), MERGE_AT_ONCE):
+            some = short[lo:lo + MERGE_AT_ONCE]
+            for cols, symbols in self._merged_short([words[i] for i in some], lengths[some]):
+                left = symbols >= 0
+                n[some[cols]] = left.sum(axis=1)
+                which.append(np.repeat(some[cols], n[some[cols]]))
+                ids.append(symbols[left])
+        which, ids = np.concatenate(which), np.concatenate(ids)
+        return ids[np.argsort(which, kind="stable")], n
+
+    def _merged_short(self, words: list[bytes], lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Merges of words side by side, a column each: (columns, their ids by row, -1 behind the last) as columns end."""
+        width, cols = int(lengths[-1]), np.arange(len(words))
+        place = np.arange(width, dtype=np.int32)[:, None]
+        letters = np.full((len(words), width + 1), 256, np.int32)
+        letters[:, :-1][place.T < lengths[:, None]] = np.frombuffer(b"".join(words), np.uint8)
+        letters = np.ascontiguousarray(letters.T)
+        symbols = np.append(self.of_byte, np.int32(-1))[letters]  # the last row stays -1
+        if (symbols[letters < 256] < 0).any():
+            raise KeyError("a byte that is no token")
+        pairs = self.of_bytes[letters[:-1] * 257 + letters[1:]] * LONG_PIECE + place
+        while len(cols):
+            least = pairs.min(axis=0)
+            done = least >= NO_PAIR
+            if done.any():
+                yield cols[done], symbols[:, done].T
+                symbols, pairs, cols, least = symbols[:, ~done], pairs[:, ~done], cols[~done], least[~done]
+            rank, at = least // LONG_PIECE, least % LONG_PIECE
+            behind, every = place > at, np.arange(len(cols))
+            symbols[:-1] = np.where(behind, symbols[1:], symbols[:-1])  # what is behind the pair moves up by one
+            pairs[:-1] = np.where(behind[:-1], pairs[1:] - 1, pairs[:-1])
+            pairs[-1] = np.where(behind[-1], np.int32(NO_PAIR + width - 1), pairs[-1])
+            symbols[at, every] = rank  # a token's rank is its id
+            pairs[at, every] = self.pair_ranks(rank, symbols[at + 1, every]) * LONG_PIECE + at
+            led = np.flatnonzero(at)
+            pairs[at[led] - 1, led] = self.pair_ranks(symbols[at[led] - 1, led], rank[led]) * LONG_PIECE + at[led] - 1
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes that each list of ids stands for (null stays null)."""
+        raw = self.tokens.take(ids.values)
+        ends = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, raw.offset * 8)[ids.offsets.to_numpy()]
+        back = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), raw.buffers()[2]])
+        return back.cast(pa.binary()).take(pa.array(np.arange(len(ids)), mask=ids.is_null().to_numpy(zero_copy_only=False)))
 
     def boundaries(self, text: str) -> np.ndarray:
         """Where pre-tokens end, in characters."""
@@ -140,12 +213,6 @@ def codec(path: str, pattern: str) -> Codec:
 FORGET.append(codec.cache_clear)
 
 
-def ids_array(arrays: list[np.ndarray]) -> pa.Array:
-    offsets = np.zeros(len(arrays) + 1, dtype=np.int32)
-    np.cumsum([len(a) for a in arrays], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *arrays])))
-
-
 def slices_of(rows: list[int], budget: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Cut a batch so that one result batch holds about ``budget`` characters of input at most."""
     start = size = 0
@@ -170,10 +237,10 @@ def _encoder(path: str, pattern: str, decode: bool, text: str, first: str | None
                 b = whole.slice(lo, hi - lo)
                 texts = [t or "" for t in b.column(text).to_pylist()]
                 spans = zip(b.column(first).to_pylist(), b.column(last).to_pylist()) if first else repeat((0, None))
-                ids = [c.encode(t, *span) for t, span in zip(texts, spans)]
-                back = pa.array([c.decode(x.tolist()) for x in ids] if decode else [None] * len(ids), pa.binary())
+                ids = c.encode(texts, spans)
+                back = c.decode(ids) if decode else pa.nulls(len(ids), pa.binary())
                 keep = [n for n in b.schema.names if n not in (text, first, last)]
-                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), ids_array(ids), back], names=[*keep, "_ids", "_bytes"])
+                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), ids, back], names=[*keep, "_ids", "_bytes"])
 
     return run
 
@@ -295,6 +362,6 @@ def decoded(path: str, pattern: str, ids):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = codec(path, pattern)
         for lists in batches:
-            yield pd.Series([None if x is None else c.decode(x.tolist()) for x in lists], dtype=object)
+            yield c.decode(pa.array(lists, pa.list_(pa.int32()))).to_pandas()
 
     return run(ids)

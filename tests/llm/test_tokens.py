@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -51,3 +52,25 @@ def test_encoding_equals_the_library_at_any_chunk_size(spark, docs_of, reference
 
 def test_encoding_an_empty_table(spark, docs_of):
     assert bpe.encode(docs_of([]), RANKS, P.PATTERN).collect() == []
+
+
+def test_distinct_words_are_merged_side_by_side(reference):
+    r = random.Random(3)
+    words = sorted({"".join(r.choices("aeiourstlnmq", k=r.randint(2, 24))) for _ in range(6000)} | {"x" * 64, "zq" * 32, "zq" * 40, "ß漢😀" * 5})
+    c, calls = bpe.Codec(RANKS, P.PATTERN), []
+    ranks_of, c.pair_ranks = c.pair_ranks, lambda left, right: calls.append(len(left)) or ranks_of(left, right)
+    ids = c.encode([*words, "", *words], [(0, None)] * (2 * len(words) + 1))
+    assert ids.to_pylist() == [reference.encode_ordinary(w) for w in [*words, "", *words]]
+    assert len(calls) < len(words) / 10  # a few lookups a round for thousands of words; word by word it is several a word
+    assert c.decode(ids).to_pylist() == [w.encode() for w in [*words, "", *words]]
+    assert c.decode(ids.slice(5, 0)).to_pylist() == [] and c.decode(ids.slice(5, 2)).to_pylist() == [w.encode() for w in words[5:7]]
+
+
+def test_pair_ranks_equal_the_rank_file():
+    c = bpe.Codec(RANKS, P.PATTERN)
+    r = random.Random(5)
+    cut = [(t[:i], t[i:]) for t in r.sample(sorted(c.ranks), 2000) for i in range(1, len(t))]
+    pairs = [(a, b) for a, b in cut + [(b, a) for a, b in cut] if a in c.ranks and b in c.ranks]
+    left, right = (np.array([c.ranks[p[side]] for p in pairs]) for side in (0, 1))
+    assert c.pair_ranks(left, right).tolist() == [c.ranks.get(a + b, bpe.NO_RANK) for a, b in pairs]
+    assert c.pair_ranks(left, np.full(len(left), -1)).tolist() == [bpe.NO_RANK] * len(left)
