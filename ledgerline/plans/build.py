@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strict_timestamp
-from ..operators.closure import Closure, batch_closure
+from ..operators.closure import Closure, batch_closure, by_order_key
 from ..sources.ingest import PURCHASE_TS
 from . import entities as E
 from .facts import build_fact_orders
@@ -81,5 +81,7 @@ def full_clean(raw: dict[str, DataFrame]) -> CleanBatch:
 
 
 def full_fact_orders(raw: dict[str, DataFrame]) -> DataFrame:
-    c = full_clean(raw)
-    return build_fact_orders(c.orders, c.items, c.payments, c.reviews)
+    """The order fact; children meet the orders by cleaned id, where they are deduped and summed as well."""
+    batch = eligible_orders(raw["raw_orders"])
+    items, payments, reviews = (by_order_key(raw[name], batch) for name in ("raw_order_items", "raw_payments", "raw_reviews"))
+    return build_fact_orders(E.clean_orders(batch, keep_tiebreak=True), E.clean_items(items), E.clean_payments(payments), E.clean_reviews(reviews))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean_text, to_datetime, to_integer, to_number
-from ..operators.keys import ORDINAL, TIEBREAK, dedupe_keep_last, require_keys, tiebreak_of
+from ..operators.keys import ORDER_KEY, ORDINAL, TIEBREAK, dedupe_keep_last, require_keys, tiebreak_of
 
 
 T_ORDINAL = "_t_ordinal"
@@ -31,6 +31,10 @@ def _with_batch(cols: list[Column], batch_id: Column | int | None) -> list[Colum
     return [*cols, b.cast("long").alias("source_batch_id")]
 
 
+def _order_id(raw: DataFrame) -> Column:
+    return (F.col(ORDER_KEY) if ORDER_KEY in raw.columns else clean_text("order_id")).alias("order_id")
+
+
 def _finish(df: DataFrame, keys: list[str], dedupe: bool = True) -> DataFrame:
     df = require_keys(df, keys)
     return dedupe_keep_last(df, keys) if dedupe else df
@@ -115,7 +119,7 @@ def clean_items(raw: DataFrame, batch_id: Column | int | None = None, lead: list
                 carry: Sequence[str] = (), keep_tiebreak: bool = False) -> DataFrame:
     """Prices stay DECIMAL(18,6) here; they are rounded only when stored."""
     df = raw.select(*_with_batch([
-        clean_text("order_id").alias("order_id"),
+        _order_id(raw),
         to_integer("order_item_id", what="order_item_id").alias("order_item_id"),
         clean_text("product_id").alias("product_id"),
         clean_text("seller_id").alias("seller_id"),
@@ -129,7 +133,7 @@ def clean_items(raw: DataFrame, batch_id: Column | int | None = None, lead: list
 def clean_payments(raw: DataFrame, batch_id: Column | int | None = None, lead: list[Column] = (),
                    carry: Sequence[str] = (), keep_tiebreak: bool = False) -> DataFrame:
     df = raw.select(*_with_batch([
-        clean_text("order_id").alias("order_id"),
+        _order_id(raw),
         to_integer("payment_sequential", what="payment_sequential").alias("payment_sequential"),
         clean_text("payment_type", "lower").alias("payment_type"),
         to_integer("payment_installments", what="payment_installments").alias("payment_installments"),
@@ -142,7 +146,7 @@ def clean_reviews(raw: DataFrame, batch_id: Column | int | None = None, lead: li
                   carry: Sequence[str] = (), keep_tiebreak: bool = False) -> DataFrame:
     df = raw.select(*_with_batch([
         clean_text("review_id").alias("review_id"),
-        clean_text("order_id").alias("order_id"),
+        _order_id(raw),
         to_integer("review_score", what="review_score").alias("review_score"),
         clean_text("review_comment_title").alias("review_comment_title"),
         clean_text("review_comment_message").alias("review_comment_message"),
