@@ -30,12 +30,12 @@ def semi_by(rows: DataFrame, keys: DataFrame, row_col: str, key_col: str | None
 
 
 def by_order_key(rows: DataFrame, orders: DataFrame) -> DataFrame:
-    """Rows whose raw order id is among those of ``orders``, with their cleaned id as ``ORDER_KEY`` (none without one).
+    """Rows whose raw order id is among those of ``orders``, with their cleaned id as ``ORDER_KEY`` (none without one), which ``orders`` have too.
 
     They are joined by the cleaned id and compared by the raw one: rows and orders then meet where the rows' dedupe and
     their sums by order happen too, so each row is moved once. As a second join key the raw id would deal the rows anew.
     """
-    keys = (orders.select(clean_text("order_id").alias("_k"), F.col("order_id").alias("_raw_id"))
+    keys = (orders.select(F.col(ORDER_KEY).alias("_k"), F.col("order_id").alias("_raw_id"))
             .where(F.col("_k").isNotNull()).repartition("_k").distinct().hint("shuffle_hash"))
     keyed = rows.withColumn(ORDER_KEY, clean_text("order_id"))
     same_raw = F.array_contains(F.array("_raw_id"), keyed["order_id"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDINAL = "_ordinal"   # a row's place in its CSV table: file, block, row
-ORDER_KEY = "_order_key"  # a child row's cleaned order id, where it was needed before the row was cleaned
+ORDER_KEY = "_order_key"  # a raw row's cleaned order id, where it was needed before the row was cleaned
 TIEBREAK = "_tiebreak"  # struct that orders duplicate rows: greatest = last
 
 

@@ -11,8 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import strict_timestamp
+from ..functions import clean_text, strict_timestamp
 from ..operators.closure import Closure, batch_closure, by_order_key
+from ..operators.keys import ORDER_KEY
+from ..session import scratch_path
 from ..sources.ingest import PURCHASE_TS
 from . import entities as E
 from .facts import build_fact_orders
@@ -81,7 +83,13 @@ def full_clean(raw: dict[str, DataFrame]) -> CleanBatch:
 
 
 def full_fact_orders(raw: dict[str, DataFrame]) -> DataFrame:
-    """The order fact; children meet the orders by cleaned id, where they are deduped and summed as well."""
-    batch = eligible_orders(raw["raw_orders"])
+    """The order fact; children meet the orders by cleaned id, where they are deduped and summed as well.
+
+    The eligible raw orders are written once: the cleaned orders and the ids that each kind of child is matched with come from them.
+    """
+    spark = raw["raw_orders"].sparkSession
+    eligible, path = eligible_orders(raw["raw_orders"]).withColumn(ORDER_KEY, clean_text("order_id")), scratch_path(spark, "eligible")
+    eligible.write.parquet(path)
+    batch = spark.read.schema(eligible.schema).parquet(path)
     items, payments, reviews = (by_order_key(raw[name], batch) for name in ("raw_order_items", "raw_payments", "raw_reviews"))
     return build_fact_orders(E.clean_orders(batch, keep_tiebreak=True), E.clean_items(items), E.clean_payments(payments), E.clean_reviews(reviews))

@@ -44,7 +44,7 @@ def clean_orders(raw: DataFrame, batch_id: Column | int | None = None, keep_tieb
     """Orders keep duplicates; ``_tiebreak`` (purchase time, raw id, rest) orders them."""
     purchased = to_datetime("order_purchase_timestamp")
     cols = [
-        clean_text("order_id").alias("order_id"),
+        _order_id(raw),
         clean_text("customer_id").alias("customer_id"),
         clean_text("order_status", "lower").alias("order_status"),
         purchased.alias("purchased_at"),

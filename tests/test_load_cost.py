@@ -55,6 +55,7 @@ def test_fact_children_are_moved_once(spark, make_raw, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert plan.count("Exchange") == 7  # the orders, three kinds of children, and for each the ids of the orders
+    assert "invalid timestamp" not in plan  # the orders were judged and written before
 
 
 def test_fact_takes_children_by_raw_id(spark, make_raw):
