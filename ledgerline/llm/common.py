@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import ledgerline
-from ledgerline.session import checkpoint_root
+from ledgerline.session import checkpoint_root, drop_unused_shuffles  # noqa: F401 - operators take it from here
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,16 +32,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def drop_unused_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that nothing refers to any more.
-
-    Its cleaner does so once the driver's collectors have found such a frame, which on a large heap may be never: between steps
-    that each shuffle much, disk then holds the files of all of them.
-    """
-    gc.collect()  # the Python side's references first
-    spark.sparkContext._jvm.java.lang.System.gc()
-
-
 def hex_sha256(column) -> "F.Column":
     return F.sha2(column, 256)
 
